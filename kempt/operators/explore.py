@@ -119,7 +119,9 @@ def correlations(df: DataFrame) -> DataFrame:
         found |= {pair: row[k] for k, pair in enumerate(group)}
     rows = [(names[a], names[b], found[min(a, b), max(a, b)] if a != b else 1.0)
             for a in range(len(names)) for b in range(len(names))]
-    return df.sparkSession.createDataFrame(rows, schema).withColumn("r", F.round("r", 2))
+    return df.sparkSession.createDataFrame(rows, schema).withColumn(
+        "r", F.round("r", 2) + F.lit(0.0)    # no negative zero
+    )
 
 
 def _pearson(x: Column, y: Column) -> Column:
