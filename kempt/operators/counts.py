@@ -1,87 +1,93 @@
-"""Value counts of many columns in one grouping.
+"""Value counts of many columns in few groupings.
 
-Counting distinct values column by column would multiply the rows once per column
-inside one aggregate. Here every cell becomes one short row (column number, value) in
-a lane of its own type, and all columns are counted by one grouping that combines
-equal values before the shuffle.
+Counting distinct values column by column inside one aggregate would multiply every row
+once per column. Here each cell becomes one short row (column number, value), columns of
+one type together, and equal values are combined before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.columns import present
+from ..functions.columns import col, present
 
-LANES = ["whole", "real", "text"]
 
-
-def order_key(order_by: Sequence[str]) -> Column | None:
-    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in order_by]) if order_by else None
+def _lane(dtype: T.DataType) -> str:
+    if isinstance(dtype, T.IntegralType):
+        return "bigint"
+    return "double" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "string"
 
 
-def _cell(number: int, value: Column, dtype: T.DataType) -> Column:
-    lanes = {name: F.lit(None).cast(t) for name, t in zip(LANES, ("bigint", "double", "string"))}
-    if isinstance(dtype, T.IntegralType):
-        lanes["whole"] = value.cast("bigint")
-    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        lanes["real"] = value.cast("double")
-    else:
-        lanes["text"] = value.cast("string")
-    filled = next(c for name, c in lanes.items() if name == _lane(dtype))
-    return F.when(
-        filled.isNotNull(),
-        F.struct(F.lit(number).alias("number"), *[lanes[n].alias(n) for n in LANES]),
-    )
+def _order_key(order_by: Sequence[str]) -> Column | None:
+    """One column stays a plain value, which aggregates faster than a struct."""
+    if not order_by:
+        return None
+    return col(order_by[0]) if len(order_by) == 1 else F.struct(*[col(c) for c in order_by])
 
 
-def _lane(dtype: T.DataType) -> str:
-    if isinstance(dtype, T.IntegralType):
-        return "whole"
-    return "real" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "text"
+def _cells(df: DataFrame, values: Mapping[int, Column], lane: str, key: Column | None) -> DataFrame:
+    """``number, value [, key]``: one row per present cell."""
+    kept = [key.alias("key")] if key is not None else []
+    if len(values) == 1:
+        (number, value), = values.items()
+        cells = df.select(F.lit(number).alias("number"), value.cast(lane).alias("value"), *kept)
+    else:
+        structs = [
+            F.struct(F.lit(number).alias("number"), value.cast(lane).alias("value"))
+            for number, value in values.items()
+        ]
+        cells = df.select(F.explode(F.array(*structs)).alias("cell"), *kept).select(
+            "cell.number", "cell.value", *["key" for _ in kept]
+        )
+    return cells.where(F.col("value").isNotNull())
 
 
-def value_counts(
+def text_counts(
     df: DataFrame,
     names: Sequence[str],
     order_by: Sequence[str] = (),
     values: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``number`` (place in ``names``), one lane with the value, ``n`` and ``first``.
+    """``number`` (place in ``names``), ``value`` as text, its count ``n``, and ``first``.
 
     ``first`` is the smallest order key that holds the value; without ``order_by`` it is
     the value itself, so that ties go to the smallest value. Missing cells are left out.
     """
     fields = {f.name: f for f in df.schema.fields}
-    cells = [
-        _cell(i, (values or {}).get(name, present(fields[name])), fields[name].dataType)
-        for i, name in enumerate(names)
-    ]
-    key = order_key(order_by)
-    kept = [key.alias("_key")] if key is not None else []
-    cell_rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"), *kept).select(
-        "c.*", *(["_key"] if kept else [])
+    chosen = {i: (values or {}).get(name, present(fields[name])) for i, name in enumerate(names)}
+    key = _order_key(order_by)
+    grouped = _cells(df, chosen, "string", key).groupBy("number", "value")
+    n = F.count(F.lit(1)).alias("n")
+    if key is None:
+        return grouped.agg(n).withColumn("first", F.col("value"))
+    return grouped.agg(n, F.min("key").alias("first"))
+
+
+def modes(counts: DataFrame) -> DataFrame:
+    """Per column number of ``text_counts``: ``unique`` values, the ``top`` one and its count."""
+    best = F.min(F.struct((-F.col("n")).alias("neg"), "first", "value")).alias("best")
+    return counts.groupBy("number").agg(F.count(F.lit(1)).alias("unique"), best).select(
+        "number", "unique", F.col("best.value").alias("top"), (-F.col("best.neg")).alias("top_count")
     )
-    grouped = cell_rows.groupBy("number", *LANES)
-    if kept:
-        return grouped.agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first"))
-    return grouped.agg(F.count(F.lit(1)).alias("n")).withColumn("first", F.struct(*LANES))
-
-
-def as_text() -> Column:
-    return F.coalesce(F.col("text"), F.col("whole").cast("string"), F.col("real").cast("string"))
 
 
-def distinct_and_mode(counts: DataFrame) -> DataFrame:
-    """Per column number: ``unique`` values, the most frequent as text, and its count."""
-    best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("first"), as_text().alias("value")))
-    return counts.groupBy("number").agg(F.count(F.lit(1)).alias("unique"), best.alias("_best")).select(
-        "number", "unique", F.col("_best.value").alias("top"), (-F.col("_best.neg")).alias("top_count")
-    )
+def distinct_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``number`` (place in ``names``) and ``unique``; a column without values has no row."""
+    fields = {f.name: f for f in df.schema.fields}
+    lanes: dict[str, dict[int, Column]] = {}
+    for i, name in enumerate(names):
+        lanes.setdefault(_lane(fields[name].dataType), {})[i] = present(fields[name])
+    parts = [
+        _cells(df, values, lane, None).distinct().groupBy("number").agg(F.count(F.lit(1)).alias("unique"))
+        for lane, values in lanes.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def first_levels(counts: DataFrame, limit: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import categorical_columns, col, targets
 from ..functions.names import clean_name, uniquify
-from .counts import first_levels, value_counts
+from .counts import first_levels, text_counts
 from .lookup import attach
 from .missing import LABEL
 from .running import ROWS_PER_TASK, running_total
@@ -29,7 +29,7 @@ def _filled(name: str) -> Column:
 
 
 def _levels(df: DataFrame, names: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    return value_counts(df, names, order_by, {n: _filled(n) for n in names})
+    return text_counts(df, names, order_by, {n: _filled(n) for n in names})
 
 
 @dataclass(frozen=True)
@@ -51,29 +51,29 @@ class LabelEncode:
         if not names:
             return LabelEncode()
         levels = _levels(df, names, order_by)
-        head = levels.select("number", "text", "n", "first").limit(driver_levels + 1).collect()
+        head = levels.select("number", "value", "n", "first").limit(driver_levels + 1).collect()
         if len(head) <= driver_levels:
             lists, tables = {}, {}
             for i, name in enumerate(names):
-                found = sorted((r for r in head if r["number"] == i), key=lambda r: tuple(r["first"]))
+                found = sorted((r for r in head if r["number"] == i), key=lambda r: r["first"])
                 if not found:
                     continue
                 if len(found) <= INLINE_LEVELS:
-                    lists[name] = tuple(r["text"] for r in found)
+                    lists[name] = tuple(r["value"] for r in found)
                 else:
                     tables[name] = df.sparkSession.createDataFrame(
-                        [(r["text"], r["n"], code) for code, r in enumerate(found, 1)],
+                        [(r["value"], r["n"], code) for code, r in enumerate(found, 1)],
                         "key string, n bigint, _code int",
                     )
             return LabelEncode(lists, tables)
         # Long dictionaries never reach the driver: they are ranked where they are.
-        stored = staged(levels.select("number", "text", "n", "first"), "levels")
+        stored = staged(levels.select("number", "value", "n", "first"), "levels")
         tables = {}
         for i, name in enumerate(names):
-            one = stored.where(F.col("number") == i).select("text", "n", "first")
+            one = stored.where(F.col("number") == i).select("value", "n", "first")
             ranked = running_total(one, [], ["first"], rows_per_task=rows_per_task)
             code = (F.col("before") + 1).cast("int")
-            tables[name] = staged(ranked.select(F.col("text").alias("key"), "n", code.alias("_code")), "codes")
+            tables[name] = staged(ranked.select(F.col("value").alias("key"), "n", code.alias("_code")), "codes")
         return LabelEncode({}, tables)
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -124,10 +124,10 @@ class OneHotEncode:
             # Too long for the group limit: prove the size first, by one count per column.
             sizes = {r["number"]: r["count"] for r in levels.groupBy("number").count().collect()}
             _refuse({n: sizes.get(i, 0) for i, n in enumerate(names)}, max_levels)
-        rows = first_levels(levels, max_levels + 1).select("number", "rank", "text").collect()
+        rows = first_levels(levels, max_levels + 1).select("number", "rank", "value").collect()
         out = {}
         for i, name in enumerate(names):
-            found = [r["text"] for r in sorted((r for r in rows if r["number"] == i), key=lambda r: r["rank"])]
+            found = [r["value"] for r in sorted((r for r in rows if r["number"] == i), key=lambda r: r["rank"])]
             _refuse({name: len(found)}, max_levels)
             if found:
                 out[name] = tuple(found)

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, is_numeric, numeric_columns, present
-from .counts import distinct_and_mode, value_counts
+from .counts import modes, text_counts
 from .lookup import attach
 from .numeric import FENCE
-from .quantiles import DIRECT_ROWS, grouped_quantiles, quantiles
+from .quantiles import GROUP_ROWS, grouped_quantiles, quantiles
 from .staging import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -71,7 +71,7 @@ def kurtosis(df: DataFrame, column: str) -> DataFrame:
 
 def mode_first(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """``column, mode, mode_count``; ties go to the value that appears first."""
-    found = distinct_and_mode(value_counts(df, columns, order_by))
+    found = modes(text_counts(df, columns, order_by))
     names = df.sparkSession.createDataFrame(list(enumerate(columns)), "number int, column string")
     return names.join(F.broadcast(found), "number", "left").select(
         "column",
@@ -87,51 +87,53 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
-def usable_numeric(df: DataFrame) -> list[str]:
-    """Numeric columns with at least two present values that are not all equal."""
-    names = numeric_columns(df)
-    if not names:
-        return []
-    row = df.agg(
-        *[(F.min(_number(df, n)) < F.max(_number(df, n))).alias(f"u{i}") for i, n in enumerate(names)]
-    ).first()
-    return [n for i, n in enumerate(names) if row[i]]
-
-
 def correlations(df: DataFrame) -> DataFrame:
     """``x, y, r``: Pearson on the rows where both are present, 2 places, both triangles.
 
-    All pairs are aggregates of the same pass; very wide tables take a few passes over
-    the numeric columns. Nothing but the pair sums leaves a task.
+    Columns need two present values that differ. All pairs are aggregates of one pass;
+    very wide tables take a few passes over the numeric columns. A pair of columns
+    without gaps needs only the sum of products of its standardized values.
     """
-    names = usable_numeric(df)
+    names = numeric_columns(df)
     schema = "x string, y string, r double"
-    if len(names) < 2:
+    values = {n: _number(df, n) for n in names}
+    row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[e.alias(f"{k}{i}") for i, x in enumerate(values.values()) for k, e in (
+            ("n", F.count(x)), ("mean", F.avg(x)), ("sd", F.stddev_samp(x)), ("varies", F.min(x) < F.max(x)),
+        )],
+    ).first()
+    usable = [i for i in range(len(names)) if row[f"varies{i}"]]
+    if len(usable) < 2:
         return df.sparkSession.createDataFrame([], schema)
-    numbers = df.select(*[_number(df, n).alias(f"v{i}") for i, n in enumerate(names)])
-    pairs = list(combinations(range(len(names)), 2))
+    scaled = df.select(*[
+        ((values[names[i]] - row[f"mean{i}"]) / row[f"sd{i}"]).alias(f"z{i}") for i in usable
+    ])
+    pairs = list(combinations(usable, 2))
     passes = [pairs[i:i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
     if len(passes) > 1:
-        numbers = staged(numbers, "numeric")
-    found: dict[tuple[int, int], float | None] = {}
+        scaled = staged(scaled, "numeric")
+    whole = {i for i in usable if row[f"n{i}"] == row["rows"]}
+
+    def pearson(a: int, b: int) -> Column:
+        x, y = F.col(f"z{a}"), F.col(f"z{b}")
+        if a in whole and b in whole:
+            return F.sum(x * y) / (row["rows"] - 1)
+        # Null, not an error, where the shared rows hold a constant.
+        paired = lambda u, v: F.when(v.isNotNull(), u)
+        spread = F.stddev_samp(paired(x, y)) * F.stddev_samp(paired(y, x))
+        return F.try_divide(F.covar_samp(x, y), spread)
+
+    found: dict[tuple[int, int], float | None] = {(i, i): 1.0 for i in usable}
     for group in passes:
-        row = numbers.agg(*[_pearson(F.col(f"v{a}"), F.col(f"v{b}")).alias(f"r{k}") for k, (a, b) in enumerate(group)]).first()
-        found |= {pair: row[k] for k, pair in enumerate(group)}
-    rows = [(names[a], names[b], found[min(a, b), max(a, b)] if a != b else 1.0)
-            for a in range(len(names)) for b in range(len(names))]
+        sums = scaled.agg(*[pearson(a, b).alias(f"r{k}") for k, (a, b) in enumerate(group)]).first()
+        found |= {pair: sums[k] for k, pair in enumerate(group)}
+    rows = [(names[a], names[b], found[min(a, b), max(a, b)]) for a in usable for b in usable]
     return df.sparkSession.createDataFrame(rows, schema).withColumn(
         "r", F.round("r", 2) + F.lit(0.0)    # no negative zero
     )
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    """Null, not an error, where the shared rows hold a constant."""
-    paired = lambda a, b: F.when(b.isNotNull(), a)
-    return F.try_divide(
-        F.covar_samp(x, y), F.stddev_samp(paired(x, y)) * F.stddev_samp(paired(y, x))
-    )
-
-
 def frequencies(df: DataFrame, column: str) -> DataFrame:
     """``value, count`` in value order; missing cells are one group of their own."""
     value = present(df.schema[column])
@@ -173,16 +175,16 @@ def _bin(value: Column, low: float | None, high: float | None, bins: int):
     return number, F.lit(low) + (F.col("bin") - 1) * F.lit(width), F.lit(low) + F.col("bin") * F.lit(width)
 
 
-def _boxes(df: DataFrame, y: str, group: str | None, direct_rows: int) -> tuple[DataFrame, DataFrame]:
+def _boxes(df: DataFrame, y: str, group: str | None, group_rows: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``g, v`` with fences attached, and the quartiles per group."""
     g = present(df.schema[group]) if group else F.lit("all")
     rows = df.select(g.alias("g"), _number(df, y).alias("v")).where(F.col("v").isNotNull())
     if group:
-        quartiles = grouped_quantiles(rows, "g", "v", QUARTILES, direct_rows, direct_rows)
+        quartiles = grouped_quantiles(rows, "g", "v", QUARTILES, group_rows)
         quartiles = quartiles.toDF("key", "n", "q1", "median", "q3")
     else:
         n = rows.count()
-        q = quantiles(rows, {"v": F.col("v")}, QUARTILES, counts={"v": n}, direct_rows=direct_rows)["v"]
+        q = quantiles(rows, {"v": F.col("v")}, QUARTILES, counts={"v": n})["v"]
         quartiles = df.sparkSession.createDataFrame(
             [("all", n, *q)] if n else [], "key string, n bigint, q1 double, median double, q3 double"
         )
@@ -194,9 +196,9 @@ def _boxes(df: DataFrame, y: str, group: str | None, direct_rows: int) -> tuple[
     return rows, boxes
 
 
-def box_summary(df: DataFrame, y: str, group: str | None = None, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def box_summary(df: DataFrame, y: str, group: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Per group: n, min, quartiles, max, whiskers (extremes inside the fences), outliers."""
-    rows, boxes = _boxes(df, y, group, direct_rows)
+    rows, boxes = _boxes(df, y, group, group_rows)
     marked = attach(rows, F.col("g"), boxes)
     inside = F.col("v").between(F.col("lower"), F.col("upper"))
     one = lambda c: F.first(c).alias(c)
@@ -209,19 +211,19 @@ def box_summary(df: DataFrame, y: str, group: str | None = None, direct_rows: in
     ).withColumnRenamed("g", "group")
 
 
-def box_outliers(df: DataFrame, y: str, group: str | None = None, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def box_outliers(df: DataFrame, y: str, group: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``group, value`` of every point outside the fences of its group."""
-    rows, boxes = _boxes(df, y, group, direct_rows)
+    rows, boxes = _boxes(df, y, group, group_rows)
     marked = attach(rows, F.col("g"), boxes.select("key", "n", "lower", "upper"))
     outside = ~F.col("v").between(F.col("lower"), F.col("upper"))
     return marked.where(outside).select(F.col("g").alias("group"), F.col("v").alias("value"))
 
 
 def violin_summary(
-    df: DataFrame, y: str, group: str | None = None, bins: int = BINS, direct_rows: int = DIRECT_ROWS
+    df: DataFrame, y: str, group: str | None = None, bins: int = BINS, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Per group and bin: count and density, with the group's quartiles and mean."""
-    rows, boxes = _boxes(df, y, group, direct_rows)
+    rows, boxes = _boxes(df, y, group, group_rows)
     low, high = rows.agg(F.min("v"), F.max("v")).first()
     number, start, end = _bin(F.col("v"), low, high, bins)
     width = ((high or 0.0) - (low or 0.0)) / bins

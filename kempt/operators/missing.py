@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, is_missing, is_numeric, present
-from .counts import distinct_and_mode, value_counts
+from .counts import modes, text_counts
 from .quantiles import quantiles
 
 # The strategies a column can choose from, and the label for missing text.
@@ -77,8 +77,8 @@ class FillMissing:
             fills |= {n: q[0] for n, q in medians.items()}
         modal = by_rule("mode")
         if modal:
-            counted = value_counts(df, modal, order_by, seen)
-            found = {r["number"]: r["top"] for r in distinct_and_mode(counted).collect()}
+            counted = text_counts(df, modal, order_by, seen)
+            found = {r["number"]: r["top"] for r in modes(counted).collect()}
             fills |= {n: found.get(i, LABEL) for i, n in enumerate(modal)}
         return FillMissing({f.name: rules[f.name] for f in fields}, fills)
 

@@ -6,13 +6,14 @@ One aggregate reads every column once; the long form comes from that single row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import col, is_missing, is_numeric, numeric_columns, present
-from .counts import distinct_and_mode, value_counts
+from .counts import distinct_values, modes, text_counts
 from .missing import LABEL
 from .quantiles import quantiles
 
@@ -80,25 +81,20 @@ def missing_order(df: DataFrame) -> DataFrame:
 
 def distinct_counts(df: DataFrame, exact: bool = True) -> DataFrame:
     """``column, unique`` over present values."""
-    names = df.columns
     if not exact:
         approx = _long(df, {f.name: {"unique": F.approx_count_distinct(present(f))} for f in df.schema.fields})
         return approx.select("column", "unique")
-    return _with_names(df, distinct_and_mode(value_counts(df, names))).select("column", "unique")
-
-
-def _with_names(df: DataFrame, found: DataFrame) -> DataFrame:
-    """Every column of ``df`` in order, joined to what was found for it (no values: 0)."""
     names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "number int, column string")
     # Both sides have at most one row per column of the table.
-    return names.join(F.broadcast(found), "number", "left").withColumn(
-        "unique", F.coalesce("unique", F.lit(0))
+    found = F.broadcast(distinct_values(df, df.columns))
+    return names.join(found, "number", "left").orderBy("number").select(
+        "column", F.coalesce("unique", F.lit(0)).alias("unique")
     )
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
     """``column, dtype, missing, missing_pct, unique`` for every column, in table order."""
-    found = F.broadcast(distinct_and_mode(value_counts(df, df.columns)).select("number", "unique"))
+    found = F.broadcast(distinct_values(df, df.columns))
     return (
         _missing_long(df)
         .join(found, "number", "left")
@@ -154,8 +150,21 @@ def summary_table(df: DataFrame, order_by: Sequence[str] = (), exact: bool = Tru
         "number int, column string, dtype string, missing bigint, "
         "mean double, sd double, min double, median double, max double",
     )
-    found = F.broadcast(distinct_and_mode(value_counts(df, df.columns, order_by)))
-    top = F.when(~F.col("column").isin(*numeric), F.coalesce("top", F.lit(LABEL))) if numeric else F.coalesce("top", F.lit(LABEL))
+    # Numeric columns need their distinct counts, the others their modes as well.
+    place = {name: i for i, name in enumerate(df.columns)}
+    others = [n for n in df.columns if n not in numeric]
+    parts = []
+    for names, found in ((list(numeric), distinct_values), (others, lambda d, n: modes(text_counts(d, n, order_by)))):
+        if names:
+            number = F.array(*[F.lit(place[n]) for n in names])[F.col("number")]
+            got = found(df, names)
+            top = F.col("top") if "top" in got.columns else F.lit(None).cast("string")
+            parts.append(got.select(number.alias("number"), "unique", top.alias("top")))
+    # At most one row per column of the table.
+    found = F.broadcast(reduce(DataFrame.unionAll, parts))
+    top = F.coalesce("top", F.lit(LABEL))
+    if numeric:
+        top = F.when(~F.col("column").isin(*numeric), top)
     return (
         table.join(found, "number", "left")
         .orderBy("number")

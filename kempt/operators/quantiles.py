@@ -1,9 +1,9 @@
 """Exact quantiles with linear interpolation, whole columns at any size.
 
-``percentile`` keeps every distinct value of a group in one task, so it is used only
-for groups proven small by a count. Larger columns are searched: each pass is one
-aggregate over the table, without a shuffle of rows, that counts values around guessed
-split points and sketches the values between them, until few candidates are left.
+The ``percentile`` aggregate keeps every distinct value in one task. Here columns are
+searched instead: each pass is one aggregate over the table, without a shuffle of rows,
+that counts values around guessed split points and sketches the values between them.
+Once few candidates are left (for a small column, at once) they are sorted.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .running import running_total
 
-DIRECT_ROWS = 1_000_000   # a group up to this size fits one task
-GATHER_ROWS = 50_000      # candidates fetched as one sorted array
+GATHER_ROWS = 1_000_000        # candidates of one column that one task may sort
+GATHER_BUDGET = 4_000_000      # candidates of all columns together, per pass
+GROUP_ROWS = 5_000_000         # a group up to this size may be sorted by one task
 GRID = [i / 256 for i in range(257)]
-ACCURACY = 2_000          # error of the sketch: 1/2000 of the ranks
+ACCURACY = 2_000               # error of the sketch: 1/2000 of the ranks
 
 
 def quantiles(
@@ -29,7 +31,6 @@ def quantiles(
     probs: Sequence[float],
     exact: bool = True,
     counts: Mapping[str, int] | None = None,
-    direct_rows: int = DIRECT_ROWS,
     gather_rows: int = GATHER_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns; null and NaN must already be null in ``values``."""
@@ -39,24 +40,13 @@ def quantiles(
     table = df.select(*[values[n].cast("double").alias(f"q{i}") for i, n in enumerate(names)])
     column = {n: F.col(f"q{i}") for i, n in enumerate(names)}
     if not exact:
-        return _one_pass(table, column, lambda c: F.percentile_approx(c, list(probs), 10_000), probs)
+        row = table.agg(*[F.percentile_approx(c, list(probs), 10_000) for c in column.values()]).first()
+        return {n: list(row[i]) if row[i] else [None] * len(probs) for i, n in enumerate(names)}
     if counts is None:
-        row = table.agg(*[F.count(column[n]).alias(f"n{i}") for i, n in enumerate(names)]).first()
-        counts = {n: row[i] for i, n in enumerate(names)}
-    small = {n: column[n] for n in names if counts[n] <= direct_rows}
-    large = {n: column[n] for n in names if counts[n] > direct_rows}
-    found = _one_pass(
-        table, small, lambda c: F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])), probs
-    )
-    found |= _search(table, large, counts, probs, gather_rows)
-    return found
-
-
-def _one_pass(table, column, expression, probs) -> dict[str, list[float | None]]:
-    if not column:
-        return {}
-    row = table.agg(*[expression(c).alias(f"r{i}") for i, c in enumerate(column.values())]).first()
-    return {n: list(row[i]) if row[i] is not None else [None] * len(probs) for i, n in enumerate(column)}
+        row = table.agg(*[F.count(c) for c in column.values()]).first()
+        counts = dict(zip(names, row))
+    some = {n: c for n, c in column.items() if counts[n]}
+    return {n: [None] * len(probs) for n in names} | _search(table, some, counts, probs, gather_rows)
 
 
 @dataclass
@@ -87,29 +77,42 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), position - low
 
 
-def _search(table, column, counts, probs, gather_rows) -> dict[str, list[float | None]]:
+def _search(table, column, counts, probs, gather_rows) -> dict[str, list[float]]:
     targets: dict[tuple[str, int], _Target] = {}
     for name in column:
         for p in probs:
             for rank in _ranks(counts[name], p)[:2]:
                 targets[name, rank] = _Target(name, rank, counts[name])
     while pending := [t for t in targets.values() if t.value is None]:
-        # Targets that share a bracket share its aggregates.
-        wanted: dict[tuple, dict[str, Column]] = {}
+        # Targets with the same bracket share its aggregates.
+        brackets: dict[tuple, list[_Target]] = {}
+        room = GATHER_BUDGET
         for t in pending:
-            wanted.setdefault(_bracket(t, gather_rows), {})
-        for key, parts in wanted.items():
-            parts.update(_measures(column[key[0]], key))
-        row = table.agg(*[
-            expression.alias(f"b{i}_{label}")
-            for i, parts in enumerate(wanted.values())
-            for label, expression in parts.items()
+            small = t.size <= gather_rows
+            key = (t.column, t.low, t.high, "sort" if small else t.split)
+            if small and key not in brackets:
+                if t.size > room and brackets:
+                    continue    # its turn comes in the next pass
+                room -= t.size
+            brackets.setdefault(key, []).append(t)
+        labels = [
+            (key, label, expression)
+            for key in brackets
+            for label, expression in _measures(column[key[0]], key).items()
+        ]
+        found = table.agg(*[e.alias(f"m{i}") for i, (_, _, e) in enumerate(labels)])
+        # Of the sorted candidates, only the wanted ranks leave the task.
+        row = found.select(*[
+            F.transform(F.array(*[F.lit(t.rank) for t in brackets[key]]), _at(f"m{i}")).alias(f"m{i}")
+            if label == "sorted" else F.col(f"m{i}")
+            for i, (key, label, _) in enumerate(labels)
         ]).first()
-        place = {key: i for i, key in enumerate(wanted)}
-        for t in pending:
-            key = _bracket(t, gather_rows)
-            got = {label: row[f"b{place[key]}_{label}"] for label in wanted[key]}
-            _narrow(t, got)
+        got: dict[tuple, dict] = {}
+        for (key, label, _), value in zip(labels, row):
+            got.setdefault(key, {})[label] = value
+        for key, members in brackets.items():
+            for place, t in enumerate(members):
+                _narrow(t, got[key], place)
     out = {}
     for name in column:
         out[name] = []
@@ -120,16 +123,14 @@ def _search(table, column, counts, probs, gather_rows) -> dict[str, list[float |
     return out
 
 
-def _bracket(t: _Target, gather_rows: int) -> tuple:
-    if t.size <= gather_rows:
-        return t.column, t.low, t.high, "gather"
-    return t.column, t.low, t.high, t.split
+def _at(array: str):
+    return lambda rank: F.get(F.col(array), rank)
 
 
 def _measures(c: Column, key: tuple) -> dict[str, Column]:
     _, low, high, split = key
-    if split == "gather":
-        return {"all": F.sort_array(F.collect_list(F.when(_inside(c, low, high), c)))}
+    if split == "sort":
+        return {"sorted": F.sort_array(F.collect_list(F.when(_inside(c, low, high), c)))}
     a, b = split
     middle = _inside(c, low if a is None else a, high if b is None else b)
     parts = {
@@ -144,10 +145,10 @@ def _measures(c: Column, key: tuple) -> dict[str, Column]:
     return parts
 
 
-def _narrow(t: _Target, got: dict) -> None:
+def _narrow(t: _Target, got: dict, place: int) -> None:
     """Use one pass's counts to shrink the bracket around the target."""
-    if "all" in got:
-        t.value = got["all"][t.rank]
+    if "sorted" in got:
+        t.value = got["sorted"][place]
         return
     a, b = t.split
     lt, at_a, mid, at_b = (got.get(k, 0) for k in ("lt", "at_a", "mid", "at_b"))
@@ -176,50 +177,45 @@ def grouped_quantiles(
     group: str,
     value: str,
     probs: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
-    rows_per_task: int = DIRECT_ROWS,
+    group_rows: int = GROUP_ROWS,
+    rows_per_task: int = GATHER_ROWS,
 ) -> DataFrame:
     """One row per group: ``group, n, q0, q1, ...``; null values must be filtered out.
 
-    Where every group is small, ``percentile`` does it. Otherwise the distinct values
-    are range-sorted with their counts, so that one hot group spreads over many tasks.
+    Where a count proves every group small, each group is sorted by one task. Otherwise
+    the distinct values are range-sorted with their counts, so that one hot group spreads
+    over many tasks.
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= direct_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return (
-            df.groupBy(group)
-            .agg(F.count(F.lit(1)).alias("n"), F.percentile(value, wanted).alias("_q"))
-            .select(group, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    if largest <= group_rows:
+        whole = Window.partitionBy(group)
+        ranked = df.select(
+            group,
+            value,
+            F.lit(1).alias("times"),
+            (F.row_number().over(whole.orderBy(value)) - 1).alias("before"),
+            F.count(F.lit(1)).over(whole).alias("n"),
         )
-    distinct = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("times"))
-    ranked = running_total(
-        distinct, [group], [value], F.col("times"), rows_per_task=rows_per_task
-    )
-    sized = ranked.join(
-        sizes.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")), "inner"
-    ).drop("_g")
+    else:
+        distinct = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("times"))
+        ranked = running_total(distinct, [group], [value], F.col("times"), rows_per_task=rows_per_task).join(
+            sizes.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")), "inner"
+        ).drop("_g")
 
     def at(rank: Column) -> Column:
         hit = (F.col("before") <= rank) & (rank < F.col("before") + F.col("times"))
         return F.max(F.when(hit, F.col(value)))
 
-    picks = []
+    picks, mixed = [], []
     for i, p in enumerate(probs):
         position = (F.col("n") - 1) * F.lit(float(p))
         low = F.floor(position)
         picks += [
-            at(low).alias(f"_lo{i}"),
-            at(F.least(low + 1, F.col("n") - 1)).alias(f"_hi{i}"),
+            at(low).alias(f"_low{i}"),
+            at(F.least(low + 1, F.col("n") - 1)).alias(f"_high{i}"),
             F.max(position - low).alias(f"_part{i}"),
         ]
-    mixed = [
-        F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
-        .otherwise(
-            F.col(f"_lo{i}") * (1 - F.col(f"_part{i}")) + F.col(f"_hi{i}") * F.col(f"_part{i}")
-        )
-        .alias(f"q{i}")
-        for i in range(len(probs))
-    ]
-    return sized.groupBy(group).agg(F.max("n").alias("n"), *picks).select(group, "n", *mixed)
+        a, b, part = (F.col(f"_{k}{i}") for k in ("low", "high", "part"))
+        mixed.append(F.when(a == b, a).otherwise(a * (1 - part) + b * part).alias(f"q{i}"))
+    return ranked.groupBy(group).agg(F.max("n").alias("n"), *picks).select(group, "n", *mixed)

@@ -33,7 +33,11 @@ def running_total(
     weight = F.lit(1) if weight is None else weight
     weighed = df.withColumn("_w", weight.cast("bigint"))
     rows = df.count() if rows is None else rows
-    parts = max(1, -(-rows // rows_per_task))
+    if rows <= rows_per_task:
+        # Small enough for one task: a plain window.
+        past = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return weighed.withColumn("before", F.coalesce(F.sum("_w").over(past), F.lit(0))).drop("_w")
+    parts = -(-rows // rows_per_task)
     # The partition number is stored with the rows: a retried task cannot change it.
     ranged = staged(
         weighed.repartitionByRange(parts, *group, *order).withColumn(

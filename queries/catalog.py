@@ -500,7 +500,7 @@ CHAIN = [
 @query
 def feat_chain(spark, folder):
     lines = table(spark, folder, "lineitem").drop("l_shipdate", "l_linestatus")
-    return rounded(apply_rules(lines, CHAIN), 6, "net", "per_unit", "log_unit")
+    return rounded(apply_rules(lines, CHAIN), 6, "log_unit")
 
 
 # ---- exploration -------------------------------------------------------------------

@@ -319,8 +319,8 @@ join {level_codes('c_name', 'customer', 'c_custkey')} n on c_name = n.v""",
     "feat_sqrt": feature("case when a >= 0 then sqrt(a) end"),
     "feat_abs": feature("abs(a)"),
     "feat_chain": """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
-  round(l_extendedprice * l_discount - l_tax, 6) as net,
-  round(case when l_quantity <> 0 then l_extendedprice * l_discount / l_quantity end, 6) as per_unit,
+  l_extendedprice * l_discount - l_tax as net,
+  case when l_quantity <> 0 then l_extendedprice * l_discount / l_quantity end as per_unit,
   round(case when l_extendedprice * l_discount / nullif(l_quantity, 0) > -1
     then ln(1 + l_extendedprice * l_discount / nullif(l_quantity, 0)) end, 6) as log_unit from lineitem""",
     "eda_insight_num": f"""select cast(s.n as bigint) as n, round(mean, 3) as mean, round(median, 3) as median, round(sd, 3) as sd,
