@@ -1,28 +1,29 @@
 """Exact quantiles with linear interpolation, whole columns at any size.
 
-The ``percentile`` aggregate keeps every distinct value in one task. Here columns are
-searched instead: each pass is one aggregate over the table, without a shuffle of rows,
-that counts values around guessed split points and sketches the values between them.
-Once few candidates are left (for a small column, at once) they are sorted.
+The ``percentile`` aggregate keeps every distinct value in one task. Here each wanted
+order statistic is searched for. A round draws a few random values from inside its
+bracket, only to guess where to look, and then counts exactly how many values of the whole
+column lie below and at two guessed split points. Neither step shuffles rows. Once a
+bracket holds few values (for a small column, at once) these are sorted. A poor guess
+costs another round; it cannot change the result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .running import running_total
+from .running import ROWS_PER_TASK, running_total
 
-GATHER_ROWS = 1_000_000        # candidates of one column that one task may sort
-GATHER_BUDGET = 4_000_000      # candidates of all columns together, per pass
+SORT_ROWS = 100_000            # values of one bracket that one task may sort
 GROUP_ROWS = 5_000_000         # a group up to this size may be sorted by one task
-GRID = [i / 256 for i in range(257)]
-ACCURACY = 2_000               # error of the sketch: 1/2000 of the ranks
+GUESS_VALUES = 10_000          # values drawn from a bracket to guess split points
 
 
 def quantiles(
@@ -31,7 +32,7 @@ def quantiles(
     probs: Sequence[float],
     exact: bool = True,
     counts: Mapping[str, int] | None = None,
-    gather_rows: int = GATHER_ROWS,
+    sort_rows: int = SORT_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns; null and NaN must already be null in ``values``."""
     names = list(values)
@@ -46,29 +47,24 @@ def quantiles(
         row = table.agg(*[F.count(c) for c in column.values()]).first()
         counts = dict(zip(names, row))
     some = {n: c for n, c in column.items() if counts[n]}
-    return {n: [None] * len(probs) for n in names} | _search(table, some, counts, probs, gather_rows)
+    return {n: [None] * len(probs) for n in names} | _search(table, some, counts, probs, sort_rows)
 
 
 @dataclass
 class _Target:
-    """One order statistic; it lies strictly between ``low`` and ``high``."""
+    """One order statistic of a column; it lies strictly between ``low`` and ``high``."""
 
     column: str
-    rank: int                    # from 0, among the values inside (low, high)
-    size: int                    # how many values are inside
+    rank: int                    # from 0, among all present values
+    size: int                    # how many values are inside the bracket
+    before: int = 0              # how many values are at or below ``low``
     low: float | None = None
     high: float | None = None
-    split: tuple[float | None, float | None] = (None, None)
     value: float | None = None
 
-
-def _inside(c: Column, low: float | None, high: float | None) -> Column:
-    test = c.isNotNull()
-    if low is not None:
-        test = test & (c > low)
-    if high is not None:
-        test = test & (c < high)
-    return test
+    @property
+    def bracket(self) -> tuple[str, float | None, float | None]:
+        return self.column, self.low, self.high
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -77,42 +73,23 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), position - low
 
 
-def _search(table, column, counts, probs, gather_rows) -> dict[str, list[float]]:
+def _search(table, column, counts, probs, sort_rows) -> dict[str, list[float]]:
     targets: dict[tuple[str, int], _Target] = {}
     for name in column:
         for p in probs:
             for rank in _ranks(counts[name], p)[:2]:
                 targets[name, rank] = _Target(name, rank, counts[name])
-    while pending := [t for t in targets.values() if t.value is None]:
-        # Targets with the same bracket share its aggregates.
-        brackets: dict[tuple, list[_Target]] = {}
-        room = GATHER_BUDGET
-        for t in pending:
-            small = t.size <= gather_rows
-            key = (t.column, t.low, t.high, "sort" if small else t.split)
-            if small and key not in brackets:
-                if t.size > room and brackets:
-                    continue    # its turn comes in the next pass
-                room -= t.size
-            brackets.setdefault(key, []).append(t)
-        labels = [
-            (key, label, expression)
-            for key in brackets
-            for label, expression in _measures(column[key[0]], key).items()
-        ]
-        found = table.agg(*[e.alias(f"m{i}") for i, (_, _, e) in enumerate(labels)])
-        # Of the sorted candidates, only the wanted ranks leave the task.
-        row = found.select(*[
-            F.transform(F.array(*[F.lit(t.rank) for t in brackets[key]]), _at(f"m{i}")).alias(f"m{i}")
-            if label == "sorted" else F.col(f"m{i}")
-            for i, (key, label, _) in enumerate(labels)
-        ]).first()
-        got: dict[tuple, dict] = {}
-        for (key, label, _), value in zip(labels, row):
-            got.setdefault(key, {})[label] = value
-        for key, members in brackets.items():
-            for place, t in enumerate(members):
-                _narrow(t, got[key], place)
+    turn = 0
+    while large := [t for t in targets.values() if t.value is None and t.size > sort_rows]:
+        drawn = _draw(table, column, {t.bracket: t.size for t in large}, seed=turn)
+        cuts: dict[str, set[float]] = {}
+        for t in large:
+            cuts.setdefault(t.column, set()).update(_guess(drawn[t.bracket], (t.rank - t.before) / t.size))
+        placed = _count_at(table, column, {n: sorted(c) for n, c in cuts.items() if c})
+        for t in large:
+            _narrow(t, placed.get(t.column, []))
+        turn += 1
+    _sort(table, column, [t for t in targets.values() if t.value is None])
     out = {}
     for name in column:
         out[name] = []
@@ -123,53 +100,110 @@ def _search(table, column, counts, probs, gather_rows) -> dict[str, list[float]]
     return out
 
 
-def _at(array: str):
-    return lambda rank: F.get(F.col(array), rank)
-
-
-def _measures(c: Column, key: tuple) -> dict[str, Column]:
-    _, low, high, split = key
-    if split == "sort":
-        return {"sorted": F.sort_array(F.collect_list(F.when(_inside(c, low, high), c)))}
-    a, b = split
-    middle = _inside(c, low if a is None else a, high if b is None else b)
-    parts = {
-        "mid": F.count_if(middle),
-        "grid": F.percentile_approx(F.when(middle, c), GRID, ACCURACY),
-    }
-    if a is not None:
-        parts["lt"] = F.count_if(_inside(c, low, a))
-        parts["at_a"] = F.count_if(c == a)
-    if b is not None and b != a:
-        parts["at_b"] = F.count_if(c == b)
-    return parts
-
-
-def _narrow(t: _Target, got: dict, place: int) -> None:
-    """Use one pass's counts to shrink the bracket around the target."""
-    if "sorted" in got:
-        t.value = got["sorted"][place]
-        return
-    a, b = t.split
-    lt, at_a, mid, at_b = (got.get(k, 0) for k in ("lt", "at_a", "mid", "at_b"))
-    if t.rank < lt:
-        t.high, t.size, t.split = a, lt, (None, None)
-    elif t.rank < lt + at_a:
-        t.value = a
-    elif t.rank < lt + at_a + mid:
-        t.low, t.high = (t.low if a is None else a), (t.high if b is None else b)
-        t.rank, t.size = t.rank - lt - at_a, mid
-        t.split = _guess(got["grid"], t.rank / mid)
-    elif t.rank < lt + at_a + mid + at_b:
-        t.value = b
-    else:
-        past = lt + at_a + mid + at_b
-        t.low, t.rank, t.size, t.split = b, t.rank - past, t.size - past, (None, None)
+def _inside(c: Column, low: float | None, high: float | None) -> Column:
+    test = c.isNotNull()
+    if low is not None:
+        test = test & (c > low)
+    if high is not None:
+        test = test & (c < high)
+    return test
+
+
+def _any(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _cells(table: DataFrame, numbered: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """``number, value``: one row per pair (test, value) whose test holds."""
+    cells = [
+        F.struct(F.lit(i).alias("number"), F.when(test, value).alias("value"))
+        for i, (test, value) in enumerate(numbered)
+    ]
+    held = table.where(_any(test for test, _ in numbered))
+    rows = held.select(F.explode(F.array(*cells)).alias("c")).select("c.number", "c.value")
+    return rows.where(F.col("value").isNotNull())
+
+
+def _draw(table, column, sizes: dict[tuple, int], seed: int) -> dict[tuple, list[float]]:
+    """About GUESS_VALUES random values from each bracket, sorted."""
+    chance = {bracket: GUESS_VALUES / size for bracket, size in sizes.items()}
+    dice = table.withColumn("_dice", F.rand(seed)).where(F.col("_dice") < max(chance.values()))
+    tests = [
+        (_inside(column[name], low, high) & (F.col("_dice") < chance[name, low, high]), column[name])
+        for name, low, high in sizes
+    ]
+    drawn: dict[tuple, list[float]] = {bracket: [] for bracket in sizes}
+    brackets = list(sizes)
+    for row in _cells(dice, tests).collect():    # bounded: see the chances above
+        drawn[brackets[row["number"]]].append(row["value"])
+    return {bracket: sorted(values) for bracket, values in drawn.items()}
+
+
+def _guess(values: list[float], fraction: float) -> tuple[float, ...]:
+    """Two values that most likely enclose the place ``fraction`` of the bracket."""
+    if not values:
+        return ()
+    last = len(values) - 1
+    place = fraction * last
+    margin = 4 * math.sqrt(last * fraction * (1 - fraction)) + 4
+    return values[max(math.floor(place - margin), 0)], values[min(math.ceil(place + margin), last)]
+
+
+def _count_at(table, column, cuts: dict[str, list[float]]) -> dict[str, list[tuple[float, int, int]]]:
+    """For each cut of each column: how many values of the column are below it, and at it."""
+    names = list(cuts)
+    numbered = []
+    for name in names:
+        c = column[name]
+        # Slot 2i lies below cut i (and above the one before), slot 2i + 1 is cut i.
+        slot = F.when(c < cuts[name][0], 0)
+        for i, cut in enumerate(cuts[name]):
+            slot = slot.when(c < cut, 2 * i).when(c == cut, 2 * i + 1)
+        numbered.append((c.isNotNull(), slot.otherwise(2 * len(cuts[name]))))
+    slots = _cells(table, numbered).groupBy("number", "value").count().collect()
+    counted = {(r["number"], r["value"]): r["count"] for r in slots}
+    out = {}
+    for number, name in enumerate(names):
+        below, out[name] = 0, []
+        for i, cut in enumerate(cuts[name]):
+            below += counted.get((number, 2 * i), 0)
+            at = counted.get((number, 2 * i + 1), 0)
+            out[name].append((cut, below, at))
+            below += at
+    return out
 
 
-def _guess(grid: list[float], fraction: float) -> tuple[float, float]:
-    cell = int(fraction * (len(grid) - 1))
-    return grid[max(cell - 1, 0)], grid[min(cell + 2, len(grid) - 1)]
+def _narrow(t: _Target, cuts: Iterable[tuple[float, int, int]]) -> None:
+    """Shrink the bracket. The guessed cuts are values inside it, so it always gets smaller."""
+    end = t.before + t.size
+    for cut, below, at in cuts:
+        if below <= t.rank < below + at:
+            t.value = cut
+        elif below + at <= t.rank and below + at > t.before:
+            t.low, t.before = cut, below + at
+        elif below > t.rank and below < end:
+            t.high, end = cut, below
+    t.size = end - t.before
+
+
+def _sort(table, column, targets: Sequence[_Target]) -> None:
+    """Sort the values inside each bracket, one bracket per task, and pick the ranks."""
+    if not targets:
+        return
+    wanted: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        wanted.setdefault(t.bracket, []).append(t)
+    tests = [(_inside(column[name], low, high), column[name]) for name, low, high in wanted]
+    place = F.row_number().over(Window.partitionBy("number").orderBy("value")) - 1
+    picks = _any(
+        (F.col("number") == i) & F.col("place").isin(*{t.rank - t.before for t in members})
+        for i, members in enumerate(wanted.values())
+    )
+    rows = _cells(table, tests).withColumn("place", place).where(picks).collect()
+    found = {(r["number"], r["place"]): r["value"] for r in rows}    # one row per target
+    for i, members in enumerate(wanted.values()):
+        for t in members:
+            t.value = found[i, t.rank - t.before]
 
 
 def grouped_quantiles(
@@ -178,7 +212,7 @@ def grouped_quantiles(
     value: str,
     probs: Sequence[float],
     group_rows: int = GROUP_ROWS,
-    rows_per_task: int = GATHER_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per group: ``group, n, q0, q1, ...``; null values must be filtered out.
 
