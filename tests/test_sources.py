@@ -1,0 +1,119 @@
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import types as T
+
+from kempt import load_table, write_csv
+from kempt.sources.readers import read_csv, read_json
+from kempt.sources.samples import sample_name
+from kempt.sources.writers import dated_name
+
+
+def save(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_csv_cells(spark, tmp_path):
+    path = save(tmp_path / "a.csv", 'Id,Text Col,n,d,b\n1,,3,2020-01-01,TRUE\n2,"",,2020-01-02,FALSE\n'
+                                    '3,NA,NA,NA,NA\n4," x ",5,2020-01-01,TRUE\n5,"say ""hi"", ok",1.5,2020-01-01,TRUE\n')
+    df = load_table(spark, path)
+    assert df.columns == ["Id", "Text Col", "n", "d", "b"]
+    assert [f.dataType for f in df.schema] == [
+        T.IntegerType(), T.StringType(), T.DoubleType(), T.StringType(), T.BooleanType()]
+    assert rows(df) == [
+        (1, "", 3.0, "2020-01-01", True), (2, "", None, "2020-01-02", False), (3, None, None, None, None),
+        (4, " x ", 5.0, "2020-01-01", True), (5, 'say "hi", ok', 1.5, "2020-01-01", True)]
+
+
+def test_csv_cells_over_lines(spark, tmp_path):
+    path = save(tmp_path / "b.CSV", 'a,b\n1,"two\nlines"\n2,x\n')
+    assert rows(load_table(spark, path)) == [(1, "two\nlines"), (2, "x")]
+
+
+def test_csv_schema(spark, tmp_path):
+    path = save(tmp_path / "c.csv", "a,b\n1,2\nx,\n")
+    assert rows(read_csv(spark, path, schema="a bigint, b string")) == [(1, "2"), (None, "")]
+
+
+def test_csv_roundtrip(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, ' a "q", b ', True, 1.5), (2, "", None, float("nan")), (3, None, False, None), (4, "two\nlines\\", True, 2.0)],
+        "id int, s string, f boolean, x double")
+    write_csv(df, f"{tmp_path}/out")
+    back = load_table(spark, f"{tmp_path}/out", "csv")
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(rows(back)) == [
+        (1, ' a "q", b ', True, 1.5), (2, "", None, None), (3, None, False, None), (4, "two\nlines\\", True, 2.0)]
+    write_csv(df, f"{tmp_path}/one", single_file=True)
+    parts = list((tmp_path / "one").glob("part-*"))
+    assert len(parts) == 1
+    text = parts[0].read_text()
+    assert text.startswith("id,s,f,x\n") and "3,NA,FALSE,NA" in text and "TRUE" in text
+
+
+def test_dated_name():
+    assert dated_name(date(2024, 3, 9)) == "processed_data_2024-03-09.csv"
+    assert dated_name().startswith("processed_data_20")
+
+
+def test_json_records(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps([{"a": 1, "b": {"c": "x", "d": {"e": 2}}}, {"a": 2}]))
+    df = load_table(spark, path)
+    assert df.columns == ["a", "b.c", "b.d.e"] and rows(df) == [(1, "x", 2), (2, None, None)]
+
+
+def test_json_records_of_arrays(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps([{"data": [{"x": 1}]}, {"data": [{"x": 2}, {"x": 3}]}]))
+    assert load_table(spark, path).count() == 2
+    path = save(tmp_path / "b.json", json.dumps([{"t": [1, 2]}, {"t": []}]))
+    assert rows(load_table(spark, path)) == [([1, 2],), ([],)]
+
+
+def test_json_wrapped(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps({"note": "n", "data": [{"x": 1, "y": {"z": 5}}, {"x": 2}]}))
+    df = load_table(spark, path)
+    assert df.columns == ["x", "y.z"] and rows(df) == [(1, 5), (2, None)]
+
+
+def test_json_columnar(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps({"x": [1, 2], "y z": ["p", "q"]}))
+    df = load_table(spark, path)
+    assert df.columns == ["x", "y z"] and rows(df) == [(1, "p"), (2, "q")]
+    assert rows(load_table(spark, save(tmp_path / "b.json", '{"a": 1, "b": "x"}'))) == [(1, "x")]
+
+
+def test_json_columnar_unequal(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps({"x": [1, 2], "y": [1]}))
+    with pytest.raises(Exception, match="differ in length"):
+        load_table(spark, path).collect()
+
+
+def test_json_lines(spark, tmp_path):
+    path = save(tmp_path / "a.jsonl", '{"a": 1}\n{"a": 2}\n')
+    assert rows(load_table(spark, path)) == [(1,), (2,)]
+    path = save(tmp_path / "b.ndjson", '{"x": [1, 2]}\n{"x": [3]}\n')
+    assert rows(load_table(spark, path)) == [(1,), (2,), (3,)]
+    assert rows(read_json(spark, path, lines=True, layout="records")) == [([1, 2],), ([3],)]
+
+
+@pytest.mark.parametrize("text", ["42", "[1, 2, 3]", '"text"'])
+def test_json_without_a_table(spark, tmp_path, text):
+    with pytest.raises(ValueError):
+        load_table(spark, save(tmp_path / "a.json", text))
+
+
+@pytest.mark.parametrize("name", ["a.xlsx", "a.txt", "noextension"])
+def test_unsupported_formats(spark, tmp_path, name):
+    with pytest.raises(ValueError, match="unsupported"):
+        load_table(spark, save(tmp_path / name, "x"))
+
+
+def test_sample_names():
+    assert sample_name("TEST2") == sample_name("Part") == "part"
+    assert sample_name(None) == sample_name("nonsense") == "customer"
