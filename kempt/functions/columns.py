@@ -52,6 +52,18 @@ def present(field: T.StructField) -> Column:
     return c
 
 
+def text_of(value: Column, dtype: T.DataType) -> Column:
+    """The value as text; booleans read TRUE and FALSE."""
+    if is_categorical(dtype):
+        return value
+    text = value.cast("string")
+    return F.upper(text) if isinstance(dtype, T.BooleanType) else text
+
+
+def as_text(field: T.StructField) -> Column:
+    return text_of(present(field), field.dataType)
+
+
 def number(field: T.StructField) -> Column:
     """The value as a double; text that is no number becomes null, never an error."""
     c = col(field.name)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.columns import col, present
+from ..functions.columns import col, present, text_of
 
 
 def _lane(dtype: T.DataType) -> str:
@@ -60,7 +60,10 @@ def text_counts(
     the value itself, so that ties go to the smallest value. Missing cells are left out.
     """
     fields = {f.name: f for f in df.schema.fields}
-    chosen = {i: (values or {}).get(name, present(fields[name])) for i, name in enumerate(names)}
+    chosen = {
+        i: text_of((values or {}).get(name, present(fields[name])), fields[name].dataType)
+        for i, name in enumerate(names)
+    }
     key = _order_key(order_by)
     grouped = _cells(df, chosen, "string", key).groupBy("number", "value")
     n = F.count(F.lit(1)).alias("n")

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, is_numeric, numeric_columns, present
+from ..functions.columns import as_text, is_numeric, numeric_columns, present
 from .counts import modes, text_counts
 from .lookup import attach
 from .numeric import FENCE
@@ -45,7 +45,7 @@ def numeric_insight(df: DataFrame, column: str, exact: bool = True) -> DataFrame
 
 def categorical_insight(df: DataFrame, column: str) -> DataFrame:
     """One row: n, unique, missing, mode (ties: smallest value) and its count."""
-    text = present(df.schema[column]).cast("string")
+    text = as_text(df.schema[column])
     counts = df.groupBy(text.alias("v")).agg(F.count(F.lit(1)).alias("n"))
     there = F.col("v").isNotNull()
     best = F.min(F.when(there, F.struct((-F.col("n")).alias("neg"), F.col("v"))))
@@ -157,7 +157,7 @@ def histogram(df: DataFrame, x: str, bins: int = BINS, color: str | None = None)
     """
     shade = [present(df.schema[color]).alias("color")] if color else []
     if not is_numeric(df.schema[x].dataType):
-        value = present(df.schema[x]).cast("string")
+        value = as_text(df.schema[x])
         return df.where(value.isNotNull()).groupBy(value.alias("value"), *shade).agg(F.count(F.lit(1)).alias("count"))
     value = _number(df, x)
     low, high = df.agg(F.min(value), F.max(value)).first()

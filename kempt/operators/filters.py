@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, is_numeric, present
+from ..functions.columns import as_text, col, is_numeric, present
 
 LIST_LEVELS = 10_000
 
@@ -33,7 +33,7 @@ class RowFilter:
             return df.where(c.between(*self.range))
         if not self.levels:
             return df
-        text = c.cast("string")
+        text = as_text(field)
         if len(self.levels) <= LIST_LEVELS:
             return df.where(text.isin(*self.levels))
         chosen = df.sparkSession.createDataFrame([(v,) for v in set(self.levels)], "_level string")
@@ -55,5 +55,5 @@ def numeric_domain(df: DataFrame, column: str, current: Sequence[float] | None =
 
 def level_domain(df: DataFrame, column: str) -> DataFrame:
     """The distinct values as text, sorted."""
-    text = present(df.schema[column]).cast("string").alias("level")
+    text = as_text(df.schema[column]).alias("level")
     return df.select(text).where(F.col("level").isNotNull()).distinct().orderBy("level")

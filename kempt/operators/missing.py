@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_missing, is_numeric, present
+from ..functions.columns import as_text, col, is_missing, is_numeric, present
 from .counts import modes, text_counts
 from .quantiles import quantiles
 
@@ -102,7 +102,7 @@ class FillMissing:
             return F.coalesce(present(field), F.lit(0).cast(field.dataType))
         if rule == "mode" and value != LABEL:
             return F.coalesce(col(field.name), F.lit(value).cast(field.dataType))
-        return F.coalesce(col(field.name).cast("string"), F.lit(value))
+        return F.coalesce(as_text(field), F.lit(value))
 
 
 def handle_missing(df, rules, order_by=(), exact=True) -> DataFrame:

@@ -15,15 +15,17 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .running import ROWS_PER_TASK, running_total
 
-SORT_ROWS = 100_000            # values of one bracket that one task may sort
+SORT_ROWS = 500_000            # values of one bracket that one task may sort
 GROUP_ROWS = 5_000_000         # a group up to this size may be sorted by one task
-GUESS_VALUES = 10_000          # values drawn from a bracket to guess split points
+GUESS_VALUES = 50_000          # values drawn from a bracket to guess split points
+GUESS_TOTAL = 2_000_000        # values drawn from all brackets, per round
 
 
 def quantiles(
@@ -124,29 +126,29 @@ def _cells(table: DataFrame, numbered: Sequence[tuple[Column, Column]]) -> DataF
     return rows.where(F.col("value").isNotNull())
 
 
-def _draw(table, column, sizes: dict[tuple, int], seed: int) -> dict[tuple, list[float]]:
-    """About GUESS_VALUES random values from each bracket, sorted."""
-    chance = {bracket: GUESS_VALUES / size for bracket, size in sizes.items()}
+def _draw(table, column, sizes: dict[tuple, int], seed: int) -> dict[tuple, np.ndarray]:
+    """About GUESS_VALUES random values from each bracket (fewer if there are many), sorted."""
+    draws = min(GUESS_VALUES, GUESS_TOTAL // len(sizes))
+    chance = {bracket: draws / size for bracket, size in sizes.items()}
     dice = table.withColumn("_dice", F.rand(seed)).where(F.col("_dice") < max(chance.values()))
     tests = [
         (_inside(column[name], low, high) & (F.col("_dice") < chance[name, low, high]), column[name])
         for name, low, high in sizes
     ]
-    drawn: dict[tuple, list[float]] = {bracket: [] for bracket in sizes}
-    brackets = list(sizes)
-    for row in _cells(dice, tests).collect():    # bounded: see the chances above
-        drawn[brackets[row["number"]]].append(row["value"])
-    return {bracket: sorted(values) for bracket, values in drawn.items()}
+    drawn = _cells(dice, tests).toArrow()    # bounded: see the chances above
+    number, value = (drawn.column(c).to_numpy() for c in ("number", "value"))
+    return {bracket: np.sort(value[number == i]) for i, bracket in enumerate(sizes)}
 
 
-def _guess(values: list[float], fraction: float) -> tuple[float, ...]:
+def _guess(values: np.ndarray, fraction: float) -> tuple[float, ...]:
     """Two values that most likely enclose the place ``fraction`` of the bracket."""
-    if not values:
+    if not len(values):
         return ()
     last = len(values) - 1
     place = fraction * last
     margin = 4 * math.sqrt(last * fraction * (1 - fraction)) + 4
-    return values[max(math.floor(place - margin), 0)], values[min(math.ceil(place + margin), last)]
+    ends = max(math.floor(place - margin), 0), min(math.ceil(place + margin), last)
+    return tuple(float(values[i]) for i in ends)
 
 
 def _count_at(table, column, cuts: dict[str, list[float]]) -> dict[str, list[tuple[float, int, int]]]:

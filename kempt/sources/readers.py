@@ -90,13 +90,13 @@ def read_json(
     if raw.columns == ["_corrupt_record"] or not raw.columns:
         raise ValueError("the JSON data does not hold a table")
     if layout is None:
-        layout = _layout(spark, path, raw.schema)
+        layout = _layout(spark, path, raw.schema, lines)
     if layout == "records":
         return flatten(raw)
     if layout == "wrapped":
         return flatten(raw.select(F.inline("data")))
     if layout == "columnar":
-        return _columnar(flatten(raw))
+        return flatten(_columnar(flatten(raw)))
     raise ValueError(f"unknown JSON layout: {layout!r}")
 
 
@@ -104,10 +104,10 @@ def _is_array(dtype: T.DataType, of=T.DataType) -> bool:
     return isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, of)
 
 
-def _layout(spark: SparkSession, path: str, schema: T.StructType) -> str:
+def _layout(spark: SparkSession, path: str, schema: T.StructType, lines: bool) -> str:
     fields = {f.name: f.dataType for f in schema.fields}
     wrapped = _is_array(fields.get("data"), T.StructType)
-    columnar = any(_is_array(t) for t in fields.values())
+    columnar = any(_is_array(f.dataType) for f in _leaf_fields(schema))
     if not (wrapped or columnar):
         return "records"
     # What stands before the first brace tells an array of records from one object.
@@ -116,16 +116,32 @@ def _layout(spark: SparkSession, path: str, schema: T.StructType) -> str:
         return "records"
     if wrapped:
         return "wrapped"
-    return "columnar" if all(_is_array(t) for t in fields.values()) else "records"
+    # Among lines, a record may well hold an array; one whole object with arrays is columns.
+    return "records" if lines and not all(_is_array(t) for t in fields.values()) else "columnar"
+
+
+def _leaf_fields(schema: T.StructType):
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            yield from _leaf_fields(f.dataType)
+        else:
+            yield f
 
 
 def _columnar(df: DataFrame) -> DataFrame:
-    """Each document's arrays side by side; arrays of unequal length are refused."""
-    arrays = [f.name for f in df.schema.fields]
+    """Each document's arrays side by side. A scalar, or an array that fits a whole number of
+    times into the longest, is repeated; other lengths are refused."""
+    arrays = [f.name for f in df.schema.fields if _is_array(f.dataType)]
     sizes = [F.size(col(c)) for c in arrays]
-    equal = F.greatest(*sizes) == F.least(*sizes) if len(sizes) > 1 else F.lit(True)
-    zipped = F.arrays_zip(*[col(c).alias(f"c{i}") for i, c in enumerate(arrays)])
-    checked = F.when(equal, zipped).otherwise(
-        F.raise_error(F.lit("the JSON arrays differ in length, so they are not a table"))
-    )
-    return df.select(F.inline(checked)).toDF(*arrays)
+    rows = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    fits = F.lit(True)
+    for size in sizes:
+        fits = fits & ((size == rows) | ((size > 0) & (rows % F.greatest(size, F.lit(1)) == 0)))
+    cells = lambda i: F.struct(*[
+        (F.get(col(c), i % F.size(col(c))) if c in arrays else col(c)).alias(f"c{k}")
+        for k, c in enumerate(df.columns)
+    ])
+    table = F.when(
+        fits, F.when(rows > 0, F.transform(F.sequence(F.lit(0), rows - 1), cells))
+    ).otherwise(F.raise_error(F.lit("the JSON arrays differ in length, so they are not a table")))
+    return df.select(F.inline(table)).toDF(*df.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import as_text, col
 from .readers import CSV_MISSING
 
 
@@ -34,7 +34,7 @@ def _cell(field: T.StructField):
     """Booleans as TRUE and FALSE; NaN, like null, as missing."""
     c = col(field.name)
     if isinstance(field.dataType, T.BooleanType):
-        return F.upper(c.cast("string"))
+        return as_text(field)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
         return F.when(~F.isnan(c), c)
     return c

@@ -176,6 +176,13 @@ def filt_range(spark, folder):
     return RowFilter("acctbal", range=(0.0, 5000.0)).apply(dirty_customer(spark, folder)).select("c_custkey", "acctbal")
 
 
+@query
+def filt_range_lines(spark, folder):
+    """A stored column: the range reaches the Parquet scan."""
+    lines = RowFilter("l_extendedprice", range=(1000.0, 2000.0)).apply(table(spark, folder, "lineitem"))
+    return lines.select("l_orderkey", "l_partkey", "l_extendedprice")
+
+
 @query
 def filt_levels(spark, folder):
     kept = RowFilter("o_orderpriority", levels=("1-URGENT", "5-LOW")).apply(table(spark, folder, "orders"))
@@ -184,7 +191,7 @@ def filt_levels(spark, folder):
 
 @query
 def filt_levels_boolean(spark, folder):
-    kept = RowFilter("in_credit", levels=("true",)).apply(dirty_customer(spark, folder))
+    kept = RowFilter("in_credit", levels=("TRUE",)).apply(dirty_customer(spark, folder))
     return kept.select("c_custkey", "in_credit")
 
 

@@ -35,7 +35,8 @@ def missing_rows(source: str, columns: dict[str, str]) -> str:
 
 
 def mode(source: str, column: str, order: str) -> str:
-    return f"(select v from (select cast({column} as varchar) as v, count(*) as n, min({order}) as f from {source} where {column} is not null group by 1) order by n desc, f, v limit 1)"
+    text = f"upper(cast({column} as varchar))" if column == "in_credit" else f"cast({column} as varchar)"
+    return f"(select v from (select {text} as v, count(*) as n, min({order}) as f from {source} where {column} is not null group by 1) order by n desc, f, v limit 1)"
 
 
 def summary_rows(source: str, columns: dict[str, str], order: str | None) -> str:
@@ -221,6 +222,7 @@ ORACLE: dict[str, str] = {
     "num_safe_cast": f"""select c_custkey, {ACCT} as acctbal, cast(nation as double) as nation,
   case when active = '0' then cast(0 as double) end as active, cast(in_credit as double) as in_credit from dirty_customer""",
     "filt_range": "select c_custkey, acctbal from dirty_customer where not isnan(acctbal) and acctbal between 0 and 5000",
+    "filt_range_lines": "select l_orderkey, l_partkey, l_extendedprice from lineitem where l_extendedprice between 1000 and 2000",
     "filt_levels": "select o_orderkey, o_orderpriority from orders where o_orderpriority in ('1-URGENT', '5-LOW')",
     "filt_levels_boolean": "select c_custkey, in_credit from dirty_customer where in_credit",
     "filt_passthrough": "select c_custkey, nation, segment from dirty_customer",
@@ -249,7 +251,7 @@ from dirty_customer_dup""",
   coalesce(opinion, {mode('clean_customer', 'opinion', 'c_custkey')}) as opinion,
   coalesce(in_credit, cast({mode('clean_customer', 'in_credit', 'c_custkey')} as boolean)) as in_credit from clean_customer""",
     "miss_label": """select c_custkey, coalesce(segment, 'Missing') as segment,
-  coalesce(cast(in_credit as varchar), 'Missing') as in_credit from clean_customer""",
+  coalesce(upper(cast(in_credit as varchar)), 'Missing') as in_credit from clean_customer""",
     "miss_mixed_order": MIXED_SQL,
     "prof_missing_cols": f'select "column", missing, missing_pct, is_numeric from ({missing_rows("dirty_customer", DIRTY)}) where missing > 0',
     "prof_missing": f'select "column", dtype, missing, missing_pct, "unique" from ({missing_rows("dirty_customer", DIRTY)})',

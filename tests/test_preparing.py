@@ -134,6 +134,9 @@ def test_filters(spark):
     assert tuple(numeric_domain(df.withColumn("x", F.col("x") + 0.005), "x").first()) == (1.0, 2.01, 1.005, 2.005)
     assert numeric_domain(df.where("x is null"), "x").count() == 0
     assert column(level_domain(df, "s"), "level") == ["a", "b"]
+    flags = df.select((F.col("s") == "a").alias("f"))
+    assert column(level_domain(flags, "f"), "level") == ["FALSE", "TRUE"]
+    assert column(RowFilter("f", levels=["TRUE"]).apply(flags), "f") == [True, True]
 
 
 def test_plan_edits_and_checks(spark):
@@ -171,3 +174,17 @@ def test_fitted_plan_on_a_stream(spark, tmp_path):
         transform_stream(fitted, df)
     with pytest.raises(ValueError):
         transform_stream(Plan(duplicates="remove").fit(df), stream)
+
+
+def test_dotted_names_all_the_way(spark):
+    data = [(i, float(i % 7), [None, "x", "y z"][i % 3], 1.0) for i in range(30)]
+    df = spark.createDataFrame(data, "id int, v double, s string, w double").toDF("id", "Sepal.Length", "Kind of `x`", "w")
+    plan = Plan(
+        duplicates="flag", drop_columns=("w",), missing={"Kind of `x`": "mode"}, outlier=("cap", ["Sepal.Length"]),
+        scaling=("standard", ["Sepal.Length"]), encoding=("label", ["Kind of `x`"]),
+        features=(FeatureRule("a.b", "square", "Sepal.Length"), FeatureRule("c", "add", "a.b", "id")),
+        filter=RowFilter("a.b", range=(0, 100)), order_by=("id",),
+    )
+    out = plan.fit_transform(df).filtered
+    assert out.columns == ["id", "Sepal.Length", "Kind of `x`", "duplicate_flag", "a.b", "c"] and out.count() == 30
+    assert {r[2] for r in out.collect()} == {1, 2}

@@ -44,7 +44,7 @@ def test_search_matches_numpy(spark, sort_rows, monkeypatch):
 
 
 def test_poor_guesses_only_cost_rounds(spark, monkeypatch):
-    monkeypatch.setattr(Q, "_guess", lambda values, fraction: (values[0], values[-1]) if values else ())
+    monkeypatch.setattr(Q, "_guess", lambda values, fraction: (float(values[0]), float(values[-1])) if len(values) else ())
     df = spark.range(500).select(F.col("id").cast("double").alias("x"))
     found = Q.quantiles(df, {"x": F.col("x")}, [0.5], sort_rows=490)
     assert found == {"x": [249.5]}

@@ -89,11 +89,26 @@ def test_json_columnar(spark, tmp_path):
 
 
 def test_json_columnar_unequal(spark, tmp_path):
-    path = save(tmp_path / "a.json", json.dumps({"x": [1, 2], "y": [1]}))
+    path = save(tmp_path / "a.json", json.dumps({"x": [1, 2, 3], "y": [1, 2]}))
     with pytest.raises(Exception, match="differ in length"):
         load_table(spark, path).collect()
 
 
+def test_json_columnar_repeats(spark, tmp_path):
+    path = save(tmp_path / "a.json", json.dumps({"x": [1, 2, 3, 4], "y": ["p", "q"], "z": 7, "n": {"m": [5, 6, 7, 8]}}))
+    assert sorted(rows(load_table(spark, path).select("x", "y", "z", "`n.m`"))) == [
+        (1, "p", 7, 5), (2, "q", 7, 6), (3, "p", 7, 7), (4, "q", 7, 8)]
+    path = save(tmp_path / "b.json", json.dumps({"rows": [{"a": 1, "b": 2}, {"a": 3, "b": 4}], "k": "v"}))
+    df = load_table(spark, path)
+    assert df.columns == ["k", "rows.a", "rows.b"] and rows(df) == [("v", 1, 2), ("v", 3, 4)]
+    assert load_table(spark, save(tmp_path / "c.json", '{"x": []}')).count() == 0
+
+
+def test_json_lines_with_arrays_are_records(spark, tmp_path):
+    path = save(tmp_path / "a.jsonl", '{"id": 1, "tags": ["a", "b"]}\n{"id": 2, "tags": []}\n')
+    assert rows(load_table(spark, path)) == [(1, ["a", "b"]), (2, [])]
+
+
 def test_json_lines(spark, tmp_path):
     path = save(tmp_path / "a.jsonl", '{"a": 1}\n{"a": 2}\n')
     assert rows(load_table(spark, path)) == [(1,), (2,)]
