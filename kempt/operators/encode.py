@@ -21,7 +21,8 @@ from .running import ROWS_PER_TASK, running_total
 from .staging import staged
 
 INLINE_LEVELS = 24        # up to here a code is found inside the projection
-DRIVER_LEVELS = 10_000    # levels of all columns together that the driver may hold
+DRIVER_LEVELS = 10_000    # levels of all columns together that the driver may hold,
+DRIVER_LENGTH = 500       # and how long each of them may be
 
 
 def _filled(name: str) -> Column:
@@ -51,8 +52,9 @@ class LabelEncode:
         if not names:
             return LabelEncode()
         levels = _levels(df, names, order_by)
-        head = levels.select("number", "value", "n", "first").limit(driver_levels + 1).collect()
-        if len(head) <= driver_levels:
+        short = F.when(F.length("value") <= DRIVER_LENGTH, F.col("value")).alias("value")
+        head = levels.select("number", short, "n", "first").limit(driver_levels + 1).collect()
+        if len(head) <= driver_levels and all(r["value"] is not None for r in head):
             lists, tables = {}, {}
             for i, name in enumerate(names):
                 found = sorted((r for r in head if r["number"] == i), key=lambda r: r["first"])

@@ -160,6 +160,13 @@ def std_full(spark, folder):
     return Standardize.fit(dirty).apply(dirty)
 
 
+@query
+def std_documents(spark, folder):
+    """Whole texts."""
+    documents = table(spark, folder, "documents")
+    return Standardize.fit(documents).apply(documents)
+
+
 @query
 def num_safe_cast(spark, folder):
     dirty = dirty_customer(spark, folder)
@@ -346,6 +353,21 @@ def prof_summary_lines(spark, folder):
     return profile.summary_table(spiky_lineitem(spark, folder))
 
 
+@query
+def prof_missing_documents(spark, folder):
+    return profile.missing_profile(table(spark, folder, "documents"))
+
+
+@query
+def prof_missing_embeddings(spark, folder):
+    return profile.missing_profile(table(spark, folder, "embeddings"))
+
+
+@query
+def prof_summary_events(spark, folder):
+    return profile.summary_table(table(spark, folder, "events"), ["event_id"])
+
+
 @query
 def agg_distinct(spark, folder):
     return profile.distinct_counts(spiky_lineitem(spark, folder))
@@ -459,6 +481,13 @@ def enc_label_many(spark, folder):
     return LabelEncode.fit(customers, ["c_name"], ["c_custkey"]).apply(customers)
 
 
+@query
+def enc_label_documents(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    coded = LabelEncode.fit(documents, ["text", "lang", "source"], ["doc_id"]).apply(documents)
+    return coded.select("doc_id", "text", "lang", "source")
+
+
 @query
 def enc_onehot(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
@@ -548,6 +577,11 @@ def eda_bar_count(spark, folder):
     return explore.frequencies(dirty_customer(spark, folder), "nation")
 
 
+@query
+def eda_bar_turns(spark, folder):
+    return explore.frequencies(table(spark, folder, "conversations"), "role")
+
+
 @query
 def eda_bar_agg(spark, folder):
     bars = explore.bar_totals(table(spark, folder, "lineitem"), "l_returnflag", "l_extendedprice", "l_linestatus")

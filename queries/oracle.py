@@ -13,6 +13,11 @@ SPIKY = {
     "l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint",
     "l_quantity": "double", "price": "double", "discount": "double", "l_tax": "double", "l_returnflag": "string",
 }
+DOCUMENTS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
+EMBEDDINGS = {"vec_id": "bigint", "embedding": "array<float>", "label": "int"}
+EVENTS = {
+    "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string",
+}
 NUMBERS = ("bigint", "int", "double")
 LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
@@ -219,6 +224,7 @@ ORACLE: dict[str, str] = {
     "std_missing_tokens": f"select c_custkey, {no_tokens('segment')}, {no_tokens('active')}, {no_tokens('opinion')} from dirty_customer",
     "std_yes_no": "select c_custkey, active, opinion from clean_customer",
     "std_full": "select c_custkey, nation, segment, active, opinion, in_credit, all_null, constant from clean_customer",
+    "std_documents": f"select doc_id, {no_tokens('text')}, {no_tokens('lang')}, {no_tokens('source')}, n_chars from documents",
     "num_safe_cast": f"""select c_custkey, {ACCT} as acctbal, cast(nation as double) as nation,
   case when active = '0' then cast(0 as double) end as active, cast(in_credit as double) as in_credit from dirty_customer""",
     "filt_range": "select c_custkey, acctbal from dirty_customer where not isnan(acctbal) and acctbal between 0 and 5000",
@@ -261,6 +267,9 @@ from dirty_customer_dup""",
 from ({missing_rows("dirty_customer", DIRTY)}) where missing > 0""",
     "prof_summary": summary_rows("clean_customer", DIRTY, "c_custkey"),
     "prof_summary_lines": summary_rows("spiky_lineitem", SPIKY, None),
+    "prof_missing_documents": f'select "column", dtype, missing, missing_pct, "unique" from ({missing_rows("documents", DOCUMENTS)})',
+    "prof_missing_embeddings": f'select "column", dtype, missing, missing_pct, "unique" from ({missing_rows("embeddings", EMBEDDINGS)})',
+    "prof_summary_events": summary_rows("events", EVENTS, "event_id"),
     "agg_distinct": union(f"""select '{c}' as "column", cast(count(distinct {c}) as bigint) as "unique" from spiky_lineitem""" for c in SPIKY),
     "agg_mode_first": union(
         f"""(select '{c}' as "column", cast({c} as varchar) as mode, cast(count(*) as bigint) as mode_count from orders
@@ -306,6 +315,9 @@ where (price is null or price between price_lo and price_hi) and (discount is nu
 join {level_codes('o_orderpriority')} p on o_orderpriority = p.v join {level_codes('o_orderstatus')} s on o_orderstatus = s.v""",
     "enc_label_many": f"""select c_custkey, n.code as c_name, c_mktsegment from customer
 join {level_codes('c_name', 'customer', 'c_custkey')} n on c_name = n.v""",
+    "enc_label_documents": f"""select doc_id, t.code as text, l.code as lang, s.code as source from documents
+join {level_codes('text', 'documents', 'doc_id')} t on text = t.v join {level_codes('lang', 'documents', 'doc_id')} l on lang = l.v
+join {level_codes('source', 'documents', 'doc_id')} s on source = s.v""",
     "enc_onehot": f"""select o_orderkey, {onehot('o_orderstatus', {'F': 'o_orderstatus_f', 'O': 'o_orderstatus_o', 'P': 'o_orderstatus_p'})},
   {onehot('o_orderpriority', {
         '1-URGENT': 'o_orderpriority_1_urgent', '2-HIGH': 'o_orderpriority_2_high', '3-MEDIUM': 'o_orderpriority_3_medium',
@@ -341,6 +353,7 @@ from (select segment, count(*) as n from clean_customer where segment is not nul
     "eda_corr_gaps": pearson("(select c_custkey, acctbal, nation from dirty_customer)", ["c_custkey", "acctbal", "nation"]).replace(
         "isnan(c_custkey)", "isnan(cast(c_custkey as double))").replace("isnan(nation)", "isnan(cast(nation as double))"),
     "eda_bar_count": 'select nation as value, cast(count(*) as bigint) as "count" from dirty_customer group by 1',
+    "eda_bar_turns": 'select role as value, cast(count(*) as bigint) as "count" from conversations group by 1',
     "eda_bar_agg": """select l_returnflag as x, l_linestatus as color, cast(count(l_extendedprice) as bigint) as "count",
   round(sum(l_extendedprice), 2) as "sum", round(avg(l_extendedprice), 2) as mean, min(l_extendedprice) as "min", max(l_extendedprice) as "max"
 from lineitem group by 1, 2""",

@@ -188,3 +188,9 @@ def test_dotted_names_all_the_way(spark):
     out = plan.fit_transform(df).filtered
     assert out.columns == ["id", "Sepal.Length", "Kind of `x`", "duplicate_flag", "a.b", "c"] and out.count() == 30
     assert {r[2] for r in out.collect()} == {1, 2}
+
+
+def test_long_labels_stay_off_the_driver(spark):
+    df = spark.createDataFrame([(1, "b" * 2000), (2, "a"), (3, "b" * 2000)], "id int, v string")
+    fitted = LabelEncode.fit(df, ["v"], ["id"])
+    assert not fitted.lists and column(fitted.apply(df).orderBy("id"), "v") == [1, 2, 1]
