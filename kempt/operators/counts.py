@@ -93,11 +93,13 @@ def distinct_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def first_levels(counts: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` levels of each column.
+def first_levels(counts: DataFrame, columns: int, limit: int) -> DataFrame:
+    """The first ``limit`` levels of each of so many columns.
 
     Up to 1000, each task passes on no more than ``limit`` levels (a group limit below
     the window), so no task sees all levels of a column.
     """
+    if columns == 1:
+        return counts.orderBy("first").limit(limit)
     rank = F.row_number().over(Window.partitionBy("number").orderBy("first"))
-    return counts.withColumn("rank", rank).where(F.col("rank") <= limit)
+    return counts.withColumn("rank", rank).where(F.col("rank") <= limit).drop("rank")

@@ -126,10 +126,10 @@ class OneHotEncode:
             # Too long for the group limit: prove the size first, by one count per column.
             sizes = {r["number"]: r["count"] for r in levels.groupBy("number").count().collect()}
             _refuse({n: sizes.get(i, 0) for i, n in enumerate(names)}, max_levels)
-        rows = first_levels(levels, max_levels + 1).select("number", "rank", "value").collect()
+        rows = first_levels(levels, len(names), max_levels + 1).select("number", "first", "value").collect()
         out = {}
         for i, name in enumerate(names):
-            found = [r["value"] for r in sorted((r for r in rows if r["number"] == i), key=lambda r: r["rank"])]
+            found = [r["value"] for r in sorted((r for r in rows if r["number"] == i), key=lambda r: r["first"])]
             _refuse({name: len(found)}, max_levels)
             if found:
                 out[name] = tuple(found)

@@ -103,7 +103,7 @@ def correlations(df: DataFrame) -> DataFrame:
             ("n", F.count(x)), ("mean", F.avg(x)), ("sd", F.stddev_samp(x)), ("varies", F.min(x) < F.max(x)),
         )],
     ).first()
-    usable = [i for i in range(len(names)) if row[f"varies{i}"]]
+    usable = [i for i in range(len(names)) if row[f"varies{i}"] and row[f"sd{i}"]]
     if len(usable) < 2:
         return df.sparkSession.createDataFrame([], schema)
     scaled = df.select(*[
@@ -175,35 +175,32 @@ def _bin(value: Column, low: float | None, high: float | None, bins: int):
     return number, F.lit(low) + (F.col("bin") - 1) * F.lit(width), F.lit(low) + F.col("bin") * F.lit(width)
 
 
-def _boxes(df: DataFrame, y: str, group: str | None, group_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows ``g, v`` with fences attached, and the quartiles per group."""
+def _boxed(df: DataFrame, y: str, group: str | None, group_rows: int) -> DataFrame:
+    """Every present y as ``g, v`` with the size, quartiles and fences of its group."""
     g = present(df.schema[group]) if group else F.lit("all")
     rows = df.select(g.alias("g"), _number(df, y).alias("v")).where(F.col("v").isNotNull())
-    if group:
-        quartiles = grouped_quantiles(rows, "g", "v", QUARTILES, group_rows)
-        quartiles = quartiles.toDF("key", "n", "q1", "median", "q3")
-    else:
+    q1, q3 = F.col("q1"), F.col("q3")
+    if group is None:
         n = rows.count()
         q = quantiles(rows, {"v": F.col("v")}, QUARTILES, counts={"v": n})["v"]
-        quartiles = df.sparkSession.createDataFrame(
-            [("all", n, *q)] if n else [], "key string, n bigint, q1 double, median double, q3 double"
-        )
-    spread = F.col("q3") - F.col("q1")
-    boxes = staged(
-        quartiles.select("*", (F.col("q1") - FENCE * spread).alias("lower"), (F.col("q3") + FENCE * spread).alias("upper")),
-        "boxes",
-    )
-    return rows, boxes
+        literals = dict(zip(("q1", "median", "q3"), (F.lit(v).cast("double") for v in q)))
+        boxed = rows.withColumns({"size": F.lit(n), **literals})
+    else:
+        quartiles = grouped_quantiles(rows, "g", "v", QUARTILES, group_rows).toDF("key", "n", "q1", "median", "q3")
+        boxed = attach(rows, F.col("g"), staged(quartiles.withColumn("size", F.col("n")), "boxes"))
+    return boxed.withColumns({"lower": q1 - FENCE * (q3 - q1), "upper": q3 + FENCE * (q3 - q1)})
+
+
+def _same(name: str) -> Column:
+    """A value that is the same on all rows of a group."""
+    return F.first(name).alias(name)
 
 
 def box_summary(df: DataFrame, y: str, group: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Per group: n, min, quartiles, max, whiskers (extremes inside the fences), outliers."""
-    rows, boxes = _boxes(df, y, group, group_rows)
-    marked = attach(rows, F.col("g"), boxes)
+    """Per group: n, min, quartiles, max, mean, whiskers (extremes inside the fences), outliers."""
     inside = F.col("v").between(F.col("lower"), F.col("upper"))
-    one = lambda c: F.first(c).alias(c)
-    return marked.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), one("q1"), one("median"), one("q3"),
+    return _boxed(df, y, group, group_rows).groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), _same("q1"), _same("median"), _same("q3"),
         F.max("v").alias("max"), F.avg("v").alias("mean"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
@@ -213,27 +210,30 @@ def box_summary(df: DataFrame, y: str, group: str | None = None, group_rows: int
 
 def box_outliers(df: DataFrame, y: str, group: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``group, value`` of every point outside the fences of its group."""
-    rows, boxes = _boxes(df, y, group, group_rows)
-    marked = attach(rows, F.col("g"), boxes.select("key", "n", "lower", "upper"))
     outside = ~F.col("v").between(F.col("lower"), F.col("upper"))
-    return marked.where(outside).select(F.col("g").alias("group"), F.col("v").alias("value"))
+    return _boxed(df, y, group, group_rows).where(outside).select(
+        F.col("g").alias("group"), F.col("v").alias("value")
+    )
 
 
 def violin_summary(
     df: DataFrame, y: str, group: str | None = None, bins: int = BINS, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Per group and bin: count and density, with the group's quartiles and mean."""
-    rows, boxes = _boxes(df, y, group, group_rows)
-    low, high = rows.agg(F.min("v"), F.max("v")).first()
+    boxed = _boxed(df, y, group, group_rows)
+    low, high, mean = boxed.agg(F.min("v"), F.max("v"), F.avg("v")).first()
     number, start, end = _bin(F.col("v"), low, high, bins)
     width = ((high or 0.0) - (low or 0.0)) / bins
-    counted = rows.groupBy("g", number.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    means = rows.groupBy(F.col("g").alias("_g")).agg(F.avg("v").alias("mean"))
-    # One row per group on the right, at most ``bins`` per group on the left.
-    joined = counted.join(means, F.col("g").eqNullSafe(F.col("_g"))).drop("_g").join(
-        boxes, F.col("g").eqNullSafe(F.col("key"))
+    counted = boxed.groupBy("g", number.alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"), _same("size"), _same("q1"), _same("median"), _same("q3")
     )
-    density = F.col("count") / (F.col("n") * F.lit(width)) if width else F.lit(None).cast("double")
+    if group is None:
+        joined = counted.withColumn("mean", F.lit(mean).cast("double"))
+    else:
+        # One row per group on the right, at most ``bins`` per group on the left.
+        means = boxed.groupBy(F.col("g").alias("_g")).agg(F.avg("v").alias("mean"))
+        joined = counted.join(means, F.col("g").eqNullSafe(F.col("_g"))).drop("_g")
+    density = F.col("count") / (F.col("size") * F.lit(width)) if width else F.lit(None).cast("double")
     return joined.select(
         F.col("g").alias("group"), "bin", start.alias("bin_start"), end.alias("bin_end"), "count",
         density.alias("density"), "q1", "median", "q3", "mean",

@@ -52,6 +52,9 @@ def test_boxes(spark, group_rows):
 
 
 def test_violin_density_is_one(points):
+    whole = explore.violin_summary(points, "x", bins=4).collect()
+    assert sum(r["density"] * (r["bin_end"] - r["bin_start"]) for r in whole) == pytest.approx(1.0)
+    assert {(r["group"], r["mean"], r["median"]) for r in whole} == {("all", 2.5, 2.5)}
     rows = explore.violin_summary(points, "x", "c", bins=4).collect()
     for g in ("u", "v", None):
         mine = [r for r in rows if r["group"] == g]

@@ -194,3 +194,13 @@ def test_long_labels_stay_off_the_driver(spark):
     df = spark.createDataFrame([(1, "b" * 2000), (2, "a"), (3, "b" * 2000)], "id int, v string")
     fitted = LabelEncode.fit(df, ["v"], ["id"])
     assert not fitted.lists and column(fitted.apply(df).orderBy("id"), "v") == [1, 2, 1]
+
+
+def test_every_numeric_type(spark):
+    df = spark.sql("""select cast(id as byte) b, cast(id as short) s, cast(id as decimal(10, 2)) d, cast(id as float) f, id
+                      from range(9)""").union(spark.sql("select null, null, null, null, null"))
+    names = ["b", "s", "d", "f", "id"]
+    plan = Plan(missing=dict(zip(names, ["median", "mean", "median", "mean", "zero"])),
+                outlier=("cap", names), scaling=("minmax", names))
+    out = plan.fit_transform(df).preprocessed.collect()
+    assert len(out) == 10 and all(0.0 <= v <= 1.0 for r in out for v in r)
