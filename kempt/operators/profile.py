@@ -116,32 +116,25 @@ def _dtype(df: DataFrame) -> Column:
 
 def summary_table(df: DataFrame, order_by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Per column: dtype, missing, unique, and mean, sd, min, median, max or the top value."""
-    null = F.lit(None)
-    parts = {}
+    numeric = {f.name: present(f).cast("double") for f in df.schema.fields if is_numeric(f.dataType)}
+    aggregates = {("rows", ""): F.count(F.lit(1))}
     for f in df.schema.fields:
-        value = present(f).cast("double") if is_numeric(f.dataType) else null.cast("double")
-        parts[f.name] = {
-            "missing": F.count_if(is_missing(f)),
-            "n": F.count(value),
-            "mean": F.avg(value),
-            "sd": F.stddev_samp(value),
-            "min": F.min(value),
-            "max": F.max(value),
-        }
-    measured = {r["column"]: r for r in _long(df, parts).collect()}    # one row per column
-    numeric = {f.name: present(f) for f in df.schema.fields if is_numeric(f.dataType)}
-    medians = quantiles(
-        df, numeric, [0.5], exact=exact, counts={n: measured[n]["n"] for n in numeric}
-    )
+        aggregates["n", f.name] = F.count(present(f))
+        if f.name in numeric:
+            for label, function in (("mean", F.avg), ("sd", F.stddev_samp), ("min", F.min), ("max", F.max)):
+                aggregates[label, f.name] = function(numeric[f.name])
+    row = df.agg(*[e.alias(f"a{i}") for i, e in enumerate(aggregates.values())]).first()
+    got = dict(zip(aggregates, row))
+    medians = quantiles(df, numeric, [0.5], exact=exact, counts={n: got["n", n] for n in numeric})
     rows = [
         (
             i,
             f.name,
             f.dataType.simpleString(),
-            measured[f.name]["missing"],
-            *[measured[f.name][k] for k in ("mean", "sd", "min")],
+            got["rows", ""] - got["n", f.name],
+            *[got.get((label, f.name)) for label in ("mean", "sd", "min")],
             medians.get(f.name, [None])[0],
-            measured[f.name]["max"],
+            got.get(("max", f.name)),
         )
         for i, f in enumerate(df.schema.fields)
     ]

@@ -128,7 +128,7 @@ def _cells(table: DataFrame, numbered: Sequence[tuple[Column, Column]]) -> DataF
 
 def _draw(table, column, sizes: dict[tuple, int], seed: int) -> dict[tuple, np.ndarray]:
     """About GUESS_VALUES random values from each bracket (fewer if there are many), sorted."""
-    draws = min(GUESS_VALUES, GUESS_TOTAL // len(sizes))
+    draws = max(min(GUESS_VALUES, GUESS_TOTAL // len(sizes)), 100)
     chance = {bracket: draws / size for bracket, size in sizes.items()}
     dice = table.withColumn("_dice", F.rand(seed)).where(F.col("_dice") < max(chance.values()))
     tests = [
