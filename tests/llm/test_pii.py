@@ -43,7 +43,7 @@ def brute(text):
 TEXTS = [
     None, "", "nothing here", "mail a.b@c.d_e@f.gh, x@y, @z.q, é😀 me+you@site-1.co.uk.", "1.2.3.4.5.6.7.8 and 999.1.1.1 007.0.0.0255",
     "card 4417744280351547 or 4417 7442 8035 1547-1 and 4417-7442-8035-1547", "+49 (30) 1234-5678. +1 2 +(3) +1234567 8",
-    "a" * 30_000 + "@" + "b" * 30_000, "1" * 40_000, "1-" * 20_000, "+1 " + "(" * 20_000, "x@" * 5_000 + "x.y",
+    "a" * 3_000 + "@" + "b" * 3_000, "1" * 4_000, "1-" * 20_000, "+1 " + "(" * 20_000, "x@" * 5_000 + "x.y",
     "\n".join(f"u{i}@h{i}.org +1 555 000 {i:04d} 10.0.{i % 300}.1" for i in range(300)),
 ]
 
