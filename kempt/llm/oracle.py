@@ -3,13 +3,3 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
-
-
-def _tree(shards: int) -> str:
-    """The least draw in a tree is the least of all its leaves' draws."""
-    return f"""select doc_id, arg_min(s, d) as shard from (
-  select doc_id, s, -ln((cast('0x' || substr(md5(cast(doc_id as varchar) || ':' || cast(s as varchar)), 1, 12) as bigint)
-         + 0.5) / 281474976710656.0) as d
-  from documents, range({shards}) as r(s)) group by doc_id"""
-
-

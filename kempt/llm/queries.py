@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, shard_tree
+from . import bpe, pii, risk_rules, shard_tree
 from .frames import documents
 
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -39,3 +41,21 @@ def op5_pii(spark, folder):
         F.sha2(digest(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         digest(F.col("spans")).alias("spans"),
     )
+
+
+def tokenizer_path() -> str:
+    """Where the public vocabulary file lies; the same package is installed on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query
+def op4_bpe(spark, folder):
+    return bpe.digests(documents(spark, folder), tokenizer_path())
+
+
+@query
+def op6_risk_rules(spark, folder):
+    judged = risk_rules.judge(documents(spark, folder), documents(spark, folder, "labels"))
+    return judged.select("doc_id", *risk_rules.MEASURES[:5], "base_failed", "kept", "stratum", "failed")
