@@ -217,7 +217,7 @@ class Vocabulary:
             if body.isalpha():
                 pieces.append(w)
                 owned.append(1)
-            elif body[-1] in ".,;:!?" and body[:-1].isalpha():
+            elif body[-1:] in ".,;:!?" and body[:-1].isalpha():
                 pieces += (w[:-1], w[-1])
                 owned.append(2)
             else:
