@@ -217,7 +217,7 @@ class Vocabulary:
             if body.isalpha():
                 pieces.append(w)
                 owned.append(1)
-            elif body[-1:] in ".,;:!?" and body[:-1].isalpha():
+            elif body and body[-1] in ".,;:!?" and body[:-1].isalpha():
                 pieces += (w[:-1], w[-1])
                 owned.append(2)
             else:
@@ -238,9 +238,10 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         """``text`` cut where a piece surely starts; special tokens stand alone."""
         if self.special_cut is None or not any(s in text for s in self.special):
-            return WORD_START.split(text) if text else []
+            cut = WORD_START.split(text)
+            return cut if cut[0] else cut[1:]
         parts = self.special_cut.split(text)
-        return [w for k, part in enumerate(parts) if part for w in ([part] if k % 2 else WORD_START.split(part))]
+        return [w for k, part in enumerate(parts) for w in ([part] if k % 2 else WORD_START.split(part)) if w]
 
     def encode(self, texts: list[str]) -> Iterator[list[tuple[bytes, int, bytes]]]:
         """Each text as its words' entries: ids (each with a comma behind it), number of ids, decoded bytes."""
