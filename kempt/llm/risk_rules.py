@@ -5,9 +5,9 @@ Cutoffs are not set by hand: labelled clean documents (quality 1) are a holdout
 a fixed grid is judged by an exact binomial (Clopper-Pearson) upper bound on the share of clean documents that it
 rejects. The bounds hold together: the error probability is divided by the number of strata, rules and cutoffs
 (Bonferroni), and the allowed share is divided among the rules, so that all rules together reject at most ``loss`` of
-a stratum's clean documents with probability 1 - ``error``. Of the certified cutoffs the one that rejects most is used;
-where the labels are too few to certify any, the rule stays off in that stratum. Strata are bands of the word count,
-a fixed number whatever the data.
+a stratum's clean documents with probability 1 - ``error``. Of the certified cutoffs the one that rejects most bad (label
+0) over clean documents is used; where labels are too few to certify any, or no bad one would go, the rule stays off in
+that stratum. Strata are bands of the word count, a fixed number whatever the data.
 
 Measuring streams through ``mapInArrow``; what reaches the driver is one count per stratum, rule and cutoff.
 
@@ -149,22 +149,28 @@ def certify(
     measured: DataFrame, labels: DataFrame, bands: Sequence[int] = STRATA, loss: float = LOSS, error: float = ERROR
 ) -> dict[tuple[int, str], float]:
     """The certified cutoff of each (stratum, rule); a pair without one is missing."""
-    clean = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    judged = measured.where(~base_failed()).join(clean, "doc_id", "left_semi")
+    judged = measured.where(~base_failed()).join(
+        labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null"), "doc_id"
+    )
     every = rules()
+    good = F.col("quality") == 1
     counts = judged.groupBy(stratum(bands).alias("stratum")).agg(
-        F.count(F.lit(1)).alias("clean"),
-        *[F.count_if(r.value > c).alias(f"{r.name}_{i}") for r in every for i, c in enumerate(r.cutoffs)],
+        F.count_if(good).alias("clean"),
+        *[F.count_if(good & (r.value > c)).alias(f"{r.name}_{i}") for r in every for i, c in enumerate(r.cutoffs)],
+        *[F.count_if(~good & (r.value > c)).alias(f"{r.name}_{i}_bad") for r in every for i, c in enumerate(r.cutoffs)],
     )
     tests = (len(bands) + 1) * sum(len(r.cutoffs) for r in every)
     chosen = {}
     for row in counts.collect():
         for r in every:
-            # The most that may be rejected, by bisection over counts, then the cutoff that rejects most within it.
             allowed = _most_allowed(row["clean"], loss / len(every), error / tests)
-            passing = [c for i, c in enumerate(r.cutoffs) if row[f"{r.name}_{i}"] <= allowed]
-            if passing:
-                chosen[row["stratum"], r.name] = min(passing)
+            # Among certified cutoffs the one with most bad over clean rejections; of equals, the loosest.
+            gains = [
+                (row[f"{r.name}_{i}_bad"] - row[f"{r.name}_{i}"], c)
+                for i, c in enumerate(r.cutoffs) if row[f"{r.name}_{i}"] <= allowed
+            ]
+            if gains and max(gains)[0] > 0:
+                chosen[row["stratum"], r.name] = max(gains)[1]
     return chosen
 
 
