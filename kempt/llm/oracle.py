@@ -3,3 +3,20 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# Base 32 writes 160 bits as 32 digits of 5 bits: here from the hexadecimal digits, 4 of 5 bits from 5 of 4 bits.
+ORACLES["op1_warc"] = """
+with pages_ as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as sha from pages
+), leaders as (
+  select sha, min(page_id) as leader from pages_ group by sha
+)
+select page_id, cast(strlen(html) as bigint) as payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + cast(
+      (cast('0x' || substr(sha, cast(i // 4 * 5 + 1 as bigint), 5) as bigint) >> cast(15 - i % 4 * 5 as integer)) & 31 as bigint)]),
+    'string_agg', '') as payload_digest,
+  case when page_id = leader then 'response' else 'revisit' end as record_type,
+  case when page_id <> leader then leader end as refers_to
+from pages_ join leaders using (sha)
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, risk_rules, shard_tree
+from ..operators.staging import new_path
+from . import bpe, language, pii, quality_model, risk_rules, shard_tree, warc
 from .frames import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +44,11 @@ def op5_pii(spark, folder):
     )
 
 
+def remainder(divisor: int) -> Column:
+    """The part of the held-out split that a document belongs to."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
+
+
 def tokenizer_path() -> str:
     """Where the public vocabulary file lies; the same package is installed on the executors."""
     import public_tokenizers
@@ -59,3 +65,32 @@ def op4_bpe(spark, folder):
 def op6_risk_rules(spark, folder):
     judged = risk_rules.judge(documents(spark, folder), documents(spark, folder, "labels"))
     return judged.select("doc_id", *risk_rules.MEASURES[:5], "base_failed", "kept", "stratum", "failed")
+
+
+@query
+def op3_quality_model(spark, folder):
+    docs, labels = documents(spark, folder), documents(spark, folder, "labels")
+    weights = quality_model.fit(docs, labels, remainder(3) != 1)
+    return quality_model.score(docs, weights).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op8_language(spark, folder):
+    docs = documents(spark, folder)
+    model = language.fit(docs, remainder(4) != 2)
+    return language.identify(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+@query
+def op1_warc(spark, folder):
+    path = new_path(spark, "warc")
+    warc.write_warc(documents(spark, folder, "pages"), path)
+    page = lambda name: F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1).cast("bigint")
+    return warc.read_warc(spark, path, payloads=False).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"),
+    )
