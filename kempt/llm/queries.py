@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import new_path
-from . import bpe, language, pii, quality_model, risk_rules, shard_tree, warc
+from . import bpe, decontaminate, language, line_dedup, pii, quality_model, risk_rules, shard_tree, warc
 from .frames import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,3 +94,21 @@ def op1_warc(spark, folder):
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op2_line_dedup(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    deduped, runs = line_dedup.dedup(docs)
+    removed = F.aggregate(F.col(runs), F.lit(0), lambda n, r: n + r["end"] - r["first"])
+    ranges = F.array_join(F.transform(F.col(runs), lambda r: F.concat_ws(":", r["first"], r["end"])), ",")
+    return deduped.select(
+        "doc_id", F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed_lines"),
+        F.coalesce(ranges, F.lit("")).alias("removed"), "text",
+    )
+
+
+@query
+def op9_decontaminate(spark, folder):
+    found = decontaminate.find(documents(spark, folder), documents(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "distance")
