@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import new_path
-from . import bpe, decontaminate, language, line_dedup, pii, quality_model, risk_rules, shard_tree, warc
+from . import bpe, decontaminate, jaccard_join, language, line_dedup, pii, quality_model, risk_rules, shard_tree, warc
 from .frames import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -112,3 +112,8 @@ def op2_line_dedup(spark, folder):
 def op9_decontaminate(spark, folder):
     found = decontaminate.find(documents(spark, folder), documents(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "distance")
+
+
+@query
+def op10_jaccard_join(spark, folder):
+    return jaccard_join.groups(documents(spark, folder))
