@@ -129,7 +129,7 @@ def signatures(shingled: np.ndarray, common: np.ndarray) -> np.ndarray:
         counts = np.bincount(part, minlength=parts)
         ends = np.cumsum(counts)
         content = sums[ends] - sums[ends - counts]
-        place = np.arange(parts, dtype=np.uint64) * _MULTIPLIERS[1] + np.uint64(band) * _MULTIPLIERS[2]
+        place = np.arange(parts, dtype=np.uint64) * _MULTIPLIERS[1] + np.full(parts, band, np.uint64) * _MULTIPLIERS[2]
         sig = mixed(mixed(content) + place)
         first = np.lexsort((sig, -counts, -np.bincount(part, weights=rare, minlength=parts)))[:n // 3 + 1]
         out.append(sig[first])
