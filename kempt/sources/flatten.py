@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import uniquify
+
 
 def _leaves(schema: T.StructType, path: tuple[str, ...] = ()):
     for f in schema.fields:
@@ -19,4 +21,6 @@ def flatten(df: DataFrame) -> DataFrame:
     if not any(isinstance(f.dataType, T.StructType) for f in df.schema.fields):
         return df
     quoted = lambda path: ".".join("`" + part.replace("`", "``") + "`" for part in path)
-    return df.select(*[F.col(quoted(p)).alias(".".join(p)) for p in _leaves(df.schema)])
+    leaves = list(_leaves(df.schema))
+    names = uniquify([".".join(p) for p in leaves])
+    return df.select(*[F.col(quoted(p)).alias(n) for p, n in zip(leaves, names, strict=True)])

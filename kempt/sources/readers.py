@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,37 +42,98 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. ``NA`` is missing everywhere; a blank is missing except in text.
 
-    Types are inferred (numbers and booleans; dates stay text) unless a schema is given,
-    which saves a pass. ``multi_line=None`` looks whether any quoted cell spans lines: only
-    then must each file be read as a whole, otherwise files are split over many tasks.
+    Types are inferred (numbers and booleans; dates stay text) unless a schema is given, which saves a pass; then a cell
+    that is not missing and does not fit its type is an error. All files must have the same header. Short rows are
+    filled with missing cells; rows with more cells than the header are an error. ``multi_line=None`` looks in which
+    files some quoted cell spans lines: only those are read by one task each, the others are split over many tasks.
     """
+    header = _same_header(spark, path)
     if multi_line is None:
-        multi_line = _spans_lines(spark, path)
-    read = spark.read.options(header=True, escape='"', multiLine=multi_line)
+        spanning, plain = _spanning_files(spark, path)
+    else:
+        spanning, plain = ([path], []) if multi_line else ([], [path])
+    parts = [(files, many) for files, many in ((plain, False), (spanning, True)) if files]
+    if not parts:
+        raise ValueError(f"there is no file in {path}")
+    read = lambda many: spark.read.options(header=True, escape='"', multiLine=many)
     if schema is None:
-        # Numbers and booleans only: the reader would also guess dates.
-        guessed = read.options(inferSchema=True, nullValue=CSV_MISSING).csv(path).schema
-        keep = (T.NumericType, T.BooleanType)
-        fields = [T.StructField(f.name, f.dataType if isinstance(f.dataType, keep) else T.StringType()) for f in guessed]
+        guesses = [read(m).options(inferSchema=True, nullValue=CSV_MISSING).csv(f).schema for f, m in parts]
+        fields = [
+            T.StructField(same[0].name, _wider([f.dataType for f in same])) for same in zip(*[g.fields for g in guesses])
+        ]
     else:
         # DDL text is turned into a schema by an empty table.
         fields = (spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema).fields
-    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(fields))])
+        if header is not None and len(fields) != len(header):
+            raise ValueError(f"the schema has {len(fields)} columns, the header {len(header)}")
+    names = [f"c{i}" for i in range(len(fields))]
+    # One column more: it is filled only where a row has more cells than the header.
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "beyond"]])
     # Blanks come back as null and NA as text; told apart here, per type.
-    cells = read.options(nullValue="", emptyValue="", enforceSchema=True).schema(text).csv(path)
-    return cells.select(*[_cell(F.col(f"c{i}"), f).alias(f.name) for i, f in enumerate(fields)])
+    cells = reduce(DataFrame.unionAll, [
+        read(m).options(nullValue="", emptyValue="", enforceSchema=True).schema(text).csv(f) for f, m in parts
+    ])
+    fits = F.when(F.col("beyond").isNull(), True).otherwise(
+        F.raise_error(F.concat(F.lit("a CSV row has more cells than the header; the next one holds "), "beyond")).cast("boolean")
+    )
+    strict = schema is not None
+    return cells.where(fits).select(*[_cell(F.col(n), f, strict).alias(f.name) for n, f in zip(names, fields)])
+
+
+def _wider(kinds: list[T.DataType]) -> T.DataType:
+    """The type for the cells of a column whose files were guessed apart. Dates stay text."""
+    order = [T.IntegerType(), T.LongType(), T.DoubleType()]
+    if all(k in order for k in kinds):
+        return max(kinds, key=order.index)
+    keep = isinstance(kinds[0], (T.NumericType, T.BooleanType)) and all(k == kinds[0] for k in kinds)
+    return kinds[0] if keep else T.StringType()
 
 
-def _cell(c, field: T.StructField):
+def _cell(c, field: T.StructField, strict: bool):
     if isinstance(field.dataType, T.StringType):
         return F.when(c.isNull() | (c != CSV_MISSING), F.coalesce(c, F.lit("")))
-    return F.trim(c).try_cast(field.dataType)
+    value = F.trim(c).try_cast(field.dataType)
+    if not strict:
+        return value
+    wrong = F.concat(F.lit(f"a cell of {field.name!r} is no {field.dataType.simpleString()}: "), c)
+    missing = c.isNull() | (F.trim(c) == "") | (F.trim(c) == CSV_MISSING)
+    return F.when(missing | value.isNotNull(), value).otherwise(F.raise_error(wrong).cast(field.dataType))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+
+
+def _same_header(spark: SparkSession, path: str) -> list[str] | None:
+    """The names in the first lines of the files, which must be equal; None if there is no line."""
+    # The first block of a file is read by one task from its start, so its first line comes first.
+    first = _lines(spark, path).where("start = 0").groupBy("file").agg(F.first("value").alias("value"))
+    found = first.groupBy("value").agg(F.min("file").alias("file")).limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"the headers of {found[0]['file']} and {found[1]['file']} differ")
+    if not found:
+        return None
+    return next(csv.reader([found[0]["value"]]), [])
 
 
-def _spans_lines(spark: SparkSession, path: str) -> bool:
-    """A line with an odd number of quotes opens or closes a cell that spans lines."""
+def _spanning_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files in which some quoted cell spans lines, and the others. The names are those the reader itself has listed.
+
+    A line with an odd number of quotes opens or closes such a cell, so a file that has them has an even number of such
+    lines; a lone stray quote does not make one.
+    """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(path).where(quotes % 2 == 1).limit(1).count() > 0
+    odd = _lines(spark, path).where(quotes % 2 == 1).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    every = spark.read.text(path).inputFiles()
+    if odd.where("n % 2 = 0").limit(1).count() == 0:
+        return [], every
+    # Both lists name files as the metadata column does.
+    marked = odd.where("n % 2 = 0").select("file")
+    spanning = [r["file"] for r in marked.collect()]
+    plain = _lines(spark, path).select("file").distinct().join(marked, "file", "left_anti")
+    return spanning, [r["file"] for r in plain.collect()]
 
 
 def read_json(
@@ -81,16 +145,19 @@ def read_json(
 ) -> DataFrame:
     """JSON records, records under ``data``, or an object of arrays; nested objects flattened.
 
-    One document per file is read as a whole; with ``lines`` every line is a document of
-    its own and files are split, which is the form for large data. ``layout`` (records,
-    wrapped, columnar) skips the look at the first document.
+    One document per file is read as a whole; with ``lines`` every line is a document of its own and files are split,
+    which is the form for large data. A file that holds no JSON, several documents or no table is an error. ``layout``
+    (records, wrapped, columnar) says how all documents are laid out; without it the documents themselves tell, and
+    files of different layouts are an error. Among lines, only a sole member ``data`` makes records under ``data``.
     """
-    read = spark.read.options(multiLine=not lines)
+    read = spark.read.options(multiLine=not lines, mode="FAILFAST")
+    if not lines:
+        kinds = _document_kinds(spark, path)
     raw = (read.schema(schema) if schema is not None else read).json(path)
     if raw.columns == ["_corrupt_record"] or not raw.columns:
         raise ValueError("the JSON data does not hold a table")
     if layout is None:
-        layout = _layout(spark, path, raw.schema, lines)
+        layout = _line_layout(raw.schema) if lines else _layout(raw.schema, kinds)
     if layout == "records":
         return flatten(raw)
     if layout == "wrapped":
@@ -100,24 +167,47 @@ def read_json(
     raise ValueError(f"unknown JSON layout: {layout!r}")
 
 
+def _document_kinds(spark: SparkSession, path: str) -> set[str]:
+    """What the files' documents are: ``array``, ``wrapped`` or ``object``. Each file must hold exactly one."""
+    whole = spark.read.text(path, wholetext=True)
+    # Between brackets, one document is a list of one; anything else is no JSON or a longer list.
+    listed = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
+    first, second = (F.try_variant_get(listed, f"$[{i}]", "variant") for i in (0, 1))
+    one = F.schema_of_variant(first)
+    data = F.schema_of_variant(F.try_variant_get(listed, "$[0].data", "variant"))
+    kind = (
+        F.when(first.isNull() | second.isNotNull(), "broken")
+        .when(one.startswith("ARRAY<OBJECT<"), "array").when(one == "ARRAY<VOID>", "array")
+        .when(data.startswith("ARRAY<OBJECT<"), "wrapped").when(one.startswith("OBJECT<"), "object").otherwise("none")
+    )
+    files = whole.select(kind.alias("kind"), F.col("_metadata.file_path").alias("file"))
+    found = {r["kind"]: r["file"] for r in files.groupBy("kind").agg(F.min("file").alias("file")).collect()}
+    if "broken" in found:
+        raise ValueError(f"{found['broken']} is no single JSON document; read lines of JSON with lines=True")
+    if "none" in found:
+        raise ValueError(f"the JSON data of {found['none']} does not hold a table")
+    return set(found)
+
+
 def _is_array(dtype: T.DataType, of=T.DataType) -> bool:
     return isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, of)
 
 
-def _layout(spark: SparkSession, path: str, schema: T.StructType, lines: bool) -> str:
-    fields = {f.name: f.dataType for f in schema.fields}
-    wrapped = _is_array(fields.get("data"), T.StructType)
+def _layout(schema: T.StructType, kinds: set[str]) -> str:
+    if len(kinds) > 1:
+        raise ValueError(f"the JSON files differ in layout: {', '.join(sorted(kinds))}; read them apart")
+    if kinds == {"wrapped"}:
+        return "wrapped"
     columnar = any(_is_array(f.dataType) for f in _leaf_fields(schema))
-    if not (wrapped or columnar):
-        return "records"
-    # What stands before the first brace tells an array of records from one object.
-    head = spark.read.option("lineSep", "{").text(path).limit(1).collect()
-    if head and head[0]["value"].strip().startswith("["):
-        return "records"
-    if wrapped:
+    return "columnar" if kinds == {"object"} and columnar else "records"
+
+
+def _line_layout(schema: T.StructType) -> str:
+    fields = {f.name: f.dataType for f in schema.fields}
+    if list(fields) == ["data"] and _is_array(fields["data"], T.StructType):
         return "wrapped"
-    # Among lines, a record may well hold an array; one whole object with arrays is columns.
-    return "records" if lines and not all(_is_array(t) for t in fields.values()) else "columnar"
+    # A record may well hold an array; one whole object of arrays is columns.
+    return "columnar" if all(_is_array(t) for t in fields.values()) else "records"
 
 
 def _leaf_fields(schema: T.StructType):

@@ -13,17 +13,13 @@ from .readers import CSV_MISSING
 
 
 def dated_name(today: date | None = None) -> str:
+    # Fixed value: how exported files are named.
     return f"processed_data_{(today or date.today()).isoformat()}.csv"
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists") -> None:
-    """A folder of part files, each with a header; missing cells are written as NA.
-
-    ``single_file`` gathers everything into one task and is meant for small exports only.
-    """
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A folder of part files, each with a header; missing cells are written as NA."""
     out = df.select(*[_cell(f).alias(f.name) for f in df.schema.fields])
-    if single_file:
-        out = out.coalesce(1)
     out.write.mode(mode).csv(
         path, header=True, nullValue=CSV_MISSING, emptyValue='""', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,

@@ -37,8 +37,29 @@ def test_csv_cells_over_lines(spark, tmp_path):
 
 
 def test_csv_schema(spark, tmp_path):
-    path = save(tmp_path / "c.csv", "a,b\n1,2\nx,\n")
-    assert rows(read_csv(spark, path, schema="a bigint, b string")) == [(1, "2"), (None, "")]
+    path = save(tmp_path / "c.csv", "a,b\n1,2\nNA,\n ,x\n")
+    assert rows(read_csv(spark, path, schema="a bigint, b string")) == [(1, "2"), (None, ""), (None, "x")]
+    path = save(tmp_path / "d.csv", "a,b\n1,2\nx,\n")
+    with pytest.raises(Exception, match="is no bigint: x"):
+        read_csv(spark, path, schema="a bigint, b string").collect()
+    with pytest.raises(ValueError, match="the header 2"):
+        read_csv(spark, path, schema="a bigint")
+
+
+def test_csv_files_of_a_folder(spark, tmp_path):
+    save(tmp_path / "a.csv", 'a,b\n1,"two\nlines"\n2\n')
+    save(tmp_path / "b.csv", 'a,b\n2.5,5" pipe\n')
+    assert sorted(rows(read_csv(spark, str(tmp_path)))) == [(1.0, "two\nlines"), (2.0, ""), (2.5, '5" pipe')]
+    save(tmp_path / "c.csv", "b,a\nx,1\n")
+    with pytest.raises(ValueError, match="headers of .* differ"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_csv_rows_with_more_cells(spark, tmp_path):
+    path = save(tmp_path / "a.csv", "a,b\n1,2\n3,4,5\n")
+    for read in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("a").collect()):
+        with pytest.raises(Exception, match="more cells than the header"):
+            read(load_table(spark, path))
 
 
 def test_csv_roundtrip(spark, tmp_path):
@@ -50,11 +71,8 @@ def test_csv_roundtrip(spark, tmp_path):
     assert back.schema.simpleString() == df.schema.simpleString()
     assert sorted(rows(back)) == [
         (1, ' a "q", b ', True, 1.5), (2, "", None, None), (3, None, False, None), (4, "two\nlines\\", True, 2.0)]
-    write_csv(df, f"{tmp_path}/one", single_file=True)
-    parts = list((tmp_path / "one").glob("part-*"))
-    assert len(parts) == 1
-    text = parts[0].read_text()
-    assert text.startswith("id,s,f,x\n") and "3,NA,FALSE,NA" in text and "TRUE" in text
+    text = "".join(part.read_text() for part in (tmp_path / "out").glob("part-*"))
+    assert "id,s,f,x\n" in text and "3,NA,FALSE,NA" in text and "TRUE" in text
 
 
 def test_dated_name():
@@ -117,7 +135,41 @@ def test_json_lines(spark, tmp_path):
     assert rows(read_json(spark, path, lines=True, layout="records")) == [([1, 2],), ([3],)]
 
 
-@pytest.mark.parametrize("text", ["42", "[1, 2, 3]", '"text"'])
+@pytest.mark.parametrize("text", ['{"a": 1}\n{"a": 2}\n', '{"a": 1}, {"a": 2}', '{"a": 1', '{"a": 1} x'])
+def test_json_files_that_are_no_single_document(spark, tmp_path, text):
+    with pytest.raises(ValueError, match="no single JSON document"):
+        load_table(spark, save(tmp_path / "a.json", text))
+
+
+def test_json_lines_that_are_malformed(spark, tmp_path):
+    path = save(tmp_path / "a.jsonl", '{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_table(spark, path).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json(spark, path, lines=True, schema="a int").collect()
+
+
+def test_json_line_records_keep_all_members(spark, tmp_path):
+    path = save(tmp_path / "a.jsonl", '{"id": 1, "data": [{"x": 1}]}\n{"id": 2, "data": []}\n')
+    df = load_table(spark, path)
+    assert df.columns == ["data", "id"] and sorted(r["id"] for r in df.collect()) == [1, 2]
+
+
+def test_json_files_of_different_layouts(spark, tmp_path):
+    save(tmp_path / "a.json", '[{"x": 1}]')
+    save(tmp_path / "b.json", '[{"x": 2, "y": 3}]')
+    assert sorted(rows(read_json(spark, str(tmp_path))), key=str) == [(1, None), (2, 3)]
+    save(tmp_path / "c.json", '{"data": [{"x": 4}]}')
+    with pytest.raises(ValueError, match="differ in layout"):
+        read_json(spark, str(tmp_path))
+
+
+def test_flattened_names_stay_apart(spark, tmp_path):
+    df = load_table(spark, save(tmp_path / "a.json", '[{"a.b": 1, "a": {"b": 2}}]'))
+    assert len(set(df.columns)) == 2 and sorted(rows(df)[0]) == [1, 2]
+
+
+@pytest.mark.parametrize("text", ["", "42", "[1, 2, 3]", '"text"'])
 def test_json_without_a_table(spark, tmp_path, text):
     with pytest.raises(ValueError):
         load_table(spark, save(tmp_path / "a.json", text))
