@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Text that is a number, with blanks around it allowed.
+NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\s*$"
+
+
 def col(name: str) -> Column:
     """A top-level column, whatever characters its name holds."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -72,12 +76,7 @@ def number(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
     value = c.try_cast("double")
+    if is_categorical(field.dataType):
+        # The cast would also read suffixed literals such as 5f.
+        value = F.when(c.rlike(NUMBER), value)
     return F.when(~F.isnan(value), value)
-
-
-def groupable(field: T.StructField) -> Column:
-    """The value in a form that can be a grouping key."""
-    c = col(field.name)
-    if isinstance(field.dataType, T.MapType):
-        return F.array_sort(F.map_entries(c))
-    return c

@@ -1,27 +1,42 @@
 """Value counts of many columns in few groupings.
 
 Counting distinct values column by column inside one aggregate would multiply every row
-once per column. Here each cell becomes one short row (column number, value), columns of
-one type together, and equal values are combined before the shuffle.
+once per column. Here each cell becomes one short row (column number, value), and equal
+values are combined before the shuffle. Where only the number of values matters, texts
+are represented by digests of fixed width.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.columns import col, present, text_of
+from ..functions.columns import col, is_categorical, present, text_of
 
 
-def _lane(dtype: T.DataType) -> str:
+def _native(value: Column, dtype: T.DataType) -> tuple[str, Column]:
+    """The kind of key under which equal values, and only those, are equal, and the value as that key.
+
+    Integers and floating numbers share a kind each; text is its 256-bit digest; every other type is its own kind.
+    """
     if isinstance(dtype, T.IntegralType):
-        return "bigint"
-    return "double" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "string"
+        return "bigint", value.cast("bigint")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "double", value.cast("double")
+    if is_categorical(dtype):
+        return "digest", F.unhex(F.sha2(value, 256))
+    if isinstance(dtype, T.MapType):
+        return f"sorted {dtype.simpleString()}", F.array_sort(F.map_entries(value))
+    return dtype.simpleString(), value
+
+
+def _same_text(dtype: T.DataType) -> bool:
+    """Whether different values of a type always read differently."""
+    return is_categorical(dtype) or isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType))
 
 
 def _order_key(order_by: Sequence[str]) -> Column | None:
@@ -31,21 +46,18 @@ def _order_key(order_by: Sequence[str]) -> Column | None:
     return col(order_by[0]) if len(order_by) == 1 else F.struct(*[col(c) for c in order_by])
 
 
-def _cells(df: DataFrame, values: Mapping[int, Column], lane: str, key: Column | None) -> DataFrame:
-    """``number, value [, key]``: one row per present cell."""
+def _cells(df: DataFrame, cells: Sequence[Mapping[str, Column]], there: str, key: Column | None = None) -> DataFrame:
+    """One row per cell whose field ``there`` is not null, with the cell's fields and the row's ``key``."""
     kept = [key.alias("key")] if key is not None else []
-    if len(values) == 1:
-        (number, value), = values.items()
-        cells = df.select(F.lit(number).alias("number"), value.cast(lane).alias("value"), *kept)
+    names = list(cells[0])
+    if len(cells) == 1:
+        rows = df.select(*[c.alias(n) for n, c in cells[0].items()], *kept)
     else:
-        structs = [
-            F.struct(F.lit(number).alias("number"), value.cast(lane).alias("value"))
-            for number, value in values.items()
-        ]
-        cells = df.select(F.explode(F.array(*structs)).alias("cell"), *kept).select(
-            "cell.number", "cell.value", *["key" for _ in kept]
+        structs = [F.struct(*[c.alias(n) for n, c in cell.items()]) for cell in cells]
+        rows = df.select(F.explode(F.array(*structs)).alias("cell"), *kept).select(
+            *[F.col(f"cell.{n}").alias(n) for n in names], *["key" for _ in kept]
         )
-    return cells.where(F.col("value").isNotNull())
+    return rows.where(F.col(there).isNotNull())
 
 
 def text_counts(
@@ -60,12 +72,17 @@ def text_counts(
     the value itself, so that ties go to the smallest value. Missing cells are left out.
     """
     fields = {f.name: f for f in df.schema.fields}
-    chosen = {
-        i: text_of((values or {}).get(name, present(fields[name])), fields[name].dataType)
-        for i, name in enumerate(names)
-    }
+    cells = []
+    for i, name in enumerate(names):
+        value, dtype = (values or {}).get(name, present(fields[name])), fields[name].dataType
+        cell = {"number": F.lit(i), "value": text_of(value, dtype)}
+        # Nested values and points in time may read alike; their full form tells them apart.
+        full = F.lit(None).cast("string") if _same_text(dtype) else F.md5(F.to_json(F.struct(value.alias("v"))))
+        cells.append({**cell, "full": full})
+    if all(_same_text(fields[n].dataType) for n in names):
+        cells = [{k: c for k, c in cell.items() if k != "full"} for cell in cells]
     key = _order_key(order_by)
-    grouped = _cells(df, chosen, "string", key).groupBy("number", "value")
+    grouped = _cells(df, cells, "value", key).groupBy(*cells[0])
     n = F.count(F.lit(1)).alias("n")
     if key is None:
         return grouped.agg(n).withColumn("first", F.col("value"))
@@ -83,23 +100,16 @@ def modes(counts: DataFrame) -> DataFrame:
 def distinct_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``number`` (place in ``names``) and ``unique``; a column without values has no row."""
     fields = {f.name: f for f in df.schema.fields}
-    lanes: dict[str, dict[int, Column]] = {}
-    for i, name in enumerate(names):
-        lanes.setdefault(_lane(fields[name].dataType), {})[i] = present(fields[name])
-    parts = [
-        _cells(df, values, lane, None).distinct().groupBy("number").agg(F.count(F.lit(1)).alias("unique"))
-        for lane, values in lanes.items()
+    keys = [_native(present(fields[name]), fields[name].dataType) for name in names]
+    kinds = list(dict.fromkeys(kind for kind, _ in keys))
+    types = {kind: key for kind, key in keys}
+    # One scan and one grouping: a cell fills the lane of its kind only.
+    empty = {kind: F.when(F.lit(False), types[kind]) for kind in kinds}
+    cells = [
+        {
+            "number": F.lit(i), "there": F.when(key.isNotNull(), True),
+            **{f"lane{k}": key if kind == own else empty[kind] for k, kind in enumerate(kinds)},
+        }
+        for i, (own, key) in enumerate(keys)
     ]
-    return reduce(DataFrame.unionAll, parts)
-
-
-def first_levels(counts: DataFrame, columns: int, limit: int) -> DataFrame:
-    """The first ``limit`` levels of each of so many columns.
-
-    Up to 1000, each task passes on no more than ``limit`` levels (a group limit below
-    the window), so no task sees all levels of a column.
-    """
-    if columns == 1:
-        return counts.orderBy("first").limit(limit)
-    rank = F.row_number().over(Window.partitionBy("number").orderBy("first"))
-    return counts.withColumn("rank", rank).where(F.col("rank") <= limit).drop("rank")
+    return _cells(df, cells, "there").distinct().groupBy("number").agg(F.count(F.lit(1)).alias("unique"))

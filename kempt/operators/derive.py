@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
 from ..functions.arithmetic import OPERATIONS, PAIRWISE, SINGLE
 from ..functions.columns import is_numeric, number
@@ -25,19 +26,28 @@ def apply_rules(df: DataFrame, rules: Sequence[FeatureRule]) -> DataFrame:
 
     Rules that do not read one another share one projection.
     """
-    batch: dict[str, Column] = {}
-    fields = {f.name: f for f in df.schema.fields}
+    batch: dict[str, tuple[str, Column]] = {}
+    fields = _by_name(df)
     for rule in rules:
-        if {rule.col1, rule.col2, rule.name} & set(batch):
-            df, batch = df.withColumns(batch), {}
-            fields = {f.name: f for f in df.schema.fields}
-        if rule.col1 not in fields:
+        first, second, name = (n.lower() if n is not None else None for n in (rule.col1, rule.col2, rule.name))
+        if {first, second, name} & set(batch):
+            df, batch = df.withColumns(dict(batch.values())), {}
+            fields = _by_name(df)
+        if first not in fields:
             continue
-        if rule.operation in PAIRWISE and rule.col2 in fields:
-            batch[rule.name] = PAIRWISE[rule.operation](number(fields[rule.col1]), number(fields[rule.col2]))
+        if rule.operation in PAIRWISE and second in fields:
+            value = PAIRWISE[rule.operation](number(fields[first]), number(fields[second]))
         elif rule.operation in SINGLE:
-            batch[rule.name] = SINGLE[rule.operation](number(fields[rule.col1]))
-    return df.withColumns(batch) if batch else df
+            value = SINGLE[rule.operation](number(fields[first]))
+        else:
+            continue
+        batch[name] = (fields[name].name if name in fields else rule.name, value)
+    return df.withColumns(dict(batch.values())) if batch else df
+
+
+def _by_name(df: DataFrame) -> dict[str, T.StructField]:
+    """Columns by lower-cased name, as the engine resolves names."""
+    return {f.name.lower(): f for f in df.schema.fields}
 
 
 def add_rule(
@@ -66,7 +76,3 @@ def add_rule(
 def remove_rule(rules: Sequence[FeatureRule], index: int) -> tuple[FeatureRule, ...]:
     """A new rule list without rule ``index`` (from 0); an index past the end changes nothing."""
     return tuple(r for i, r in enumerate(rules) if i != index)
-
-
-def rule_names(rules: Iterable[FeatureRule]) -> list[str]:
-    return [r.name for r in rules]

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
+from ..functions.names import free_name
 
+# Fixed value: the name of the flag column.
 FLAG = "duplicate_flag"
 COPIES_PER_TASK = 1_000_000
 
@@ -20,38 +22,42 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _copies(df: DataFrame) -> DataFrame:
-    return df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+def counted_copies(df: DataFrame) -> tuple[DataFrame, str]:
+    """Each different row once, with the number of its copies in a new column, named second."""
+    copies = free_name("copies", df.columns)
+    return df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(copies)), copies
 
 
 def flag_duplicates(df: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
     """Add ``duplicate_flag``: false on one row of each set of equal rows, true on the rest."""
-    counted = _copies(df)
+    counted, copies = counted_copies(df)
+    copy, start = free_name("copy", counted.columns), free_name("start", counted.columns)
     kept = [col(c) for c in df.columns if c != FLAG]
 
     # Most rows have few copies: write them out where they are.
-    few = counted.where(F.col("_copies") <= copies_per_task).select(
+    few = counted.where(F.col(copies) <= copies_per_task).select(
         *kept,
-        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
+        F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy),
     )
     # A hot row first becomes blocks of copies, which are spread over the tasks.
-    block = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(copies_per_task).cast("bigint")))
-    blocks = counted.where(F.col("_copies") > copies_per_task).select("*", block.alias("_from"))
-    many = blocks.repartition(*[col(c) for c in df.columns], F.col("_from")).select(
+    block = F.explode(F.sequence(F.lit(0), F.col(copies) - 1, F.lit(copies_per_task).cast("bigint")))
+    blocks = counted.where(F.col(copies) > copies_per_task).select("*", block.alias(start))
+    many = blocks.repartition(*[col(c) for c in df.columns], F.col(start)).select(
         *kept,
         F.explode(
             F.sequence(
-                F.col("_from") + 1,
-                F.least(F.col("_from") + copies_per_task, F.col("_copies")),
+                F.col(start) + 1,
+                F.least(F.col(start) + copies_per_task, F.col(copies)),
             )
-        ).alias("_copy"),
+        ).alias(copy),
     )
-    return few.unionByName(many).select(*kept, (F.col("_copy") > 1).alias(FLAG))
+    return few.unionByName(many).select(*kept, (F.col(copy) > 1).alias(FLAG))
 
 
 def count_duplicates(df: DataFrame) -> DataFrame:
     """One row: ``duplicates`` = rows equal to an earlier row."""
-    return _copies(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
+    counted, copies = counted_copies(df)
+    return counted.agg(F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("duplicates"))
 
 
 def handle_duplicates(df: DataFrame, action: str) -> DataFrame:

@@ -11,17 +11,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.columns import categorical_columns, col, targets
-from ..functions.names import clean_name, uniquify
-from .counts import first_levels, text_counts
+from ..functions.names import clean_name, free_name, uniquify
+from .counts import text_counts
 from .lookup import attach
 from .missing import LABEL
 from .running import ROWS_PER_TASK, running_total
 from .staging import staged
 
 INLINE_LEVELS = 24        # up to here a code is found inside the projection
-DRIVER_LEVELS = 10_000    # levels of all columns together that the driver may hold,
+DRIVER_LEVELS = 10_000    # levels of a column that the driver may hold,
 DRIVER_LENGTH = 500       # and how long each of them may be
 
 
@@ -33,6 +34,24 @@ def _levels(df: DataFrame, names: Sequence[str], order_by: Sequence[str]) -> Dat
     return text_counts(df, names, order_by, {n: _filled(n) for n in names})
 
 
+def _sizes(levels: DataFrame) -> Mapping[int, Mapping[str, int]]:
+    """How many levels each column number has, and the length of the longest."""
+    sizes = levels.groupBy("number").agg(F.count(F.lit(1)).alias("levels"), F.max(F.length("value")).alias("longest"))
+    return {r["number"]: {"levels": r["levels"], "longest": r["longest"]} for r in sizes.collect()}
+
+
+def _ranked(levels: DataFrame, numbers: Sequence[int]) -> dict[int, list[tuple[str, int]]]:
+    """The levels of columns proven small, as (value, n), ranked by the engine; their keys stay there."""
+    if not numbers:
+        return {}
+    place = F.row_number().over(Window.partitionBy("number").orderBy("first", "value"))
+    rows = levels.where(F.col("number").isin(*numbers)).select("number", "value", "n", place.alias("place")).collect()
+    out: dict[int, list[tuple[str, int]]] = {}
+    for r in sorted(rows, key=lambda r: (r["number"], r["place"])):
+        out.setdefault(r["number"], []).append((r["value"], r["n"]))
+    return out
+
+
 @dataclass(frozen=True)
 class LabelEncode:
     """Fitted: the level list of each column, or its dictionary table where that is long."""
@@ -51,32 +70,28 @@ class LabelEncode:
         names = targets(columns, categorical_columns(df))
         if not names:
             return LabelEncode()
-        levels = _levels(df, names, order_by)
-        short = F.when(F.length("value") <= DRIVER_LENGTH, F.col("value")).alias("value")
-        head = levels.select("number", short, "n", "first").limit(driver_levels + 1).collect()
-        if len(head) <= driver_levels and all(r["value"] is not None for r in head):
-            lists, tables = {}, {}
-            for i, name in enumerate(names):
-                found = sorted((r for r in head if r["number"] == i), key=lambda r: r["first"])
-                if not found:
-                    continue
-                if len(found) <= INLINE_LEVELS:
-                    lists[name] = tuple(r["value"] for r in found)
-                else:
-                    tables[name] = df.sparkSession.createDataFrame(
-                        [(r["value"], r["n"], code) for code, r in enumerate(found, 1)],
-                        "key string, n bigint, _code int",
-                    )
-            return LabelEncode(lists, tables)
-        # Long dictionaries never reach the driver: they are ranked where they are.
-        stored = staged(levels.select("number", "value", "n", "first"), "levels")
-        tables = {}
-        for i, name in enumerate(names):
-            one = stored.where(F.col("number") == i).select("value", "n", "first")
-            ranked = running_total(one, [], ["first"], rows_per_task=rows_per_task)
+        # Counted once; then each column goes its own way, with the same order of levels.
+        levels = staged(_levels(df, names, order_by).select("number", "value", "n", "first"), "levels")
+        sizes = _sizes(levels)
+        short = [
+            i for i in range(len(names))
+            if i in sizes and sizes[i]["levels"] <= driver_levels and sizes[i]["longest"] <= DRIVER_LENGTH
+        ]
+        lists, tables = {}, {}
+        for i, found in _ranked(levels, short).items():
+            if len(found) <= INLINE_LEVELS:
+                lists[names[i]] = tuple(value for value, _ in found)
+            else:
+                tables[names[i]] = df.sparkSession.createDataFrame(
+                    [(value, n, code) for code, (value, n) in enumerate(found, 1)], "key string, n bigint, code int"
+                )
+        for i in set(sizes) - set(short):
+            # Long dictionaries never reach the driver: they are ranked where they are.
+            one = levels.where(F.col("number") == i).select("value", "n", "first")
+            ranked = running_total(one, [], ["first", "value"], rows_per_task=rows_per_task)
             code = (F.col("before") + 1).cast("int")
-            tables[name] = staged(ranked.select(F.col("value").alias("key"), "n", code.alias("_code")), "codes")
-        return LabelEncode({}, tables)
+            tables[names[i]] = staged(ranked.select(F.col("value").alias("key"), "n", code.alias("code")), "codes")
+        return LabelEncode(lists, tables)
 
     def apply(self, df: DataFrame) -> DataFrame:
         names = df.columns
@@ -91,8 +106,9 @@ class LabelEncode:
             df = df.withColumns(codes)
         for name, table in self.tables.items():
             if name in names:
-                df = attach(df, _filled(name), table)
-                df = df.select(*[F.col("_code").alias(c) if c == name else col(c) for c in names])
+                code = free_name("code", names)
+                df = attach(df, _filled(name), table.withColumnRenamed("code", code))
+                df = df.select(*[F.col(code).alias(c) if c == name else col(c) for c in names])
         return df
 
 
@@ -100,40 +116,30 @@ class TooManyLevels(ValueError):
     """One-hot encoding would add more columns than allowed; nothing is cut off silently."""
 
 
-def _refuse(sizes: Mapping[str, int], max_levels: int) -> None:
-    for name, size in sizes.items():
-        if size > max_levels:
-            raise TooManyLevels(
-                f"{name!r} has over {max_levels} levels; raise max_levels or label-encode it"
-            )
-
-
 @dataclass(frozen=True)
 class OneHotEncode:
-    """Fitted: the levels of each column, in the order of their indicator columns."""
+    """Fitted: the levels of each column, in the order of their indicator columns.
+
+    ``max_levels``, off unless set, refuses columns with more levels; levels are never cut off.
+    """
 
     levels: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     @staticmethod
     def fit(
-        df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = (), max_levels: int = 200
+        df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = (), max_levels: int | None = None
     ) -> OneHotEncode:
         names = targets(columns, categorical_columns(df))
         if not names:
             return OneHotEncode()
-        levels = _levels(df, names, order_by)
-        if max_levels >= 1000:
-            # Too long for the group limit: prove the size first, by one count per column.
-            sizes = {r["number"]: r["count"] for r in levels.groupBy("number").count().collect()}
-            _refuse({n: sizes.get(i, 0) for i, n in enumerate(names)}, max_levels)
-        rows = first_levels(levels, len(names), max_levels + 1).select("number", "first", "value").collect()
-        out = {}
-        for i, name in enumerate(names):
-            found = [r["value"] for r in sorted((r for r in rows if r["number"] == i), key=lambda r: r["first"])]
-            _refuse({name: len(found)}, max_levels)
-            if found:
-                out[name] = tuple(found)
-        return OneHotEncode(out)
+        levels = staged(_levels(df, names, order_by).select("number", "value", "n", "first"), "levels")
+        sizes = _sizes(levels)
+        for i, size in sizes.items():
+            if max_levels is not None and size["levels"] > max_levels:
+                raise TooManyLevels(f"{names[i]!r} has over {max_levels} levels; raise max_levels or label-encode it")
+        # Levels become column names, so they, and only they, reach the driver.
+        found = _ranked(levels, list(sizes))
+        return OneHotEncode({names[i]: tuple(value for value, _ in found[i]) for i in sorted(found)})
 
     def apply(self, df: DataFrame) -> DataFrame:
         sources = [n for n in self.levels if n in df.columns]

@@ -21,6 +21,8 @@ PAIRS_PER_PASS = 400
 
 
 def _number(df: DataFrame, name: str) -> Column:
+    if not is_numeric(df.schema[name].dataType):
+        raise ValueError(f"{name!r} is not a numeric column")
     return present(df.schema[name]).cast("double")
 
 

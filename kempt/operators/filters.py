@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_text, col, is_numeric, present
+from ..functions.names import free_name
 
 LIST_LEVELS = 10_000
 
@@ -21,7 +22,7 @@ class RowFilter:
     range: Sequence[float] | None = None
     levels: Sequence[str] | None = None
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, list_levels: int = LIST_LEVELS) -> DataFrame:
         field = {f.name: f for f in df.schema.fields}.get(self.column)
         if field is None:
             return df
@@ -34,10 +35,11 @@ class RowFilter:
         if not self.levels:
             return df
         text = as_text(field)
-        if len(self.levels) <= LIST_LEVELS:
+        if len(self.levels) <= list_levels:
             return df.where(text.isin(*self.levels))
-        chosen = df.sparkSession.createDataFrame([(v,) for v in set(self.levels)], "_level string")
-        return df.join(chosen, text == F.col("_level"), "left_semi")
+        level = free_name("level", df.columns)
+        chosen = df.sparkSession.createDataFrame([(v,) for v in set(self.levels)], f"{level} string")
+        return df.join(chosen, text == F.col(level), "left_semi")
 
 
 def numeric_domain(df: DataFrame, column: str, current: Sequence[float] | None = None) -> DataFrame:
@@ -53,7 +55,16 @@ def numeric_domain(df: DataFrame, column: str, current: Sequence[float] | None =
     )
 
 
-def level_domain(df: DataFrame, column: str) -> DataFrame:
-    """The distinct values as text, sorted."""
+def level_domain(df: DataFrame, column: str, current: Sequence[str] | None = None) -> DataFrame:
+    """The distinct values as text, sorted; with a current selection also which of them are ``selected``.
+
+    A selection without any available level selects them all.
+    """
     text = as_text(df.schema[column]).alias("level")
-    return df.select(text).where(F.col("level").isNotNull()).distinct().orderBy("level")
+    levels = df.select(text).where(F.col("level").isNotNull()).distinct()
+    if current is not None:
+        chosen = F.col("level").isin(*current) if current else F.lit(False)
+        # One value over the distinct levels; the table itself is not gathered.
+        some = levels.agg(F.coalesce(F.bool_or(chosen), F.lit(False)).alias("some"))
+        levels = levels.crossJoin(F.broadcast(some)).select("level", (chosen | ~F.col("some")).alias("selected"))
+    return levels.orderBy("level")

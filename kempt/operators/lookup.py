@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
+from ..functions.names import free_name
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1_000     # a key with over 1/1000 of the rows is hot: at most 1000 are
 SALTS = 1_000
+KEY_BYTES = 4_096    # longer keys are never treated as hot
 
 
 def attach(
@@ -16,43 +20,43 @@ def attach(
     dictionary: DataFrame,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left-join ``dictionary(key, n, <payload>)`` on ``key``; n = rows that hold the key.
+    """Left-join ``dictionary(key, n, <payload>)`` on ``key``; n = rows that held the key when it was made.
 
-    A dictionary of checked size is broadcast. A larger one is shuffled, except for its
-    hot keys, which are few by arithmetic and are broadcast; the rows they serve are
-    salted so that they spread over all tasks of the shuffle.
+    A dictionary of checked size is broadcast. A larger one is shuffled, except for the hot keys of ``df``, which are
+    few by arithmetic and are broadcast; the rows they serve are salted so that they spread over all tasks of the
+    shuffle. A stream cannot be counted ahead, so there the keys that were hot before stand in. The payload's names
+    must be free in ``df``.
     """
     payload = [c for c in dictionary.columns if c not in ("key", "n")]
-    size, total = dictionary.agg(
-        F.sum(F.coalesce(F.octet_length(F.col("key").cast("string")), F.lit(0)) + 32 + 16 * len(payload)),
-        F.sum("n"),
-    ).first()
-    keyed = df.withColumn("_key", key)
-    small = dictionary.select(F.col("key").alias("_k"), *payload)
+    taken = [*df.columns, *payload]
+    name = lambda label: free_name(f"{label}_of_lookup", taken)
+    own, k, hot_flag, salt, rest_key, s = map(name, ("key", "k", "hot", "salt", "rest", "s"))
+    size = dictionary.agg(
+        F.sum(F.coalesce(F.octet_length(F.col("key").cast("string")), F.lit(0)) + 32 + 16 * len(payload))
+    ).first()[0]
+    keyed = df.withColumn(own, key)
+    small = dictionary.select(F.col("key").alias(k), *payload)
     if (size or 0) <= broadcast_bytes:
-        return keyed.join(
-            F.broadcast(small), F.col("_key").eqNullSafe(F.col("_k")), "left"
-        ).drop("_key", "_k")
-
-    hot_from = total / HOT_KEYS
-    hot = dictionary.where(F.col("n") >= hot_from).select(
-        F.col("key").alias("_k"), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in payload]
-    )
-    rest = dictionary.where(F.col("n") < hot_from).select(
-        F.col("key").alias("_k"), F.lit(0).alias("_s"), *payload
-    )
-    served = keyed.join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_k")), "left").drop("_k")
+        return keyed.join(F.broadcast(small), F.col(own).eqNullSafe(F.col(k)), "left").drop(own, k)
+
+    if df.isStreaming:
+        counts = dictionary.select(F.col("key").alias(k), "n")
+        total = dictionary.agg(F.sum("n")).first()[0]
+    else:
+        counts = keyed.groupBy(F.col(own).alias(k)).agg(F.count(F.lit(1)).alias("n"))
+        total = df.count()
+    # At most HOT_KEYS keys of bounded length.
+    brief = F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) <= KEY_BYTES
+    often = counts.where((F.col("n") >= total / HOT_KEYS) & brief).select(k)
+    found = often.join(
+        dictionary.select(F.col("key").alias(s), *[F.col(c).alias(f"{hot_flag}_{c}") for c in payload]),
+        F.col(k).eqNullSafe(F.col(s)), "left",
+    ).drop(s).withColumn(hot_flag, F.lit(True))
+    rest = dictionary.select(F.col("key").alias(k), F.lit(0).alias(s), *payload)
+    served = keyed.join(F.broadcast(found), F.col(own).eqNullSafe(F.col(k)), "left").drop(k)
     salted = served.withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.spark_partition_id() % SALTS + 1).otherwise(F.lit(0)),
-    ).withColumn("_rest", F.when(F.col("_hot").isNull(), F.col("_key")))
-    joined = salted.join(
-        rest,
-        F.col("_rest").eqNullSafe(F.col("_k")) & (F.col("_salt") == F.col("_s")),
-        "left",
-    )
-    picked = [
-        F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in payload
-    ]
-    kept = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
-    return joined.select(*kept, *picked)
+        salt, F.when(F.col(hot_flag), F.spark_partition_id() % SALTS + 1).otherwise(F.lit(0))
+    ).withColumn(rest_key, F.when(F.col(hot_flag).isNull(), F.col(own)))
+    joined = salted.join(rest, F.col(rest_key).eqNullSafe(F.col(k)) & (F.col(salt) == F.col(s)), "left")
+    picked = [F.when(F.col(hot_flag), F.col(f"{hot_flag}_{c}")).otherwise(F.col(c)).alias(c) for c in payload]
+    return joined.select(*[col(c) for c in df.columns], *picked)

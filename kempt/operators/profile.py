@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import col, is_missing, is_numeric, numeric_columns, present
 from .counts import distinct_values, modes, text_counts
+from .duplicates import counted_copies
 from .missing import LABEL
 from .quantiles import quantiles
 
@@ -63,6 +64,7 @@ def _missing_long(df: DataFrame) -> DataFrame:
 
 def missing_labels(df: DataFrame) -> DataFrame:
     """``column, label`` such as ``age (3 missing, 1.5% missing)`` for columns with gaps."""
+    # Fixed value: the wording of a label.
     percent = F.regexp_replace(F.col("missing_pct").cast("string"), "\\.0$", "")
     text = F.format_string("%s (%d missing, %s%% missing)", F.col("column"), F.col("missing"), percent)
     return missing_columns(df).select("column", text.alias("label"))
@@ -179,15 +181,15 @@ def stage_stats(df: DataFrame) -> DataFrame:
     """
     numeric = len(numeric_columns(df))
     gaps = sum((is_missing(f).cast("bigint") for f in df.schema.fields), F.lit(0).cast("bigint"))
-    counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    counted, copies = counted_copies(df)
     total = lambda e: F.coalesce(F.sum(e), F.lit(0))
     return counted.agg(
-        total(F.col("_copies")).alias("rows"),
+        total(F.col(copies)).alias("rows"),
         F.lit(len(df.columns)).cast("bigint").alias("cols"),
         F.lit(numeric).cast("bigint").alias("numeric"),
         F.lit(len(df.columns) - numeric).cast("bigint").alias("non_numeric"),
-        total(F.col("_copies") * gaps).alias("missing"),
-        total(F.col("_copies") - 1).alias("duplicates"),
+        total(F.col(copies) * gaps).alias("missing"),
+        total(F.col(copies) - 1).alias("duplicates"),
     )
 
 
@@ -240,6 +242,7 @@ def compare_stages(before: DataFrame, after: DataFrame) -> DataFrame:
 def overview(df: DataFrame) -> DataFrame:
     """One line of text about the table."""
     big = lambda c: F.format_number(F.col(c), 0)
+    # The wording of the line, also for a table without rows.
     text = F.format_string(
         "Rows: %s | Columns: %s | Numeric: %d | Non-numeric: %d | Missing values: %s",
         big("rows"), big("cols"), F.col("numeric"), F.col("non_numeric"), big("missing"),

@@ -40,7 +40,7 @@ class Plan:
     filter: RowFilter = RowFilter()
     order_by: Sequence[str] = ()
     exact: bool = True
-    max_levels: int = 200
+    max_levels: int | None = None
 
     def add_feature(self, schema, operation, col1, col2=None, name=None) -> Plan:
         """``schema`` is that of the preprocessed table."""

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from kempt import Plan, RowFilter
-from kempt.operators import counts, duplicates, encode, profile
+from kempt.operators import duplicates, profile
 from queries.inputs import table
 
 QUERIES = entry.queries()
@@ -49,12 +49,11 @@ def test_duplicates_need_no_window_and_no_join(spark, folder, capsys):
     assert "Window" not in plan and "Join" not in plan and "partial_count" in plan
 
 
-def test_levels_are_limited_before_the_shuffle(spark, folder, capsys):
-    orders = table(spark, folder, "orders")
-    two = encode._levels(orders, ["o_orderpriority", "o_orderstatus"], ["o_orderkey"])
-    assert explained(counts.first_levels(two, 2, 201), capsys).count("WindowGroupLimit") == 2
-    one = encode._levels(orders, ["o_orderpriority"], ["o_orderkey"])
-    assert "TakeOrderedAndProject" in explained(counts.first_levels(one, 1, 201), capsys)
+def test_no_full_text_is_shuffled_to_count_distinct_values(spark, folder, capsys):
+    plan = explained(QUERIES["prof_missing_documents"](spark, folder), capsys)
+    assert "sha2" in plan
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and not [line for line in shuffled if "text#" in line or "value#" in line]
 
 
 def test_distinct_counts_do_not_multiply_rows(spark, folder, capsys):
