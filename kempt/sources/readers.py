@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,7 +155,10 @@ def read_json(
     read = spark.read.options(multiLine=not lines, mode="FAILFAST")
     if not lines:
         kinds = _document_kinds(spark, path)
-    raw = (read.schema(schema) if schema is not None else read).json(path)
+    try:
+        raw = (read.schema(schema) if schema is not None else read).json(path)
+    except (PySparkException, Py4JJavaError) as fault:
+        raise ValueError(f"the JSON data is malformed or holds no table: {fault}") from fault
     if raw.columns == ["_corrupt_record"] or not raw.columns:
         raise ValueError("the JSON data does not hold a table")
     if layout is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +16,14 @@ from kempt.operators.derive import FeatureRule, apply_rules
 from kempt.operators.duplicates import count_duplicates, handle_duplicates
 from kempt.operators.encode import LabelEncode, OneHotEncode
 from kempt.operators.filters import RowFilter, level_domain, numeric_domain
-from kempt.operators.missing import handle_missing
+from kempt.operators.missing import handle_missing, strategies
 from kempt.operators.numeric import Outliers, Scaling
 from kempt.operators.staging import new_path
 from kempt.operators.standardize import Standardize, rename_clean
 from kempt.plans.plan import Plan
 from kempt.sources.readers import load_table, read_csv, read_json
 from kempt.sources.samples import load_sample
-from kempt.sources.writers import write_csv
+from kempt.sources.writers import dated_name, write_csv
 
 from .inputs import dirty_customer, dirty_customer_dup, spiky_lineitem, table
 
@@ -400,7 +401,7 @@ def stats_quick(spark, folder):
 
 @query
 def stats_stage(spark, folder):
-    return profile.stage_stats(table(spark, folder, "lineitem").where("l_quantity < 0"))
+    return profile.stage_stats(table(spark, folder, "lineitem"))
 
 
 @query
@@ -683,3 +684,162 @@ def chain_refit(spark, folder):
     """A plan fitted on the table with copies, applied to the table without."""
     fitted = FULL.fit(dirty_customer_dup(spark, folder))
     return rounded(fitted.transform(dirty_customer(spark, folder)), 6, "acctbal", "score", "log_score")
+
+
+# ---- files that differ, refusals, exports --------------------------------------------
+
+
+@query
+def src_csv_files(spark, folder):
+    """Three kinds of files in one read: plain ones, some with cells over two lines, some with a stray quote."""
+    path = new_path(spark, "parts")
+    parts = table(spark, folder, "part")
+    for k, (name, ending, options) in enumerate((
+        ("plain", "", {}), ("spanning", "\nmore", {}), ("stray", ' 5" pipe', {"quote": "\u0000"}),
+    )):
+        some = parts.where(f"p_partkey % 3 = {k}").select("p_partkey", F.concat("p_name", F.lit(ending)).alias("p_name"))
+        some.write.csv(f"{path}/{name}", header=True, escape='"', **options)
+    return read_csv(spark, f"{path}/*").withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+
+
+@query
+def src_json_files(spark, folder):
+    """Many files, each one array of up to 100 records; every other file lacks a member."""
+    path = new_path(spark, "files")
+    chunk = F.floor(F.col("c_custkey") / 100)
+    customers = table(spark, folder, "customer").withColumn("chunk", chunk).withColumn(
+        "c_mktsegment", F.when(F.col("chunk") % 2 == 0, F.col("c_mktsegment"))
+    )
+    record = F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    chunks = customers.groupBy("chunk").agg(F.to_json(F.collect_list(record)).alias("value"))
+    chunks.repartition("chunk").write.partitionBy("chunk").text(path)
+    return read_json(spark, f"{path}/*").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
+@query
+def src_json_line_records(spark, folder):
+    """Lines with a member ``data`` among others are records and keep all members."""
+    path = new_path(spark, "lines")
+    table(spark, folder, "orders").select(
+        "o_orderkey", F.array(F.struct(F.col("o_orderstatus").alias("code"))).alias("data")
+    ).write.json(path)
+    return read_json(spark, path, lines=True).select("o_orderkey", F.col("data")[0]["code"].alias("code"))
+
+
+@query
+def src_json_refused(spark, folder):
+    """JSON scalars are no table: the number of lines, and that reading them was refused."""
+    path = new_path(spark, "scalars")
+    table(spark, folder, "nation").select(F.col("n_nationkey").cast("string")).write.text(path)
+    try:
+        read_json(spark, path, lines=True)
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.read.text(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("refused", F.lit(refused))
+
+
+@query
+def sink_dated(spark, folder):
+    name = dated_name(date(2024, 3, 9))
+    path = f"{new_path(spark, 'export')}/{name}"
+    write_csv(table(spark, folder, "supplier"), path)
+    return load_table(spark, path).withColumns({
+        "s_suppkey": F.col("s_suppkey").cast("bigint"), "file": F.lit(name)
+    })
+
+
+@query
+def sink_featured(spark, folder):
+    """The export is the featured table, not the filtered one."""
+    path = new_path(spark, "export")
+    plan = Plan(features=(FeatureRule("twice", "add", "nation", "nation"),), filter=RowFilter("nation", range=(1, 5)))
+    write_csv(plan.fit_transform(dirty_customer(spark, folder).select("c_custkey", "nation")).featured, path)
+    return read_csv(spark, path, schema="c_custkey bigint, nation int, twice double")
+
+
+# ---- menus, rules, points ------------------------------------------------------------
+
+
+@query
+def miss_menu(spark, folder):
+    """The strategies that each column with gaps can choose from."""
+    dirty = dirty_customer(spark, folder)
+    menu = F.create_map(*[F.lit(x) for f in dirty.schema for x in (f.name, ", ".join(strategies(f.dataType)))])
+    return profile.missing_columns(dirty).select("column", "missing", menu[F.col("column")].alias("menu"))
+
+
+@query
+def feat_rules(spark, folder):
+    """Rules added twice under one name, one removed, the name used again."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    plan = Plan().add_feature(customers.schema, "add", "c_acctbal", "c_nationkey", "Total")
+    plan = plan.add_feature(customers.schema, "subtract", "c_acctbal", "c_nationkey", "Total").remove_feature(0)
+    plan = plan.add_feature(customers.schema, "multiply", "total_2", "c_nationkey", "Total")
+    left = len(plan.reset_features().features)
+    done = plan.fit(customers).transform(customers).select("c_custkey", "total", "total_2")
+    return rounded(done, 2, "total", "total_2").withColumn("after_reset", F.lit(left))
+
+
+@query
+def feat_case(spark, folder):
+    """Names that differ in case only are one column."""
+    rules = (FeatureRule("Net", "add", "C_ACCTBAL", "c_nationkey"), FeatureRule("net", "multiply", "NET", "c_nationkey"))
+    done = apply_rules(table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_nationkey"), rules)
+    return rounded(done.select("c_custkey", F.col("Net").alias("net")), 2, "net")
+
+
+@query
+def eda_points(spark, folder):
+    """Whether a pair of columns has points to draw."""
+    dirty = dirty_customer(spark, folder)
+    pairs = [("acctbal", "nation"), ("acctbal", "all_null")]
+    flags = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(explore.has_points(dirty, x, y)).alias("drawn")) for x, y in pairs]
+    return dirty.agg(F.count(F.lit(1)).alias("rows")).select(F.inline(F.array(*flags)), "rows")
+
+
+@query
+def filt_level_selection(spark, folder):
+    """The levels, and which of them a selection that names one level too many keeps."""
+    return level_domain(dirty_customer(spark, folder), "opinion", ["maybe", "yes", "absent"])
+
+
+# ---- exact identity, one order of levels ---------------------------------------------
+
+
+@query
+def agg_distinct_nested(spark, folder):
+    """Lists and structs whose texts look alike count apart; so do vectors."""
+    orders = table(spark, folder, "orders").selectExpr(
+        """case o_orderkey % 4 when 0 then array('a, b') when 1 then array('a', 'b') when 2 then array(cast(null as string))
+           else array('null') end as list""",
+        "struct(case when o_orderkey % 2 = 0 then 'x, y' else 'x' end as l, case when o_orderkey % 2 = 0 then 'z' else 'y, z' end as r) as pair",
+        "o_orderstatus",
+    )
+    vectors = table(spark, folder, "embeddings").select("embedding")
+    return profile.distinct_counts(orders).unionByName(profile.distinct_counts(vectors))
+
+
+@query
+def enc_label_null_keys(spark, folder):
+    """Levels are numbered by a key that can be missing or NaN: missing first, NaN last, then by level."""
+    dirty = dirty_customer(spark, folder).selectExpr(
+        "c_custkey", "concat('n', nation) as level",
+        "case when nation % 5 = 0 then null when nation % 7 = 0 then cast('NaN' as double) else acctbal end as key",
+    )
+    return LabelEncode.fit(dirty, ["level"], ["key"]).apply(dirty).select("c_custkey", "level")
+
+
+@query
+def enc_label_refit(spark, folder):
+    """Fitted where one customer has few orders, applied where a level that was rare holds a third of the rows."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "o_custkey", "concat('c', o_custkey % 100) as level")
+    skewed = orders.withColumn("level", F.when(F.col("o_orderkey") % 3 == 0, F.lit("c7")).otherwise(F.col("level")))
+    return LabelEncode.fit(orders.where("o_custkey % 100 < 90"), ["level"]).apply(skewed).select("o_orderkey", "level")
+
+
+@query
+def enc_onehot_many(spark, folder):
+    """Over 200 levels, which no default refuses."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "concat('k', o_orderkey % 230) as v")
+    return OneHotEncode.fit(orders, ["v"]).apply(orders)

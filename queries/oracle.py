@@ -286,8 +286,11 @@ group by 1 order by count(*) desc, 1 limit 1""",
     "stats_quick": f"""select cast(count(*) as bigint) as rows, 9::bigint as cols, 5::bigint as numeric, 4::bigint as non_numeric,
   cast(sum((({ACCT}) is null)::int + (nation is null)::int + (in_credit is null)::int + 1) as bigint) as missing,
   cast(count(*) - (select count(*) from (select distinct * from dirty_customer_dup)) as bigint) as duplicates from dirty_customer_dup""",
-    "stats_stage": """select 0::bigint as rows, 11::bigint as cols, 8::bigint as numeric, 3::bigint as non_numeric,
-  0::bigint as missing, 0::bigint as duplicates""",
+    "stats_stage": """select count(*) as rows, 11::bigint as cols, 8::bigint as numeric, 3::bigint as non_numeric,
+  sum((l_orderkey is null)::int + (l_partkey is null)::int + (l_suppkey is null)::int + (l_linenumber is null)::int
+    + (l_quantity is null)::int + (l_extendedprice is null)::int + (l_discount is null)::int + (l_tax is null)::int
+    + (l_returnflag is null)::int + (l_linestatus is null)::int + (l_shipdate is null)::int)::bigint as missing,
+  count(*) - (select count(*) from (select distinct * from lineitem)) as duplicates from lineitem""",
     "stats_compare": f"""select metric, before, after, after - before as delta,
   case when after = before then 'neutral' when (after > before) = (metric <> 'missing') then 'improved' else 'worse' end as verdict
 from (
@@ -391,6 +394,53 @@ from spiky_lineitem, (select """ + fences("price") + " from spiky_lineitem) f)",
 }
 
 
+ORACLE |= {
+    "src_csv_files": """select p_partkey, p_name || case p_partkey % 3 when 0 then '' when 1 then chr(10) || 'more'
+  else ' 5" pipe' end as p_name from part""",
+    "src_json_files": """select c_custkey, c_name, c_acctbal,
+  case when floor(c_custkey / 100)::bigint % 2 = 0 then c_mktsegment end as c_mktsegment from customer""",
+    "src_json_line_records": "select o_orderkey, o_orderstatus as code from orders",
+    "src_json_refused": "select count(*) as rows, true as refused from nation",
+    "sink_dated": "select *, 'processed_data_2024-03-09.csv' as file from supplier",
+    "sink_featured": "select c_custkey, nation, cast(nation + nation as double) as twice from dirty_customer",
+    "miss_menu": union(
+        f"""select '{c}' as "column", count(*) as missing, '{menu}' as menu from dirty_customer
+  where {'acctbal is null or isnan(acctbal)' if c == 'acctbal' else f'{c} is null'} having count(*) > 0"""
+        for c, menu in (
+            *[(c, "keep, drop_rows, median, mean, zero") for c in ("c_custkey", "acctbal", "nation", "all_null", "constant")],
+            *[(c, "keep, drop_rows, mode, missing_label") for c in ("segment", "active", "opinion", "in_credit")],
+        )
+    ),
+    "feat_rules": """select c_custkey, round((c_acctbal - c_nationkey) * c_nationkey, 2) as total,
+  round(c_acctbal - c_nationkey, 2) as total_2, 0 as after_reset from customer""",
+    "feat_case": "select c_custkey, round((c_acctbal + c_nationkey) * c_nationkey, 2) as net from customer",
+    "eda_points": """select 'acctbal' as x, 'nation' as y,
+  count(*) filter (acctbal is not null and not isnan(acctbal) and nation is not null) > 0 as drawn, count(*) as rows from dirty_customer
+union all select 'acctbal', 'all_null', count(*) filter (acctbal is not null and all_null is not null) > 0, count(*) from dirty_customer""",
+    "filt_level_selection": """select distinct opinion as level, opinion in ('maybe', 'yes', 'absent') as selected
+from dirty_customer where opinion is not null""",
+    "agg_distinct_nested": """select * from (with o as (select o_orderstatus,
+  case o_orderkey % 4 when 0 then ['a, b'] when 1 then ['a', 'b'] when 2 then [null::varchar] else ['null'] end as list,
+  {'l': case when o_orderkey % 2 = 0 then 'x, y' else 'x' end, 'r': case when o_orderkey % 2 = 0 then 'z' else 'y, z' end} as pair
+  from orders)
+select 'list' as "column", (select count(*) from (select distinct list from o)) as "unique"
+union all select 'pair', (select count(*) from (select distinct pair from o))
+union all select 'o_orderstatus', (select count(*) from (select distinct o_orderstatus from o))
+union all select 'embedding', (select count(*) from (select distinct embedding from embeddings)))""",
+    "enc_label_null_keys": """select * from (with d as (select c_custkey, 'n' || nation as level,
+  case when nation % 5 = 0 then null when nation % 7 = 0 then cast('NaN' as double) else acctbal end as key from dirty_customer),
+f as (select coalesce(level, 'Missing') as v, min(key) as f from d group by 1),
+codes as (select v, cast(row_number() over (order by f nulls first, v) as integer) as code from f)
+select c_custkey, code as level from d join codes on coalesce(level, 'Missing') = v)""",
+    "enc_label_refit": """select * from (with o as (select o_orderkey, o_custkey, 'c' || (o_custkey % 100) as level from orders),
+codes as (select level as v, cast(row_number() over (order by level) as integer) as code
+  from (select distinct level from o where o_custkey % 100 < 90))
+select o_orderkey, code as level from o left join codes on v = case when o_orderkey % 3 = 0 then 'c7' else level end)""",
+    "enc_onehot_many": "select o_orderkey, "
+    + ", ".join(f"cast(o_orderkey % 230 = {k} as integer) as v_k{k}" for k in range(230)) + " from orders",
+}
+
+
 def oracle_texts() -> dict[str, str]:
     out = {}
     for name, sql in ORACLE.items():

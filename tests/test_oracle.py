@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from check_oracle import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+ORACLES = entry.oracle_sql()
+# The queries on texts have tests of their own, by brute force where SQL cannot express them.
+QUERIES = {name: function for name, function in entry.queries().items() if name not in entry.LLM or name in ORACLES}
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from kempt import Plan, RowFilter
 from kempt.operators import duplicates, profile
 from queries.inputs import table
 
-QUERIES = entry.queries()
+QUERIES = {name: function for name, function in entry.queries().items() if name not in entry.LLM}
 SLOW = ("PythonUDF", "EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 SHUFFLE_FREE = (
     "std_full", "std_yes_no", "filt_range", "filt_levels", "miss_mean", "miss_mode", "miss_mixed_order", "out_cap",
