@@ -1,11 +1,12 @@
 """Exact quantiles with linear interpolation, whole columns at any size.
 
 The ``percentile`` aggregate keeps every distinct value in one task. Here each wanted
-order statistic is searched for. A round draws a few random values from inside its
-bracket, only to guess where to look, and then counts exactly how many values of the whole
-column lie below and at two guessed split points. Neither step shuffles rows. Once a
-bracket holds few values (for a small column, at once) these are sorted. A poor guess
-costs another round; it cannot change the result.
+order statistic is searched for. A round takes approximate percentiles of the values
+inside its bracket, on both sides of the wanted place, and then counts exactly how many
+values of the whole column lie below and at these split points. Neither step shuffles
+rows. The error of the approximation is bounded, so a bracket shrinks to a few ten-thousandths:
+one round up to billions of values, two up to 10^12. Then the bracket, or a small column at
+once, is sorted. A poor guess would cost another round; it cannot change the result.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,8 +24,7 @@ from .running import ROWS_PER_TASK, running_total
 
 SORT_ROWS = 500_000            # values of one bracket that one task may sort
 GROUP_ROWS = 5_000_000         # a group up to this size may be sorted by one task
-GUESS_VALUES = 50_000          # values drawn from a bracket to guess split points
-GUESS_TOTAL = 2_000_000        # values drawn from all brackets, per round
+ACCURACY = 10_000              # an approximate percentile is off by one part in so many
 
 
 def quantiles(
@@ -81,16 +80,15 @@ def _search(table, column, counts, probs, sort_rows) -> dict[str, list[float]]:
         for p in probs:
             for rank in _ranks(counts[name], p)[:2]:
                 targets[name, rank] = _Target(name, rank, counts[name])
-    turn = 0
     while large := [t for t in targets.values() if t.value is None and t.size > sort_rows]:
-        drawn = _draw(table, column, {t.bracket: t.size for t in large}, seed=turn)
-        cuts: dict[str, set[float]] = {}
+        places: dict[tuple, set[float]] = {}
         for t in large:
-            cuts.setdefault(t.column, set()).update(_guess(drawn[t.bracket], (t.rank - t.before) / t.size))
-        placed = _count_at(table, column, {n: sorted(c) for n, c in cuts.items() if c})
+            middle, margin = (t.rank - t.before + 0.5) / t.size, 2 / ACCURACY
+            places.setdefault(t.bracket, set()).update((max(middle - margin, 0.0), min(middle + margin, 1.0)))
+        cuts = _guess(table, column, places)
+        placed = _count_at(table, column, cuts)
         for t in large:
             _narrow(t, placed.get(t.column, []))
-        turn += 1
     _sort(table, column, [t for t in targets.values() if t.value is None])
     out = {}
     for name in column:
@@ -126,57 +124,29 @@ def _cells(table: DataFrame, numbered: Sequence[tuple[Column, Column]]) -> DataF
     return rows.where(F.col("value").isNotNull())
 
 
-def _draw(table, column, sizes: dict[tuple, int], seed: int) -> dict[tuple, np.ndarray]:
-    """About GUESS_VALUES random values from each bracket (fewer if there are many), sorted."""
-    draws = max(min(GUESS_VALUES, GUESS_TOTAL // len(sizes)), 100)
-    chance = {bracket: draws / size for bracket, size in sizes.items()}
-    dice = table.withColumn("_dice", F.rand(seed)).where(F.col("_dice") < max(chance.values()))
-    tests = [
-        (_inside(column[name], low, high) & (F.col("_dice") < chance[name, low, high]), column[name])
-        for name, low, high in sizes
-    ]
-    drawn = _cells(dice, tests).toArrow()    # bounded: see the chances above
-    number, value = (drawn.column(c).to_numpy() for c in ("number", "value"))
-    return {bracket: np.sort(value[number == i]) for i, bracket in enumerate(sizes)}
-
-
-def _guess(values: np.ndarray, fraction: float) -> tuple[float, ...]:
-    """Two values that most likely enclose the place ``fraction`` of the bracket."""
-    if not len(values):
-        return ()
-    last = len(values) - 1
-    place = fraction * last
-    margin = 4 * math.sqrt(last * fraction * (1 - fraction)) + 4
-    ends = max(math.floor(place - margin), 0), min(math.ceil(place + margin), last)
-    return tuple(float(values[i]) for i in ends)
+def _guess(table, column, places: dict[tuple, set[float]]) -> dict[str, list[float]]:
+    """Values of each column near the given places of its brackets, from one aggregate."""
+    row = table.agg(*[
+        F.percentile_approx(F.when(_inside(column[name], low, high), column[name]), sorted(wanted), ACCURACY)
+        for (name, low, high), wanted in places.items()
+    ]).first()
+    cuts: dict[str, set[float]] = {}
+    for (name, _, _), values in zip(places, row):
+        cuts.setdefault(name, set()).update(values or ())
+    return {name: sorted(values) for name, values in cuts.items()}
 
 
 def _count_at(table, column, cuts: dict[str, list[float]]) -> dict[str, list[tuple[float, int, int]]]:
     """For each cut of each column: how many values of the column are below it, and at it."""
-    names = list(cuts)
-    numbered = []
-    for name in names:
-        c = column[name]
-        # Slot 2i lies below cut i (and above the one before), slot 2i + 1 is cut i.
-        slot = F.when(c < cuts[name][0], 0)
-        for i, cut in enumerate(cuts[name]):
-            slot = slot.when(c < cut, 2 * i).when(c == cut, 2 * i + 1)
-        numbered.append((c.isNotNull(), slot.otherwise(2 * len(cuts[name]))))
-    slots = _cells(table, numbered).groupBy("number", "value").count().collect()
-    counted = {(r["number"], r["value"]): r["count"] for r in slots}
-    out = {}
-    for number, name in enumerate(names):
-        below, out[name] = 0, []
-        for i, cut in enumerate(cuts[name]):
-            below += counted.get((number, 2 * i), 0)
-            at = counted.get((number, 2 * i + 1), 0)
-            out[name].append((cut, below, at))
-            below += at
-    return out
+    row = iter(table.agg(*[
+        F.count_if(test) for name, values in cuts.items() for cut in values
+        for test in (column[name] < cut, column[name] == cut)
+    ]).first())
+    return {name: [(cut, next(row), next(row)) for cut in values] for name, values in cuts.items()}
 
 
 def _narrow(t: _Target, cuts: Iterable[tuple[float, int, int]]) -> None:
-    """Shrink the bracket. The guessed cuts are values inside it, so it always gets smaller."""
+    """Shrink the bracket. The cuts are values inside it, so it always gets smaller."""
     end = t.before + t.size
     for cut, below, at in cuts:
         if below <= t.rank < below + at:

@@ -34,7 +34,7 @@ def columns():
 
 @pytest.mark.parametrize("sort_rows", [100_000, 300, 10, 1])
 def test_search_matches_numpy(spark, sort_rows, monkeypatch):
-    monkeypatch.setattr(Q, "GUESS_VALUES", 50)
+    monkeypatch.setattr(Q, "ACCURACY", 50)
     rows = columns()
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5).cache()
     found = Q.quantiles(df, {c: F.col(c) for c in df.columns}, PROBS, sort_rows=sort_rows)
@@ -44,12 +44,26 @@ def test_search_matches_numpy(spark, sort_rows, monkeypatch):
 
 
 def test_poor_guesses_only_cost_rounds(spark, monkeypatch):
-    monkeypatch.setattr(Q, "_guess", lambda values, fraction: (float(values[0]), float(values[-1])) if len(values) else ())
+    def ends(table, column, places):
+        (_, low, high), = places
+        return {"x": [0.0 if low is None else low + 1, 499.0 if high is None else high - 1]}
+
+    monkeypatch.setattr(Q, "_guess", ends)
     df = spark.range(500).select(F.col("id").cast("double").alias("x"))
     found = Q.quantiles(df, {"x": F.col("x")}, [0.5], sort_rows=490)
     assert found == {"x": [249.5]}
 
 
+def test_few_passes_over_many_rows(spark, monkeypatch):
+    """One guess, one count and one sort at 3 million rows."""
+    calls = []
+    for name in ("_guess", "_count_at", "_sort"):
+        monkeypatch.setattr(Q, name, lambda *a, run=getattr(Q, name), name=name: calls.append(name) or run(*a))
+    df = spark.range(3_000_000).select(((F.col("id") * 7919) % 3_000_000).cast("double").alias("x"))
+    found = Q.quantiles(df, {"x": F.col("x")}, [0.25, 0.5], counts={"x": 3_000_000})
+    assert found == {"x": [749_999.75, 1_499_999.5]} and calls == ["_guess", "_count_at", "_sort"]
+
+
 def test_approximate(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     assert Q.quantiles(df, {"x": F.col("x")}, [0.5], exact=False) == {"x": [500.0]}
