@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,31 @@ def staging_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders of tables staged inside the block, for their owner to release."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield paths
+    finally:
+        _owned.reset(token)
+        outer = _owned.get()
+        if outer is not None:
+            outer.extend(paths)
+
+
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete staged tables, wherever the shared folder is. Tables that read them cannot be used afterwards."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -40,6 +68,9 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     stored = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     stored.write.parquet(path)
     return spark.read.schema(stored.schema).parquet(path).toDF(*df.columns)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import clean_names
 from ..operators.derive import FeatureRule, add_rule, apply_rules, remove_rule
@@ -17,7 +17,7 @@ from ..operators.encode import LabelEncode, OneHotEncode
 from ..operators.filters import RowFilter
 from ..operators.missing import FillMissing
 from ..operators.numeric import Outliers, Scaling
-from ..operators.staging import staged
+from ..operators.staging import collecting, release, staged
 from ..operators.standardize import Standardize
 
 
@@ -58,10 +58,15 @@ class Plan:
     def fit_transform(self, df: DataFrame) -> Stages:
         """Fit and apply to the same table; its duplicates are handled only once."""
         fitted, deduplicated = self._fit(df)
-        return fitted._after_duplicates(deduplicated)
+        return replace(fitted._after_duplicates(deduplicated), owner=fitted)
 
     def _fit(self, df: DataFrame) -> tuple[FittedPlan, DataFrame]:
         self._check(df)
+        with collecting() as paths:
+            fitted, start = self._fit_steps(df)
+        return replace(fitted, spark=df.sparkSession, paths=tuple(paths)), start
+
+    def _fit_steps(self, df: DataFrame) -> tuple[FittedPlan, DataFrame]:
         standardize = Standardize.fit(df) if self.standardize else None
         table = standardize.apply(df) if standardize else df
         table = handle_duplicates(table, self.duplicates)
@@ -105,6 +110,12 @@ class Stages:
     preprocessed: DataFrame
     featured: DataFrame
     filtered: DataFrame
+    owner: FittedPlan | None = None
+
+    def close(self) -> None:
+        """Delete the intermediate tables of ``fit_transform``; the stages cannot be read afterwards."""
+        if self.owner is not None:
+            self.owner.close()
 
 
 @dataclass(frozen=True)
@@ -115,6 +126,13 @@ class FittedPlan:
     outliers: Outliers
     scaling: Scaling
     encoding: LabelEncode | OneHotEncode | None
+    spark: SparkSession | None = None
+    paths: tuple[str, ...] = ()
+
+    def close(self) -> None:
+        """Delete the intermediate tables that fitting made. A plan with a long label dictionary needs its table."""
+        if self.spark is not None:
+            release(self.spark, self.paths)
 
     def stages(self, df: DataFrame) -> Stages:
         table = self.standardize.apply(df) if self.standardize else df

@@ -1,7 +1,10 @@
+import contextlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from kempt import FeatureRule, Plan, RowFilter
+from kempt.operators import staging
 from kempt.operators.derive import add_rule, apply_rules, remove_rule
 from kempt.operators.encode import LabelEncode, OneHotEncode, TooManyLevels
 from kempt.operators.filters import level_domain, numeric_domain
@@ -151,6 +154,9 @@ def test_plan_edits_and_checks(spark):
             bad.fit(df)
 
 
+plan_closed = contextlib.closing
+
+
 def test_export_is_not_filtered(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "x int")
     stages = Plan(filter=RowFilter("x", range=(2, 3))).fit_transform(df)
@@ -204,3 +210,16 @@ def test_every_numeric_type(spark):
                 outlier=("cap", names), scaling=("minmax", names))
     out = plan.fit_transform(df).preprocessed.collect()
     assert len(out) == 10 and all(0.0 <= v <= 1.0 for r in out for v in r)
+
+
+def test_intermediate_tables_are_released(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda spark: str(tmp_path / "shared"))
+    df = spark.createDataFrame([(i, f"w{i % 40}", float(i)) for i in range(200)], "id int, s string, x double")
+    plan = Plan(duplicates="remove", scaling=("robust", ["x"]), encoding=("label", ["s"]), order_by=("id",))
+    stages = plan.fit_transform(df)
+    assert stages.filtered.count() == 200 and list((tmp_path / "shared").iterdir())
+    stages.close()
+    assert not list((tmp_path / "shared").iterdir())
+    with plan_closed(plan.fit(df)) as fitted:
+        assert fitted.transform(df).count() == 200
+    assert not list((tmp_path / "shared").iterdir())
