@@ -64,7 +64,6 @@ def level_domain(df: DataFrame, column: str, current: Sequence[str] | None = Non
     levels = df.select(text).where(F.col("level").isNotNull()).distinct()
     if current is not None:
         chosen = F.col("level").isin(*current) if current else F.lit(False)
-        # One value over the distinct levels; the table itself is not gathered.
-        some = levels.agg(F.coalesce(F.bool_or(chosen), F.lit(False)).alias("some"))
-        levels = levels.crossJoin(F.broadcast(some)).select("level", (chosen | ~F.col("some")).alias("selected"))
+        some = levels.where(chosen).limit(1).count() > 0
+        levels = levels.withColumn("selected", chosen if some else F.lit(True))
     return levels.orderBy("level")

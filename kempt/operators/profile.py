@@ -86,6 +86,10 @@ def distinct_counts(df: DataFrame, exact: bool = True) -> DataFrame:
     if not exact:
         approx = _long(df, {f.name: {"unique": F.approx_count_distinct(present(f))} for f in df.schema.fields})
         return approx.select("column", "unique")
+    if len(df.columns) == 1:
+        # One row, also where no value is present.
+        one = distinct_values(df, df.columns).agg(F.coalesce(F.max("unique"), F.lit(0)).alias("unique"))
+        return one.select(F.lit(df.columns[0]).alias("column"), "unique")
     names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "number int, column string")
     # Both sides have at most one row per column of the table.
     found = F.broadcast(distinct_values(df, df.columns))
