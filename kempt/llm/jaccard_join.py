@@ -14,8 +14,10 @@ steers the order only, never the result.
 Skew. Documents with equal sets are one node. A signature that many nodes share gives each of them two candidates: the
 least node and the one before it. Candidates pass a bound from small histograms, then an exact comparison of the sets;
 links give components. Only then, for signatures whose nodes are still in different components, the pairs between
-components are taken. So a group of near copies of any size costs a few candidates per member, never all its
-pairs, and no link between components is lost.
+components are taken: from groups of up to ``GROUP`` nodes by a join; from larger ones, which overlap in families of
+near copies, by comparing blocks of ``BLOCK_NODES`` histograms, those outside a family's main component with all others,
+each pair once however many signatures it shares. Only pairs within the bound leave a block. So a group of near copies
+costs a few candidates per member as far as these link, and no link between components is lost.
 
 Texts are read by streams that keep nothing; sets are built again for the few nodes that have candidates.
 
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ COMMON = 50_000          # shingles on the list of common ones
 COMMON_SHARE = 0.01      # of the documents of some block
 BLOCK = 400
 LEAST_PARTS = 64
+GROUP = 32               # nodes of one signature whose pairs are joined
+BLOCK_NODES = 512
 BROADCAST_ROWS = 500_000
 KNOWN_WORDS = 200_000
 
@@ -88,15 +93,16 @@ def may_link(one: bytes, other: bytes, sizes: tuple[int, int]) -> bool:
     if 4 * min(sizes) < 3 * max(sizes):
         return False
     a, b = (np.frombuffer(h, np.uint8).astype(np.int32) for h in (one, other))
-    # Capped counts cannot be added up, so only a pair of equally fine histograms uses their full detail.
-    if len(a) != len(b):
-        if max(a.max(), b.max()) == 255:
-            return True
-        fine, coarse = (a, b) if len(a) > len(b) else (b, a)
-        a, b = fine.reshape(len(coarse), -1).sum(1), coarse
+    size = min(len(a), len(b))
+    a, b = _coarser(a, size), _coarser(b, size)
     return 7 * int(np.abs(a - b).sum()) <= sum(sizes)
 
 
+def _coarser(counts: np.ndarray, size: int) -> np.ndarray:
+    """A histogram of fewer ranges. Counts end at 255 in all of them, as they would if made for these ranges."""
+    return counts if len(counts) == size else np.minimum(counts.reshape(size, -1).sum(1), 255)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= 75 * (len(a) + len(b) - both)
@@ -195,20 +201,27 @@ def _signed(docs: DataFrame, kind: str, common: np.ndarray) -> DataFrame:
     return docs.mapInArrow(work, f"sig bigint, node {kind}")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
-    """Those of ``pairs(a, b)`` that link: first by the histograms of ``nodes``, then by their sets. Staged."""
-    def sides(frame: DataFrame, values: DataFrame, *names: str) -> DataFrame:
-        for side in ("a", "b"):
-            own = values.select(F.col("doc_id").alias(side), *[F.col(n).alias(f"{n}_{side}") for n in names])
-            frame = frame.join(own, side)
-        return frame
+def _sides(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    """``pairs(a, b)`` with the named columns of both ends."""
+    for side in ("a", "b"):
+        own = values.select(F.col("doc_id").alias(side), *[F.col(n).alias(f"{n}_{side}") for n in names])
+        pairs = pairs.join(own, side)
+    return pairs
+
 
+def _possible(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """Those of ``pairs(a, b)`` that may link by the histograms of ``nodes``."""
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("hist_a", "hist_b", "n_a", "n_b")]
             kept = [may_link(x, y, (m, n)) for x, y, m, n in zip(*columns, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
+    return _sides(pairs, nodes, "n", "hist").mapInArrow(bound, f"a {kind}, b {kind}")
+
+
+def _verified(docs: DataFrame, possible: DataFrame, kind: str) -> DataFrame:
+    """Those of ``possible(a, b)`` that link by their sets. Staged."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             read = lambda c: [np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()]
@@ -223,12 +236,84 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, kind: str) ->
                     "set": pa.array([s.tobytes() for s in sets], pa.binary()),
                 })
 
-    out = f"a {kind}, b {kind}"
-    possible = staged(sides(pairs, nodes, "n", "hist").mapInArrow(bound, out), "possible")
+    possible = staged(possible, "possible")
     wanted = staged(_both_ends(possible).distinct(), "wanted")
     chosen = docs.join(_small(wanted), "doc_id", "left_semi")
     sets = staged(chosen.mapInArrow(build, f"doc_id {kind}, set binary").distinct(), "sets")
-    return staged(sides(possible, sets, "set").mapInArrow(exact, out).distinct(), "verified")
+    return staged(_sides(possible, sets, "set").mapInArrow(exact, f"a {kind}, b {kind}").distinct(), "verified")
+
+
+def _block_pairs(first: pa.Table, second: pa.Table, same: bool) -> pa.Table:
+    """The pairs of nodes of two blocks (or of one, if they are the same) in different components that may link."""
+    def columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        labels = table["component"].to_numpy(zero_copy_only=False)
+        hists = [np.frombuffer(h, np.uint8).astype(np.int16) for h in table["hist"].to_pylist()]
+        return labels, table["n"].to_numpy(), hists
+
+    (label, n, hist), (other_label, other_n, other_hist) = columns(first), columns(second)
+    lengths = sorted({len(h) for h in other_hist})
+    groups = {size: np.flatnonzero([len(h) == size for h in other_hist]) for size in lengths}
+    stacks = {size: np.stack([other_hist[j] for j in groups[size]]) for size in lengths}
+    left, right = [], []
+    for i, own in enumerate(hist):
+        for size, members in groups.items():
+            least = min(size, len(own))
+            rest = stacks[size] if size == least else np.minimum(stacks[size].reshape(len(members), least, -1).sum(2), 255)
+            total = n[i] + other_n[members]
+            near = 7 * np.abs(rest - _coarser(own, least)).sum(1, dtype=np.int64) <= total
+            near &= 4 * np.minimum(n[i], other_n[members]) >= 3 * np.maximum(n[i], other_n[members])
+            near &= other_label[members] != label[i]
+            if same:
+                near &= members > i
+            found = members[near]
+            left += [i] * len(found)
+            right += found.tolist()
+    x, y = first["node"].take(pa.array(left, pa.int64())), second["node"].take(pa.array(right, pa.int64()))
+    return pa.table({"a": pc.if_else(pc.less(x, y), x, y), "b": pc.if_else(pc.less(x, y), y, x)})
+
+
+def _family_pairs(large: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """The pairs between components that large signature groups leave, within the bound, each once.
+
+    ``large(sig, node, component)``. Groups that overlap form a family. Its nodes are dealt into blocks: those of the
+    component that most of them are in (they need not meet one another) and the rest.
+    """
+    least = large.groupBy("sig").agg(F.min("node").alias("least"))
+    star = large.join(least, "sig").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    family = components(star).withColumnRenamed("component", "family")
+    info = staged(large.select("node", "component").distinct().join(family, "node"), "families")
+    each = info.groupBy("family", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = each.groupBy("family").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"),
+        F.max("size").alias("inside"), F.sum("size").alias("total"),
+    )
+    blocks = lambda size: F.ceil(size / F.lit(BLOCK_NODES)).cast("int")
+    dealt = info.join(main, "family").select(
+        "family", "node", "component", (F.col("component") == F.col("main")).alias("inside"),
+        blocks(F.col("inside")).alias("mains"), blocks(F.col("total") - F.col("inside")).alias("rests"),
+    ).where("rests > 0").join(nodes.select(F.col("doc_id").alias("node"), "n", "hist"), "node")
+    number = F.xxhash64("node")
+    own = F.pmod(number, F.when(F.col("inside"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    meet = lambda is_main, x, y, side: F.struct(
+        F.lit(is_main).alias("with_main"), x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side")
+    )
+    upto = lambda count, make: F.transform(F.sequence(F.lit(0), F.col(count) - 1), make)
+    # Side 0 is the block x, side 1 the block y; a block that meets itself is there once.
+    outside = F.concat(
+        upto("rests", lambda i: F.when(i < F.col("own"), meet(False, i, F.col("own"), 1)).otherwise(meet(False, F.col("own"), i, 0))),
+        upto("mains", lambda j: meet(True, F.col("own"), j, 0)),
+    )
+    meetings = dealt.withColumn("own", own).select(
+        "family", "node", "component", "n", "hist",
+        F.explode(F.when(F.col("inside"), upto("rests", lambda i: meet(True, i, F.col("own"), 1))).otherwise(outside)).alias("at"),
+    ).select("family", "node", "component", "n", "hist", "at.*")
+
+    def compare(table: pa.Table) -> pa.Table:
+        sides = [table.filter(pc.equal(table["side"], side)) for side in (0, 1)]
+        same = not table["with_main"][0].as_py() and table["x"][0] == table["y"][0]
+        return _block_pairs(sides[0], sides[0] if same else sides[1], same)
+
+    return meetings.groupBy("family", "with_main", "x", "y").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 def _both_ends(pairs: DataFrame) -> DataFrame:
@@ -264,19 +349,24 @@ def groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     pick = lambda c: together.select(F.col(c).alias("a"), F.col("node").alias("b")).where("a < b")
     tried = staged(pick("least").unionByName(pick("before")).distinct(), "tried")
     known = every.select("doc_id", "n", "hist").where("n > 0").distinct()
-    first = _verified(docs, tried, known, kind).unionByName(ties)
+    first = _verified(docs, _possible(tried, known, kind), kind).unionByName(ties)
 
     # Signatures whose nodes are in different components still: every pair between components.
     found = staged(components(first), "components")
     member = together.select("sig", "node").distinct().join(found, "node", "left").select(
         "sig", "node", F.coalesce("component", "node").alias("component")
     )
-    apart = member.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    open_ = staged(member.join(apart.select("sig"), "sig"), "open")
-    left = open_.select("sig", F.col("node").alias("a"), F.col("component").alias("x"))
-    right = open_.select("sig", F.col("node").alias("b"), F.col("component").alias("y"))
-    rest = left.join(right, "sig").where("a < b and x <> y").select("a", "b").distinct()
-    second = _verified(docs, rest.join(tried, ["a", "b"], "left_anti"), known, kind)
+    apart = member.groupBy("sig").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("nodes")
+    ).where("x < y").select("sig", "nodes")
+    open_ = staged(member.join(staged(apart, "apart"), "sig"), "open")
+    few = open_.where(F.col("nodes") <= GROUP)
+    left = few.select("sig", F.col("node").alias("a"), F.col("component").alias("x"))
+    right = few.select("sig", F.col("node").alias("b"), F.col("component").alias("y"))
+    pairs = left.join(right, "sig").where("a < b and x <> y").select("a", "b").distinct()
+    rest = _possible(pairs.join(tried, ["a", "b"], "left_anti"), known, kind)
+    many = _family_pairs(open_.where(F.col("nodes") > GROUP), known, kind)
+    second = _verified(docs, rest.unionByName(many.join(tried, ["a", "b"], "left_anti")).distinct(), kind)
 
     final = components(first.unionByName(second))
     placed = measured.join(classes.select("d1", "d2", "node"), ["d1", "d2"], "left").join(final, "node", "left")

@@ -67,6 +67,18 @@ def test_like_all_pairs(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [k for k, _, c in expected if k == c]
 
 
+def test_large_families_by_blocks(spark, monkeypatch):
+    """With tiny limits every open group goes by blocks; families hold several components."""
+    monkeypatch.setattr(jj, "GROUP", 2)
+    monkeypatch.setattr(jj, "BLOCK_NODES", 5)
+    rng = random.Random(4)
+    docs = [d for f in range(3) for d in family(rng, 100 * f, 40, 40 + 90 * f, 4 + 8 * f)]
+    # A long text and a shorter one whose histograms have different numbers of ranges.
+    docs += [(900, " ".join(f"v{i}" for i in range(102))), (901, " ".join(f"v{i}" for i in range(80))), (902, " ".join(f"v{i}" for i in range(20, 102)))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert ours(df) == brute(docs)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_linking_sets_share_a_signature(seed):
     rng = np.random.default_rng(seed)
