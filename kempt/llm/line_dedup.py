@@ -129,6 +129,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     interval = ["size", "head", "foot"]
     place = F.struct(*DOC, "pos")
     firsts = named.groupBy(*interval).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    # Written, so that both sides of the join are dealt for it alone and the engine can split a hot interval.
+    firsts = staged(firsts.select(*interval, "first"), "firsts")
     later = named.join(firsts, interval).where(place > F.col("first"))
     spans = later.groupBy(*DOC).agg(
         F.sort_array(F.collect_set(F.struct(F.col("pos").alias("first"), (F.col("pos") + F.col("size")).alias("end")))).alias("spans")
