@@ -82,8 +82,8 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def histogram(shingled: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each of about a third as many ranges (a power of two)."""
-    bits = max(5, (len(shingled) // 3).bit_length())
+    """How many shingles fall into each of one to two times as many ranges (a power of two)."""
+    bits = max(5, len(shingled).bit_length())
     counts = np.bincount((shingled >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(counts, 255).astype(np.uint8)
 
