@@ -39,7 +39,7 @@ WORD_START = re.compile("(?= [A-Za-zÀ-ÖØ-öø-ɏ])")
 
 NONE = np.int64(1) << 60
 ROW_WIDTH = 32          # longer pieces go through the tree one by one
-REMEMBERED = 300_000    # words in a worker's table
+REMEMBERED = 100_000    # words in a worker's table
 ROWS_IN_TREE = 2_048    # pieces side by side
 ROWS_AT_ONCE = 400
 
@@ -289,11 +289,15 @@ def decode(ids: list[int], path: str) -> str:
     return b"".join(known[i] for i in ids if i in known).decode("utf-8", "replace")
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Row blocks of a batch that hold few rows and little text, so that memory stays bounded."""
-    keys, texts = batch.column("doc_id"), batch.column("text")
-    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-        yield keys.slice(at, ROWS_AT_ONCE), [t or "" for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
+def _blocks(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Blocks of few rows, so that memory stays bounded; the table of words is emptied when the task ends."""
+    try:
+        for batch in batches:
+            keys, texts = batch.column("doc_id"), batch.column("text")
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield keys.slice(at, ROWS_AT_ONCE), [t or "" for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
+    finally:
+        vocab.known.clear()
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -302,14 +306,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
-            for keys, texts in _blocks(batch):
-                rows = [(b"".join([e[0] for e in row]), b"".join([e[2] for e in row])) for row in vocab.encode(texts)]
-                yield pa.record_batch({
-                    "doc_id": keys,
-                    "ids": pa.array([[int(i) for i in ids.split(b",")[:-1]] for ids, _ in rows], pa.list_(pa.int32())),
-                    "decoded": pa.array([b.decode("utf-8", "replace") for _, b in rows], pa.string()),
-                })
+        for keys, texts in _blocks(batches, vocab):
+            rows = [(b"".join([e[0] for e in row]), b"".join([e[2] for e in row])) for row in vocab.encode(texts)]
+            yield pa.record_batch({
+                "doc_id": keys,
+                "ids": pa.array([[int(i) for i in ids.split(b",")[:-1]] for ids, _ in rows], pa.list_(pa.int32())),
+                "decoded": pa.array([b.decode("utf-8", "replace") for _, b in rows], pa.string()),
+            })
 
     return map_texts(docs.select("doc_id", F.col("text")), f"doc_id {kind}, ids array<int>, decoded string", work)
 
@@ -321,17 +324,16 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         sha = lambda data: hashlib.sha256(data).hexdigest()
-        for batch in batches:
-            for keys, texts in _blocks(batch):
-                counts, ids, decoded = [], [], []
-                for row in vocab.encode(texts):
-                    counts.append(sum(e[1] for e in row))
-                    ids.append(sha(b"".join([e[0] for e in row])[:-1]))
-                    decoded.append(sha(b"".join([e[2] for e in row]).decode("utf-8", "replace").encode()))
-                yield pa.record_batch({
-                    "doc_id": keys, "n_tokens": pa.array(counts, pa.int64()),
-                    "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(decoded, pa.string()),
-                })
+        for keys, texts in _blocks(batches, vocab):
+            counts, ids, decoded = [], [], []
+            for row in vocab.encode(texts):
+                counts.append(sum(e[1] for e in row))
+                ids.append(sha(b"".join([e[0] for e in row])[:-1]))
+                decoded.append(sha(b"".join([e[2] for e in row]).decode("utf-8", "replace").encode()))
+            yield pa.record_batch({
+                "doc_id": keys, "n_tokens": pa.array(counts, pa.int64()),
+                "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(decoded, pa.string()),
+            })
 
     return map_texts(
         docs.select("doc_id", F.col("text")),

@@ -190,5 +190,5 @@ def keep_clean(
                 clean = [not matcher.matches(t.as_py()) for t in batch.column("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(work, docs.schema)
+        docs = map_texts(docs, docs.schema, work)
     return docs

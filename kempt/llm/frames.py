@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..operators.staging import staged
 
+ROWS_AT_ONCE = 1_000
+
 __all__ = ["documents", "free", "map_texts", "staged", "text_of", "texts"]
 
 
@@ -37,5 +39,14 @@ def free(label: str) -> str:
 def map_texts(
     df: DataFrame, schema: T.StructType | str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
-    """``mapInArrow`` over the rows of ``df``: each task streams its batches through ``work``."""
-    return df.mapInArrow(work, schema)
+    """``mapInArrow`` over the rows of ``df``: each task streams its batches, cut small, through ``work``.
+
+    Workers live on between tasks and stages, so a task gives back what its allocator holds.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

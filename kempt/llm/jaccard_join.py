@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .frames import free, staged
+from .frames import free, map_texts, staged
 
 WORDS = 5
 COMMON = 50_000          # shingles on the list of common ones
@@ -49,7 +49,7 @@ LEAST_PARTS = 64
 GROUP = 32               # nodes of one signature whose pairs are joined
 BLOCK_NODES = 512
 BROADCAST_ROWS = 500_000
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
 
 _MULTIPLIERS = [np.uint64(m) for m in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
@@ -168,7 +168,7 @@ def _measured(docs: DataFrame, kind: str) -> DataFrame:
                 })
 
     schema = f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, hist binary, common array<bigint>, times array<bigint>"
-    return docs.mapInArrow(work, schema)
+    return map_texts(docs, schema, work)
 
 
 def _common(measured: DataFrame) -> np.ndarray:
@@ -198,7 +198,7 @@ def _signed(docs: DataFrame, kind: str, common: np.ndarray) -> DataFrame:
                     "node": batch.column("doc_id").take(pa.array(owner)),
                 })
 
-    return docs.mapInArrow(work, f"sig bigint, node {kind}")
+    return map_texts(docs, f"sig bigint, node {kind}", work)
 
 
 def _sides(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:

@@ -207,4 +207,4 @@ def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
             rejected = _identify(model, batch.column("text").to_pylist())[2]
             yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_texts(docs, docs.schema, work)

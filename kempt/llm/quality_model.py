@@ -36,7 +36,7 @@ LENGTH = 4.0
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 SAME = 1                 # the place of a pair of equal words
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
 _numbers: dict[str, int] = {}
 
 
