@@ -1,15 +1,17 @@
 """Quality rules whose cutoffs are chosen so that few clean documents can be lost.
 
 Base measures of a text are counted exactly over its whole length. Each rule compares a ratio of them with a cutoff.
-Cutoffs are not set by hand: labelled clean documents (quality 1) are a holdout on which, per stratum, every cutoff of
-a fixed grid is judged by an exact binomial (Clopper-Pearson) upper bound on the share of clean documents that it
-rejects. The bounds hold together: the error probability is divided by the number of strata, rules and cutoffs
-(Bonferroni), and the allowed share is divided among the rules, so that all rules together reject at most ``loss`` of
-a stratum's clean documents with probability 1 - ``error``. Of the certified cutoffs the one that rejects most bad (label
-0) over clean documents is used; where labels are too few to certify any, or no bad one would go, the rule stays off in
-that stratum. Strata are bands of the word count, a fixed number whatever the data.
-
-Measuring streams through ``mapInArrow``; what reaches the driver is one count per stratum, rule and cutoff.
+Cutoffs are not set by hand: labelled clean documents (quality 1) are a holdout on which sets of cutoffs are judged, per
+stratum, by an exact binomial (Clopper-Pearson) upper bound on the share of clean documents that the whole set rejects.
+The sets form one sequence that is fixed before any label is seen, from loosest to strictest, each one tightening
+one rule of the set before: first the ``GROSS`` loosest cutoffs of every rule, then rule by rule to its strictest. A
+stratum walks it until the first set whose bound at ``error`` / strata exceeds ``loss``. No set behind a failed one is
+used, so the sets of a stratum need no further division of the error: all rules together reject at most ``loss`` of
+each stratum's clean documents with probability 1 - ``error``. Of the certified sets the one that rejects most bad (label
+0) over clean documents is used, without rules that reject no bad one; where labels are too few (with the defaults,
+under 217 clean ones), or no bad one would go, all rules stay off in that stratum. Strata are bands of the word count, a fixed number whatever the data.
+
+Measuring streams through ``mapInArrow``; what reaches the driver is one row of counts per stratum and set.
 
 Defined results: a null or empty text has no words, fails the base rule and is not kept; a document with conflicting
 labels counts with the lowest; null labels are left out; repeated rows give equal rows; an empty table stays empty;
@@ -37,6 +39,7 @@ MIN_WORDS = 50
 STRATA = (100, 250, 1000)       # word counts that part the strata
 LOSS = 0.02
 ERROR = 0.05
+GROSS = 2                       # so many cutoffs of each rule come before any rule's stricter ones
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -145,6 +148,14 @@ def upper_bound(rejected: int, clean: int, error: float) -> float:
     return high
 
 
+def sequence(every: Sequence[Rule]) -> list[tuple[Rule, float]]:
+    """The steps of the walk: each sets one rule's cutoff and leaves the others where they are."""
+    # Prose seldom holds symbols or extreme words; clean lists, forms and songs do repeat themselves, so they come last.
+    order = ("symbols", "long_words", "short_words", "repeats", "dup_lines")
+    loose = [(r, sorted(r.cutoffs, reverse=True)) for r in sorted(every, key=lambda r: order.index(r.name))]
+    return [(r, c) for part in (slice(GROSS), slice(GROSS, None)) for r, cutoffs in loose for c in cutoffs[part]]
+
+
 def certify(
     measured: DataFrame, labels: DataFrame, bands: Sequence[int] = STRATA, loss: float = LOSS, error: float = ERROR
 ) -> dict[tuple[int, str], float]:
@@ -153,24 +164,34 @@ def certify(
         labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null"), "doc_id"
     )
     every = rules()
+    steps = sequence(every)
     good = F.col("quality") == 1
-    counts = judged.groupBy(stratum(bands).alias("stratum")).agg(
-        F.count_if(good).alias("clean"),
-        *[F.count_if(good & (r.value > c)).alias(f"{r.name}_{i}") for r in every for i, c in enumerate(r.cutoffs)],
-        *[F.count_if(~good & (r.value > c)).alias(f"{r.name}_{i}_bad") for r in every for i, c in enumerate(r.cutoffs)],
-    )
-    tests = (len(bands) + 1) * sum(len(r.cutoffs) for r in every)
+    # Sets are nested: a document goes at the first step that any rule rejects it at, and from then on.
+    first = {
+        r.name: F.least(*[F.when(r.value > c, at).otherwise(len(steps)) for at, (s, c) in enumerate(steps) if s.name == r.name])
+        for r in every
+    }
+    counts = judged.select(stratum(bands).alias("stratum"), good.alias("good"), *[c.alias(n) for n, c in first.items()])
+    rows = counts.groupBy("stratum", F.least(*first).alias("step")).agg(
+        F.count_if("good").alias("clean"), F.count_if(~F.col("good")).alias("bad"),
+        *[F.min(F.when(~F.col("good"), F.col(n))).alias(n) for n in first],
+    ).collect()
     chosen = {}
-    for row in counts.collect():
-        for r in every:
-            allowed = _most_allowed(row["clean"], loss / len(every), error / tests)
-            # Among certified cutoffs the one with most bad over clean rejections; of equals, the loosest.
-            gains = [
-                (row[f"{r.name}_{i}_bad"] - row[f"{r.name}_{i}"], c)
-                for i, c in enumerate(r.cutoffs) if row[f"{r.name}_{i}"] <= allowed
-            ]
-            if gains and max(gains)[0] > 0:
-                chosen[row["stratum"], r.name] = max(gains)[1]
+    for level in sorted({r["stratum"] for r in rows}):
+        own = {r["step"]: r for r in rows if r["stratum"] == level}
+        allowed = _most_allowed(sum(r["clean"] for r in own.values()), loss, error / (len(bands) + 1))
+        clean = bad = gain = 0
+        best = -1
+        for at in range(len(steps)):
+            if at in own:
+                clean, bad = clean + own[at]["clean"], bad + own[at]["bad"]
+            if clean > allowed:
+                break
+            # Of equals, the loosest.
+            if bad - clean > gain:
+                best, gain = at, bad - clean
+        needed = {r.name for r in every if any(x[r.name] is not None and x[r.name] <= best for x in own.values())}
+        chosen |= {(level, r.name): float(c) for r, c in steps[:best + 1] if r.name in needed}
     return chosen
 
 

@@ -88,3 +88,42 @@ def test_without_labels_only_the_base_rule_rejects(spark):
     rows = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in rr.judge(df, none).collect()}
     assert rows == {1: (True, False), 2: (False, True)}
     assert rr.judge(df.limit(0), none).collect() == []
+
+
+def marked(first, count, symbols):
+    """Texts of 60 words of five characters, the first ``symbols`` of them with a symbol."""
+    word = lambda i, k: f"{'#' if k < symbols else 'w'}{(i * 61 + k) % 9000 + 1000}"
+    return [(i, " ".join(word(i, k) for k in range(60))) for i in range(first, first + count)]
+
+
+@pytest.mark.parametrize("clean, certified", [(216, False), (217, True)])
+def test_few_clean_labels_certify(spark, clean, certified):
+    """Rules are on from 217 clean labels in a stratum (0.98^217 < 0.05 / 4), and kept shows it."""
+    good, bad = marked(0, clean + 20, 0), marked(1000, 40, 24)
+    df = spark.createDataFrame(good + bad, "doc_id bigint, text string")
+    labels = spark.createDataFrame(
+        [(i, 1) for i, _ in good[:clean]] + [(i, 0) for i, _ in bad[:20]], "doc_id bigint, quality int"
+    )
+    assert (rr.certify(rr.measure(df), labels) == {(0, "symbols"): 0.075}) == certified
+    rows = {r["doc_id"]: (r["kept"], r["failed"]) for r in rr.judge(df, labels).collect()}
+    assert rows == {
+        **{i: (True, []) for i, _ in good},
+        **{i: (False, ["symbols"]) if certified else (True, []) for i, _ in bad},
+    }
+
+
+def test_walk_is_nested_and_stops_at_the_first_failure(spark):
+    every = rr.rules()
+    steps = rr.sequence(every)
+    assert sorted((r.name, c) for r, c in steps) == sorted((r.name, c) for r in every for c in r.cutoffs)
+    for r in every:
+        own = [c for s, c in steps if s.name == r.name]
+        assert own == sorted(own, reverse=True)
+    # 4 % of the clean documents have symbols over 0.1: that set fails, so no stricter one is used, though many bad go.
+    good, bad = marked(0, 288, 0) + marked(500, 12, 33), marked(1000, 30, 24) + marked(2000, 20, 60)
+    df = spark.createDataFrame(good + bad, "doc_id bigint, text string")
+    labels = df.selectExpr("doc_id", "int(doc_id < 1000) as quality")
+    chosen = rr.certify(rr.measure(df), labels)
+    assert chosen == {(0, "symbols"): 0.15}
+    kept = {r["doc_id"] for r in rr.judge(df, labels).where("kept").collect()}
+    assert kept == {i for i, _ in good} | {i for i, _ in bad[:30]}
