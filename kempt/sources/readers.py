@@ -19,6 +19,11 @@ FORMATS = {"csv": "csv", "json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "p
 # Fixed value: the text of a missing cell in CSV files.
 CSV_MISSING = "NA"
 
+# A line whose cells all end on it: quoted ones close before a comma or the end, others do not start with a quote.
+# Possessive, so that long lines need no stack.
+CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|)'
+WHOLE_LINE = rf"\A{CELL}(?:,{CELL})*+\z"
+
 
 def load_table(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
     """Read a file or a folder of files. ``fmt`` overrides the extension of ``path``."""
@@ -47,7 +52,7 @@ def read_csv(
     Types are inferred (numbers and booleans; dates stay text) unless a schema is given, which saves a pass; then a cell
     that is not missing and does not fit its type is an error. All files must have the same header. Short rows are
     filled with missing cells; rows with more cells than the header are an error. ``multi_line=None`` looks in which
-    files some quoted cell spans lines: only those are read by one task each, the others are split over many tasks.
+    files a quoted cell may span lines: only those are read by one task each, the others are split over many tasks.
     """
     header = _same_header(spark, path)
     if multi_line is None:
@@ -121,19 +126,18 @@ def _same_header(spark: SparkSession, path: str) -> list[str] | None:
 
 
 def _spanning_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files in which some quoted cell spans lines, and the others. The names are those the reader itself has listed.
+    """Files in which a quoted cell may span lines, and the others. The names are those the reader itself has listed.
 
-    A line with an odd number of quotes opens or closes such a cell, so a file that has them has an even number of such
-    lines; a lone stray quote does not make one.
+    Where every line, taken for itself, ends all its cells, each line starts a record, so none spans lines; stray quotes
+    inside unquoted cells do not matter. Any other file is read whole, which keeps all cells together.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = _lines(spark, path).where(quotes % 2 == 1).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    unsure = F.col("value").contains('"') & ~F.col("value").rlike(WHOLE_LINE)
+    marked = _lines(spark, path).where(unsure).select("file").distinct()
     every = spark.read.text(path).inputFiles()
-    if odd.where("n % 2 = 0").limit(1).count() == 0:
+    spanning = [r["file"] for r in marked.collect()]
+    if not spanning:
         return [], every
     # Both lists name files as the metadata column does.
-    marked = odd.where("n % 2 = 0").select("file")
-    spanning = [r["file"] for r in marked.collect()]
     plain = _lines(spark, path).select("file").distinct().join(marked, "file", "left_anti")
     return spanning, [r["file"] for r in plain.collect()]
 

@@ -691,14 +691,22 @@ def chain_refit(spark, folder):
 
 @query
 def src_csv_files(spark, folder):
-    """Three kinds of files in one read: plain ones, some with cells over two lines, some with a stray quote."""
+    """Plain files, some with cells over two lines, some with a stray quote, and one with a cell and a quote of these."""
     path = new_path(spark, "parts")
     parts = table(spark, folder, "part")
+    mixed = F.col("p_partkey").isin(1, 2)
     for k, (name, ending, options) in enumerate((
         ("plain", "", {}), ("spanning", "\nmore", {}), ("stray", ' 5" pipe', {"quote": "\u0000"}),
     )):
-        some = parts.where(f"p_partkey % 3 = {k}").select("p_partkey", F.concat("p_name", F.lit(ending)).alias("p_name"))
+        some = parts.where((F.col("p_partkey") % 3 == k) & ~mixed)
+        some = some.select("p_partkey", F.concat("p_name", F.lit(ending)).alias("p_name"))
         some.write.csv(f"{path}/{name}", header=True, escape='"', **options)
+    cell = F.when(F.col("p_partkey") == 1, F.concat(F.lit('"'), "p_name", F.lit('\nmore"'))).otherwise(
+        F.concat("p_name", F.lit(' 5" pipe'))
+    )
+    lines = F.sort_array(F.collect_list(F.concat_ws(",", F.col("p_partkey").cast("string"), cell)))
+    header = F.lit("p_partkey,p_name")
+    parts.where(mixed).agg(F.concat_ws("\n", header, lines)).write.text(f"{path}/mixed")
     return read_csv(spark, f"{path}/*").withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from kempt import load_table, write_csv
+from kempt.sources import readers
 from kempt.sources.readers import read_csv, read_json
 from kempt.sources.samples import sample_name
 from kempt.sources.writers import dated_name
@@ -55,6 +56,28 @@ def test_csv_files_of_a_folder(spark, tmp_path):
         read_csv(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("lines, expected", [
+    # One spanning cell and one stray quote: three lines with an odd number of quotes.
+    (['1,"two', 'lines"', '2,5" pipe'], [(1, "two\nlines"), (2, '5" pipe')]),
+    (['2,5" pipe', '1,"two', 'lines"'], [(1, "two\nlines"), (2, '5" pipe')]),
+    # Every line with an even number of quotes.
+    (['5" x,"two', 'lines"', '7,5" y'], [('5" x', "two\nlines"), ("7", '5" y')]),
+    (['1,"two', '""more"" lines', '3"'], [(1, 'two\n"more" lines\n3')]),
+    (['5" x,"two', '3"" lines"', '7,z'], [('5" x', 'two\n3" lines'), ("7", "z")]),
+])
+def test_csv_spanning_cells_beside_stray_quotes(spark, tmp_path, lines, expected):
+    save(tmp_path / "a.csv", "\n".join(["a,b", *lines, ""]))
+    assert sorted(rows(read_csv(spark, str(tmp_path)))) == expected
+
+
+def test_csv_files_that_stay_splittable(spark, tmp_path):
+    save(tmp_path / "a.csv", 'a,b\n1,5" pipe\n2,6" pipe\n"3","x, ""y"""\n,""\n4,""""\n' + f'5,"{"long " * 50_000}"\n')
+    save(tmp_path / "b.csv", 'a,b\n1,"two\nlines"\n2,5" pipe\n')
+    spanning, plain = readers._spanning_files(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[-1] for f in spanning] == ["b.csv"] and [f.rsplit("/", 1)[-1] for f in plain] == ["a.csv"]
+    assert read_csv(spark, str(tmp_path)).count() == 8
+
+
 def test_csv_rows_with_more_cells(spark, tmp_path):
     path = save(tmp_path / "a.csv", "a,b\n1,2\n3,4,5\n")
     for read in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("a").collect()):
