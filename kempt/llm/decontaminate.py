@@ -4,13 +4,14 @@ Both sides are lower-cased and runs of white space become one blank. An item of
 ``rate * m`` edits. Split into one more piece than that, an occurrence leaves some piece untouched: so all pieces of all
 items are searched at once (Aho-Corasick, one pass over each text), each hit names the stretch of text in which its
 item would have to lie, and Myers' bit-parallel edit distance (the item as one long bit vector) searches overlapping
-stretches once. No occurrence within the budget is missed, none beyond it is reported.
+stretches once. No occurrence within the budget is missed, none beyond it is reported. Items under ``min_chars``
+normalised characters, which edits would soon turn into other words, may occur only without edits and with whole words
+at both ends.
 
 The items are a stated query set. They are measured first and taken in blocks of at most about ``BLOCK_BYTES``; each
 block goes to all tasks and meets all documents in one streaming pass without a shuffle, so neither side need be small.
 
-Defined results: null or empty texts and items match nothing, nor do items under ``min_chars`` normalised characters;
-an item with several texts matches by its best one; repeated rows give equal rows; empty tables give an empty result;
+Defined results: null or empty texts and items match nothing; an item with several texts matches by its best one; repeated rows give equal rows; empty tables give an empty result;
 extra columns are left out (``keep_clean`` returns all columns of its input).
 """
 
@@ -35,12 +36,17 @@ def normalized(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def _in_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
 class Pattern:
     """One item: its error budget, and the masks that say where each character stands in it."""
 
-    def __init__(self, item_id: object, text: str, rate: float) -> None:
+    def __init__(self, item_id: object, text: str, rate: float, min_chars: int) -> None:
         self.item_id, self.text, self.size = item_id, text, len(text)
-        self.budget = int(rate * len(text))
+        self.exact = len(text) < min_chars
+        self.budget = 0 if self.exact else int(rate * len(text))
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
@@ -51,6 +57,13 @@ class Pattern:
         cuts = [self.size * i // n for i in range(n + 1)]
         return ((a, self.text[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
+    def whole_at(self, text: str, start: int) -> bool:
+        """Whether the item, standing at ``start``, does not cut a word of the text at either end."""
+        end = start + self.size
+        return not (start and _in_word(text[start - 1]) and _in_word(text[start])) and not (
+            end < len(text) and _in_word(text[end - 1]) and _in_word(text[end])
+        )
+
     def search(self, text: str) -> tuple[int, int]:
         """The least edit distance between the item and any part of ``text``, and where such a part ends first."""
         found = text.find(self.text)
@@ -81,8 +94,8 @@ class Pattern:
 class Matcher:
     """All items of a block."""
 
-    def __init__(self, items: tuple[tuple[object, str], ...], rate: float) -> None:
-        self.patterns = [Pattern(i, t, rate) for i, t in items]
+    def __init__(self, items: tuple[tuple[object, str], ...], rate: float, min_chars: int) -> None:
+        self.patterns = [Pattern(i, t, rate, min_chars) for i, t in items]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, pattern in enumerate(self.patterns):
             for at, piece in pattern.pieces():
@@ -97,7 +110,11 @@ class Matcher:
         starts: dict[int, set[int]] = {}
         for last, (size, where) in self.pieces.iter(text):
             for number, at in where:
-                starts.setdefault(number, set()).add(last + 1 - size - at)
+                start = last + 1 - size - at
+                if not self.patterns[number].exact:
+                    starts.setdefault(number, set()).add(start)
+                elif number not in starts and self.patterns[number].whole_at(text, start):
+                    starts[number] = {start}
         for number, found in starts.items():
             pattern, begin, end = self.patterns[number], None, 0
             for start in sorted(found):
@@ -123,21 +140,21 @@ class Matcher:
 
 
 @lru_cache(maxsize=2)
-def _matcher(items: tuple[tuple[object, str], ...], rate: float) -> Matcher:
+def _matcher(items: tuple[tuple[object, str], ...], rate: float, min_chars: int) -> Matcher:
     """One per Python worker and block."""
-    return Matcher(items, rate)
+    return Matcher(items, rate, min_chars)
 
 
-def item_blocks(items: DataFrame, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple]:
+def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple]:
     """The items as (id, normalised text), in blocks of bounded size; each block is fetched when it is its turn."""
-    distinct = items.where(F.length("text") >= min_chars).select("item_id", "text").distinct()
+    distinct = items.where(F.length("text") > 0).select("item_id", "text").distinct()
     total = distinct.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = -(-total // block_bytes)
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = distinct.where(number == block).collect()
         found = ((r["item_id"], normalized(r["text"])) for r in rows)
-        kept = sorted({(i, t) for i, t in found if len(t) >= min_chars}, key=lambda it: (it[1], str(it[0])))
+        kept = sorted({(i, t) for i, t in found if t}, key=lambda it: (it[1], str(it[0])))
         if kept:
             yield tuple(kept)
 
@@ -152,11 +169,11 @@ def find(
     rows = docs.select("doc_id", F.col("text"))
     out = docs.sparkSession.createDataFrame([], schema)
 
-    for block in item_blocks(items, min_chars, block_bytes):
+    for block in item_blocks(items, block_bytes):
         shared = context.broadcast(block)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(shared.value, rate)
+            matcher = _matcher(shared.value, rate, min_chars)
             for batch in batches:
                 places, found = [], []
                 for at, text in enumerate(batch.column("text")):
@@ -181,11 +198,11 @@ def keep_clean(
     docs: DataFrame, items: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The rows of ``docs``, all columns as they are, in which no item occurs."""
-    for block in item_blocks(items, min_chars, block_bytes):
+    for block in item_blocks(items, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(shared.value, rate)
+            matcher = _matcher(shared.value, rate, min_chars)
             for batch in batches:
                 clean = [not matcher.matches(t.as_py()) for t in batch.column("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))

@@ -94,3 +94,16 @@ def test_query_finds_every_whole_item(spark, folder):
     # Those with edits, and a number of short documents, by the plain search.
     some = [r for r in docs if len(r[1]) < 450][:15] + [r for r in docs if any(k[0] == r[0] and found[k] for k in found)][:3]
     assert {k: v for k, v in found.items() if k[0] in dict(some)} == brute(some, items)
+
+
+def test_short_items_occur_exactly_as_whole_words(spark):
+    items = [(1, "What is  2+2?"), (2, "capital of Peru"), (3, " "), (4, "a" * 31), (5, "b" * 32)]
+    docs = [
+        (1, "so WHAT\nis 2+2?yes"), (2, "what is 2+3?"), (3, "the capital of peru."), (4, "capital of peruvians"),
+        (5, "xcapital of peru, then the capital of Peru"), (6, "a" * 31), (7, "a" * 30), (8, "a" * 32), (9, "b" * 31), (10, ""),
+    ]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = {(1, 1, 0, 15), (3, 2, 0, 19), (5, 2, 0, 42), (6, 4, 0, 31), (9, 5, 1, 31)}
+    assert set(map(tuple, dc.find(d, i).collect())) == expected
+    assert {r["doc_id"] for r in dc.keep_clean(d, i).collect()} == {k for k, _ in docs} - {k for k, *_ in expected}
