@@ -3,7 +3,7 @@
 Base measures of a text are counted exactly over its whole length. Each rule compares a ratio of them with a cutoff.
 Cutoffs are not set by hand: labelled clean documents (quality 1) are a holdout on which sets of cutoffs are judged, per
 stratum, by an exact binomial (Clopper-Pearson) upper bound on the share of clean documents that the whole set rejects.
-The sets form one sequence that is fixed before any label is seen, from loosest to strictest, each one tightening
+The sets form one sequence that is the same for all tables, from loosest to strictest, each one tightening
 one rule of the set before: first the ``GROSS`` loosest cutoffs of every rule, then rule by rule to its strictest. A
 stratum walks it until the first set whose bound at ``error`` / strata exceeds ``loss``. No set behind a failed one is
 used, so the sets of a stratum need no further division of the error: all rules together reject at most ``loss`` of
