@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import new_path
-from . import bpe, decontaminate, jaccard_join, language, line_dedup, pii, quality_model, risk_rules, shard_tree, warc
-from .frames import documents
+from . import (
+    bpe, decontaminate, jaccard_join, language, line_dedup, periodic, pii, quality_model, risk_rules, shard_tree, warc,
+)
+from .frames import documents, map_texts
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -117,3 +121,44 @@ def op9_decontaminate(spark, folder):
 @query
 def op10_jaccard_join(spark, folder):
     return jaccard_join.groups(documents(spark, folder))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: about every tenth text ends with copies of a block of its words; a null key's stays as it is.
+
+    Which text, where the copies start and how long the block is follow from the key alone.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def changed(key, text: str | None) -> str | None:
+        h = zlib.crc32(str(key).encode())
+        if key is None or h % 10:
+            return text
+        words = periodic.words_of(text)
+        if not words:
+            return text
+        first, left = h // 10 % len(words), len(words) - h // 10 % len(words)
+        block = words[first:first + 1 + left // (3 + h // 10 % 8)]
+        copies = (block * (left // len(block) + 1))[:left]
+        return b" ".join(words[:first] + copies).decode()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "text": pa.array([changed(k, t) for k, t in pairs], pa.string()),
+            })
+
+    return map_texts(docs.select("doc_id", "text"), f"doc_id {kind}, text string", work)
+
+
+@query
+def op13_periodic(spark, folder):
+    found = periodic.find(repeating(documents(spark, folder)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
