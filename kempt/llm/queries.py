@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.staging import new_path
 from . import (
     bpe, decontaminate, jaccard_join, language, line_dedup, periodic, pii, quality_model, risk_rules, shard_tree, warc,
+    whitening,
 )
 from .frames import documents, map_texts
 
@@ -162,3 +163,11 @@ def op13_periodic(spark, folder):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_whitening(spark, folder):
+    points = whitening.on_grid(documents(spark, folder, "embeddings"), "vec_id", "embedding", scale=64, offset=1_000_000)
+    model = whitening.fit(points, components=32)
+    error = whitening.identity_error(points, model) if model else None
+    return whitening.apply(points, model, "vec_id").withColumn("identity_error", F.lit(error).cast("double"))
