@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.staging import new_path
 from . import (
-    bpe, decontaminate, jaccard_join, language, line_dedup, periodic, pii, quality_model, risk_rules, shard_tree, warc,
+    bpe, byte_dedup, decontaminate, jaccard_join, language, line_dedup, periodic, pii, quality_model, risk_rules, shard_tree, warc,
     whitening,
 )
 from .frames import documents, map_texts
@@ -171,3 +171,12 @@ def op12_whitening(spark, folder):
     model = whitening.fit(points, components=32)
     error = whitening.identity_error(points, model) if model else None
     return whitening.apply(points, model, "vec_id").withColumn("identity_error", F.lit(error).cast("double"))
+
+
+@query
+def op11_suffix_dedup(spark, folder):
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
+    return byte_dedup.dedup(documents(spark, folder)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
