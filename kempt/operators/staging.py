@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="kempt-")
+_marked: set[str] = set()
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """This application's folder in the shared one that the cluster names in ``spark.checkpoint.dir``.
 
-    A local master without that setting (tests, laptops) gets a temporary folder;
-    on a cluster a machine-local folder would be wrong, so the setting is required.
+    Where that is not set (tests, laptops), it lies in the warehouse, which a cluster shares as well. What is left in it
+    goes when the driver ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{shared.rstrip('/')}/kempt-{spark.sparkContext.applicationId}"
+    if root not in _marked:
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        folder = jvm.org.apache.hadoop.fs.Path(root)
+        system = folder.getFileSystem(conf)
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        _marked.add(root)
+    return root
 
 
 _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
@@ -36,7 +35,7 @@ _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 @contextmanager
 def collecting() -> Iterator[list[str]]:
-    """The folders of tables staged inside the block, for their owner to release."""
+    """The folders made inside the block, for their owner to release."""
     paths: list[str] = []
     token = _owned.set(paths)
     try:
@@ -56,8 +55,31 @@ def release(spark: SparkSession, paths: Iterable[str]) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``staged(build())``; then what ``build`` itself has staged on the way is deleted.
+
+    Driver garbage is collected too: Spark deletes shuffle files when their plan is, and a long chain of steps would
+    otherwise hold those of all its steps on the executors' disks.
+    """
+    steps: list[str] = []
+    token = _owned.set(steps)
+    try:
+        built = build()
+    finally:
+        _owned.reset(token)
+    done = staged(built, label)
+    del built
+    release(spark, steps)
+    spark._jvm.System.gc()
+    return done
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -68,9 +90,6 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    owned = _owned.get()
-    if owned is not None:
-        owned.append(path)
     stored = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     stored.write.parquet(path)
     return spark.read.schema(stored.schema).parquet(path).toDF(*df.columns)
