@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.columns import col
 from .flatten import flatten
@@ -19,10 +22,16 @@ FORMATS = {"csv": "csv", "json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "p
 # Fixed value: the text of a missing cell in CSV files.
 CSV_MISSING = "NA"
 
-# A line whose cells all end on it: quoted ones close before a comma or the end, others do not start with a quote.
-# Possessive, so that long lines need no stack.
-CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|)'
+# A line read from the start of a record ends all its cells: quoted ones close, others do not start with a quote. What follows a
+# closing quote up to the comma belongs to its cell. Possessive, so that long lines need no stack.
+QUOTED_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
+CELL = rf'(?:"{QUOTED_REST}|[^",][^,]*+|)'
 WHOLE_LINE = rf"\A{CELL}(?:,{CELL})*+\z"
+# A line read from inside a quoted cell closes it, and ends all cells behind it.
+CLOSING_LINE = rf"\A{QUOTED_REST}(?:,{CELL})*+\z"
+
+# Fixed value: texts of numbers.
+NUMBER = r"\A[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|NaN|Inf(?:inity)?)\z"
 
 
 def load_table(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
@@ -37,10 +46,19 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None, **options
         case "jsonl":
             return read_json(spark, path, lines=True, **options)
         case "parquet":
-            return spark.read.parquet(path)
+            return spark.read.parquet(literal(spark, path))
     raise ValueError(f"unsupported file format {extension!r}; use one of {', '.join(FORMATS)}")
 
 
+def literal(spark: SparkSession, path: str) -> str:
+    """A path whose marks would be read as a pattern, escaped if a file or folder has exactly this name."""
+    if not re.search(r"[\\*?\[\]{}]", path):
+        return path
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = name.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path) if system.exists(name) else path
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -49,51 +67,74 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. ``NA`` is missing everywhere; a blank is missing except in text.
 
-    Types are inferred (numbers and booleans; dates stay text) unless a schema is given, which saves a pass; then a cell
-    that is not missing and does not fit its type is an error. All files must have the same header. Short rows are
-    filled with missing cells; rows with more cells than the header are an error. ``multi_line=None`` looks in which
-    files a quoted cell may span lines: only those are read by one task each, the others are split over many tasks.
+    Names are those of the header, repeated ones too. Types are inferred over all files at once (numbers and booleans; a
+    column without any value and dates are text) unless a schema is given, which saves a pass; then a cell that is not
+    missing and does not fit its type is an error. All files must have the same header. Short rows are filled with
+    missing cells; rows with more cells than the header are an error. Quoted cells may span lines. Files stay split over
+    many tasks, those with such cells too: there, lines are put together by ``_records``. ``multi_line=None`` looks for
+    them, a pass that reads lines only; False says that there are none, True that any file may have some.
     """
-    header = _same_header(spark, path)
-    if multi_line is None:
-        spanning, plain = _spanning_files(spark, path)
-    else:
-        spanning, plain = ([path], []) if multi_line else ([], [path])
-    parts = [(files, many) for files, many in ((plain, False), (spanning, True)) if files]
-    if not parts:
-        raise ValueError(f"there is no file in {path}")
-    read = lambda many: spark.read.options(header=True, escape='"', multiLine=many)
-    if schema is None:
-        guesses = [read(m).options(inferSchema=True, nullValue=CSV_MISSING).csv(f).schema for f, m in parts]
-        fields = [
-            T.StructField(same[0].name, _wider([f.dataType for f in same])) for same in zip(*[g.fields for g in guesses])
-        ]
-    else:
+    path = literal(spark, path)
+    headers, spanning = _surveyed(spark, path, multi_line)
+    records = None
+    if spanning or multi_line:
+        lines = _lines(spark, path)
+        records = _records(lines if multi_line else lines.where(F.col("file").isin(spanning)))
+    if records is not None:
+        headers |= {r["value"] for r in records.where("heading").select("value").distinct().limit(2).collect()}
+    names = {tuple(next(csv.reader(io.StringIO(h, newline="")), [])) for h in headers}
+    if len(names) > 1:
+        raise ValueError(f"the headers of the files in {path} differ: {' and '.join(sorted(map(repr, names))[:2])}")
+    if not names:
+        raise ValueError(f"there is no file with a line in {path}")
+    header = [n if n else f"_c{i}" for i, n in enumerate(names.pop())]
+    if schema is not None:
         # DDL text is turned into a schema by an empty table.
         fields = (spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema).fields
-        if header is not None and len(fields) != len(header):
+        if len(fields) != len(header):
             raise ValueError(f"the schema has {len(fields)} columns, the header {len(header)}")
-    names = [f"c{i}" for i in range(len(fields))]
+    places = [f"c{i}" for i in range(len(header))]
     # One column more: it is filled only where a row has more cells than the header.
-    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "beyond"]])
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*places, "beyond"]])
     # Blanks come back as null and NA as text; told apart here, per type.
-    cells = reduce(DataFrame.unionAll, [
-        read(m).options(nullValue="", emptyValue="", enforceSchema=True).schema(text).csv(f) for f, m in parts
-    ])
+    options = {"escape": '"', "nullValue": "", "emptyValue": ""}
+    parts = []
+    if not multi_line:
+        plain = spark.read.options(header=True, enforceSchema=True, **options).schema(text).csv(path)
+        parts.append(plain.where(~F.col("_metadata.file_path").isin(spanning)) if spanning else plain)
+    if records is not None:
+        body = records.where(~F.col("heading") & (F.trim("value") != ""))
+        parts.append(body.select(F.from_csv("value", ", ".join(f"{f.name} string" for f in text), options).alias("r")).select("r.*"))
+    cells = reduce(DataFrame.unionAll, parts)
     fits = F.when(F.col("beyond").isNull(), True).otherwise(
         F.raise_error(F.concat(F.lit("a CSV row has more cells than the header; the next one holds "), "beyond")).cast("boolean")
     )
+    cells = cells.where(fits)
     strict = schema is not None
-    return cells.where(fits).select(*[_cell(F.col(n), f, strict).alias(f.name) for n, f in zip(names, fields)])
-
-
-def _wider(kinds: list[T.DataType]) -> T.DataType:
-    """The type for the cells of a column whose files were guessed apart. Dates stay text."""
-    order = [T.IntegerType(), T.LongType(), T.DoubleType()]
-    if all(k in order for k in kinds):
-        return max(kinds, key=order.index)
-    keep = isinstance(kinds[0], (T.NumericType, T.BooleanType)) and all(k == kinds[0] for k in kinds)
-    return kinds[0] if keep else T.StringType()
+    if not strict:
+        fields = _inferred(cells, places, header)
+    return cells.select(*[_cell(F.col(n), f, strict).alias(f.name) for n, f in zip(places, fields)])
+
+
+def _inferred(cells: DataFrame, places: list[str], names: list[str]) -> list[T.StructField]:
+    """The narrowest type that all cells of a column fit, over all files: integer, long, double, boolean, else text."""
+    tests = {
+        T.IntegerType(): lambda c: c.rlike(r"\A[+-]?[0-9]+\z") & c.try_cast("int").isNotNull(),
+        T.LongType(): lambda c: c.rlike(r"\A[+-]?[0-9]+\z") & c.try_cast("bigint").isNotNull(),
+        T.DoubleType(): lambda c: c.rlike(NUMBER),
+        T.BooleanType(): lambda c: F.lower(c).isin("true", "false"),
+    }
+    counts = []
+    for n in places:
+        cell = F.trim(F.col(n))
+        value = F.when((cell != "") & (cell != CSV_MISSING), cell)
+        counts += [F.count(value).alias(f"{n}_n"), *[F.count_if(F.coalesce(test(value), F.lit(False))).alias(f"{n}_{k}")
+                                                    for k, test in enumerate(tests.values())]]
+    found = cells.agg(*counts).first()
+    kind = lambda n: next(
+        (t for k, t in enumerate(tests) if found[f"{n}_n"] and found[f"{n}_{k}"] == found[f"{n}_n"]), T.StringType()
+    )
+    return [T.StructField(name, kind(n)) for name, n in zip(names, places)]
 
 
 def _cell(c, field: T.StructField, strict: bool):
@@ -108,38 +149,91 @@ def _cell(c, field: T.StructField, strict: bool):
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, start, line``: the lines, the block of the file they were read from, and their order in it."""
     return spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
     )
 
 
-def _same_header(spark: SparkSession, path: str) -> list[str] | None:
-    """The names in the first lines of the files, which must be equal; None if there is no line."""
-    # The first block of a file is read by one task from its start, so its first line comes first.
-    first = _lines(spark, path).where("start = 0").groupBy("file").agg(F.first("value").alias("value"))
-    found = first.groupBy("value").agg(F.min("file").alias("file")).limit(2).collect()
-    if len(found) > 1:
-        raise ValueError(f"the headers of {found[0]['file']} and {found[1]['file']} differ")
-    if not found:
-        return None
-    return next(csv.reader([found[0]["value"]]), [])
-
-
-def _spanning_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files in which a quoted cell may span lines, and the others. The names are those the reader itself has listed.
+def _surveyed(spark: SparkSession, path: str, multi_line: bool | None) -> tuple[set[str], list[str]]:
+    """Up to two different first lines, and the files in which a quoted cell may span lines; by one pass over the lines.
 
     Where every line, taken for itself, ends all its cells, each line starts a record, so none spans lines; stray quotes
-    inside unquoted cells do not matter. Any other file is read whole, which keeps all cells together.
+    inside unquoted cells do not matter. First lines of files with spanning cells are not among those returned.
     """
+    if multi_line:
+        return set(), []
     unsure = F.col("value").contains('"') & ~F.col("value").rlike(WHOLE_LINE)
-    marked = _lines(spark, path).where(unsure).select("file").distinct()
-    every = spark.read.text(path).inputFiles()
-    spanning = [r["file"] for r in marked.collect()]
-    if not spanning:
-        return [], every
-    # Both lists name files as the metadata column does.
-    plain = _lines(spark, path).select("file").distinct().join(marked, "file", "left_anti")
-    return spanning, [r["file"] for r in plain.collect()]
+    first = F.min_by("value", F.when((F.col("start") == 0) & (F.trim("value") != ""), F.col("line")))
+    spans = F.lit(False) if multi_line is False else F.coalesce(F.bool_or(unsure), F.lit(False))
+    files = _lines(spark, path).groupBy("file").agg(first.alias("first"), spans.alias("spans"))
+    # One row per file with spanning cells and per different header.
+    found = files.groupBy("spans", F.when(F.col("spans"), F.col("file")).otherwise(F.col("first")).alias("what")).count().collect()
+    return {r["what"] for r in found if not r["spans"] and r["what"] is not None}, [r["what"] for r in found if r["spans"]]
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """``value, heading``: the records of files whose quoted cells may span lines, and whether they are a file's first.
+
+    Each line maps the state before it (outside or inside a quoted cell) to the state behind it. It either always leaves
+    the same state, or keeps it, or swaps it; so the state before a line follows from the last line that sets it and
+    the number of swaps since, first inside each block of a file, then over its blocks. So a large file is read by
+    many tasks. Only lines of records that span lines are put together; records of one line pass.
+    """
+    quotes = F.col("value").contains('"')
+    opens = quotes & ~F.col("value").rlike(WHOLE_LINE)                  # read from outside, the line ends inside
+    stays = ~quotes | ~F.col("value").rlike(CLOSING_LINE)               # read from inside, the line ends inside
+    marked = lines.select("value", "file", "start", "line", opens.alias("opens"), stays.alias("stays"))
+    before = Window.partitionBy("file", "start").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    upto = before.rowsBetween(Window.unboundedPreceding, 0)
+
+    def through(rows: DataFrame, window, suffix: str) -> list[Column]:
+        """The last state set in the window (null: none), and the swaps since, modulo 2."""
+        swaps = F.sum(F.when(F.col("swap"), 1).otherwise(0)).over(window)
+        last = F.max(F.when(F.col("set").isNotNull(), F.struct("order", "set", "swaps"))).over(window)
+        since = F.coalesce(swaps, F.lit(0)) - F.coalesce(last["swaps"], F.lit(0))
+        return [last["set"].alias(f"set{suffix}"), (since % 2 == 1).alias(f"swapped{suffix}")]
+
+    # At a line that sets the state, the swaps counted are those before it.
+    swap = F.col("opens") & ~F.col("stays")
+    counted = marked.select(
+        "*", swap.alias("swap"), F.when(F.col("opens") == F.col("stays"), F.col("opens")).alias("set"), F.col("line").alias("order"),
+        F.coalesce(F.sum(F.when(swap, 1).otherwise(0)).over(before), F.lit(0)).alias("swaps"),
+    )
+    state = counted.select("*", *through(counted, before, "_before"), *through(counted, upto, "_after"))
+    blocks = state.groupBy("file", "start").agg(
+        F.max_by(F.struct(F.col("set_after").alias("set"), F.col("swapped_after").alias("swap")), "line").alias("m")
+    ).select("file", "start", "m.set", F.when(F.col("m.set").isNull(), F.col("m.swap")).otherwise(False).alias("swap"),
+             F.col("m.swap").alias("also"), F.col("start").alias("order"))
+    # A block that sets the state leaves what it sets, swapped or not.
+    blocks = blocks.withColumn("set", F.col("set") != F.col("also"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("swaps", F.coalesce(F.sum(F.when(F.col("swap"), 1).otherwise(0)).over(earlier), F.lit(0)))
+    entered = blocks.select("file", "start", *through(blocks, earlier, ""))
+    # A file begins outside.
+    entered = entered.select("file", "start", (F.coalesce("set", F.lit(False)) != F.col("swapped")).alias("entered"))
+    placed = state.join(entered, ["file", "start"]).withColumn(
+        "inside", F.coalesce("set_before", "entered") != F.col("swapped_before")
+    )
+    filled = F.trim("value") != ""
+    heading = (F.col("start") == 0) & filled & (F.coalesce(F.count(F.when(filled, 1)).over(before), F.lit(0)) == 0)
+    begun = F.when(~F.col("inside"), F.struct("start", "line"))
+    own = placed.select(
+        "file", "start", "line", "value", "inside", (~F.col("inside") & ~F.col("opens")).alias("single"), heading.alias("heading"),
+        F.max(begun).over(upto).alias("begun"),
+    )
+    single = own.where("single").select("value", "heading")
+    # A record that goes on from an earlier block belongs to the last one begun there.
+    last = own.groupBy("file", "start").agg(F.max("begun").alias("last")).select(
+        "file", "start", F.max("last").over(earlier).alias("carried")
+    )
+    parts = own.where(~F.col("single")).join(last, ["file", "start"]).groupBy(
+        "file", F.coalesce("begun", "carried").alias("begun")
+    ).agg(F.sort_array(F.collect_list(F.struct("start", "line", "value", "heading"))).alias("lines"))
+    return single.unionByName(parts.select(
+        F.array_join("lines.value", "\n").alias("value"), F.element_at("lines.heading", 1).alias("heading")
+    ))
 
 
 def read_json(

@@ -710,6 +710,29 @@ def src_csv_files(spark, folder):
     return read_csv(spark, f"{path}/*").withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
+@query
+def src_csv_spanning(spark, folder):
+    """One file of documents, whose texts hold line ends, commas and quotes; many tasks read it."""
+    path = new_path(spark, "texts")
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("n_chars").alias("5\" size"))
+    write_csv(docs.coalesce(1), path)
+    return read_csv(spark, path).select(F.col("doc_id").cast("bigint"), "text", F.col("5\" size").cast("bigint").alias("n_chars"))
+
+
+@query
+def src_csv_names(spark, folder):
+    """Folders and files whose names hold blanks, percent signs, brackets and umlauts; repeated names in the header."""
+    path = new_path(spark, "names")
+    some = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", F.col("s_suppkey").alias("s_suppkey"))
+    names = ["my data (1)", "50%25 off%20", "größe [é]"]
+    for k, name in enumerate(names):
+        some.where(F.col("s_nationkey") % 3 == k).write.csv(f"{path}/{name}", header=True)
+    parts = [read_csv(spark, f"{path}/{name}") for name in names]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).toDF(*uniquify(parts[0].columns)).select(
+        F.col("s_suppkey").cast("bigint"), "s_nationkey", F.col("s_suppkey_1").cast("bigint")
+    )
+
+
 @query
 def src_json_files(spark, folder):
     """Many files, each one array of up to 100 records; every other file lacks a member."""
@@ -738,7 +761,7 @@ def src_json_line_records(spark, folder):
 def src_json_refused(spark, folder):
     """JSON scalars are no table: the number of lines, and that reading them was refused."""
     path = new_path(spark, "scalars")
-    table(spark, folder, "nation").select(F.col("n_nationkey").cast("string")).write.text(path)
+    table(spark, folder, "orders").select(F.col("o_orderkey").cast("string")).write.text(path)
     try:
         read_json(spark, path, lines=True)
         refused = False
