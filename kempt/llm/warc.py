@@ -11,7 +11,8 @@ dictionary (plain or itself compressed) is loaded from the leading skippable fra
 must hold exactly one record: version line, mandatory headers, a block of the stated length, two line ends. A
 response's payload must have the stated length and digest. A task holds one archive and one record at a time.
 
-Defined results: a null payload is written as an empty one; records with equal keys and payloads are all responses if
+Defined results: a row without a key is written with an empty record ID and read back so; it revisits the smallest key of
+its payload, and is a response where no equal payload has a key; a null payload is written as an empty one; records with equal keys and payloads are all responses if
 the key is the smallest; payloads under ``min_bytes`` are never revisits; a null URL is left out, and control
 characters in URLs are escaped; an empty table gives an archive without records, or none; extra columns are left out.
 A fault in an archive raises ValueError, or with ``on_error="report"`` gives a row with the path, the place and the fault.
@@ -48,7 +49,6 @@ LEVEL = 3
 DICTIONARY_BYTES = 16 << 10
 TRAINING_RECORDS = 200
 TRAINING_BYTES = 1 << 20
-RECORD_ID = re.compile(rb"<urn:page:(.*)>")
 
 
 def digest_of(payload: bytes) -> str:
@@ -59,12 +59,13 @@ def digest_of(payload: bytes) -> str:
 # ---- writing -----------------------------------------------------------------------
 
 
-def make_record(key: int, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def make_record(key: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """One record: a response with its payload, or a revisit with the HTTP headers alone."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to is not None else http + payload
+    name = "" if key is None else key
     headers = [
-        ("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{key}>"),
+        ("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{name}>"),
         ("WARC-Date", DATE), ("Content-Type", "application/http; msgtype=response"),
         ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}"), ("Content-Length", str(len(block))),
     ]
@@ -104,7 +105,8 @@ def frames(records: Iterator[bytes], level: int = LEVEL) -> Iterator[bytes]:
 
 
 def with_revisits(pages: DataFrame, key: str, payload: str, url: str, min_bytes: int) -> DataFrame:
-    """``key, url, payload, refers_to``: the smallest key with an equal payload, null for that one itself."""
+    """``key, url, payload, refers_to``: the smallest key with an equal payload, null for that one itself. A row without a
+    key refers to that key as well; where no row of a payload has one, there is nothing to refer to."""
     digest = F.sha1("payload")
     keyed = pages.select(
         F.col(key).alias("key"), F.col(url).alias("url"),
@@ -112,10 +114,10 @@ def with_revisits(pages: DataFrame, key: str, payload: str, url: str, min_bytes:
     )
     shared = (
         keyed.where(F.octet_length("payload") >= min_bytes).groupBy(digest.alias("digest"))
-        .agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader < last").drop("last")
+        .agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1 and leader is not null").drop("n")
     )
     joined = keyed.withColumn("digest", digest).join(shared, "digest", "left")
-    refers = F.when(F.col("key") > F.col("leader"), F.col("leader"))
+    refers = F.when(F.col("key").isNull() | (F.col("key") > F.col("leader")), F.col("leader"))
     return joined.select("key", "url", "payload", refers.alias("refers_to"))
 
 

@@ -130,3 +130,15 @@ def test_empty_table(spark, tmp_path):
 def test_query_over_the_whole_table(spark, folder):
     rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
     assert {tuple(r) for r in QUERIES["op1_warc"](spark, folder).collect()} == brute(rows)
+
+
+def test_rows_without_a_key(spark, tmp_path):
+    pages = [(None, "u", "<p>a</p>"), (3, "u", "<p>a</p>"), (7, None, "<p>a</p>"), (None, "u", "<p>a</p>"), (None, "u", "b"), (None, "u", "b"), (None, None, None)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    rows = QUERIES["op1_warc"](spark, str(tmp_path)).collect()
+    order = lambda r: tuple(x or 0 for x in r)
+    assert sorted(((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"]) for r in rows), key=order) == sorted([
+        (0, "revisit", 3, 8), (3, "response", None, 8), (7, "revisit", 3, 8), (0, "revisit", 3, 8), (0, "response", None, 1),
+        (0, "response", None, 1), (0, "response", None, 0),
+    ], key=order)
