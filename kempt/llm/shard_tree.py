@@ -1,11 +1,14 @@
 """Shards by a hierarchical weighted hash tree.
 
-The tree has regions of racks of shards. A shard's draw for a row is ``-ln(u) / weight``, u being a hash of the
-row's key and the shard's number. The draw of a rack is the least of its shards' draws and the draw of a region the
-least of its racks': the least of exponential draws is exponential with the sum of their weights, so that each
-subtree wins in proportion to its weight. A row descends to the region with the least draw, in it to the rack, in
-that to the shard. A draw hangs on nothing but key and shard, so a changed weight moves rows only into or out of the
-subtrees that hold the changed shard, and an added shard takes rows only into itself.
+The tree has regions of racks of shards; the weight of a rack or a region is the sum of its shards'. A row descends it: at
+each level it draws ``-ln(u) / weight`` for each child of the node it has come to, u being a hash of the row's key, the
+level and the child's number, and goes to the child with the least draw. So each child wins in proportion to its weight,
+and a draw hangs on nothing but the key and that child's weight.
+
+A changed weight changes the weights of the nodes above it and no others: rows move between regions only into or out of
+the region that holds the shard, inside it only into or out of its rack, inside that only into or out of the shard.
+Growth: an added shard opens a region of its own, so that no node that has rows changes its weight, and rows move only
+into the added shard.
 
 Everything is an expression over one row. Slots number the rows of a shard without gaps: rows are range-partitioned
 by (shard, key), counted per (shard, partition), and numbered from the running sum of those few counts, so that no
@@ -32,39 +35,24 @@ OVERHEAD = 16
 HEX_DIGITS = 12
 
 
-def _draws(key: Column, weights: Sequence[float]) -> Column:
-    """An array: the draw of each shard, infinite for a weight of 0."""
-    def draw(shard: Column) -> Column:
-        digest = F.md5(F.concat(key, F.lit(":"), shard.cast("string")))
-        u = (F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double") + 0.5) / F.lit(float(16**HEX_DIGITS))
-        return -F.log(u)
-
-    raw = F.transform(F.sequence(F.lit(0), F.lit(len(weights) - 1)), draw)
-    if all(w == 1 for w in weights):
-        return raw
-    return F.zip_with(raw, F.array(*[F.lit(float(w)) for w in weights]),
-                      lambda d, w: F.when(w > 0, d / w).otherwise(F.lit(float("inf"))))
-
+def _draw(key: Column, level: str, node: Column, weight: Column) -> Column:
+    digest = F.md5(F.concat(key, F.lit(f":{level}:"), node.cast("string")))
+    u = (F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double") + 0.5) / F.lit(float(16**HEX_DIGITS))
+    return F.when(weight > 0, -F.log(u) / weight).otherwise(F.lit(float("inf")))
 
-def _parents(draws: Column, children: int, width: int) -> Column:
-    """The draws of the nodes above: the least of each run of ``width`` children."""
-    nodes = -(-children // width)
-    return F.transform(F.sequence(F.lit(0), F.lit(nodes - 1)),
-                       lambda i: F.array_min(F.slice(draws, i * width + 1, F.lit(width))))
 
+def _child(key: Column, level: str, parent: Column, weights: Sequence[Sequence[float]], width: int) -> Column:
+    """The number, over the whole level, of the child that the row goes to; ``weights`` are by parent."""
+    own = F.element_at(F.array(*[F.array(*[F.lit(float(w)) for w in ws]) for ws in weights]), parent + 1)
+    draws = F.transform(own, lambda weight, i: _draw(key, level, parent * width + i, weight))
+    # Written as a column of its own, the draws are computed once.
+    return F.aggregate(
+        F.array(draws), F.lit(-1), lambda _, d: (F.array_position(d, F.array_min(d)) - 1).cast("int")
+    ) + parent * width
 
-def _least(draws: Column) -> Column:
-    return (F.array_position(draws, F.array_min(draws)) - 1).cast("int")
 
-
-def descend(draws: Column, shards: int, rack_shards: int, region_racks: int) -> dict[str, Column]:
-    """``region``, ``rack`` and ``shard`` (numbers over the whole tree) of one row's draws."""
-    racks = -(-shards // rack_shards)
-    rack_draws = _parents(draws, shards, rack_shards)
-    region = _least(_parents(rack_draws, racks, region_racks))
-    rack = region * region_racks + _least(F.slice(rack_draws, region * region_racks + 1, F.lit(region_racks)))
-    shard = rack * rack_shards + _least(F.slice(draws, rack * rack_shards + 1, F.lit(rack_shards)))
-    return {"region": region, "rack": rack, "shard": shard}
+def _chunks(values: Sequence[float], width: int) -> list[list[float]]:
+    return [list(values[i:i + width]) for i in range(0, len(values), width)]
 
 
 def place(
@@ -73,18 +61,36 @@ def place(
     rack_shards: int = RACK_SHARDS,
     region_racks: int = REGION_RACKS,
     key: str = "doc_id",
+    added: Sequence[float] = (),
 ) -> DataFrame:
-    """``doc_id, size, text_crc32`` and the row's ``region, rack, shard`` in a tree of the given shard weights."""
-    if not weights or min(weights) < 0 or max(weights) == 0:
+    """``doc_id, size, text_crc32`` and the row's ``region, rack, shard`` in a tree of the given shard weights; shards
+    ``added`` to it later, by their weights, are regions of their own. Also ``draw``, the draw of the row's region."""
+    every = [*weights, *added]
+    if not every or min(every) < 0 or max(every) == 0:
         raise ValueError("weights must not be negative, and one must be positive")
+    by_rack = _chunks(weights, rack_shards)
+    racks = [sum(ws) for ws in by_rack]
+    by_region = _chunks(racks, region_racks)
+    regions = [*(sum(rs) for rs in by_region), *added]
     sized = docs.select(
         F.col(key).alias("doc_id"),
         (F.octet_length(text_of()) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(text_of().cast("binary")).alias("text_crc32"),
     )
-    drawn = sized.withColumn("draws", _draws(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), weights))
-    path = descend(F.col("draws"), len(weights), rack_shards, region_racks)
-    return drawn.select("doc_id", "size", "text_crc32", *[c.alias(n) for n, c in path.items()], "draws")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    region = _child(name, "region", F.lit(0), [regions], len(regions))
+    at_region = sized.withColumn("region", region)
+    # An added region is its shard; the others are descended.
+    old = F.col("region") < len(by_region)
+    held = F.least(F.col("region"), F.lit(max(len(by_region) - 1, 0)))
+    rack = F.when(old, _child(name, "rack", held, by_region or [[1.0]], region_racks)).otherwise(
+        F.col("region") + len(racks) - len(by_region))
+    at_rack = at_region.withColumn("rack", rack)
+    last = F.least(F.col("rack"), F.lit(max(len(racks) - 1, 0)))
+    shard_ = F.when(old, _child(name, "shard", last, by_rack or [[1.0]], rack_shards)).otherwise(
+        F.col("region") + len(weights) - len(by_region))
+    heavy = F.element_at(F.array(*[F.lit(float(w)) for w in regions]), F.col("region") + 1)
+    return at_rack.withColumn("shard", shard_).withColumn("draw", _draw(name, "region", F.col("region"), heavy))
 
 
 def numbered(placed: DataFrame) -> DataFrame:
@@ -110,14 +116,13 @@ def shard(
     docs: DataFrame, shards: int = 40, weights: Sequence[float] | None = None,
     rack_shards: int = RACK_SHARDS, region_racks: int = REGION_RACKS,
 ) -> DataFrame:
-    """Place all rows in ``shards`` shards, number them, and tell where each goes when one more shard is added.
-
-    The added shard takes weight 1 and opens a rack and a region of its own once the existing ones are full.
-    """
+    """Place all rows in ``shards`` shards, number them, and tell where each goes when one more shard, of weight 1, is
+    added: into it if its region's draw is less than that of the row's region, else nowhere else."""
     weights = [1.0] * shards if weights is None else list(weights)
-    grown = place(docs, [*weights, 1.0], rack_shards, region_racks).withColumnRenamed("shard", "grown_shard")
-    now = descend(F.slice(F.col("draws"), 1, len(weights)), len(weights), rack_shards, region_racks)
-    placed = grown.drop("region", "rack").select(
-        "doc_id", "size", "text_crc32", "grown_shard", *[c.alias(n) for n, c in now.items()]
-    )
-    return numbered(placed)
+    placed = place(docs, weights, rack_shards, region_racks)
+    regions = -(-(-(-len(weights) // rack_shards)) // region_racks)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    joins = _draw(name, "region", F.lit(regions), F.lit(1.0)) < F.col("draw")
+    grown = placed.withColumn("grown_shard", F.when(joins, len(weights)).otherwise(F.col("shard"))).drop("draw")
+    # Written before rows are sorted, so that the draws are computed once.
+    return numbered(staged(grown, "placed"))
