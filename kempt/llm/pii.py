@@ -6,8 +6,10 @@ possessive repetition where nothing that follows could need a shorter match: sam
 quadratic search on long runs. A look behind keeps e-mail and IP searches from starting again inside a run that has
 already failed as a whole.
 
-Kinds email, ip, card and phone are the base: every match that passes its check is kept and counted. Two kinds are
-added by the method: ``iban`` (mod-97 confirms it) and ``ssn`` (no checksum exists: a nearby context word is needed).
+Kinds email, ip, card and phone are the base: every match that passes its check is kept and counted. Three kinds are
+added by the method: ``iban`` (mod-97 confirms it), ``ssn`` and ``secret`` (no checksum exists: a nearby context word is
+needed). A secret is a run of 32 or more hexadecimal or base-64 characters that look random: letters and digits, and
+an entropy of ``SECRET_BITS`` bits a character or more.
 A score is a kind's prior, plus a bonus for a passed checksum, plus a bonus for a context word within
 ``CONTEXT_CHARS`` before or after; added kinds need ``min_score``.
 
@@ -29,6 +31,7 @@ CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.25
 CHECKSUM_BONUS = 0.4
 MIN_SCORE = 0.6
+SECRET_BITS = 3.0
 
 LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -65,6 +68,18 @@ def _between(least: int, most: int) -> Callable[[Column], Column]:
     return lambda match: F.length(_digits(match)).between(least, most)
 
 
+def entropy(text: Column) -> Column:
+    """Shannon's entropy of the characters of a text, in bits a character."""
+    chars = F.split(text, "(?!^)(?!$)")
+    share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.size(chars)
+    return -F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, c: a + share(c) * F.log2(share(c)))
+
+
+def _random(match: Column) -> Column:
+    mixed = F.rlike(match, F.lit("[A-Za-z]")) & F.rlike(match, F.lit("[0-9](?:.*[0-9]){2}"))
+    return F.when(mixed, entropy(match) >= SECRET_BITS).otherwise(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -106,6 +121,11 @@ KINDS = (
         lambda m: ~F.rlike(m, F.lit("^(?:000|666|9..)|-00-|0000$")),
         lambda t: F.rlike(t, F.lit("[0-9]-[0-9]{2}-[0-9]")), 0.4, False, "ssn|social security", False,
     ),
+    Kind(
+        "secret", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+={0,2}+(?![A-Za-z0-9+/=])",
+        _random, lambda t: F.rlike(t, F.lit("[A-Za-z0-9+/]{32}")), 0.4, False,
+        "tokens?|keys?|secrets?|passwords?|passwd|credentials?|bearer|auth|api", False,
+    ),
 )
 SPAN = "array<struct<kind:string,start:int,end:int,score:double,value:string>>"
 

@@ -1,6 +1,8 @@
 """Spans against Python's own regular expressions, checksums against textbook values."""
 
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -83,6 +85,64 @@ def test_context_raises_the_score(spark):
     assert rows == {1: ["ssn"], 2: []}
 
 
+def iban_ok(code):
+    plain = code.replace(" ", "")
+    return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def bits(text):
+    return -sum(text.count(c) / len(text) * math.log2(text.count(c) / len(text)) for c in set(text))
+
+
+def added(text):
+    """The spans of the added kinds, by plain expressions; ssn and secret need a context word within 40 characters."""
+    near = lambda m, words: re.search(
+        rf"(?<![a-z])(?:{words})(?![a-z])", (text[max(m.start() - 40, 0):m.start()] + " " + text[m.end():m.end() + 40]).lower())
+    out = []
+    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", text):
+        if iban_ok(m.group()):
+            out.append(f"iban:{m.start()}:{m.end()}")
+    for m in re.finditer(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", text):
+        if near(m, "ssn|social security"):
+            out.append(f"ssn:{m.start()}:{m.end()}")
+    for m in re.finditer(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+={0,2}+(?![A-Za-z0-9+/=])", text):
+        own = m.group()
+        if re.search("[A-Za-z]", own) and len(re.findall("[0-9]", own)) >= 3 and bits(own) >= 3 and near(
+            m, "tokens?|keys?|secrets?|passwords?|passwd|credentials?|bearer|auth|api"
+        ):
+            out.append(f"secret:{m.start()}:{m.end()}")
+    return out
+
+
+def test_added_kinds_like_plain_expressions(spark):
+    rng = random.Random(5)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    pieces = lambda: rng.choice([
+        "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013001", "ssn", "123-45-6789", "000-12-3456",
+        "social security no", "token = ", f'"{hexes(40)}"', hexes(31), hexes(64), "a" * 40, "0" * 40, "api_key:", "bearer",
+        "é😀 word", "some words that keep things apart, forty or more", "QUJD" * 5 + "0123456789abcdefXYZ+/==", "monkeys", ".",
+    ])
+    given = [" ".join(pieces() for _ in range(rng.randrange(1, 14))) for _ in range(300)]
+    found = pii.find(spark.createDataFrame(list(enumerate(given)), "doc_id bigint, text string")).collect()
+    kinds = set()
+    for r in found:
+        own = [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"] if s["kind"] in ("iban", "ssn", "secret")]
+        assert own == added(given[r["doc_id"]])
+        kinds |= {x.split(":")[0] for x in own}
+    assert kinds == {"iban", "ssn", "secret"}
+
+
+def test_planted_tokens_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = {
+        (r["doc_id"], m.start(1), m.end(1)) for r in docs.collect() for m in re.finditer('token = "([0-9a-f]{40})"', r["text"])
+    }
+    found = {
+        (r["doc_id"], s["start"], s["end"]) for r in pii.find(docs).collect() for s in r["spans"] if s["kind"] == "secret"
+    }
+    assert len(planted) == 13 and found == planted
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "write to é@b.c? a@b.org, or +49 30 12345678!")], "doc_id bigint, text string")
     joined = df.join(pii.find(df), "doc_id").select(pii.redact(F.col("text"), F.col("spans")).alias("t"))
