@@ -45,7 +45,7 @@ def op5_pii(spark, folder):
     return found.select(
         "doc_id", *[count(kind).alias(f"n_{kind}") for kind in base],
         F.sha2(digest(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
-        digest(F.col("spans")).alias("spans"),
+        digest(F.col("spans")).alias("spans"), F.transform("spans", lambda s: s["score"]).alias("scores"),
     )
 
 
@@ -94,7 +94,7 @@ def op8_language(spark, folder):
 def op1_warc(spark, folder):
     path = new_path(spark, "warc")
     warc.write_warc(documents(spark, folder, "pages"), path)
-    page = lambda name: F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1).cast("bigint")
+    page = lambda name: F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
     return warc.read_warc(spark, path, payloads=False).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page("refers_to").alias("refers_to"),
