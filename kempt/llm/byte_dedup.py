@@ -5,8 +5,8 @@ that starts at two or more places (of one document or of several) go; windows ar
 
 Method: a distributed difference-cover suffix array (``suffix_array``) over content-defined phrases.
 
-1. *Passages.* The least hash of the 32-byte grams of a window is an anchor; equal windows have equal anchors. Only around
-   anchors whose gram occurs twice can a window repeat, so only these passages go on. Nothing else is decided by hash
+1. *Passages.* The least hash of the 64-byte grams of a window is an anchor; equal windows have equal anchors. Only windows
+   whose own anchor's gram occurs twice can repeat, so only the passages they cover go on. Nothing else is decided by hash
    here.
 2. *Phrases.* A passage is cut where the hash of the next eight bytes is small: at the same places in equal text, whatever
    surrounds it. A phrase reaches over the next cut, so none is a prefix of another, and phrases in the order of their
@@ -39,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.staging import settled
 from .frames import map_texts, staged
 from .suffix_array import gathered, suffix_ranks, totals_before
 
 LENGTH = 200
-GRAM = 32                   # bytes of an anchor
+GRAM = 64                   # bytes of an anchor, if windows have so many
+LEAST = 32                  # the shortest windows that can be searched
 CUT = 8                     # bytes whose hash makes a cut
 PHRASE = 48                 # mean bytes between cuts
 ROWS_PER_TASK = 25_000
@@ -73,30 +75,54 @@ def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(x[:len(x) - (width - have)], x[width - have:]) if have < width else x
 
 
-def anchors(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that are least in some window of ``length`` bytes."""
+def gram_hashes(data: bytes, gram: int) -> np.ndarray:
+    eight, size = words8(data), len(data) - gram + 1
+    h = np.zeros(size, np.uint64)
+    for k in range(0, gram, 8):
+        h = (h ^ eight[k:k + size]) * FACTORS[0]
+        h ^= h >> np.uint64(32)
+    return mixed(h)
+
+
+def gram_size(length: int) -> int:
+    return GRAM if length >= 2 * GRAM else LEAST // 8 * 8
+
+
+def least_grams(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text of ``length`` bytes or more: the hashes of its grams, their order, and the least of each window."""
+    h = gram_hashes(data, gram_size(length))
+    order = (h >> np.uint64(32)).astype(np.uint32)
+    return h, order, sliding(order, length - gram_size(length) + 1, least=True)
+
+
+def anchor_places(order: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Places of the grams that are least in some window: the largest of the minima around it is a gram's own."""
+    width = len(order) - len(least) + 1
+    room = np.zeros(width - 1, np.uint32)
+    return np.flatnonzero(sliding(np.concatenate([room, least, room]), width, least=False) == order)
+
+
+def anchors(data: bytes, length: int) -> np.ndarray:
+    """Hashes of the grams that are least in some window of ``length`` bytes."""
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    eight, size = words8(data), len(data) - GRAM + 1
-    h = mixed(sum(eight[8 * k:8 * k + size] * FACTORS[k] for k in range(GRAM // 8)))
-    width = length - GRAM + 1
-    least = sliding(h, width, least=True)
-    room = np.zeros(width - 1, np.uint64)
-    # A gram is chosen if the largest of the minima of the windows around it is its own hash.
-    places = np.flatnonzero(sliding(np.concatenate([room, least, room]), width, least=False) == h)
-    return places, h[places]
+        return np.zeros(0, np.uint64)
+    h, order, least = least_grams(data, length)
+    return h[anchor_places(order, least)]
 
 
 def passages(data: bytes, repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Byte ranges around the anchors whose gram is ``repeated``; each holds all windows that hold one of its anchors."""
-    places, hashes = anchors(data, length)
-    places = places[np.isin(hashes, repeated)]
+    """Byte ranges of the windows whose own anchor is ``repeated``; those that overlap are one."""
+    h, order, least = least_grams(data, length)
+    places = anchor_places(order, least)
+    places = places[np.isin(h[places], repeated)]
+    known = np.full(len(order), 0xFFFFFFFF, np.uint32)
+    known[places] = order[places]
+    starts = np.flatnonzero(sliding(known, len(order) - len(least) + 1, least=True) == least)
     if not len(places):
         return []
-    starts, ends = np.maximum(places + GRAM - length, 0), np.minimum(places + length, len(data))
-    first = np.append(True, starts[1:] > np.maximum.accumulate(ends)[:-1])
-    last = np.append(first[1:], True)
-    return list(zip(starts[first].tolist(), ends[last].tolist(), strict=True))
+    breaks = np.flatnonzero(np.diff(starts) > length)
+    first, last = starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)]
+    return list(zip(first.tolist(), (last + length).tolist(), strict=True))
 
 
 def cuts(data: bytes, phrase: int) -> np.ndarray:
@@ -231,19 +257,25 @@ def suffixes(length: int, phrase: int):
     """Rows ``rank, s, place, left, right`` of the cuts of passages: the bytes before, up to the cut before, and behind."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s, data, ranks in zip(*(batch.column(c).to_pylist() for c in ("s", "data", "ranks")), strict=True):
+            rows: list[tuple[np.ndarray, ...]] = []
+            left, right = [], []
+            ranks = batch.column("ranks")
+            for k, (s, data) in enumerate(zip(batch.column("s").to_pylist(), batch.column("data").to_pylist(), strict=True)):
                 places = cuts(data, phrase)
-                before = np.maximum(np.append(0, places[:-1] + 1), places + CUT - length)
-                low = np.maximum(before, 0)
+                low = np.maximum(np.append(0, places[:-1] + 1), np.maximum(places + CUT - length, 0))
                 # Rows without a whole window have no say.
-                chosen = np.flatnonzero(low + length <= len(data)).tolist()
-                low, places = low.tolist(), places.tolist()
-                yield pa.record_batch({
-                    "rank": pa.array([ranks[k] for k in chosen], pa.int64()), "s": pa.array([s] * len(chosen), pa.int64()),
-                    "place": pa.array([places[k] for k in chosen], pa.int64()),
-                    "left": pa.array([data[low[k]:places[k]] for k in chosen], pa.binary()),
-                    "right": pa.array([data[places[k]:places[k] + length] for k in chosen], pa.binary()),
-                })
+                chosen = low + length <= len(data)
+                own = ranks[k].values.to_numpy()[chosen]
+                low, places = low[chosen], places[chosen]
+                rows.append((own, np.full(len(own), s), places))
+                left += [data[a:b] for a, b in zip(low.tolist(), places.tolist(), strict=True)]
+                right += [data[a:a + length] for a in places.tolist()]
+            if rows:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
+                yield pa.record_batch(
+                    [*columns, pa.array(left, pa.binary()), pa.array(right, pa.binary())],
+                    names=["rank", "s", "place", "left", "right"],
+                )
     return work
 
 
@@ -326,7 +358,7 @@ def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(anchors(d, length)[1], return_counts=True) for d in batch.column("data").to_pylist()]
+            found = [np.unique(anchors(d, length), return_counts=True) for d in batch.column("data").to_pylist()]
             row = np.repeat(np.arange(len(found)), [len(h) for h, _ in found])
             yield pa.record_batch({
                 "doc": batch.column("doc").take(pa.array(row)), "copy": batch.column("copy").take(pa.array(row)),
@@ -356,14 +388,11 @@ def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
             })
 
     found = map_texts(_same_doc(whole, per_doc, "inner"), f"doc {kind}, copy bigint, at bigint, data binary", cut)
-    return staged(found.withColumn("s", F.monotonically_increasing_id()), "passages")
-
+    return found.withColumn("s", F.monotonically_increasing_id())
 
-def removed_ranges(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE) -> DataFrame:
-    """``doc, copy, spans``: per document the byte ranges covered by windows that start elsewhere as well."""
-    pieces = repeated_passages(docs, length)
-    data = pieces.select("s", "data")
 
+def phrase_strings(data: DataFrame, length: int, phrase: int) -> DataFrame:
+    """Strings for the suffix array: the phrases of ``s, data`` behind each cut, named in the order of their bytes."""
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, spans, texts = [], [], [], []
@@ -385,18 +414,26 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE)
     )
     distinct = tokens.select("p1", "p2", "phrase").distinct().withColumn("one", F.lit(1))
     names = staged(totals_before(distinct, ["phrase"], ["one"], ["p1", "p2"]), "phrases").withColumnRenamed("before_one", "name")
-    strings = staged(gathered(tokens.drop("phrase").join(names, ["p1", "p2"]).select("s", "i", "name", "span")), "strings")
-    ranks = suffix_ranks(strings, length)
+    return gathered(tokens.drop("phrase").join(names, ["p1", "p2"]).select("s", "i", "name", "span"))
+
 
+def removed_ranges(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE) -> DataFrame:
+    """``doc, copy, spans``: per document the byte ranges covered by windows that start elsewhere as well."""
+    spark = docs.sparkSession
+    pieces = settled(spark, lambda: repeated_passages(docs, length), "passages")
+    data = pieces.select("s", "data")
+    strings = settled(spark, lambda: phrase_strings(data, length, phrase), "strings")
+    ranks = suffix_ranks(strings, length)
     rows = map_texts(
         data.join(ranks, "s"), "rank bigint, s bigint, place bigint, left binary, right binary", suffixes(length, phrase)
     )
     total = strings.agg(F.sum(F.size("names"))).first()[0] or 0
     parts = max(-(-total // ROWS_PER_TASK), 1)
     ordered = rows.repartitionByRange(parts, "rank", "s", "place").sortWithinPartitions("rank", "s", "place")
-    found = staged(ordered.mapInArrow(judged(length), FOUND).unionByName(
+    found = settled(spark, lambda: ordered.mapInArrow(judged(length), FOUND).unionByName(
         map_texts(data, FOUND, without_cuts(length, phrase))
     ), "found")
+    del rows, ordered
     counts = found.where("n is not null").groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1")
     counts = staged(counts.select("h1", "h2"), "counts")
     late = found.where("n = 1").join(counts, ["h1", "h2"]).select("s", "start", "end")
@@ -424,10 +461,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE) -> DataFr
 
     What is left need not be whole characters, so it is binary.
     """
-    if length < GRAM:
-        raise ValueError(f"strings of under {GRAM} bytes are not searched")
+    if length < LEAST:
+        raise ValueError(f"strings of under {LEAST} bytes are not searched")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ranges = removed_ranges(docs, length, phrase)
+    ranges = settled(docs.sparkSession, lambda: removed_ranges(docs, length, phrase), "ranges")
     layout = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

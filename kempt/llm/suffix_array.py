@@ -11,7 +11,9 @@ A string is a row: its number and its symbols (whole numbers whose order counts)
   for each suffix how many of the other kind are smaller.
 
 Symbols have spans, and only prefixes of ``depth`` count: triples that repeat but span as much need no longer ones. Suffixes
-that agree so far may come in any order, and share numbers; all others are in their order.
+that agree so far may come in any order, and share numbers; all others are in their order. Where few triples
+are still unclear, only the stretches of them go down a level, each with the clear one behind it: all places of an
+unclear triple are in them, so their order among themselves, added to the triple's name, is their rank.
 
 Each level is groupings, joins and range sorts over rows of a few numbers, cut from its lineage in the shared
 checkpoint folder; level k has (2/3)^k of the symbols, so all together cost about three times the first. Equal
@@ -30,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.staging import settled
 from .frames import staged
 
 STRING = "s bigint, names array<bigint>, spans array<int>"
@@ -65,11 +68,12 @@ def totals_before(df: DataFrame, order: Sequence[str], sums: Sequence[str], keep
     return joined.select(*keep, *[(F.col(f"before_{c}") + F.col(f"from_{c}")).alias(f"before_{c}") for c in sums])
 
 
-def gathered(symbols: DataFrame) -> DataFrame:
-    """Strings from rows ``s, i, name, span``."""
-    items = F.sort_array(F.collect_list(F.struct("i", "name", "span")))
+def gathered(symbols: DataFrame, *others: str) -> DataFrame:
+    """Strings from rows ``s, i, name, span``; other columns become lists under their own names."""
+    items = F.sort_array(F.collect_list(F.struct("i", "name", "span", *others)))
     return symbols.groupBy("s").agg(items.alias("items")).select(
-        "s", F.col("items.name").alias("names"), F.col("items.span").cast("array<int>").alias("spans")
+        "s", F.col("items.name").alias("names"), F.col("items.span").cast("array<int>").alias("spans"),
+        *[F.col(f"items.{c}").alias(c) for c in others],
     )
 
 
@@ -150,21 +154,100 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"s": batch.column(0), "ranks": pa.ListArray.from_arrays(offsets, pa.array(out))})
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``s, start, names, spans, unclear``: stretches of unclear symbols, each with the clear one behind it."""
+    for batch in batches:
+        level = Level(batch)
+        unclear = level.flat("unclear")[0].astype(bool)
+        before = np.append(False, unclear[:-1]) & (level.i > 0)
+        kept = np.flatnonzero(unclear | before)
+        if not len(kept):
+            continue
+        # A stretch begins at an unclear symbol with no unclear one before it in its string.
+        first = np.flatnonzero((unclear & ~before)[kept])
+        offsets = pa.array(np.append(first, len(kept)).astype(np.int32))
+        listed = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values[kept], kind))
+        yield pa.record_batch({
+            "s": level.s[kept][first], "start": level.i[kept][first], "names": listed(level.names, pa.int64()),
+            "spans": listed(level.flat("spans")[0], pa.int32()), "unclear": listed(unclear, pa.bool_()),
+        })
+
+
+def _unclear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``s, i, name, rank`` of the unclear places of ranked stretches."""
+    for batch in batches:
+        level = Level(batch)
+        chosen = level.flat("unclear")[0].astype(bool)
+        start = batch.column(batch.schema.get_field_index("start")).to_numpy()[level.row]
+        yield pa.record_batch({
+            "s": level.s[chosen], "i": (level.i + start)[chosen], "name": level.names[chosen],
+            "rank": level.flat("ranks")[0][chosen],
+        })
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names plus what ``items`` (place, value) add to some of them."""
+    for batch in batches:
+        level = Level(batch)
+        items = batch.column(batch.schema.get_field_index("items"))
+        sizes = np.diff(items.offsets.to_numpy()).astype(np.int64)
+        places, values = (items.flatten().field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        ranks = level.names.astype(np.int64)
+        ranks[np.repeat(level.starts, sizes) + places] += values
+        offsets = pa.array(np.append(level.starts, len(ranks)).astype(np.int32))
+        yield pa.record_batch({
+            "s": batch.column(0), "ranks": pa.ListArray.from_arrays(offsets, pa.array(ranks)),
+        })
+
+
+def _refined(strings: DataFrame, depth: int) -> DataFrame:
+    """``s, ranks`` of strings ``s, names, spans, unclear`` of the sample, whose names may stand for several suffixes."""
+    unclear = F.size(F.filter("unclear", lambda u: u))
+    sizes = strings.agg(F.sum(F.size("names")), F.sum(unclear)).first()
+    every, below = sizes[0] or 0, sizes[1] or 0
+    if not below:
+        return strings.select("s", F.col("names").alias("ranks"))
+    if 3 * below > every:
+        return suffix_ranks(strings.drop("unclear"), depth)
+    kind = "s bigint, start bigint, names array<bigint>, spans array<int>, unclear array<boolean>"
+    stretches = staged(strings.mapInArrow(_stretches, kind).withColumn("t", F.monotonically_increasing_id()), "stretches")
+    ranks = suffix_ranks(stretches.select(F.col("t").alias("s"), "names", "spans"), depth).withColumnRenamed("s", "t")
+    placed = stretches.select("t", "s", "start", "names", "unclear").join(ranks, "t").drop("t")
+    rows = staged(placed.mapInArrow(_unclear, "s bigint, i bigint, name bigint, rank bigint"), "unclear")
+    # The least rank of an unclear triple's places comes off, so that they count among themselves.
+    base = staged(rows.groupBy("name").agg(F.min("rank").alias("base")), "base")
+    items = rows.join(base, "name").groupBy("s").agg(
+        F.collect_list(F.struct("i", (F.col("rank") - F.col("base")).alias("value"))).alias("items")
+    )
+    none = F.array().cast("array<struct<i:bigint,value:bigint>>")
+    both = strings.select("s", "names").join(items, "s", "left").withColumn("items", F.coalesce("items", none))
+    return both.mapInArrow(_added, "s bigint, ranks array<bigint>")
+
+
 def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     """``s, ranks``: for each place of each string ``s, names, spans`` the number of smaller suffixes among all.
 
     ``strings`` should be a written table, since it is read several times.
     """
-    triples = strings.mapInArrow(_triples, "s bigint, i bigint, a bigint, b bigint, c bigint, span int")
-    distinct = triples.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"))
-    # Written, so that both sides of the join are dealt for it alone and the engine can split a hot triple.
-    named = staged(totals_before(distinct, ["a", "b", "c"], ["n"], ["a", "b", "c", "n", "span"]), "triples")
-    samples = triples.drop("span").join(named.select("a", "b", "c", "span", F.col("before_n").alias("name")), ["a", "b", "c"])
-    shorter = staged(gathered(samples.select(
-        (F.col("s") * 2 + F.col("i") % 3 - 1).alias("s"), F.expr("i div 3").alias("i"), "name", "span"
-    )), "strings")
-    unclear = named.where((F.col("n") > 1) & (F.col("span") < depth)).limit(1).count()
-    ranks = suffix_ranks(shorter, depth) if unclear else shorter.select("s", F.col("names").alias("ranks"))
+    return settled(strings.sparkSession, lambda: _suffix_ranks(strings, depth), "ranks")
+
+
+def _suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
+    def sampled() -> DataFrame:
+        triples = strings.mapInArrow(_triples, "s bigint, i bigint, a bigint, b bigint, c bigint, span int")
+        distinct = triples.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"))
+        # Written, so that both sides of the join are dealt for it alone and the engine can split a hot triple.
+        named = staged(totals_before(distinct, ["a", "b", "c"], ["n"], ["a", "b", "c", "n", "span"]), "triples").select(
+            "a", "b", "c", "span", F.col("before_n").alias("name"), ((F.col("n") > 1) & (F.col("span") < depth)).alias("unclear")
+        )
+        samples = triples.drop("span").join(named, ["a", "b", "c"])
+        return gathered(samples.select(
+            (F.col("s") * 2 + F.col("i") % 3 - 1).alias("s"), F.expr("i div 3").alias("i"), "name", "span", "unclear"
+        ), "unclear")
+
+    spark = strings.sparkSession
+    shorter = settled(spark, sampled, "strings")
+    ranks = _refined(shorter, depth)
     kind = lambda k: ranks.where(F.col("s") % 2 == k - 1).select(F.expr("s div 2").alias("s"), F.col("ranks").alias(f"ranks{k}"))
     empty = F.array().cast("array<bigint>")
     level = staged(strings.select("s", "names").join(kind(1), "s", "left").join(kind(2), "s", "left").select(
@@ -183,4 +266,4 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
         ).alias("value")))
     both = values[0].unionByName(values[1])
     items = both.groupBy("s").agg(F.collect_list(F.struct("i", "value")).alias("items"))
-    return staged(items.mapInArrow(_summed, "s bigint, ranks array<bigint>"), "ranks")
+    return items.mapInArrow(_summed, "s bigint, ranks array<bigint>")

@@ -89,7 +89,8 @@ def test_suffix_array(spark):
     strings = [(k, [rng.randrange(3) for _ in range(rng.randrange(1, 30))]) for k in range(30)]
     strings += [(30, strings[3][1]), (31, [1] * 25), (32, [1] * 40)]
     df = staged(spark.createDataFrame([(s, t, [1] * len(t)) for s, t in strings], STRING))
-    for depth in (1000, 4):
+    # Deep ones go down whole or in stretches.
+    for depth in (1000, 11, 4):
         ranks = {r["s"]: r["ranks"] for r in suffix_ranks(df, depth).collect()}
         assert all(len(ranks[s]) == len(t) for s, t in strings)
         every = sorted((ranks[s][i], t[i:i + depth]) for s, t in strings for i in range(len(t)))
@@ -97,15 +98,17 @@ def test_suffix_array(spark):
         assert all(a[0] < b[0] or a[1] == b[1] for a, b in zip(every, every[1:], strict=False))
 
 
-def test_anchors_of_equal_windows_agree():
+@pytest.mark.parametrize("length", [40, 200])
+def test_anchors_of_equal_windows_agree(length):
     rng = np.random.default_rng(0)
-    passage = rng.integers(97, 101, 200, np.uint8).tobytes()
+    passage = rng.integers(97, 101, length, np.uint8).tobytes()
     for _ in range(30):
         sides = [rng.integers(97, 101, rng.integers(0, 300), np.uint8).tobytes() for _ in range(4)]
         one, two = sides[0] + passage + sides[1], sides[2] + passage + sides[3]
-        inside = [{p - at for p in byte_dedup.anchors(t, 200)[0].tolist() if at <= p <= at + 200 - byte_dedup.GRAM}
-                  for t, at in ((one, len(sides[0])), (two, len(sides[2])))]
-        assert inside[0] & inside[1]
+        shared = np.intersect1d(byte_dedup.anchors(one, length), byte_dedup.anchors(two, length))
+        for text, at in ((one, len(sides[0])), (two, len(sides[2]))):
+            assert any(a <= at and at + length <= b for a, b in byte_dedup.passages(text, shared, length))
+        assert byte_dedup.passages(one, np.zeros(0, np.uint64), length) == []
 
 
 def test_query_over_the_whole_table(spark, folder):
