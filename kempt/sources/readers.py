@@ -30,6 +30,11 @@ WHOLE_LINE = rf"\A{CELL}(?:,{CELL})*+\z"
 # A line read from inside a quoted cell closes it, and ends all cells behind it.
 CLOSING_LINE = rf"\A{QUOTED_REST}(?:,{CELL})*+\z"
 
+# The longest document that can be told apart as a whole.
+LARGEST_DOCUMENT = 128 << 20
+# Two members of one name with nothing but scalars between them.
+TWICE = r'(?s)("(?:[^"\\]|\\.)*+")\s*+:[^{}]*,\s*+\1\s*+:'
+
 # Fixed value: texts of numbers.
 NUMBER = r"\A[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|NaN|Inf(?:inity)?)\z"
 
@@ -283,8 +288,18 @@ def _document_kinds(spark: SparkSession, path: str) -> set[str]:
         .when(one.startswith("ARRAY<OBJECT<"), "array").when(one == "ARRAY<VOID>", "array")
         .when(data.startswith("ARRAY<OBJECT<"), "wrapped").when(one.startswith("OBJECT<"), "object").otherwise("none")
     )
-    files = whole.select(kind.alias("kind"), F.col("_metadata.file_path").alias("file"))
+    # Why a text is no document: too long, a member twice, or else malformed or several.
+    reason = F.when(kind == "broken", F.when(F.octet_length("value") > LARGEST_DOCUMENT, "large").when(
+        F.col("value").rlike(TWICE), "twice").otherwise("broken")).otherwise(kind)
+    files = whole.select(reason.alias("kind"), F.col("_metadata.file_path").alias("file"))
     found = {r["kind"]: r["file"] for r in files.groupBy("kind").agg(F.min("file").alias("file")).collect()}
+    if "large" in found:
+        raise ValueError(
+            f"{found['large']} is one document of over {LARGEST_DOCUMENT >> 20} MiB; write its records as lines and read them "
+            "with lines=True"
+        )
+    if "twice" in found:
+        raise ValueError(f"{found['twice']} is malformed, or an object in it has two members of one name")
     if "broken" in found:
         raise ValueError(f"{found['broken']} is no single JSON document; read lines of JSON with lines=True")
     if "none" in found:

@@ -712,10 +712,10 @@ def src_csv_files(spark, folder):
 
 @query
 def src_csv_spanning(spark, folder):
-    """One file of documents, whose texts hold line ends, commas and quotes; many tasks read it."""
+    """Documents, whose texts hold line ends, commas and quotes, under a header with a quote; files stay split."""
     path = new_path(spark, "texts")
     docs = table(spark, folder, "documents").select("doc_id", "text", F.col("n_chars").alias("5\" size"))
-    write_csv(docs.coalesce(1), path)
+    write_csv(docs, path)
     return read_csv(spark, path).select(F.col("doc_id").cast("bigint"), "text", F.col("5\" size").cast("bigint").alias("n_chars"))
 
 

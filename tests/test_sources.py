@@ -80,7 +80,7 @@ def test_csv_files_that_stay_splittable(spark, tmp_path):
 
 
 def test_csv_states_over_many_blocks(spark, tmp_path):
-    """One file of hundreds of records, read in blocks of 1 KB: cells over lines and blocks, stray and doubled quotes."""
+    """One file of hundreds of records, read in blocks of 512 bytes: cells over lines and blocks, stray and doubled quotes."""
     rng = random.Random(4)
     cell = lambda k: rng.choice(["x", "5 pipe", "", "a,b", 'q"q', "two\nlines", "\n", ",\n,", "long line\n" * rng.randrange(300) if k % 9 == 0 else "z", '"', "1,2\n3"])
     given = [(k, cell(k), cell(k)) for k in range(400)]
@@ -89,7 +89,7 @@ def test_csv_states_over_many_blocks(spark, tmp_path):
     text = "id,a,b\n" + "".join(f"{k},{quoted(a)},{quoted(b)}\n" + (stray if k % 50 == 0 else "") for k, a, b in given)
     path = save(tmp_path / "big.csv", text)
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
     try:
         df = read_csv(spark, path)
         assert df.schema.simpleString() == "struct<id:int,a:string,b:string>"
@@ -273,3 +273,16 @@ def test_unsupported_formats(spark, tmp_path, name):
 def test_sample_names():
     assert sample_name("TEST2") == sample_name("Part") == "part"
     assert sample_name(None) == sample_name("nonsense") == "customer"
+
+
+def test_json_refusals_say_why(spark, tmp_path, monkeypatch):
+    path = save(tmp_path / "twice.json", '[{"a":1,"b":"x, \\" y","a":2}]')
+    with pytest.raises(ValueError, match="two members of one name"):
+        read_json(spark, path)
+    path = save(tmp_path / "broken.json", '[{"a":1},{"a":2}')
+    with pytest.raises(ValueError, match="no single JSON document"):
+        read_json(spark, path)
+    # A text that cannot be told apart as a whole, made small here.
+    monkeypatch.setattr(readers, "LARGEST_DOCUMENT", 10)
+    with pytest.raises(ValueError, match="write its records as lines"):
+        read_json(spark, path)
