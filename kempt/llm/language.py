@@ -13,7 +13,8 @@ Vectors have ``BINS`` places whatever the data, so model and driver memory are b
 
 Defined results: a null text, or one without a letter, gives ``und`` with score 0 and is rejected, as is everything
 when no row is labelled; equal cosines go to the language that sorts first; repeated rows give equal rows; an empty
-table stays empty; extra columns are left out. More than ``LANGUAGES`` labels raise ValueError.
+table stays empty; extra columns are left out. The driver holds three centroids per label (48 KB); ``most_labels``,
+off unless given, raises ValueError beyond it.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from .frames import map_texts
 BINS = 4096
 CENTROIDS = 3
 SAMPLE = 2_000
-LANGUAGES = 200
 ROUNDS = 12
 REJECT_SHARE = 0.6      # of the similarity that all but 1 % of a language's sample reach
 UNKNOWN = "und"
@@ -134,14 +134,17 @@ def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return np.sum([p["df"] for p in parts], axis=0), sum(p["n"] for p in parts)
 
 
-def fit(docs: DataFrame, train: Column, key: str = "doc_id", label: str = "lang") -> Model | None:
+def fit(
+    docs: DataFrame, train: Column, key: str = "doc_id", label: str = "lang", most_labels: int | None = None
+) -> Model | None:
     """Learn from the rows for which ``train`` holds and label and text are not null; None if there are none."""
     rows = docs.where(train & F.col(label).isNotNull() & F.col("text").isNotNull()).select(
         F.col(key).alias("key"), F.col(label).alias("label"), "text"
     )
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"over {LANGUAGES} languages")
+    by_label = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["label"]: r["n"] for r in (by_label if most_labels is None else by_label.limit(most_labels + 1)).collect()}
+    if most_labels is not None and len(sizes) > most_labels:
+        raise ValueError(f"over {most_labels} languages")
     if not sizes:
         return None
     each = max(SAMPLE // len(sizes), 1)

@@ -36,6 +36,19 @@ def test_odd_texts_have_no_language(spark):
     assert kept.columns == df.columns and not {900, 901, 902} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_any_number_of_languages(spark):
+    rng = np.random.default_rng(0)
+    words = {k: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(4)] for k in range(230)}
+    docs = [(10 * k + i, " ".join(rng.permutation(words[k] * 3)), f"l{k}") for k in words for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    model = language.fit(df, F.lit(True))
+    assert len(model.languages) == 230
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(df, model).collect()}
+    assert sum(found[k] == lang for k, _, lang in docs) > 0.99 * len(docs)
+    with pytest.raises(ValueError, match="over 200"):
+        language.fit(df, F.lit(True), most_labels=200)
+
+
 def test_far_texts_are_rejected(spark):
     docs = [(i, f"the day and the night of this {i} year", "en") for i in range(60)]
     df = spark.createDataFrame([*docs, (99, "жщъ юяэ ыъь ъъ", None)], "doc_id bigint, text string, lang string")
