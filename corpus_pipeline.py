@@ -21,8 +21,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without later copies of line runs of 50 words or more; lengths follow the text, a document left empty stays."""
+    """Without later copies of line runs of 50 words or more; lengths follow the text. A document of which nothing is
+    left goes: all its text stands in documents that stay. One that was empty before stays."""
     out, runs = line_dedup.dedup(docs)
+    out = out.where(F.col(runs).isNull() | (F.col("text") != ""))
     changed = F.when(F.col(runs).isNotNull(), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(docs.columns)
 
