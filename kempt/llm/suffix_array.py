@@ -256,8 +256,9 @@ def _suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     rows = "s bigint, i bigint, a bigint, b bigint, c bigint, own bigint, zero int, sample int"
     values = []
     for other in (1, 2):
+        # String and place after the rest, so that suffixes which agree too far to be told apart spread over tasks.
         counted = totals_before(
-            level.mapInArrow(_merging(other), rows), ["a", "b", "c"], ["zero", "sample"], ["s", "i", "own", "zero"]
+            level.mapInArrow(_merging(other), rows), ["a", "b", "c", "s", "i"], ["zero", "sample"], ["s", "i", "own", "zero"]
         )
         # A suffix at place 0 has all smaller ones of either kind before it; the zeros are counted once.
         own = F.col("before_sample") + (F.col("before_zero") if other == 1 else F.lit(0))
