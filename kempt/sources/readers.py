@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.columns import col
+from .documents import sole_document, split_documents
 from .flatten import flatten
 
 FORMATS = {"csv": "csv", "json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "parquet": "parquet"}
@@ -30,7 +31,7 @@ WHOLE_LINE = rf"\A{CELL}(?:,{CELL})*+\z"
 # A line read from inside a quoted cell closes it, and ends all cells behind it.
 CLOSING_LINE = rf"\A{QUOTED_REST}(?:,{CELL})*+\z"
 
-# The longest document that can be told apart as a whole.
+# The longest document that one task reads as a whole; longer ones are split into their records.
 LARGEST_DOCUMENT = 128 << 20
 # Two members of one name with nothing but scalars between them.
 TWICE = r'(?s)("(?:[^"\\]|\\.)*+")\s*+:[^{}]*,\s*+\1\s*+:'
@@ -247,17 +248,31 @@ def read_json(
     lines: bool = False,
     schema: T.StructType | str | None = None,
     layout: str | None = None,
+    largest: int = LARGEST_DOCUMENT,
 ) -> DataFrame:
     """JSON records, records under ``data``, or an object of arrays; nested objects flattened.
 
-    One document per file is read as a whole; with ``lines`` every line is a document of its own and files are split,
-    which is the form for large data. A file that holds no JSON, several documents or no table is an error. ``layout``
+    One document per file is read as a whole up to ``largest`` bytes. A longer array of records, also under
+    ``data``, is split over many tasks and its records are stored as lines first; so are then those of the shorter files
+    beside it. With ``lines`` every line is a document of its own and files are split, which is the form for large data.
+    A file that holds no JSON, several documents or no table is an error. ``layout``
     (records, wrapped, columnar) says how all documents are laid out; without it the documents themselves tell, and
     files of different layouts are an error. Among lines, only a sole member ``data`` makes records under ``data``.
     """
+    path = literal(spark, path)
     read = spark.read.options(multiLine=not lines, mode="FAILFAST")
     if not lines:
-        kinds = _document_kinds(spark, path)
+        kinds = _document_kinds(spark, path, largest)
+        # The length of a file is known without reading it.
+        if not spark.read.format("binaryFile").load(path).where(F.col("length") > largest).select("length").isEmpty():
+            split, records = split_documents(spark, path, largest)
+            told = _layout(T.StructType(), kinds | split)
+            if layout not in (None, told):
+                raise ValueError(f"a document in {path} is too long for the layout {layout}; it is {told}")
+            if schema is not None and told == "wrapped":
+                # The schema is that of the document, its records are read apart.
+                schema = spark.createDataFrame([], schema).select(F.inline("data")).schema
+            path, layout, read = records, "records", spark.read.options(mode="FAILFAST", allowSingleQuotes=False)
     try:
         raw = (read.schema(schema) if schema is not None else read).json(path)
     except (PySparkException, Py4JJavaError) as fault:
@@ -275,16 +290,16 @@ def read_json(
     raise ValueError(f"unknown JSON layout: {layout!r}")
 
 
-def _document_kinds(spark: SparkSession, path: str) -> set[str]:
+def _document_kinds(spark: SparkSession, path: str, largest: int) -> set[str]:
     """What the files' documents are: ``array``, ``wrapped`` or ``object``. Each file must hold exactly one."""
-    whole = spark.read.text(path, wholetext=True)
-    # Between brackets, one document is a list of one; anything else is no JSON or a longer list.
-    listed = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
-    first, second = (F.try_variant_get(listed, f"$[{i}]", "variant") for i in (0, 1))
+    # Longer ones are told apart by ``split_documents``; the filter keeps their files from being opened.
+    whole = spark.read.text(path, wholetext=True).where(F.col("_metadata.file_size") <= largest)
+    listed = sole_document(F.col("value"))
+    first = F.try_variant_get(listed, "$[0]", "variant")
     one = F.schema_of_variant(first)
     data = F.schema_of_variant(F.try_variant_get(listed, "$[0].data", "variant"))
     kind = (
-        F.when(first.isNull() | second.isNotNull(), "broken")
+        F.when(first.isNull(), "broken")
         .when(one.startswith("ARRAY<OBJECT<"), "array").when(one == "ARRAY<VOID>", "array")
         .when(data.startswith("ARRAY<OBJECT<"), "wrapped").when(one.startswith("OBJECT<"), "object").otherwise("none")
     )

@@ -757,6 +757,34 @@ def src_json_line_records(spark, folder):
     return read_json(spark, path, lines=True).select("o_orderkey", F.col("data")[0]["code"].alias("code"))
 
 
+def _large(spark, folder, name, key, head, tail) -> str:
+    """Files that are one JSON document each, of 2,000 rows of a table, written line by line."""
+    path = new_path(spark, "documents")
+    rows = table(spark, folder, name)
+    chunked = rows.select(F.floor(F.col(key) / 2000).alias("chunk"), key, F.to_json(F.struct(*rows.columns)).alias("value"))
+    ends = chunked.groupBy("chunk").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    begin = F.when(F.col(key) == F.col("low"), head).otherwise(",")
+    end = F.when(F.col(key) == F.col("high"), tail).otherwise("")
+    lines = chunked.join(ends, "chunk").select("chunk", key, F.concat(begin, "value", end).alias("value"))
+    sorted_lines = lines.repartition("chunk").sortWithinPartitions("chunk", key)
+    sorted_lines.select("chunk", "value").write.partitionBy("chunk").text(path)
+    return f"{path}/*"
+
+
+@query
+def src_json_large(spark, folder):
+    """Documents in files of one array each; those over 64 KiB are split into their records."""
+    path = _large(spark, folder, "documents", "doc_id", "[", "]")
+    return read_json(spark, path, largest=1 << 16).select("doc_id", "text", "lang", "n_chars")
+
+
+@query
+def src_json_large_data(spark, folder):
+    """Pages under ``data``, between other members."""
+    path = _large(spark, folder, "pages", "page_id", '{"about": [{"data": [{"a": "}"}]}], "data": [', '], "end": {"ok": true}}')
+    return read_json(spark, path, largest=1 << 16).select("page_id", "url", "html")
+
+
 @query
 def src_json_refused(spark, folder):
     """JSON scalars are no table: the number of lines, and that reading them was refused."""

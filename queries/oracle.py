@@ -401,6 +401,8 @@ ORACLE |= {
   case when floor(c_custkey / 100)::bigint % 2 = 0 then c_mktsegment end as c_mktsegment from customer""",
     "src_json_line_records": "select o_orderkey, o_orderstatus as code from orders",
     "src_json_refused": "select count(*) as rows, true as refused from orders",
+    "src_json_large": "select doc_id, text, lang, n_chars from documents",
+    "src_json_large_data": "select page_id, url, html from pages",
     "src_csv_spanning": "select doc_id, text, n_chars from documents",
     "src_csv_names": "select s_suppkey, s_nationkey, s_suppkey as s_suppkey_1 from supplier",
     "sink_dated": "select *, 'processed_data_2024-03-09.csv' as file from supplier",

@@ -224,7 +224,7 @@ def test_json_lines(spark, tmp_path):
     assert rows(read_json(spark, path, lines=True, layout="records")) == [([1, 2],), ([3],)]
 
 
-@pytest.mark.parametrize("text", ['{"a": 1}\n{"a": 2}\n', '{"a": 1}, {"a": 2}', '{"a": 1', '{"a": 1} x'])
+@pytest.mark.parametrize("text", ['{"a": 1}\n{"a": 2}\n', '{"a": 1}, {"a": 2}', '{"a": 1', '{"a": 1} x', '[{"a": 1}]]', '[{"a": 1}], 7'])
 def test_json_files_that_are_no_single_document(spark, tmp_path, text):
     with pytest.raises(ValueError, match="no single JSON document"):
         load_table(spark, save(tmp_path / "a.json", text))
@@ -282,7 +282,70 @@ def test_json_refusals_say_why(spark, tmp_path, monkeypatch):
     path = save(tmp_path / "broken.json", '[{"a":1},{"a":2}')
     with pytest.raises(ValueError, match="no single JSON document"):
         read_json(spark, path)
-    # A text that cannot be told apart as a whole, made small here.
-    monkeypatch.setattr(readers, "LARGEST_DOCUMENT", 10)
+    # Broken is broken at any size; what is too long to be read as a whole is told so.
+    with pytest.raises(ValueError, match="no single JSON document"):
+        read_json(spark, path, largest=10)
+    path = save(tmp_path / "columns.json", '{"a": [1, 2, 3, 4], "b": [5, 6, 7, 8]}')
     with pytest.raises(ValueError, match="write its records as lines"):
-        read_json(spark, path)
+        read_json(spark, path, largest=10)
+
+
+def sample_records(seed, n):
+    """Records with nested objects, arrays, braces, quotes and backslashes in strings, and long texts."""
+    rng = random.Random(seed)
+    marks = ['}', '{', '[', ']', '"', '\\', '\\"', ',', ' }, {', '"data": [{', 'ü', '\n', 'word ', '\\\\']
+    text = lambda: "".join(rng.choice(marks) for _ in range(rng.choice([0, 1, 5, 40, 900])))
+    make = lambda i: {"id": i, "t": text(), "deep": {"x": text(), "y": {"z": i}}, "list": [{"k": text()} for _ in range(i % 3)]}
+    return [make(i) if i % 4 else {"id": i, "t": text()} for i in range(n)]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("kind", ["array", "wrapped"])
+def test_json_documents_are_split(spark, tmp_path, kind, indent):
+    """Read in blocks of 20,000 bytes, the records are those that Python reads."""
+    for seed in range(2):
+        records = sample_records(seed, 200)
+        document = records if kind == "array" else {
+            "meta": {"data": [{"id": -1}], "x": {"y": 1}}, "s": '"data": [{"id": -2}]', "others": [{"id": -3}, [{"id": -4}]],
+            "data": records, "after": [{"id": -5}], "z": {"q": "]}"},
+        }
+        path = save(tmp_path / f"{kind}{seed}.json", json.dumps(document, indent=indent, ensure_ascii=False))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+        try:
+            df = read_json(spark, path, largest=1000)
+            assert spark.read.text(path, lineSep="}").rdd.getNumPartitions() > 5
+            found = {r["id"]: r.asDict(recursive=True) for r in df.collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(found) == df.count() == 200 and set(df.columns) == {"id", "t", "deep.x", "deep.y.z", "list"}
+        for r in records:
+            deep = r.get("deep", {"x": None, "y": {"z": None}})
+            assert found[r["id"]] == {"id": r["id"], "t": r["t"], "deep.x": deep["x"], "deep.y.z": deep["y"]["z"], "list": r.get("list")}
+
+
+@pytest.mark.parametrize("text, reason", [
+    ('[{"a": 1}, 5, {"a": 2}]', "no object"), ('[{"a": 1} {"a": 2}]', "no object"), ('[{"a": 1}, {"a": "x\ny"}]', "no object"),
+    ('[{"a": 1}, {"a": 2}', "no single"), ('[{"a": 1}, {"a": 2}]]', "no single"), ('[{"a": 1}, {"a": 2}] 7', "no single"),
+    ('{"data": [{"a": 1}, {"a": 2}]\n', "no single"), ('{"data": [{"a": 1}], "b": x}', "no single"),
+    ('{"data": [{"a": 1}]} {"data": []}', "no single"), ('[{"a": 1, "a": 2}, {"a": 3}]', "already exists"),
+    ('{"data": [{"a": 1}], "data": [{"a": 2}]}', "two members"), ('[{"a": 1}, {"a" 2}]', "malformed"), ('[1, 2, 3, 4, 5]', "lines"),
+])
+def test_json_documents_that_are_refused_when_split(spark, tmp_path, text, reason):
+    path = save(tmp_path / "a.json", text)
+    with pytest.raises(Exception, match=f"(?i){reason}"):
+        read_json(spark, path, largest=5).collect()
+
+
+def test_json_documents_of_all_sizes(spark, tmp_path):
+    save(tmp_path / "a.json", '[{"x": 1}]')
+    save(tmp_path / "b.json", json.dumps([{"x": i, "y": "}"} for i in range(50)]) + "\n ")
+    save(tmp_path / "c.json", "[]")
+    assert sorted(r["x"] for r in read_json(spark, str(tmp_path), largest=100).collect()) == sorted([1, *range(50)])
+    save(tmp_path / "d.json", '{"data": [{"x": 4}]}')
+    with pytest.raises(ValueError, match="differ in layout"):
+        read_json(spark, str(tmp_path), largest=100)
+    path = save(tmp_path / "e.json", json.dumps({"data": [{"x": i} for i in range(50)]}))
+    df = read_json(spark, path, largest=100, schema="data array<struct<x bigint, y string>>")
+    assert sorted(rows(df)) == [(i, None) for i in range(50)] and df.columns == ["x", "y"]
+    with pytest.raises(ValueError, match="too long for the layout"):
+        read_json(spark, path, largest=100, layout="columnar")
