@@ -1,21 +1,28 @@
 """Whole-row duplicates: null equals null, NaN equals NaN, in every column.
 
 Equal rows cannot be told apart, so which copy counts as the first is unobservable and
-no ordering is needed. Each operator is one grouping by all columns; copies collapse
+no ordering is needed. To remove or flag copies is one grouping by all columns; copies collapse
 before the shuffle, so a row that makes up a third of the table costs no more than any.
+To count them is a grouping by hashes, and one by all columns of the rows whose hash occurs again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..functions.names import free_name
+from .staging import staged
 
 # Fixed value: the name of the flag column.
 FLAG = "duplicate_flag"
 COPIES_PER_TASK = 1_000_000
+# Hashes of 8 bytes that are broadcast.
+HASHES = 1_000_000
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -54,9 +61,38 @@ def flag_duplicates(df: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> Da
     return few.unionByName(many).select(*kept, (F.col(copy) > 1).alias(FLAG))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64 bits that equal rows share; different rows may share them too.
+
+    Maps and collated texts are left out, since equal ones may differ in order or in letters.
+    """
+    plain = [f for f in df.schema.fields if not re.search("map<|collate", f.dataType.simpleString().lower())]
+    return F.xxhash64(F.lit(0), *[c for f in plain for c in (col(f.name), col(f.name).isNull())])
+
+
+def hash_counts(df: DataFrame, name: str, hashed: Callable[[DataFrame], Column] = row_hash) -> DataFrame:
+    """``name``, the hash of a row, and the number ``n`` of rows that share it."""
+    return df.select(hashed(df).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
+def repeated_rows(
+    df: DataFrame, hashed: Callable[[DataFrame], Column] = row_hash, hashes: int = HASHES
+) -> tuple[DataFrame, str]:
+    """``counted_copies`` of all rows that occur again, and maybe of some others.
+
+    Rows are grouped by their hashes first, so only 8 bytes of each are shuffled; whole rows are compared only where a hash
+    occurs again. With more than ``hashes`` such hashes, too many to broadcast, all rows are compared.
+    """
+    mark = free_name("hash", [*df.columns, "n"])
+    again = staged(hash_counts(df, mark, hashed).where("n > 1").select(mark), "repeated")
+    if again.count() > hashes:
+        return counted_copies(df)
+    return counted_copies(df.withColumn(mark, hashed(df)).join(F.broadcast(again), mark, "left_semi").drop(mark))
+
+
 def count_duplicates(df: DataFrame) -> DataFrame:
     """One row: ``duplicates`` = rows equal to an earlier row."""
-    counted, copies = counted_copies(df)
+    counted, copies = repeated_rows(df)
     return counted.agg(F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("duplicates"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import col, is_missing, is_numeric, numeric_columns, present
 from .counts import distinct_values, modes, text_counts
-from .duplicates import counted_copies
+from .duplicates import count_duplicates
 from .missing import LABEL
 from .quantiles import quantiles
 
@@ -181,19 +181,20 @@ def summary_table(df: DataFrame, order_by: Sequence[str] = (), exact: bool = Tru
 def stage_stats(df: DataFrame) -> DataFrame:
     """One row: rows, cols, numeric, non_numeric, missing cells, duplicate rows.
 
-    Equal rows collapse once; all counts are then weighted by the number of copies.
+    Rows and cells are counted without a shuffle; for duplicates, only hashes of rows are shuffled.
     """
-    numeric = len(numeric_columns(df))
-    gaps = sum((is_missing(f).cast("bigint") for f in df.schema.fields), F.lit(0).cast("bigint"))
-    counted, copies = counted_copies(df)
-    total = lambda e: F.coalesce(F.sum(e), F.lit(0))
-    return counted.agg(
-        total(F.col(copies)).alias("rows"),
+    numeric, zero = len(numeric_columns(df)), F.lit(0).cast("bigint")
+    gaps = sum((is_missing(f).cast("bigint") for f in df.schema.fields), zero)
+    cells = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(gaps), zero).alias("missing"))
+    copies = count_duplicates(df).select(zero.alias("rows"), zero.alias("missing"), "duplicates")
+    both = cells.withColumn("duplicates", zero).unionByName(copies)
+    return both.agg(
+        F.coalesce(F.sum("rows"), zero).alias("rows"),
         F.lit(len(df.columns)).cast("bigint").alias("cols"),
         F.lit(numeric).cast("bigint").alias("numeric"),
         F.lit(len(df.columns) - numeric).cast("bigint").alias("non_numeric"),
-        total(F.col(copies) * gaps).alias("missing"),
-        total(F.col(copies) - 1).alias("duplicates"),
+        F.coalesce(F.sum("missing"), zero).alias("missing"),
+        F.coalesce(F.sum("duplicates"), zero).alias("duplicates"),
     )
 
 

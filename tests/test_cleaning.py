@@ -1,11 +1,14 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kempt.operators import explore, profile
-from kempt.operators.duplicates import count_duplicates, flag_duplicates, handle_duplicates
+from kempt.operators.duplicates import (
+    count_duplicates, flag_duplicates, handle_duplicates, hash_counts, repeated_rows, row_hash,
+)
 from kempt.operators.missing import FillMissing, handle_missing, strategies
 from kempt.operators.standardize import Standardize
 
@@ -29,6 +32,30 @@ def test_flag_marks_all_but_one(copies, copies_per_task):
     assert flagged.where("not duplicate_flag").drop("duplicate_flag").distinct().count() == 4
 
 
+def test_counting_compares_rows_that_share_a_hash(spark, copies):
+    extra = lambda found: found[0].agg(F.sum(F.col(found[1]) - 1)).first()[0]
+    constant = lambda df: F.lit(7).cast("bigint")
+    few = lambda df: F.pmod(row_hash(df), F.lit(2))
+    assert extra(repeated_rows(copies)) == extra(repeated_rows(copies, constant)) == extra(repeated_rows(copies, few)) == 12
+    assert extra(repeated_rows(copies, hashes=0)) == 12
+    # Different rows of one hash are no copies; nulls in other columns are told apart.
+    different = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (1, 1, None)], "hash int, n int, copies string")
+    assert extra(repeated_rows(different, constant)) == 0 and count_duplicates(different).first()[0] == 0
+    assert different.select(row_hash(different)).distinct().count() == 3
+    maps = spark.createDataFrame([({"a": 1, "b": 2}, "X"), ({"b": 2, "a": 1}, "x")], "m map<string,int>, t string")
+    assert count_duplicates(maps).first()[0] == 0 and count_duplicates(maps.select("m")).first()[0] == 1
+    assert count_duplicates(maps.select(F.expr("t collate UTF8_LCASE as t"))).first()[0] == 1
+    assert count_duplicates(copies.limit(0)).first()[0] == 0
+
+
+def test_counting_shuffles_hashes_only(spark, folder):
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = hash_counts(table, "hash")._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchange = plan[plan.index(") Exchange\n"):]
+    assert re.match(r"\) Exchange\nInput \[2\]: \[hash#\d+L, count#\d+L\]", exchange), exchange[:200]
+
+
 def test_remove_is_idempotent(copies):
     once = handle_duplicates(copies, "remove")
     assert once.count() == 4 and count_duplicates(once).first()[0] == 0
