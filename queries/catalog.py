@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kempt.functions import text
 from kempt.functions.columns import number
@@ -762,12 +763,11 @@ def _large(spark, folder, name, key, head, tail) -> str:
     path = new_path(spark, "documents")
     rows = table(spark, folder, name)
     chunked = rows.select(F.floor(F.col(key) / 2000).alias("chunk"), key, F.to_json(F.struct(*rows.columns)).alias("value"))
-    ends = chunked.groupBy("chunk").agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    begin = F.when(F.col(key) == F.col("low"), head).otherwise(",")
-    end = F.when(F.col(key) == F.col("high"), tail).otherwise("")
-    lines = chunked.join(ends, "chunk").select("chunk", key, F.concat(begin, "value", end).alias("value"))
-    sorted_lines = lines.repartition("chunk").sortWithinPartitions("chunk", key)
-    sorted_lines.select("chunk", "value").write.partitionBy("chunk").text(path)
+    # The window brings each file's rows together and in order; nothing after it may move them.
+    order = Window.partitionBy("chunk").orderBy(key)
+    begin = F.when(F.lag(key).over(order).isNull(), head).otherwise(",")
+    end = F.when(F.lead(key).over(order).isNull(), tail).otherwise("")
+    chunked.select("chunk", F.concat(begin, "value", end).alias("value")).write.partitionBy("chunk").text(path)
     return f"{path}/*"
 
 
