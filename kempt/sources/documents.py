@@ -66,10 +66,14 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
         "*", F.when(F.col("turned"), F.col("in")).otherwise(F.col("out")).alias("rise0"),
         F.when(F.col("turned"), F.col("out")).otherwise(F.col("in")).alias("rise1"),
     )
-    state = both.select("*", total("rise0", before).alias("depth0"), total("rise1", before).alias("depth1"))
-    blocks = both.groupBy("file", "start").agg(
+    # Stored, so that the texts are searched once.
+    state = staged(both.select(
+        "*", total("rise0", before).alias("depth0"), total("rise1", before).alias("depth1"),
+        F.col("value").rlike(r"\A\s*\[").alias("listed"),
+    ), "pieces")
+    blocks = state.groupBy("file", "start").agg(
         (F.sum("odd") % 2).alias("odd"), F.sum("rise0").alias("rise0"), F.sum("rise1").alias("rise1"),
-        F.min_by(F.col("value").rlike(r"\A\s*\["), "line").alias("array"),
+        F.min_by("listed", "line").alias("array"),
     )
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("entered", total("odd", earlier) % 2 == 1)
@@ -115,7 +119,7 @@ def split_documents(spark: SparkSession, path: str, largest: int) -> tuple[set[s
     """
     lines = new_path(spark, "records")
     with collecting() as paths:
-        placed = staged(_placed(spark, path), "pieces")
+        placed = _placed(spark, path)
         # The records' objects end where just the array, and under a member the whole object, is open.
         base = F.when(F.col("array"), 1).otherwise(2)
         marks = staged(placed.select(
