@@ -78,10 +78,11 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("entered", total("odd", earlier) % 2 == 1)
     blocks = blocks.withColumn("rise", F.when(F.col("entered"), F.col("rise1")).otherwise(F.col("rise0")))
-    entry = blocks.select(
+    # One row per block; stored, so that the planner knows its size and need not shuffle the texts.
+    entry = staged(blocks.select(
         "file", "start", "entered", total("rise", earlier).alias("level"),
         F.min_by("array", "start").over(Window.partitionBy("file")).alias("array"),
-    )
+    ), "entry")
     case = lambda name: F.when(F.col("entered"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
     return state.join(entry, ["file", "start"]).select(
         "file", "size", F.struct("start", "line").alias("place"), "start", "line", "value", "array",
@@ -123,38 +124,41 @@ def split_documents(spark: SparkSession, path: str, largest: int) -> tuple[set[s
         # The records' objects end where just the array, and under a member the whole object, is open.
         base = F.when(F.col("array"), 1).otherwise(2)
         marks = staged(placed.select(
-            "file", "place", _opening().alias("opening"),
+            "file", "place", _opening().isNotNull().alias("opens"),
             (~F.col("inside") & (F.col("depth") == base) & F.col("value").rlike(r"\A\s*\]")).alias("closes"),
-        ).where(F.col("opening").isNotNull() | F.col("closes")), "marks")
-        opened = marks.where(F.col("opening").isNotNull()).groupBy("file").agg(
-            F.min("place").alias("opened"), F.min_by("opening", "place").alias("opening"), F.count(F.lit(1)).alias("openings")
-        )
+        ).where(F.col("opens") | F.col("closes")), "marks")
+        opened = marks.where("opens").groupBy("file").agg(F.min("place").alias("opened"), F.count(F.lit(1)).alias("openings"))
         closed = marks.where("closes").join(opened.select("file", "opened"), "file").where("place > opened").groupBy("file").agg(
             F.min("place").alias("closed")
         )
-        within = placed.join(opened, "file", "left").join(closed, "file", "left")
+        # One row per file.
+        bounds = staged(opened.join(closed, "file", "left"), "bounds")
+        within = placed.join(bounds, "file", "left")
         record = F.coalesce((F.col("place") >= F.col("opened")) & (F.col("place") < F.col("closed")), F.lit(False))
         kinds = _checked(within, record, largest)
 
         ends = ~F.col("inside_behind") & (F.col("behind") == base)
         starts = F.col("place") == F.col("opened")
-        inner = within.where(record).select(
-            "file", "start", "line", "place", ends.alias("ends"),
-            (ends & ~F.col("inside") & (F.col("depth") == base)).alias("single"),
-            F.when(starts, F.concat(F.lit(","), "opening.tail")).otherwise(F.col("value")).alias("value"),
-        )
+        value = F.when(starts, F.concat(F.lit(","), _opening()["tail"])).otherwise(F.col("value"))
+        alone = ends & ~F.col("inside") & (F.col("depth") == base)
+        inner = within.where(record)
+        single = inner.where(alone).select(value.alias("value"))
+        # Which records the other pieces belong to is found without the texts.
         upto = Window.partitionBy("file", "start").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
         earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-        ended = F.when(F.col("ends"), F.col("place"))
-        own = inner.select("*", F.max(ended).over(upto).alias("last"))
+        places = staged(inner.select(
+            "file", "start", "line", alone.alias("alone"), F.when(ends, F.col("place")).alias("ended")
+        ).withColumn("last", F.max("ended").over(upto)), "places")
         # A record that goes on from an earlier block follows the last one ended there.
-        carried = inner.groupBy("file", "start").agg(F.max(ended).alias("last")).select(
+        carried = places.groupBy("file", "start").agg(F.max("ended").alias("last")).select(
             "file", "start", F.max("last").over(earlier).alias("carried")
         )
-        single = own.where("single").select("value")
-        parts = own.where(~F.col("single")).join(carried, ["file", "start"]).groupBy(
-            "file", F.coalesce("last", "carried").alias("last")
-        ).agg(F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("pieces"))
+        owner = places.where(~F.col("alone")).join(carried, ["file", "start"]).select(
+            "file", "start", "line", F.coalesce("last", "carried").alias("last")
+        )
+        parts = inner.where(~alone).select("file", "start", "line", value.alias("value")).join(
+            owner, ["file", "start", "line"]
+        ).groupBy("file", "last").agg(F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("pieces"))
         texts = single.unionByName(parts.select(F.array_join("pieces.value", "}").alias("value")))
         proper = F.col("value").rlike(r"\A\s*,\s*\{") & ~F.regexp_replace("value", PROPER, "").contains('"')
         text = F.concat(F.translate(F.regexp_replace("value", r"\A\s*,\s*", ""), "\r\n", "  "), F.lit("}"))
@@ -166,7 +170,7 @@ def split_documents(spark: SparkSession, path: str, largest: int) -> tuple[set[s
 
 def _checked(within: DataFrame, record: Column, largest: int) -> set[str]:
     """The kinds of documents, after a look at what is around the records of each file."""
-    around = F.when(F.col("place") == F.col("opened"), F.col("opening.head")).otherwise(F.col("value"))
+    around = F.when(F.col("place") == F.col("opened"), _opening()["head"]).otherwise(F.col("value"))
     outer = ~record | (F.col("place") == F.col("opened"))
     # A file without an array of records has all its text around them; it is not put together.
     kept = outer & F.col("opened").isNotNull()
