@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.staging import collecting, new_path, release, staged
+from ..operators.staging import collecting, new_path, release, settled, staged
 
 # A string, or the begin of one that the piece does not end. Possessive, so that long texts need no stack.
 STRINGS = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|\\?\z)'
@@ -67,7 +67,7 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.col("turned"), F.col("out")).otherwise(F.col("in")).alias("rise1"),
     )
     # Stored, so that the texts are searched once.
-    state = staged(both.select(
+    state = settled(spark, lambda: both.select(
         "*", total("rise0", before).alias("depth0"), total("rise1", before).alias("depth1"),
         F.col("value").rlike(r"\A\s*\[").alias("listed"),
     ), "pieces")
