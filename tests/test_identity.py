@@ -41,6 +41,27 @@ def test_nested_values_that_read_alike(spark):
     assert found == {0: (4, 1), 1: (2, 2)}
 
 
+def test_distinct_numbers_at_the_ends_of_their_types(spark):
+    """Bitmaps over negative numbers and the ends of each type; -0.0 is 0.0; neighbouring doubles stay apart."""
+    longs = [-(2**63), -(2**63) + 1, -65, -64, -63, -1, 0, 1, 63, 64, 2**63 - 1, None, 0, 63, -64]
+    doubles = [0.0, -0.0, 5e-324, 1e308, float("inf"), float("-inf"), 1.0, 1.0000000000000002, float("nan"), None, 0.1, 0.3, -0.3, 0.1 + 0.2, 1.0]
+    df = spark.createDataFrame(list(zip(longs, doubles)), "l long, d double").repartition(4)
+    df = df.selectExpr("l", "d", "cast(d as float) f", "l > 0 as b", "date_add(date'1970-01-01', cast(l % 1000 as int)) as t",
+                       "timestamp_micros(l % 1000) as s", "cast(l % 100 as byte) y", "cast(l % 100 as decimal(10, 2)) c")
+    want = {}
+    plain = [tuple(r) for r in df.collect()]
+    for i, c in enumerate(df.columns):
+        want[c] = len({r[i] for r in plain if r[i] is not None and r[i] == r[i]})
+    assert {r["column"]: r["unique"] for r in profile.distinct_counts(df).collect()} == want
+    assert want["l"] == 11 and want["d"] == 11
+
+
+def test_distinct_numbers_of_a_wide_range(spark):
+    df = spark.range(200_000).selectExpr("id", "(id * 2654435761) % 1000003 as m", "sqrt(id % 50000) as r", "id / 64 as q", "-id as g")
+    want = {c: df.select(c).distinct().count() for c in df.columns}
+    assert {r["column"]: r["unique"] for r in profile.distinct_counts(df).collect()} == want
+
+
 def test_label_order_is_the_same_on_both_sides_of_the_limit(spark):
     nan = float("nan")
     df = spark.createDataFrame([("a", 3.0), ("b", None), ("c", nan), ("d", 1.0), ("e", None), ("b", None), ("d", nan)], "v string, k double")

@@ -61,5 +61,12 @@ def test_distinct_counts_do_not_multiply_rows(spark, folder, capsys):
     assert "Expand" not in plan
 
 
+def test_distinct_counts_shuffle_words_of_bitmaps(spark, folder, capsys):
+    """Numbers of all types share one lane, and 64 neighbours one row."""
+    df = spark.range(64_000, numPartitions=2).selectExpr("id", "id % 2 = 0 as b", "cast(id % 10 as float) as d")
+    plan = explained(profile.distinct_counts(df), capsys)
+    assert "bit_or" in plan and "lane" not in plan
+
+
 def test_preview_keeps_n_rows_per_task(spark, folder, capsys):
     assert "TakeOrderedAndProject" in explained(QUERIES["lim_preview"](spark, folder), capsys)
