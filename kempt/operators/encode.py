@@ -8,22 +8,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.columns import categorical_columns, col, targets
 from ..functions.names import clean_name, free_name, uniquify
 from .counts import text_counts
-from .lookup import attach
+from .lookup import ROW_BYTES, attach
 from .missing import LABEL
 from .running import ROWS_PER_TASK, running_total
 from .staging import staged
 
 INLINE_LEVELS = 24        # up to here a code is found inside the projection
+QUICK_LEVELS = 1_000      # levels of all columns that are fetched without writing them first
 DRIVER_LEVELS = 10_000    # levels of a column that the driver may hold,
-DRIVER_LENGTH = 500       # and how long each of them may be
+DRIVER_LENGTH = 500       # and how many bytes each of them may have
+NAME_BYTES = 16 * 1024 * 1024    # of the levels that become column names
 
 
 def _filled(name: str) -> Column:
@@ -34,19 +38,46 @@ def _levels(df: DataFrame, names: Sequence[str], order_by: Sequence[str]) -> Dat
     return text_counts(df, names, order_by, {n: _filled(n) for n in names})
 
 
+Found = dict[int, list[tuple[str, int]]]
+
+
+def _quick(levels: DataFrame, order_by: Sequence[str]) -> Found | None:
+    """The ranked levels (value, n) of each column number in one job, or None where they may be many or long.
+
+    A task passes on at most ``QUICK_LEVELS`` + 1 short rows; nothing is written.
+    """
+    keys = levels.schema["first"].dataType
+    keys = [f.dataType for f in keys.fields] if isinstance(keys, T.StructType) else [keys]
+    if order_by and not all(isinstance(k, (T.NumericType, T.DatetimeType, T.BooleanType)) for k in keys):
+        return None    # such keys may be long
+    short = F.when(F.octet_length("value") <= DRIVER_LENGTH, F.col("value"))
+    first = F.col("first") if order_by else F.lit(0)
+    rows = levels.select("number", first.alias("first"), short.alias("value"), "n")
+    rows = rows.orderBy("number", "first", "value").limit(QUICK_LEVELS + 1).select("number", "value", "n").collect()
+    if len(rows) > QUICK_LEVELS or any(r["value"] is None for r in rows):
+        return None
+    found: Found = {}
+    for r in rows:
+        found.setdefault(r["number"], []).append((r["value"], r["n"]))
+    return found
+
+
 def _sizes(levels: DataFrame) -> Mapping[int, Mapping[str, int]]:
-    """How many levels each column number has, and the length of the longest."""
-    sizes = levels.groupBy("number").agg(F.count(F.lit(1)).alias("levels"), F.max(F.length("value")).alias("longest"))
-    return {r["number"]: {"levels": r["levels"], "longest": r["longest"]} for r in sizes.collect()}
+    """How many ``levels`` each column number has, the bytes of the ``longest`` and of all."""
+    length = F.octet_length("value")
+    sizes = levels.groupBy("number").agg(
+        F.count(F.lit(1)).alias("levels"), F.max(length).alias("longest"), F.sum(length).alias("bytes")
+    )
+    return {r["number"]: r.asDict() for r in sizes.collect()}
 
 
-def _ranked(levels: DataFrame, numbers: Sequence[int]) -> dict[int, list[tuple[str, int]]]:
+def _ranked(levels: DataFrame, numbers: Sequence[int]) -> Found:
     """The levels of columns proven small, as (value, n), ranked by the engine; their keys stay there."""
     if not numbers:
         return {}
     place = F.row_number().over(Window.partitionBy("number").orderBy("first", "value"))
     rows = levels.where(F.col("number").isin(*numbers)).select("number", "value", "n", place.alias("place")).collect()
-    out: dict[int, list[tuple[str, int]]] = {}
+    out: Found = {}
     for r in sorted(rows, key=lambda r: (r["number"], r["place"])):
         out.setdefault(r["number"], []).append((r["value"], r["n"]))
     return out
@@ -54,10 +85,11 @@ def _ranked(levels: DataFrame, numbers: Sequence[int]) -> dict[int, list[tuple[s
 
 @dataclass(frozen=True)
 class LabelEncode:
-    """Fitted: the level list of each column, or its dictionary table where that is long."""
+    """Fitted: the level list of each column, or its dictionary table where that is long, with its rows and bytes."""
 
     lists: Mapping[str, Sequence[str]] = field(default_factory=dict)
     tables: Mapping[str, DataFrame] = field(default_factory=dict)
+    sizes: Mapping[str, tuple[int, int]] = field(default_factory=dict)
 
     @staticmethod
     def fit(
@@ -70,28 +102,33 @@ class LabelEncode:
         names = targets(columns, categorical_columns(df))
         if not names:
             return LabelEncode()
-        # Counted once; then each column goes its own way, with the same order of levels.
-        levels = staged(_levels(df, names, order_by).select("number", "value", "n", "first"), "levels")
-        sizes = _sizes(levels)
-        short = [
-            i for i in range(len(names))
-            if i in sizes and sizes[i]["levels"] <= driver_levels and sizes[i]["longest"] <= DRIVER_LENGTH
-        ]
-        lists, tables = {}, {}
-        for i, found in _ranked(levels, short).items():
-            if len(found) <= INLINE_LEVELS:
-                lists[names[i]] = tuple(value for value, _ in found)
+        levels = _levels(df, names, order_by).select("number", "value", "n", "first")
+        sizes: Mapping[int, Mapping[str, int]] = {}
+        found = _quick(levels, order_by)
+        if found is None or any(len(one) > driver_levels for one in found.values()):
+            # Written once; then each column goes its own way, with the same order of levels.
+            levels = staged(levels, "levels")
+            sizes = _sizes(levels)
+            found = _ranked(levels, [
+                i for i, size in sizes.items() if size["levels"] <= driver_levels and size["longest"] <= DRIVER_LENGTH
+            ])
+        lists, tables, held = {}, {}, {}
+        for i, one in found.items():
+            if len(one) <= INLINE_LEVELS:
+                lists[names[i]] = tuple(value for value, _ in one)
             else:
                 tables[names[i]] = df.sparkSession.createDataFrame(
-                    [(value, n, code) for code, (value, n) in enumerate(found, 1)], "key string, n bigint, code int"
+                    [(value, n, code) for code, (value, n) in enumerate(one, 1)], "key string, n bigint, code int"
                 )
-        for i in set(sizes) - set(short):
+                held[names[i]] = len(one), sum(len(value.encode()) for value, _ in one)
+        for i in set(sizes) - set(found):
             # Long dictionaries never reach the driver: they are ranked where they are.
             one = levels.where(F.col("number") == i).select("value", "n", "first")
-            ranked = running_total(one, [], ["first", "value"], rows_per_task=rows_per_task)
+            ranked = running_total(one, [], ["first", "value"], rows=sizes[i]["levels"], rows_per_task=rows_per_task)
             code = (F.col("before") + 1).cast("int")
             tables[names[i]] = staged(ranked.select(F.col("value").alias("key"), "n", code.alias("code")), "codes")
-        return LabelEncode(lists, tables)
+            held[names[i]] = sizes[i]["levels"], sizes[i]["bytes"]
+        return LabelEncode(lists, tables, held)
 
     def apply(self, df: DataFrame) -> DataFrame:
         names = df.columns
@@ -107,7 +144,8 @@ class LabelEncode:
         for name, table in self.tables.items():
             if name in names:
                 code = free_name("code", names)
-                df = attach(df, _filled(name), table.withColumnRenamed("code", code))
+                rows, size = self.sizes[name]
+                df = attach(df, _filled(name), table.withColumnRenamed("code", code), size=rows * (ROW_BYTES + 16) + size)
                 df = df.select(*[F.col(code).alias(c) if c == name else col(c) for c in names])
         return df
 
@@ -116,11 +154,18 @@ class TooManyLevels(ValueError):
     """One-hot encoding would add more columns than allowed; nothing is cut off silently."""
 
 
+def _refuse(names: Sequence[str], counts: Mapping[int, int], max_levels: int | None) -> None:
+    for i, count in counts.items():
+        if max_levels is not None and count > max_levels:
+            raise TooManyLevels(f"{names[i]!r} has over {max_levels} levels; raise max_levels or label-encode it")
+
+
 @dataclass(frozen=True)
 class OneHotEncode:
     """Fitted: the levels of each column, in the order of their indicator columns.
 
-    ``max_levels``, off unless set, refuses columns with more levels; levels are never cut off.
+    ``max_levels``, off unless set, refuses columns with more levels; levels are never cut off. Levels that take over
+    ``NAME_BYTES`` cannot be column names: they are refused after they were counted; ``SparseOneHot`` takes them.
     """
 
     levels: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -132,13 +177,19 @@ class OneHotEncode:
         names = targets(columns, categorical_columns(df))
         if not names:
             return OneHotEncode()
-        levels = staged(_levels(df, names, order_by).select("number", "value", "n", "first"), "levels")
-        sizes = _sizes(levels)
-        for i, size in sizes.items():
-            if max_levels is not None and size["levels"] > max_levels:
-                raise TooManyLevels(f"{names[i]!r} has over {max_levels} levels; raise max_levels or label-encode it")
-        # Levels become column names, so they, and only they, reach the driver.
-        found = _ranked(levels, list(sizes))
+        levels = _levels(df, names, order_by).select("number", "value", "n", "first")
+        found = _quick(levels, order_by)
+        if found is None:
+            levels = staged(levels, "levels")
+            sizes = _sizes(levels)
+            _refuse(names, {i: size["levels"] for i, size in sizes.items()}, max_levels)
+            names_bytes = sum(size["bytes"] for size in sizes.values())
+            if names_bytes > NAME_BYTES:
+                raise TooManyLevels(f"names of {names_bytes} bytes for the columns to add; use SparseOneHot")
+            # Levels become column names, so they, and only they, reach the driver.
+            found = _ranked(levels, list(sizes))
+        else:
+            _refuse(names, {i: len(one) for i, one in found.items()}, max_levels)
         return OneHotEncode({names[i]: tuple(value for value, _ in found[i]) for i in sorted(found)})
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -152,3 +203,53 @@ class OneHotEncode:
             (_filled(n) == level).cast("int").alias(name) for (n, level), name in zip(pairs, names)
         ]
         return df.select(*[col(c) for c in others], *indicators)
+
+
+@dataclass(frozen=True)
+class SparseOneHot:
+    """One-hot encoding for any number of levels, as one column that lists the indicators which are 1.
+
+    The indicators of all encoded columns are numbered from 0: first those of the first column, in the order of its
+    levels, then those of the next. A row lists one number per encoded column, none for a level that was not fitted.
+    Long dictionaries are ranked and joined in the cluster; the driver holds only how many levels each column has.
+    """
+
+    labels: LabelEncode
+    offsets: Mapping[str, int]
+    width: int
+
+    @staticmethod
+    def fit(
+        df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = (), driver_levels: int = DRIVER_LEVELS
+    ) -> SparseOneHot:
+        labels = LabelEncode.fit(df, columns, order_by, driver_levels)
+        offsets, width = {}, 0
+        for name in targets(columns, [*labels.lists, *labels.tables]):
+            offsets[name] = width
+            width += len(labels.lists[name]) if name in labels.lists else labels.sizes[name][0]
+        return SparseOneHot(labels, offsets, width)
+
+    def apply(self, df: DataFrame, name: str = "onehot") -> DataFrame:
+        """The other columns of ``df``, then ``name``: the numbers, an ascending array of longs."""
+        sources = [n for n in self.offsets if n in df.columns]
+        others = [c for c in df.columns if c not in sources]
+        coded = self.labels.apply(df)
+        numbers = [col(n).cast("bigint") + (self.offsets[n] - 1) for n in sources]
+        active = F.array_compact(F.array(*numbers)) if numbers else F.array().cast("array<bigint>")
+        return coded.select(*[col(c) for c in others], active.alias(free_name(name, others)))
+
+    def indicators(self, spark: SparkSession) -> DataFrame:
+        """``position, column, level`` of every indicator."""
+        parts = [
+            spark.createDataFrame(
+                [(self.offsets[n] + i, n, level) for i, level in enumerate(levels)], "position bigint, column string, level string"
+            )
+            for n, levels in self.labels.lists.items()
+        ] + [
+            table.select(
+                (F.col("code") + F.lit(self.offsets[n] - 1).cast("bigint")).alias("position"), F.lit(n).alias("column"), F.col("key").alias("level")
+            )
+            for n, table in self.labels.tables.items()
+        ]
+        empty = spark.createDataFrame([], "position bigint, column string, level string")
+        return reduce(DataFrame.unionAll, parts, empty)

@@ -15,7 +15,7 @@ from kempt.functions.names import uniquify
 from kempt.operators import explore, profile
 from kempt.operators.derive import FeatureRule, apply_rules
 from kempt.operators.duplicates import count_duplicates, handle_duplicates
-from kempt.operators.encode import LabelEncode, OneHotEncode
+from kempt.operators.encode import LabelEncode, OneHotEncode, SparseOneHot
 from kempt.operators.filters import RowFilter, level_domain, numeric_domain
 from kempt.operators.missing import handle_missing, strategies
 from kempt.operators.numeric import Outliers, Scaling
@@ -902,3 +902,13 @@ def enc_onehot_many(spark, folder):
     """Over 200 levels, which no default refuses."""
     orders = table(spark, folder, "orders").selectExpr("o_orderkey", "concat('k', o_orderkey % 230) as v")
     return OneHotEncode.fit(orders, ["v"]).apply(orders)
+
+
+@query
+def enc_onehot_sparse(spark, folder):
+    """Whole texts as levels: nearly as many indicators as rows, listed instead of spread over columns."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    fitted = SparseOneHot.fit(documents, ["source", "lang", "text"], ["doc_id"])
+    return fitted.apply(documents).select(
+        "doc_id", F.array_join("onehot", ",").alias("active"), F.lit(fitted.width).cast("bigint").alias("width")
+    )

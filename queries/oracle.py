@@ -440,6 +440,12 @@ select c_custkey, code as level from d join codes on coalesce(level, 'Missing')
 codes as (select level as v, cast(row_number() over (order by level) as integer) as code
   from (select distinct level from o where o_custkey % 100 < 90))
 select o_orderkey, code as level from o left join codes on v = case when o_orderkey % 3 = 0 then 'c7' else level end)""",
+    "enc_onehot_sparse": f"""select * from (with d as (select doc_id, coalesce(source, 'Missing') as source, coalesce(lang, 'Missing') as lang,
+  coalesce(text, 'Missing') as text from documents),
+t as {level_codes('text', 'd', 'doc_id')}, l as {level_codes('lang', 'd', 'doc_id')}, s as {level_codes('source', 'd', 'doc_id')},
+w as (select (select count(*) from s) as ns, (select count(*) from l) as nl, (select count(*) from t) as nt)
+select doc_id, concat_ws(',', s.code - 1, ns + l.code - 1, ns + nl + t.code - 1) as active, cast(ns + nl + nt as bigint) as width
+from d join s on source = s.v join l on lang = l.v join t on text = t.v, w)""",
     "enc_onehot_many": "select o_orderkey, "
     + ", ".join(f"cast(o_orderkey % 230 = {k} as integer) as v_k{k}" for k in range(230)) + " from orders",
 }

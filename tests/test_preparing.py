@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from kempt import FeatureRule, Plan, RowFilter
 from kempt.operators import staging
 from kempt.operators.derive import add_rule, apply_rules, remove_rule
-from kempt.operators.encode import LabelEncode, OneHotEncode, TooManyLevels
+from kempt.operators import encode
+from kempt.operators.encode import LabelEncode, OneHotEncode, SparseOneHot, TooManyLevels
 from kempt.operators.filters import level_domain, numeric_domain
 from kempt.operators.numeric import Outliers, Scaling
 from kempt.streaming.apply import transform_stream
@@ -91,6 +92,51 @@ def test_onehot_refuses_wide_tables(spark, levels):
     assert len(OneHotEncode.fit(many, ["v"], max_levels=1100).levels["v"]) == 1100
 
 
+@pytest.mark.parametrize("quick, driver_levels", [(1000, 10_000), (3, 10_000), (3, 1)])
+def test_sparse_onehot_lists_what_the_dense_form_marks(spark, levels, monkeypatch, quick, driver_levels):
+    """Fetched at once, through the stored levels, and ranked in the cluster: the same numbers."""
+    monkeypatch.setattr(encode, "QUICK_LEVELS", quick)
+    df = levels.withColumn("w", F.when(F.col("id") % 3 > 0, F.concat(F.lit("w"), F.col("id") % 2))).withColumn("onehot", F.lit(1))
+    dense = OneHotEncode.fit(df, ["w", "v"], ["id"]).apply(df).orderBy("id").collect()
+    fitted = SparseOneHot.fit(df, ["w", "v"], ["id"], driver_levels)
+    assert bool(fitted.labels.tables) == (driver_levels == 1)
+    out = fitted.apply(df).orderBy("id")
+    assert out.columns[:2] == ["id", "onehot"] and len(out.columns) == 3 and fitted.width == len(dense[0]) - 2
+    for d, row in zip(dense, out.collect()):
+        assert row[2] == [i for i, v in enumerate(d[2:]) if v == 1] and len(row[2]) == 2
+    index = fitted.indicators(spark).orderBy("position").collect()
+    assert [r["position"] for r in index] == list(range(fitted.width))
+    assert [r["level"] for r in index if r["column"] == "v"] == ["b", "a", "Missing", "c d", "C-D"]
+    fresh = fitted.apply(spark.createDataFrame([("new", "a"), (None, None)], "w string, v string")).collect()
+    place = {(r["column"], r["level"]): r["position"] for r in index}
+    assert [r[0] for r in fresh] == [[place["v", "a"]], [place["w", "Missing"], place["v", "Missing"]]]
+
+
+def test_sparse_onehot_of_nothing(spark):
+    empty = spark.createDataFrame([], "id int, v string")
+    fitted = SparseOneHot.fit(empty, ["v"])
+    assert fitted.width == 0 and fitted.apply(empty).count() == 0 and fitted.indicators(spark).count() == 0
+
+
+def test_dense_onehot_refuses_names_by_their_bytes(spark, monkeypatch):
+    df = spark.range(40).select(F.concat(F.lit("x" * 600), F.col("id")).alias("v"))
+    assert len(OneHotEncode.fit(df, ["v"]).levels["v"]) == 40
+    monkeypatch.setattr(encode, "NAME_BYTES", 20_000)
+    with pytest.raises(TooManyLevels, match="SparseOneHot"):
+        OneHotEncode.fit(df, ["v"])
+    assert SparseOneHot.fit(df, ["v"]).width == 40
+
+
+def test_few_levels_are_not_written_and_applying_starts_no_job(spark, monkeypatch):
+    df = spark.range(300).select("id", F.concat(F.lit("k"), F.col("id") % 60).alias("v"), F.lit("a").alias("w"))
+    monkeypatch.setattr(encode, "staged", lambda *a: pytest.fail("written"))
+    fitted = LabelEncode.fit(df, ["v", "w"], ["id"])
+    assert fitted.sizes["v"][0] == 60 and OneHotEncode.fit(df, ["w"]).levels == {"w": ("a",)}
+    monkeypatch.setattr(type(df), "first", lambda *a: pytest.fail("a job"))
+    monkeypatch.setattr(type(df), "count", lambda *a: pytest.fail("a job"))
+    assert [r["v"] for r in fitted.apply(df).orderBy("id").collect()] == [i % 60 + 1 for i in range(300)]
+
+
 def test_encoding_an_empty_table(spark):
     empty = spark.createDataFrame([], "id int, v string")
     assert LabelEncode.fit(empty, ["v"]).apply(empty).columns == ["id", "v"]
