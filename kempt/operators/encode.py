@@ -205,6 +205,10 @@ class OneHotEncode:
         return df.select(*[col(c) for c in others], *indicators)
 
 
+def _digested(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumns({n: F.sha2(_filled(n), 256) for n in names}) if names else df
+
+
 @dataclass(frozen=True)
 class SparseOneHot:
     """One-hot encoding for any number of levels, as one column that lists the indicators which are 1.
@@ -212,34 +216,44 @@ class SparseOneHot:
     The indicators of all encoded columns are numbered from 0: first those of the first column, in the order of its
     levels, then those of the next. A row lists one number per encoded column, none for a level that was not fitted.
     Long dictionaries are ranked and joined in the cluster; the driver holds only how many levels each column has.
+    A column with a level of over ``DRIVER_LENGTH`` bytes is ``digested``: the SHA-256 of its values, in hexadecimal,
+    stand for them everywhere, so that no long text is shuffled or stored. They also stand for them where levels are
+    ordered by value: without ``order_by``, or where two levels first appear at the same key.
     """
 
     labels: LabelEncode
     offsets: Mapping[str, int]
     width: int
+    digested: Sequence[str] = ()
 
     @staticmethod
     def fit(
         df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = (), driver_levels: int = DRIVER_LEVELS
     ) -> SparseOneHot:
-        labels = LabelEncode.fit(df, columns, order_by, driver_levels)
+        names = targets(columns, categorical_columns(df))
+        lengths = df.agg(F.lit(0), *[F.max(F.octet_length(col(n))) for n in names]).first()[1:]
+        digested = tuple(n for n, longest in zip(names, lengths) if (longest or 0) > DRIVER_LENGTH)
+        # Keys of the order stay what they are, also where such a column is encoded.
+        keys = {c: free_name(f"{c} of order", df.columns) for c in order_by if c in digested}
+        ordered = _digested(df.withColumns({k: col(c) for c, k in keys.items()}) if keys else df, digested)
+        labels = LabelEncode.fit(ordered, names, [keys.get(c, c) for c in order_by], driver_levels)
         offsets, width = {}, 0
-        for name in targets(columns, [*labels.lists, *labels.tables]):
+        for name in targets(names, [*labels.lists, *labels.tables]):
             offsets[name] = width
             width += len(labels.lists[name]) if name in labels.lists else labels.sizes[name][0]
-        return SparseOneHot(labels, offsets, width)
+        return SparseOneHot(labels, offsets, width, digested)
 
     def apply(self, df: DataFrame, name: str = "onehot") -> DataFrame:
         """The other columns of ``df``, then ``name``: the numbers, an ascending array of longs."""
         sources = [n for n in self.offsets if n in df.columns]
         others = [c for c in df.columns if c not in sources]
-        coded = self.labels.apply(df)
+        coded = self.labels.apply(_digested(df, [n for n in self.digested if n in df.columns]))
         numbers = [col(n).cast("bigint") + (self.offsets[n] - 1) for n in sources]
         active = F.array_compact(F.array(*numbers)) if numbers else F.array().cast("array<bigint>")
         return coded.select(*[col(c) for c in others], active.alias(free_name(name, others)))
 
     def indicators(self, spark: SparkSession) -> DataFrame:
-        """``position, column, level`` of every indicator."""
+        """``position, column, level`` of every indicator; the level of a digested column is its digest."""
         parts = [
             spark.createDataFrame(
                 [(self.offsets[n] + i, n, level) for i, level in enumerate(levels)], "position bigint, column string, level string"

@@ -127,6 +127,19 @@ def test_dense_onehot_refuses_names_by_their_bytes(spark, monkeypatch):
     assert SparseOneHot.fit(df, ["v"]).width == 40
 
 
+def test_sparse_onehot_digests_long_texts(spark):
+    rows = [(i, ("x" * 600 + str(i % 50)) if i % 60 else None, f"s{i % 3}") for i in range(180)]
+    df = spark.createDataFrame(rows, "id int, v string, w string").repartition(5)
+    fitted = SparseOneHot.fit(df, ["w", "v"], ["id"], driver_levels=1)
+    assert fitted.digested == ("v",) and fitted.width == 54 and "v" in fitted.labels.tables
+    place = {v: i for i, v in enumerate(dict.fromkeys(v for _, v, _ in rows))}
+    out = fitted.apply(df).orderBy("id")
+    assert [r["onehot"] for r in out.collect()] == [[i % 3, 3 + place[v]] for i, v, _ in rows]
+    assert max(len(r["level"]) for r in fitted.indicators(spark).collect()) == 64
+    by_text = SparseOneHot.fit(df, ["v"], ["v"])
+    assert by_text.apply(df).select("onehot").distinct().count() == 51
+
+
 def test_few_levels_are_not_written_and_applying_starts_no_job(spark, monkeypatch):
     df = spark.range(300).select("id", F.concat(F.lit("k"), F.col("id") % 60).alias("v"), F.lit("a").alias("w"))
     monkeypatch.setattr(encode, "staged", lambda *a: pytest.fail("written"))
