@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import re
 from functools import reduce
 
@@ -262,9 +263,12 @@ def read_json(
     path = literal(spark, path)
     read = spark.read.options(multiLine=not lines, mode="FAILFAST")
     if not lines:
-        kinds = _document_kinds(spark, path, largest)
+        # Many files take long to list, so they are listed once for all looks at them.
+        files = spark.read.text(path, wholetext=True).select("value", "_metadata.file_path", "_metadata.file_size")
+        whole = files.where(F.col("file_size") <= largest)
+        kinds = _document_kinds(whole)
         # The length of a file is known without reading it.
-        if not spark.read.format("binaryFile").load(path).where(F.col("length") > largest).select("length").isEmpty():
+        if not files.where(F.col("file_size") > largest).select("file_size").isEmpty():
             split, records = split_documents(spark, path, largest)
             told = _layout(T.StructType(), kinds | split)
             if layout not in (None, told):
@@ -273,7 +277,10 @@ def read_json(
                 # The schema is that of the document, its records are read apart.
                 schema = spark.createDataFrame([], schema).select(F.inline("data")).schema
             path, layout, read = records, "records", spark.read.options(mode="FAILFAST", allowSingleQuotes=False)
+            lines = True
     try:
+        if schema is None and not lines:
+            schema = _document_schema(spark, whole.select("value"))
         raw = (read.schema(schema) if schema is not None else read).json(path)
     except (PySparkException, Py4JJavaError) as fault:
         raise ValueError(f"the JSON data is malformed or holds no table: {fault}") from fault
@@ -290,23 +297,33 @@ def read_json(
     raise ValueError(f"unknown JSON layout: {layout!r}")
 
 
-def _document_kinds(spark: SparkSession, path: str, largest: int) -> set[str]:
+def _document_schema(spark: SparkSession, texts: DataFrame) -> T.StructType:
+    """The schema of documents given as texts, which are spread over tasks by number too.
+
+    The reader's own look at files of many lines packs small files into one task and hands it the names of all files
+    with each of them, so its time grows with the square of their number.
+    """
+    documents = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = spark._jsparkSession.read().option("mode", "FAILFAST").json(documents).schema()
+    return T.StructType.fromJson(json.loads(found.json()))
+
+
+def _document_kinds(whole: DataFrame) -> set[str]:
     """What the files' documents are: ``array``, ``wrapped`` or ``object``. Each file must hold exactly one."""
-    # Longer ones are told apart by ``split_documents``; the filter keeps their files from being opened.
-    whole = spark.read.text(path, wholetext=True).where(F.col("_metadata.file_size") <= largest)
+    # Longer ones are told apart by ``split_documents``; the filter kept their files from being opened.
     listed = sole_document(F.col("value"))
     first = F.try_variant_get(listed, "$[0]", "variant")
     one = F.schema_of_variant(first)
     data = F.schema_of_variant(F.try_variant_get(listed, "$[0].data", "variant"))
     kind = (
-        F.when(first.isNull(), "broken")
+        F.when(first.isNull() | ~F.is_valid_utf8("value"), "broken")
         .when(one.startswith("ARRAY<OBJECT<"), "array").when(one == "ARRAY<VOID>", "array")
         .when(data.startswith("ARRAY<OBJECT<"), "wrapped").when(one.startswith("OBJECT<"), "object").otherwise("none")
     )
     # Why a text is no document: too long, a member twice, or else malformed or several.
     reason = F.when(kind == "broken", F.when(F.octet_length("value") > LARGEST_DOCUMENT, "large").when(
         F.col("value").rlike(TWICE), "twice").otherwise("broken")).otherwise(kind)
-    files = whole.select(reason.alias("kind"), F.col("_metadata.file_path").alias("file"))
+    files = whole.select(reason.alias("kind"), F.col("file_path").alias("file"))
     found = {r["kind"]: r["file"] for r in files.groupBy("kind").agg(F.min("file").alias("file")).collect()}
     if "large" in found:
         raise ValueError(

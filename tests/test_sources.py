@@ -349,3 +349,27 @@ def test_json_documents_of_all_sizes(spark, tmp_path):
     assert sorted(rows(df)) == [(i, None) for i in range(50)] and df.columns == ["x", "y"]
     with pytest.raises(ValueError, match="too long for the layout"):
         read_json(spark, path, largest=100, layout="columnar")
+
+
+def test_json_files_are_listed_twice(spark, tmp_path):
+    """Listing each folder is a task."""
+    for k in range(70):
+        (tmp_path / f"d{k}").mkdir()
+        (tmp_path / f"d{k}" / "part.json").write_text(json.dumps([{"a": k}, {"b": f"\u00e9{k}"}], indent=1, ensure_ascii=False))
+    context = spark.sparkContext
+    context.setJobGroup("many files", "")
+    try:
+        df = read_json(spark, f"{tmp_path}/*")
+        assert sorted(rows(df), key=str) == sorted([r for k in range(70) for r in ((k, None), (None, f"\u00e9{k}"))], key=str)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("many files")]
+    tasks = [[s.numTasks for s in map(tracker.getStageInfo, j.stageIds) if s] for j in jobs]
+    assert tasks.count([70]) == 2
+
+
+def test_json_of_no_utf8_is_refused(spark, tmp_path):
+    (tmp_path / "x.json").write_bytes(b'[{"a": "\xff\xfe"}]')
+    with pytest.raises(ValueError):
+        read_json(spark, str(tmp_path))
