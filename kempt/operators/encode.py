@@ -27,6 +27,7 @@ INLINE_LEVELS = 24        # up to here a code is found inside the projection
 QUICK_LEVELS = 1_000      # levels of all columns that are fetched without writing them first
 DRIVER_LEVELS = 10_000    # levels of a column that the driver may hold,
 DRIVER_LENGTH = 500       # and how many bytes each of them may have
+TASK_BYTES = 64 * 1024 * 1024    # of the levels that one task ranks
 NAME_BYTES = 16 * 1024 * 1024    # of the levels that become column names
 
 
@@ -124,7 +125,10 @@ class LabelEncode:
         for i in set(sizes) - set(found):
             # Long dictionaries never reach the driver: they are ranked where they are.
             one = levels.where(F.col("number") == i).select("value", "n", "first")
-            ranked = running_total(one, [], ["first", "value"], rows=sizes[i]["levels"], rows_per_task=rows_per_task)
+            fitting = max(1, sizes[i]["levels"] * TASK_BYTES // max(1, sizes[i]["bytes"]))
+            ranked = running_total(
+                one, [], ["first", "value"], rows=sizes[i]["levels"], rows_per_task=min(rows_per_task, fitting)
+            )
             code = (F.col("before") + 1).cast("int")
             tables[names[i]] = staged(ranked.select(F.col("value").alias("key"), "n", code.alias("code")), "codes")
             held[names[i]] = sizes[i]["levels"], sizes[i]["bytes"]

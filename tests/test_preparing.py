@@ -10,6 +10,7 @@ from kempt.operators import encode
 from kempt.operators.encode import LabelEncode, OneHotEncode, SparseOneHot, TooManyLevels
 from kempt.operators.filters import level_domain, numeric_domain
 from kempt.operators.numeric import Outliers, Scaling
+from kempt.operators.running import running_total
 from kempt.streaming.apply import transform_stream
 
 
@@ -76,6 +77,20 @@ def test_many_labels_are_joined(spark):
     assert column(fitted.apply(df).orderBy("id"), "v") == [i % 40 + 1 for i in range(100)]
 
 
+def test_long_levels_are_ranked_by_tasks_of_bounded_bytes(spark, monkeypatch):
+    """Tied keys leave the order to the texts, so they are needed whole."""
+    df = spark.range(60).selectExpr("id", "id div 4 as key", "repeat(chr(cast(122 - id % 4 as int)), 1000) || id as v")
+    used = []
+    monkeypatch.setattr(encode, "TASK_BYTES", 8_000)
+    monkeypatch.setattr(
+        encode, "running_total",
+        lambda *args, rows_per_task, **more: used.append(rows_per_task) or running_total(*args, rows_per_task=rows_per_task, **more),
+    )
+    fitted = LabelEncode.fit(df, ["v"], ["key"])
+    assert used == [7]      # 1,002 bytes each
+    assert column(fitted.apply(df).orderBy("id"), "v") == [i // 4 * 4 + 4 - i % 4 for i in range(60)]
+
+
 def test_onehot(levels):
     out = OneHotEncode.fit(levels, ["v"], ["id"]).apply(levels).orderBy("id")
     assert out.columns == ["id", "v_b", "v_a", "v_missing", "v_c_d", "v_c_d_1"]
