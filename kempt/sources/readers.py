@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.columns import col
+from ..operators.staging import settled
 from .documents import sole_document, split_documents
 from .flatten import flatten
 
@@ -78,15 +79,16 @@ def read_csv(
     column without any value and dates are text) unless a schema is given, which saves a pass; then a cell that is not
     missing and does not fit its type is an error. All files must have the same header. Short rows are filled with
     missing cells; rows with more cells than the header are an error. Quoted cells may span lines. Files stay split over
-    many tasks, those with such cells too: there, lines are put together by ``_records``. ``multi_line=None`` looks for
-    them, a pass that reads lines only; False says that there are none, True that any file may have some.
+    many tasks, those with such cells too: there, lines are put together by ``_records`` and stored in the shared folder.
+    ``multi_line=None`` looks for them, a pass that reads lines only; False says that there are none, True that any file may have some.
     """
     path = literal(spark, path)
     headers, spanning = _surveyed(spark, path, multi_line)
     records = None
     if spanning or multi_line:
         lines = _lines(spark, path)
-        records = _records(lines if multi_line else lines.where(F.col("file").isin(spanning)))
+        # Stored, so that headers, types and cells do not each put the records together.
+        records = settled(spark, lambda: _records(lines if multi_line else lines.where(F.col("file").isin(spanning))), "records")
     if records is not None:
         headers |= {r["value"] for r in records.where("heading").select("value").distinct().limit(2).collect()}
     names = {tuple(next(csv.reader(io.StringIO(h, newline="")), [])) for h in headers}

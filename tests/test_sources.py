@@ -373,3 +373,11 @@ def test_json_of_no_utf8_is_refused(spark, tmp_path):
     (tmp_path / "x.json").write_bytes(b'[{"a": "\xff\xfe"}]')
     with pytest.raises(ValueError):
         read_json(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("multi_line", [None, True])
+def test_csv_records_over_lines_are_put_together_once(spark, tmp_path, multi_line):
+    path = save(tmp_path / "a.csv", 'id,"te\nxt"\n1,"a\nb"\n2,c\n')
+    df = read_csv(spark, path, multi_line=multi_line)
+    assert df.columns == ["id", "te\nxt"] and sorted(rows(df)) == [(1, "a\nb"), (2, "c")]
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
