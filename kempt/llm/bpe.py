@@ -186,11 +186,11 @@ class Vocabulary:
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of many pieces: how many ids each has, and all ids in their order."""
-        counts, parts, widths = np.zeros(len(pieces), np.int64), {}, {}
-        for at, piece in enumerate(pieces):
-            n = len(piece)
-            widths.setdefault(8 if n <= 8 else 16 if n <= 16 else 32 if n <= ROW_WIDTH else 0, []).append(at)
-        for width, places in widths.items():
+        counts, parts = np.zeros(len(pieces), np.int64), {}
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        widths = np.select([lengths <= 8, lengths <= 16, lengths <= ROW_WIDTH], [8, 16, ROW_WIDTH], 0)
+        for width in np.unique(widths).tolist():
+            places = np.flatnonzero(widths == width).tolist()
             step = 1 if not width else ROWS_IN_TREE
             for k in range(0, len(places), step):
                 some = places[k:k + step]
@@ -224,7 +224,13 @@ class Vocabulary:
                 cut = self.pieces(w)
                 pieces += cut
                 owned.append(len(cut))
-        counts, ids = self.merge([p.encode() for p in pieces])
+        # Each different piece is merged once, however many words hold it.
+        numbers: dict[str, int] = {}
+        met = np.fromiter((numbers.setdefault(p, len(numbers)) for p in pieces), np.int64, len(pieces))
+        sizes, merged = self.merge([p.encode() for p in numbers])
+        counts = sizes[met]
+        starts = (np.cumsum(sizes) - sizes)[met] - (np.cumsum(counts) - counts)
+        ids = merged[np.arange(int(counts.sum())) + np.repeat(starts, counts)]
         ends = np.cumsum(counts)[np.cumsum(owned) - 1]
         text, text_at = _spelled(ids, *self.spellings)
         data, data_at = _spelled(ids, *self.contents)
@@ -258,7 +264,10 @@ class Vocabulary:
             yield list(map(entry, words))
         if len(known) > REMEMBERED:
             if 2 * len(fresh) > len(distinct):
-                known.clear()               # the table no longer fits the texts that come
+                # The table no longer fits the texts that come; the words of the last ones do sooner.
+                kept = {word: known[word] for word in distinct} if len(distinct) <= REMEMBERED else {}
+                known.clear()
+                known.update(kept)
             else:
                 for word in fresh:
                     del known[word]

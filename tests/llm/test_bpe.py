@@ -83,3 +83,22 @@ def test_empty_table_and_clashing_columns(spark):
 def test_other_key_types(spark, kind):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
     assert bpe.digests(df, PATH).first()["n_tokens"] == 2
+
+
+def test_each_piece_is_merged_once_and_recent_words_stay(monkeypatch):
+    vocab = bpe.Vocabulary(PATH)
+    merged, plain = [], vocab.merge
+    monkeypatch.setattr(vocab, "merge", lambda pieces: merged.append(pieces) or plain(pieces))
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    texts = ["the word, the word. the word! 12 word", "", "éè, éè. x² 12"]
+    rows = [list(row) for row in vocab.encode(texts)]
+    assert [b"".join(e[2] for e in row).decode() for row in rows] == texts
+    assert all(len(set(pieces)) == len(pieces) for pieces in merged)
+    known = len(vocab.known)
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    for _ in vocab.encode([" ".join(f"w{i}" for i in range(30)), "the end"]):
+        pass
+    assert known == 0 and len(vocab.known) == 0
+    for text in ("a b c d e f g h i j k l", " m n o p q r s t u v", "the end"):
+        list(vocab.encode([text]))
+    assert " m" in vocab.known and "the" in vocab.known
