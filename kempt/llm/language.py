@@ -130,7 +130,7 @@ def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                 df += part.values.to_numpy()
         yield row(n, df)
 
-    parts = texts.mapInArrow(count, schema).repartition(8).mapInArrow(add, schema).collect()
+    parts = map_texts(texts, schema, count).repartition(8).mapInArrow(add, schema).collect()
     return np.sum([p["df"] for p in parts], axis=0), sum(p["n"] for p in parts)
 
 
@@ -163,7 +163,7 @@ def fit(
             raw = [counts(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")]
             yield pa.record_batch({"label": batch.column("label"), "raw": pa.array(raw, pa.binary())})
 
-    sample = picked.mapInArrow(vectorize, "label string, raw binary").collect()
+    sample = map_texts(picked, "label string, raw binary", vectorize).collect()
     languages = tuple(sorted({r["label"] for r in sample}))
     centroids, owner, least = [], [], []
     for number, language in enumerate(languages):

@@ -5,13 +5,15 @@ import subprocess
 import sys
 
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import functions as F
 from test_decontaminate import brute as brute_items
 from test_jaccard_join import brute as brute_groups
 from test_line_dedup import expected as expected_lines
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kempt.llm import decontaminate
+from kempt.llm import decontaminate, frames
 
 
 def texts(df):
@@ -76,3 +78,20 @@ def test_the_rest_never_imports_this_package():
         "assert not [m for m in sys.modules if m.startswith('kempt.llm.')]"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rpartition("/")[0])
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"rows": pa.array([batch.num_rows], pa.int64()), "size": pa.array([batch.nbytes], pa.int64())})
+
+    found = frames.map_texts(docs, "rows bigint, size bigint", sizes).collect()
+    assert sum(r["rows"] for r in found) == 300
+    assert max(r["size"] for r in found) <= 2 * frames.BATCH_BYTES
+    # A size that the session names stays.
+    own = spark.newSession()
+    own.conf.set(frames.BATCH, 1 << 20)
+    frames.map_texts(own.createDataFrame([(1, "a")], "doc_id int, text string"), "rows bigint, size bigint", sizes)
+    assert own.conf.get(frames.BATCH) == str(1 << 20)
