@@ -15,6 +15,10 @@ that agree so far may come in any order, and share numbers; all others are in th
 are still unclear, only the stretches of them go down a level, each with the clear one behind it: all places of an
 unclear triple are in them, so their order among themselves, added to the triple's name, is their rank.
 
+Since only ``depth`` counts, an unclear suffix can also be told by the symbols that span as much. Where these are a few per
+symbol of the level (``KEY_SYMBOLS``), one sort of them takes the place of all further levels. Text that is cut every few
+bytes has long keys, and goes down.
+
 Each level is groupings, joins and range sorts over rows of a few numbers, cut from its lineage in the shared
 checkpoint folder; level k has (2/3)^k of the symbols, so all together cost about three times the first. Equal
 triples are counted with partial sums and joined back by plain inner joins, which the engine splits where one is hot.
@@ -36,6 +40,7 @@ from ..operators.staging import settled
 from .frames import staged
 
 STRING = "s bigint, names array<bigint>, spans array<int>"
+KEY_SYMBOLS = 4         # in all keys together, per symbol of a level
 
 
 def totals_before(df: DataFrame, order: Sequence[str], sums: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -200,13 +205,59 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
+def _key_ends(level: Level, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The unclear places, and where the symbols that span ``depth`` from each on end, in its string."""
+    before = np.append(0, np.cumsum(level.flat("spans")[0], dtype=np.int64))
+    places = np.flatnonzero(level.flat("unclear")[0])
+    row = level.row[places]
+    return places, np.minimum(np.searchsorted(before, before[places] + depth), (level.starts + level.sizes)[row])
+
+
+def _key_sizes(depth: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level = Level(batch)
+            places, ends = _key_ends(level, depth)
+            yield pa.record_batch({
+                "every": pa.array([len(level.i)], pa.int64()), "below": pa.array([len(places)], pa.int64()),
+                "keyed": pa.array([int((ends - places).sum())], pa.int64()),
+            })
+    return work
+
+
+def _keys(depth: int):
+    """``s, i, name, key`` of the unclear places; keys, as bytes, are in the order of the symbols that they hold."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level = Level(batch)
+            places, ends = _key_ends(level, depth)
+            data = level.names.astype(">i8").tobytes()
+            keys = [data[8 * a:8 * b] for a, b in zip(places.tolist(), ends.tolist(), strict=True)]
+            yield pa.record_batch({
+                "s": level.s[places], "i": level.i[places], "name": level.names[places], "key": pa.array(keys, pa.binary()),
+            })
+    return work
+
+
+def _by_keys(strings: DataFrame, depth: int) -> DataFrame:
+    """``s, i, value`` of the unclear places: how many of the same name are smaller, where any is."""
+    rows = staged(strings.mapInArrow(_keys(depth), "s bigint, i bigint, name bigint, key binary"), "keys")
+    distinct = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("name").alias("name"))
+    ordered = totals_before(distinct, ["key"], ["n"], ["key", "name"])
+    base = staged(ordered.groupBy("name").agg(F.min("before_n").alias("base")), "base")
+    # Written, so that both sides of the join are dealt for it alone and the engine can split a hot key.
+    values = staged(ordered.join(base, "name").select("key", (F.col("before_n") - F.col("base")).alias("value")).where("value > 0"), "values")
+    return rows.select("s", "i", "key").join(values, "key").select("s", "i", "value")
+
+
 def _refined(strings: DataFrame, depth: int) -> DataFrame:
     """``s, ranks`` of strings ``s, names, spans, unclear`` of the sample, whose names may stand for several suffixes."""
-    unclear = F.size(F.filter("unclear", lambda u: u))
-    sizes = strings.agg(F.sum(F.size("names")), F.sum(unclear)).first()
-    every, below = sizes[0] or 0, sizes[1] or 0
+    counted = strings.mapInArrow(_key_sizes(depth), "every bigint, below bigint, keyed bigint")
+    every, below, keyed = (n or 0 for n in counted.agg(F.sum("every"), F.sum("below"), F.sum("keyed")).first())
     if not below:
         return strings.select("s", F.col("names").alias("ranks"))
+    if keyed <= KEY_SYMBOLS * every:
+        return _with(strings, _by_keys(strings, depth))
     if 3 * below > every:
         return suffix_ranks(strings.drop("unclear"), depth)
     kind = "s bigint, start bigint, names array<bigint>, spans array<int>, unclear array<boolean>"
@@ -216,9 +267,12 @@ def _refined(strings: DataFrame, depth: int) -> DataFrame:
     rows = staged(placed.mapInArrow(_unclear, "s bigint, i bigint, name bigint, rank bigint"), "unclear")
     # The least rank of an unclear triple's places comes off, so that they count among themselves.
     base = staged(rows.groupBy("name").agg(F.min("rank").alias("base")), "base")
-    items = rows.join(base, "name").groupBy("s").agg(
-        F.collect_list(F.struct("i", (F.col("rank") - F.col("base")).alias("value"))).alias("items")
-    )
+    return _with(strings, rows.join(base, "name").select("s", "i", (F.col("rank") - F.col("base")).alias("value")))
+
+
+def _with(strings: DataFrame, values: DataFrame) -> DataFrame:
+    """``s, ranks``: the names of ``strings`` plus the values ``s, i, value`` of some places."""
+    items = values.groupBy("s").agg(F.collect_list(F.struct("i", "value")).alias("items"))
     none = F.array().cast("array<struct<i:bigint,value:bigint>>")
     both = strings.select("s", "names").join(items, "s", "left").withColumn("items", F.coalesce("items", none))
     return both.mapInArrow(_added, "s bigint, ranks array<bigint>")

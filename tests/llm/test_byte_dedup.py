@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from kempt.llm import byte_dedup
+from kempt.llm import byte_dedup, suffix_array
 from kempt.llm.frames import staged
 from kempt.llm.queries import QUERIES
 from kempt.llm.suffix_array import STRING, suffix_ranks
@@ -98,6 +98,33 @@ def test_suffix_array(spark):
         assert all(a[0] < b[0] or a[1] == b[1] for a, b in zip(every, every[1:], strict=False))
 
 
+def test_unclear_suffixes_are_told_by_bounded_keys(spark, monkeypatch):
+    rng = random.Random(2)
+    block = [rng.randrange(4) for _ in range(60)]
+    strings = [(k, block[rng.randrange(50):] + [rng.randrange(4) for _ in range(rng.randrange(20))]) for k in range(30)]
+    strings += [(30, []), (31, [2]), (32, block), (33, block), (34, [3] * 50)]
+    spans = [40, 50, 60, 30]
+    df = staged(spark.createDataFrame([(s, t, [spans[x] for x in t]) for s, t in strings], STRING))
+
+    def until(t, i, depth):
+        out = []
+        while i < len(t) and depth > 0:
+            out, depth, i = [*out, t[i]], depth - spans[t[i]], i + 1
+        return out
+
+    calls, plain = [], suffix_array.suffix_ranks
+    monkeypatch.setattr(suffix_array, "suffix_ranks", lambda *a: calls.append(1) or plain(*a))
+    for most, levels in ((suffix_array.KEY_SYMBOLS, 0), (0, 1)):
+        monkeypatch.setattr(suffix_array, "KEY_SYMBOLS", most)
+        calls.clear()
+        ranks = {r["s"]: r["ranks"] for r in plain(df, 400).collect()}
+        every = sorted((ranks[s][i], until(t, i, 400)) for s, t in strings for i in range(len(t)))
+        assert [k for _, k in every] == sorted(k for _, k in every)
+        assert all(a[0] < b[0] or a[1] == b[1] for a, b in zip(every, every[1:], strict=False))
+        # Keys of a few symbols need no further level.
+        assert (len(calls) > 0) == (levels > 0)
+
+
 @pytest.mark.parametrize("length", [40, 200])
 def test_anchors_of_equal_windows_agree(length):
     rng = np.random.default_rng(0)
