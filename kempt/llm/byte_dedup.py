@@ -36,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +50,7 @@ LEAST = 32                  # the shortest windows that can be searched
 CUT = 8                     # bytes whose hash makes a cut
 PHRASE = 48                 # mean bytes between cuts
 ROWS_PER_TASK = 25_000
+BYTES_AT_ONCE = 1 << 18     # of texts that are hashed side by side
 WINDOWS_AT_ONCE = 500_000
 DOC = ["doc", "copy"]
 
@@ -75,12 +77,27 @@ def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(x[:len(x) - (width - have)], x[width - have:]) if have < width else x
 
 
-def gram_hashes(data: bytes, gram: int) -> np.ndarray:
-    eight, size = words8(data), len(data) - gram + 1
-    h = np.zeros(size, np.uint64)
-    for k in range(0, gram, 8):
-        h = (h ^ eight[k:k + size]) * FACTORS[0]
-        h ^= h >> np.uint64(32)
+def side_by_side(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The texts of a binary column, some at a time: the first one's number, their bytes, and where they begin and end."""
+    large = pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64 if large else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    every = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    first = 0
+    while first < len(column):
+        last = max(int(np.searchsorted(bounds, bounds[first] + BYTES_AT_ONCE, "right")) - 1, first + 1)
+        yield first, every[bounds[first]:bounds[last]], bounds[first:last + 1] - bounds[first]
+        first = last
+
+
+def gram_hashes(data: bytes | np.ndarray, gram: int) -> np.ndarray:
+    """Of the ``gram`` bytes (8, 16, 32...) from each place on, by doubling."""
+    h, have, k = words8(data) * FACTORS[0], 8, 1
+    h ^= h >> np.uint64(32)
+    while have < gram:
+        longer = h[:-have] * FACTORS[k]
+        longer += h[have:]
+        h, have, k = longer, 2 * have, k % 3 + 1
     return mixed(h)
 
 
@@ -88,11 +105,16 @@ def gram_size(length: int) -> int:
     return GRAM if length >= 2 * GRAM else LEAST // 8 * 8
 
 
-def least_grams(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a text of ``length`` bytes or more: the hashes of its grams, their order, and the least of each window."""
+def least_grams(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts side by side, of ``length`` bytes or more together: the hashes of the grams, their order (never 0), and the
+    least of each window; 0 for windows that reach into the next text."""
     h = gram_hashes(data, gram_size(length))
-    order = (h >> np.uint64(32)).astype(np.uint32)
-    return h, order, sliding(order, length - gram_size(length) + 1, least=True)
+    order = np.maximum((h >> np.uint64(32)).astype(np.uint32), np.uint32(1))
+    least = sliding(order, length - gram_size(length) + 1, least=True)
+    if len(bounds) > 2:
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            least[max(end - length + 1, start):end] = 0
+    return h, order, least
 
 
 def anchor_places(order: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -102,17 +124,34 @@ def anchor_places(order: np.ndarray, least: np.ndarray) -> np.ndarray:
     return np.flatnonzero(sliding(np.concatenate([room, least, room]), width, least=False) == order)
 
 
+def own_text(bounds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, places, "right") - 1
+
+
+def anchors_beside(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts side by side, the places and hashes of the grams that are least in some window of ``length`` bytes."""
+    if len(data) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h, order, least = least_grams(data, bounds, length)
+    places = anchor_places(order, least)
+    return places, h[places]
+
+
 def anchors(data: bytes, length: int) -> np.ndarray:
     """Hashes of the grams that are least in some window of ``length`` bytes."""
-    if len(data) < length:
-        return np.zeros(0, np.uint64)
-    h, order, least = least_grams(data, length)
-    return h[anchor_places(order, least)]
+    return anchors_beside(np.frombuffer(data, np.uint8), np.array([0, len(data)]), length)[1]
 
 
 def passages(data: bytes, repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Byte ranges of the windows whose own anchor is ``repeated``; those that overlap are one."""
-    h, order, least = least_grams(data, length)
+    return passages_beside(np.frombuffer(data, np.uint8), np.array([0, len(data)]), repeated, length)
+
+
+def passages_beside(data: np.ndarray, bounds: np.ndarray, repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """``passages`` of texts side by side; none reaches into the next text."""
+    if len(data) < length:
+        return []
+    h, order, least = least_grams(data, bounds, length)
     places = anchor_places(order, least)
     places = places[np.isin(h[places], repeated)]
     known = np.full(len(order), 0xFFFFFFFF, np.uint32)
@@ -120,12 +159,13 @@ def passages(data: bytes, repeated: np.ndarray, length: int) -> list[tuple[int,
     starts = np.flatnonzero(sliding(known, len(order) - len(least) + 1, least=True) == least)
     if not len(places):
         return []
-    breaks = np.flatnonzero(np.diff(starts) > length)
+    # Windows that only touch may be of two texts.
+    breaks = np.flatnonzero(np.diff(starts) >= length)
     first, last = starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)]
     return list(zip(first.tolist(), (last + length).tolist(), strict=True))
 
 
-def cuts(data: bytes, phrase: int) -> np.ndarray:
+def cuts(data: bytes | np.ndarray, phrase: int) -> np.ndarray:
     return np.flatnonzero(mixed(words8(data) * FACTORS[0]) < np.uint64((1 << 64) // phrase))
 
 
@@ -358,29 +398,34 @@ def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(anchors(d, length), return_counts=True) for d in batch.column("data").to_pylist()]
-            row = np.repeat(np.arange(len(found)), [len(h) for h, _ in found])
-            yield pa.record_batch({
-                "doc": batch.column("doc").take(pa.array(row)), "copy": batch.column("copy").take(pa.array(row)),
-                "h": np.concatenate([h for h, _ in found]).view(np.int64) if found else np.zeros(0, np.int64),
-                "n": np.concatenate([n for _, n in found]).astype(np.int64) if found else np.zeros(0, np.int64),
-            })
+            for first, data, bounds in side_by_side(batch.column("data")):
+                places, h = anchors_beside(data, bounds, length)
+                row = own_text(bounds, places) + first
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
+                new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))[:len(h)])
+                index = pa.array(row[new])
+                yield pa.record_batch({
+                    "doc": batch.column("doc").take(index), "copy": batch.column("copy").take(index),
+                    "h": h[new].view(np.int64), "n": np.diff(np.append(new, len(h))),
+                })
 
     grams = staged(map_texts(whole, f"doc {kind}, copy bigint, h bigint, n bigint", listed), "grams")
     # Written, so that both sides of the join are dealt for it alone and the engine can split a hot gram.
     twice = staged(grams.groupBy("h").agg(F.sum("n").alias("total")).where("total > 1").select("h"), "grams")
-    per_doc = grams.join(twice, "h").groupBy(*DOC).agg(F.collect_set("h").alias("grams"))
+    per_doc = grams.join(twice, "h").groupBy(*DOC).agg(F.collect_list("h").alias("grams"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, at, data = [], [], []
-            texts, repeated = batch.column("data").to_pylist(), batch.column("grams")
-            for k, text in enumerate(texts):
-                known = repeated[k].values.to_numpy().view(np.uint64)
-                for start, end in passages(text, known, length):
-                    rows.append(k)
-                    at.append(start)
-                    data.append(text[start:end])
+            for first, texts, bounds in side_by_side(batch.column("data")):
+                # A gram that occurs twice does so in each text that holds it.
+                known = batch.column("grams").slice(first, len(bounds) - 1).flatten().to_numpy().view(np.uint64)
+                found = np.array(passages_beside(texts, bounds, known, length), np.int64).reshape(-1, 2)
+                own = own_text(bounds, found[:, 0])
+                rows += (own + first).tolist()
+                at += (found[:, 0] - bounds[own]).tolist()
+                data += [texts[start:end].tobytes() for start, end in found.tolist()]
             index = pa.array(rows, pa.int64())
             yield pa.record_batch({
                 "doc": batch.column("doc").take(index), "copy": batch.column("copy").take(index),
@@ -395,19 +440,22 @@ def phrase_strings(data: DataFrame, length: int, phrase: int) -> DataFrame:
     """Strings for the suffix array: the phrases of ``s, data`` behind each cut, named in the order of their bytes."""
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, spans, texts = [], [], [], []
-            for s, text in zip(batch.column("s").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                own = cuts(text, phrase).tolist()
-                for i, (start, end) in enumerate(zip(own, [*own[1:], len(text)], strict=False)):
-                    rows.append(s)
-                    places.append(i)
-                    spans.append(min(end - start, 1 << 30))
-                    # What lies beyond the longest prefix that counts need not be told apart.
-                    texts.append(text[start:min(end + CUT, start + length + CUT)])
-            yield pa.record_batch({
-                "s": pa.array(rows, pa.int64()), "i": pa.array(places, pa.int64()), "span": pa.array(spans, pa.int32()),
-                "phrase": pa.array(texts, pa.binary()),
-            })
+            s = batch.column("s").to_numpy()
+            for first, data, bounds in side_by_side(batch.column("data")):
+                start = cuts(data, phrase)
+                row = own_text(bounds, start)
+                inside = start + CUT <= bounds[row + 1]
+                start, row = start[inside], row[inside]
+                new = np.append(True, row[1:] != row[:-1])[:len(row)]
+                place = np.arange(len(row)) - np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))
+                end = np.where(np.append(new[1:], True)[:len(row)], bounds[row + 1], np.append(start[1:], 0)[:len(row)])
+                # What lies beyond the longest prefix that counts need not be told apart.
+                reach = np.minimum(np.minimum(end, start + length) + CUT, bounds[row + 1])
+                text = data.tobytes()
+                yield pa.record_batch({
+                    "s": s[row + first], "i": place, "span": np.minimum(end - start, 1 << 30).astype(np.int32),
+                    "phrase": pa.array([text[a:b] for a, b in zip(start.tolist(), reach.tolist(), strict=True)], pa.binary()),
+                })
 
     tokens = map_texts(data, "s bigint, i bigint, span int, phrase binary", phrases).select(
         "s", "i", "span", "phrase", F.xxhash64("phrase").alias("p1"), F.xxhash64(F.lit("second"), "phrase").alias("p2")
@@ -438,22 +486,37 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE)
     counts = staged(counts.select("h1", "h2"), "counts")
     late = found.where("n = 1").join(counts, ["h1", "h2"]).select("s", "start", "end")
     ranges = found.where("n is null").select("s", "start", "end").unionByName(late)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     placed = ranges.join(pieces.select("s", *DOC, "at"), "s").select(
-        *DOC, (F.col("start") + F.col("at")).alias("start"), (F.col("end") + F.col("at")).alias("end")
+        *DOC, "s", (F.col("start") + F.col("at")).alias("start"), (F.col("end") + F.col("at")).alias("end")
     )
-    spans = F.sort_array(F.collect_set(F.struct("start", "end")))
-    return placed.groupBy(*DOC).agg(spans.alias("spans"))
 
-
-def joined_spans(spans: list[dict]) -> list[tuple[int, int]]:
-    """Sorted byte ranges with those that touch or overlap made one."""
-    out: list[tuple[int, int]] = []
-    for span in spans:
-        if out and span["start"] <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], span["end"]))
-        else:
-            out.append((span["start"], span["end"]))
-    return out
+    # Each cut has a range of its own, and a passage's come together here: what overlaps is one before it is gathered.
+    def fewer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, start, end = joined_spans(*(batch.column(c).to_numpy() for c in ("s", "start", "end")))
+            yield batch.select(["doc", "copy"]).take(pa.array(row)).append_column("start", pa.array(start)).append_column(
+                "end", pa.array(end)
+            )
+
+    together = placed.mapInArrow(fewer, f"doc {kind}, copy bigint, start bigint, end bigint")
+    return together.groupBy(*DOC).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+
+def joined_spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges with those of a row that touch or overlap made one, by row and start: the index of one of them, and
+    where they start and end."""
+    if not len(row):
+        return np.zeros(0, np.int64), start, end
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], end[order]
+    new = np.append(True, row[1:] != row[:-1])
+    # How far the ranges of a row reach so far: rows, numbered apart, stand one behind another.
+    apart = (np.cumsum(new) - 1) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + apart)
+    first = np.flatnonzero(new | np.append(True, (start + apart)[1:] > reach[:-1]))
+    last = np.append(first[1:], len(row)) - 1
+    return order[first], start[first], (reach - apart)[last]
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE) -> DataFrame:
@@ -469,15 +532,20 @@ def dedup(docs: DataFrame, length: int = LENGTH, phrase: int = PHRASE) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, kept, sizes = [], [], []
-            for data, spans in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                gone = joined_spans(spans or [])
-                edges = [0, *(x for span in gone for x in span), len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                removed.append([{"start": a, "end": b} for a, b in gone])
-                sizes.append(len(data))
+            texts, spans = batch.column("data").to_pylist(), batch.column("spans")
+            counts = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
+            row, flat = np.repeat(np.arange(len(texts)), counts), spans.flatten()
+            index, start, end = joined_spans(row, *(flat.field(k).to_numpy() for k in (0, 1)))
+            offsets = np.searchsorted(row[index], np.arange(len(texts) + 1))
+            kept, starts, ends = texts, start.tolist(), end.tolist()
+            for k in np.flatnonzero(np.diff(offsets)).tolist():
+                own, data = slice(offsets[k], offsets[k + 1]), texts[k]
+                edges = zip([0, *ends[own]], [*starts[own], len(data)], strict=True)
+                kept[k] = b"".join([data[a:b] for a, b in edges])
+            removed = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], fields=list(layout.value_type))
             yield pa.record_batch({
-                "doc_id": batch.column("doc"), "n_bytes": pa.array(sizes, pa.int64()), "removed": pa.array(removed, layout),
+                "doc_id": batch.column("doc"), "n_bytes": pc.binary_length(batch.column("data")).cast(pa.int64()),
+                "removed": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), removed, type=layout),
                 "kept": pa.array(kept, pa.binary()),
             })
 

@@ -28,7 +28,7 @@ string are bounded by that string.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -73,13 +73,54 @@ def totals_before(df: DataFrame, order: Sequence[str], sums: Sequence[str], keep
     return joined.select(*keep, *[(F.col(f"before_{c}") + F.col(f"from_{c}")).alias(f"before_{c}") for c in sums])
 
 
+def by_string(rows: DataFrame, schema: str, work: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """``work`` over the rows ``s, i ...`` of whole strings, in their order.
+
+    The rows are sorted as they are, since lists that the engine's groupings collect are copied item by item.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            s = batch.column(0).to_numpy()
+            last = int(np.searchsorted(s, s[-1]))
+            # A batch of one string leaves open where that ends.
+            if last or (held and held[-1].column(0)[0].as_py() != s[0]):
+                done = [*held, *([batch.slice(0, last)] if last else [])]
+                yield work(pa.Table.from_batches(done).combine_chunks())
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield work(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.repartition("s").sortWithinPartitions("s", "i").mapInArrow(whole, schema)
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows of one or more differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def gathered(symbols: DataFrame, *others: str) -> DataFrame:
     """Strings from rows ``s, i, name, span``; other columns become lists under their own names."""
-    items = F.sort_array(F.collect_list(F.struct("i", "name", "span", *others)))
-    return symbols.groupBy("s").agg(items.alias("items")).select(
-        "s", F.col("items.name").alias("names"), F.col("items.span").cast("array<int>").alias("spans"),
-        *[F.col(f"items.{c}").alias(c) for c in others],
-    )
+    kinds = {f.name: f.dataType.simpleString() for f in symbols.schema.fields}
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        s = table.column("s").to_numpy()
+        first = _begins(s)
+        offsets = pa.array(np.append(first, len(s)).astype(np.int32))
+        listed = lambda c: pa.ListArray.from_arrays(offsets, table.column(c).chunk(0))
+        return pa.record_batch({
+            "s": s[first], "names": listed("name"), "spans": listed("span"), **{c: listed(c) for c in others},
+        })
+
+    rows = symbols.select("s", "i", "name", F.col("span").cast("int").alias("span"), *others)
+    return by_string(rows, ", ".join([STRING, *(f"{c} array<{kinds[c]}>" for c in others)]), work)
 
 
 class Level:
@@ -142,21 +183,14 @@ def _merging(other: int):
     return work
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranks by place from items ``i, value``, of which a place may have two that add up."""
-    for batch in batches:
-        items = batch.column(1)
-        flat = items.flatten()
-        sizes = np.diff(items.offsets.to_numpy()).astype(np.int64)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        places, values = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-        lengths = np.zeros(len(sizes), np.int64)
-        np.maximum.at(lengths, row, places + 1)
-        starts = np.cumsum(lengths) - lengths
-        out = np.zeros(int(lengths.sum()), np.int64)
-        np.add.at(out, starts[row] + places, values)
-        offsets = pa.array(np.append(starts, lengths.sum()).astype(np.int32))
-        yield pa.record_batch({"s": batch.column(0), "ranks": pa.ListArray.from_arrays(offsets, pa.array(out))})
+def _summed(table: pa.Table) -> pa.RecordBatch:
+    """Ranks by place from rows ``s, i, value``; every place has one, or two that add up."""
+    s, i, value = (table.column(c).to_numpy() for c in ("s", "i", "value"))
+    places = _begins(s, i)
+    ranks, s = np.add.reduceat(value, places), s[places]
+    first = _begins(s)
+    offsets = pa.array(np.append(first, len(s)).astype(np.int32))
+    return pa.record_batch({"s": s[first], "ranks": pa.ListArray.from_arrays(offsets, pa.array(ranks))})
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,6 +353,4 @@ def _suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
         values.append(counted.select("s", "i", F.when(F.col("zero") == 1, own).otherwise(
             F.col("own") + F.col("before_zero")
         ).alias("value")))
-    both = values[0].unionByName(values[1])
-    items = both.groupBy("s").agg(F.collect_list(F.struct("i", "value")).alias("items"))
-    return items.mapInArrow(_summed, "s bigint, ranks array<bigint>")
+    return by_string(values[0].unionByName(values[1]), "s bigint, ranks array<bigint>", _summed)

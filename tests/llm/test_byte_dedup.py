@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kempt.llm import byte_dedup, suffix_array
@@ -147,3 +148,67 @@ def test_query_over_the_whole_table(spark, folder):
         f = found[r["doc_id"]]
         assert (f["n_bytes"], f["n_spans"], f["n_removed"]) == (len(r["text"].encode()), len(gone), sum(b - a for a, b in gone))
         assert f["kept_sha256"] == hashlib.sha256(kept(r["text"], gone)).hexdigest()
+
+
+@pytest.mark.parametrize("length", [40, 200])
+def test_texts_side_by_side_like_each_alone(monkeypatch, length):
+    rng = np.random.default_rng(3)
+    some = rng.integers(97, 101, length, np.uint8).tobytes()
+    sizes = [0, 1, length - 1, length, length + 1, 3 * length, 900, 5, 2000, length]
+    given = [rng.integers(97, 101, n, np.uint8).tobytes() for n in sizes] + [some, some, some + some, b"=" * 700, b""]
+    alone = [byte_dedup.anchors(t, length) for t in given]
+    # Every other gram, so that there are passages and bytes outside them.
+    repeated = np.unique(np.concatenate(alone))[::2]
+    for at_once in (1, 1000, 1 << 18):
+        monkeypatch.setattr(byte_dedup, "BYTES_AT_ONCE", at_once)
+        found, spans = [[] for _ in given], [[] for _ in given]
+        for first, data, bounds in byte_dedup.side_by_side(pa.array([b"skipped", *given], pa.binary())[1:]):
+            places, h = byte_dedup.anchors_beside(data, bounds, length)
+            for k, x in zip(byte_dedup.own_text(bounds, places), h, strict=True):
+                found[first + k].append(x)
+            for a, b in byte_dedup.passages_beside(data, bounds, repeated, length):
+                k = byte_dedup.own_text(bounds, np.array([a]))[0]
+                assert b <= bounds[k + 1]
+                spans[first + k].append((a - bounds[k], b - bounds[k]))
+        assert [list(a) for a in alone] == found
+        assert [byte_dedup.passages(t, repeated, length) for t in given] == spans and any(spans)
+
+
+def test_ranges_that_touch_are_one():
+    rng = random.Random(4)
+    for n in (0, 1, 300):
+        rows = [(rng.randrange(9), a := rng.randrange(200), a + rng.randrange(1, 12)) for _ in range(n)]
+        row, start, end = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        index, first, last = byte_dedup.joined_spans(row, start, end)
+        covered = {(r, x) for r, a, b in rows for x in range(a, b)}
+        joined = list(zip(row[index].tolist(), first.tolist(), last.tolist(), strict=True))
+        assert joined == sorted(joined) and covered == {(r, x) for r, a, b in joined for x in range(a, b)}
+        assert all(p[0] < q[0] or p[2] < q[1] for p, q in zip(joined, joined[1:], strict=False))
+
+
+def test_ranges_come_together_before_they_are_gathered(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(20_000))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text[::-1])], "doc_id int, text string")
+    # A cut in about 48 bytes has a range of its own.
+    found = {r["doc"]: r["spans"] for r in byte_dedup.removed_ranges(docs).collect()}
+    assert sorted(found) == [1, 2] and all(len(spans) < 20 for spans in found.values())
+    assert all(byte_dedup.joined_spans(*np.array([(0, *s) for s in spans]).T)[1:] == (0, 20_000) for spans in found.values())
+
+
+def test_strings_over_many_batches(spark):
+    rng = random.Random(6)
+    strings = {k: [rng.randrange(50) for _ in range(n)] for k, n in enumerate([1, 30, 2, 200, 1, 7, 7, 90, 3])}
+    rows = [(s, i, x, x % 5, x > 9) for s, t in strings.items() for i, x in enumerate(t)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "s bigint, i bigint, name bigint, span int, unclear boolean")
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    plain = spark.conf.get(batch)
+    try:
+        for size in (1, 7, 10_000):
+            spark.conf.set(batch, size)
+            found = suffix_array.gathered(df, "unclear").collect()
+            assert {r["s"]: r["names"] for r in found} == strings and len(found) == len(strings)
+            assert all(r["spans"] == [x % 5 for x in r["names"]] and r["unclear"] == [x > 9 for x in r["names"]] for r in found)
+    finally:
+        spark.conf.set(batch, plain)
