@@ -8,8 +8,8 @@ sets x, y differ in at most k(x) and k(y) parts, k being a third of the size; al
 a fixed order, so it is enough that each set gives its first k + 1: if the sets share all but k parts, their first k + 1
 share one (what precedes it in one set but not in the other must be among the k). The order puts parts with many
 shingles that are not common first, so a signature is rarely shared by chance and empty parts hardly ever come up. Common
-shingles (met often within some block of documents) are found over all data; which of them the bounded list holds
-steers the order only, never the result.
+shingles (met twice within some block of documents, so also those of passages that stand in one of thousands) are found
+over all data; which of them the bounded list holds steers the order only, never the result.
 
 Skew. Documents with equal sets are one node. A signature that many nodes share gives each of them two candidates: the
 least node and the one before it. Candidates pass a bound from small histograms, then an exact comparison of the sets;
@@ -19,6 +19,9 @@ near copies, by comparing blocks of ``BLOCK_NODES`` histograms, those outside a
 each pair once however many signatures it shares. Only pairs within the bound leave a block. So a group of near copies
 costs a few candidates per member as far as these link, and no link between components is lost.
 
+Disk. Candidates and blocks carry histograms, many times each, so these hold one bit a range: whether its count is odd.
+Sets differ at least in as many elements as such bits. Each step's shuffle files and tables go when its result is stored.
+
 Texts are read by streams that keep nothing; sets are built again for the few nodes that have candidates.
 
 Defined results: null and empty texts, or texts without words, have no shingles, link with nothing and are their own
@@ -38,16 +41,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.staging import settled
 from .components import components
 from .frames import free, map_texts, staged
 
 WORDS = 5
-COMMON = 50_000          # shingles on the list of common ones
-COMMON_SHARE = 0.01      # of the documents of some block
+COMMON = 400_000         # shingles on the list of common ones
+COMMON_TIMES = 2         # documents of some block
+COMMON_AT_ONCE = 1_000   # of one block
 BLOCK = 400
 LEAST_PARTS = 64
 GROUP = 32               # nodes of one signature whose pairs are joined
-BLOCK_NODES = 512
+BLOCK_NODES = 4096
+MOST_BITS = 17           # of a histogram: 2^17 ranges
 BROADCAST_ROWS = 500_000
 KNOWN_WORDS = 50_000
 
@@ -82,25 +88,28 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def histogram(shingled: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each of one to two times as many ranges (a power of two)."""
-    bits = max(5, len(shingled).bit_length())
+    """For each of 1.25 to 2.5 times as many ranges (a power of two), whether an odd number of shingles falls into it:
+    packed bits."""
+    bits = min(MOST_BITS, max(6, (len(shingled) + len(shingled) // 4).bit_length()))
     counts = np.bincount((shingled >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8)
+    return np.packbits((counts & 1).astype(np.uint8))
 
 
 def may_link(one: bytes, other: bytes, sizes: tuple[int, int]) -> bool:
     """Whether two histograms leave a similarity of 0.75 possible: sets that link differ in a seventh of the sizes' sum."""
     if 4 * min(sizes) < 3 * max(sizes):
         return False
-    a, b = (np.frombuffer(h, np.uint8).astype(np.int32) for h in (one, other))
+    a, b = (np.frombuffer(h, np.uint8) for h in (one, other))
     size = min(len(a), len(b))
-    a, b = _coarser(a, size), _coarser(b, size)
-    return 7 * int(np.abs(a - b).sum()) <= sum(sizes)
+    return 7 * int(np.bitwise_count((_coarser(a, size) ^ _coarser(b, size)).view(np.uint64)).sum()) <= sum(sizes)
 
 
-def _coarser(counts: np.ndarray, size: int) -> np.ndarray:
-    """A histogram of fewer ranges. Counts end at 255 in all of them, as they would if made for these ranges."""
-    return counts if len(counts) == size else np.minimum(counts.reshape(size, -1).sum(1), 255)
+def _coarser(odd: np.ndarray, size: int) -> np.ndarray:
+    """Histograms (along the last axis) of fewer ranges, in ``size`` bytes."""
+    if odd.shape[-1] == size:
+        return odd
+    bits = np.unpackbits(odd, axis=-1).reshape(*odd.shape[:-1], 8 * size, -1)
+    return np.packbits(np.bitwise_xor.reduce(bits, axis=-1), axis=-1)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -154,7 +163,8 @@ def _measured(docs: DataFrame, kind: str) -> DataFrame:
         for batch in batches:
             for at, sets in _rows(batch):
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
-                often = counts >= max(4, COMMON_SHARE * len(sets))
+                often = np.flatnonzero(counts >= COMMON_TIMES)
+                often = often[np.argsort(-counts[often], kind="stable")[:COMMON_AT_ONCE]]
                 digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
                 low = np.array([d & (1 << 64) - 1 for d in digests], np.uint64).view(np.int64)
                 high = np.array([d >> 64 for d in digests], np.uint64).view(np.int64)
@@ -220,8 +230,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
     return _sides(pairs, nodes, "n", "hist").mapInArrow(bound, f"a {kind}, b {kind}")
 
 
-def _verified(docs: DataFrame, possible: DataFrame, kind: str) -> DataFrame:
-    """Those of ``possible(a, b)`` that link by their sets. Staged."""
+def _verified(docs: DataFrame, possible: DataFrame, kind: str, repeated: bool) -> DataFrame:
+    """Those of ``possible(a, b)`` that link by their sets. Staged. ``repeated``: whether keys may occur again."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             read = lambda c: [np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()]
@@ -239,7 +249,8 @@ def _verified(docs: DataFrame, possible: DataFrame, kind: str) -> DataFrame:
     possible = staged(possible, "possible")
     wanted = staged(_both_ends(possible).distinct(), "wanted")
     chosen = docs.join(_small(wanted), "doc_id", "left_semi")
-    sets = staged(chosen.mapInArrow(build, f"doc_id {kind}, set binary").distinct(), "sets")
+    built = chosen.mapInArrow(build, f"doc_id {kind}, set binary")
+    sets = staged(built.distinct() if repeated else built, "sets")
     return staged(_sides(possible, sets, "set").mapInArrow(exact, f"a {kind}, b {kind}").distinct(), "verified")
 
 
@@ -247,20 +258,22 @@ def _block_pairs(first: pa.Table, second: pa.Table, same: bool) -> pa.Table:
     """The pairs of nodes of two blocks (or of one, if they are the same) in different components that may link."""
     def columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         labels = table["component"].to_numpy(zero_copy_only=False)
-        hists = [np.frombuffer(h, np.uint8).astype(np.int16) for h in table["hist"].to_pylist()]
+        hists = [np.frombuffer(h, np.uint8) for h in table["hist"].to_pylist()]
         return labels, table["n"].to_numpy(), hists
 
     (label, n, hist), (other_label, other_n, other_hist) = columns(first), columns(second)
     lengths = sorted({len(h) for h in other_hist})
     groups = {size: np.flatnonzero([len(h) == size for h in other_hist]) for size in lengths}
     stacks = {size: np.stack([other_hist[j] for j in groups[size]]) for size in lengths}
+    folded = {(size, least): _coarser(stack, least).view(np.uint64)
+              for size, stack in stacks.items() for least in {min(size, len(h)) for h in hist}}
     left, right = [], []
     for i, own in enumerate(hist):
         for size, members in groups.items():
             least = min(size, len(own))
-            rest = stacks[size] if size == least else np.minimum(stacks[size].reshape(len(members), least, -1).sum(2), 255)
             total = n[i] + other_n[members]
-            near = 7 * np.abs(rest - _coarser(own, least)).sum(1, dtype=np.int64) <= total
+            differing = np.bitwise_count(folded[size, least] ^ _coarser(own, least).view(np.uint64)).sum(1, dtype=np.int64)
+            near = 7 * differing <= total
             near &= 4 * np.minimum(n[i], other_n[members]) >= 3 * np.maximum(n[i], other_n[members])
             near &= other_label[members] != label[i]
             if same:
@@ -322,7 +335,7 @@ def _both_ends(pairs: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind, spark = docs.schema[key].dataType.simpleString(), docs.sparkSession
     docs = docs.select(F.col(key).alias("doc_id"), "text")
     every = staged(_measured(docs, kind), "measured")
     measured = every.select("doc_id", "n", "d1", "d2")
@@ -337,38 +350,39 @@ def groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         F.col("doc_id").alias("a"), F.col("node").alias("b")
     )
 
+    repeated = not full.groupBy("doc_id").count().where("count > 1").isEmpty()
     nodes = docs.where(F.col("doc_id").isNotNull()).join(_small(copies), "doc_id", "left_anti")
     shared = Window.partitionBy("sig")
     ordered = shared.orderBy("node")
     signed = _signed(nodes, kind, _common(every))
-    together = staged(
-        signed.withColumns({
-            "least": F.min("node").over(shared), "most": F.max("node").over(shared), "before": F.lag("node").over(ordered),
-        }).where("least < most"), "together",
-    )
+    together = settled(spark, lambda: signed.withColumns({
+        "least": F.min("node").over(shared), "most": F.max("node").over(shared), "before": F.lag("node").over(ordered),
+    }).where("least < most and (before is null or before < node)"), "together")
     pick = lambda c: together.select(F.col(c).alias("a"), F.col("node").alias("b")).where("a < b")
-    tried = staged(pick("least").unionByName(pick("before")).distinct(), "tried")
-    known = every.select("doc_id", "n", "hist").where("n > 0").distinct()
-    first = _verified(docs, _possible(tried, known, kind), kind).unionByName(ties)
+    tried = settled(spark, lambda: pick("least").unionByName(pick("before")).distinct(), "tried")
+    known = every.select("doc_id", "n", "hist").where("n > 0 and doc_id is not null")
+    known = known.distinct() if repeated else known
+    verified = lambda pairs: settled(spark, lambda: _verified(docs, pairs, kind, repeated), "verified")
+    first = verified(_possible(tried, known, kind)).unionByName(ties)
 
     # Signatures whose nodes are in different components still: every pair between components.
-    found = staged(components(first), "components")
-    member = together.select("sig", "node").distinct().join(found, "node", "left").select(
+    found = settled(spark, lambda: components(first), "components")
+    member = together.select("sig", "node").join(_small(found), "node", "left").select(
         "sig", "node", F.coalesce("component", "node").alias("component")
     )
     apart = member.groupBy("sig").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("nodes")
     ).where("x < y").select("sig", "nodes")
-    open_ = staged(member.join(staged(apart, "apart"), "sig"), "open")
+    open_ = settled(spark, lambda: member.join(_small(staged(apart, "apart")), "sig"), "open")
     few = open_.where(F.col("nodes") <= GROUP)
     left = few.select("sig", F.col("node").alias("a"), F.col("component").alias("x"))
     right = few.select("sig", F.col("node").alias("b"), F.col("component").alias("y"))
     pairs = left.join(right, "sig").where("a < b and x <> y").select("a", "b").distinct()
-    rest = _possible(pairs.join(tried, ["a", "b"], "left_anti"), known, kind)
-    many = _family_pairs(open_.where(F.col("nodes") > GROUP), known, kind)
-    second = _verified(docs, rest.unionByName(many.join(tried, ["a", "b"], "left_anti")).distinct(), kind)
+    rest = settled(spark, lambda: _possible(pairs.join(tried, ["a", "b"], "left_anti"), known, kind), "rest")
+    many = settled(spark, lambda: _family_pairs(open_.where(F.col("nodes") > GROUP), known, kind), "many")
+    second = verified(rest.unionByName(many.join(tried, ["a", "b"], "left_anti")).distinct())
 
-    final = components(first.unionByName(second))
+    final = settled(spark, lambda: components(first.unionByName(second)), "components")
     placed = measured.join(classes.select("d1", "d2", "node"), ["d1", "d2"], "left").join(final, "node", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return placed.select(

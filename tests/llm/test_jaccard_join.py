@@ -9,6 +9,7 @@ import pytest
 from kempt.llm import jaccard_join as jj
 from kempt.llm.components import components
 from kempt.llm.queries import QUERIES
+from kempt.operators.staging import collecting, release
 
 
 def brute_set(text):
@@ -118,3 +119,53 @@ def test_query_over_the_whole_table(spark, folder):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     rows = QUERIES["op10_jaccard_join"](spark, folder).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows) == brute(docs)
+
+
+def passages(rng, count, passage, own):
+    """Texts of own words around one of a few passages: they share signatures, but do not link."""
+    shared = [" ".join(f"p{j}x{i}" for i in range(passage)) for j in range(3)]
+    return [(i, f"{shared[i % 3]} " + " ".join(f"o{rng.randrange(10**9)}" for _ in range(own))) for i in range(count)]
+
+
+def test_passages_of_few_texts_of_a_block_are_common(spark):
+    """A passage in 3 of 400 texts comes last in their orders, so these texts do not meet."""
+    rng = random.Random(2)
+    docs = passages(rng, 9, 20, 60) + [(100 + i, " ".join(f"o{rng.randrange(10**9)}" for _ in range(70))) for i in range(391)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    common = jj._common(jj._measured(df, "bigint"))
+    assert set(jj.shingles(docs[0][1])) & set(jj.shingles(docs[3][1])) <= set(common.tolist())
+    sets = [jj.signatures(jj.shingles(t), common).tolist() for _, t in docs]
+    assert len({s for one in sets for s in one}) == sum(map(len, sets))
+
+
+@pytest.mark.parametrize("size", [1, 40, 127, 128, 400, 3_000, 300_000])
+def test_histograms_are_small_and_bound_the_difference(size):
+    rng = np.random.default_rng(size)
+    base = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) << np.uint64(1))
+    assert 8 * len(jj.histogram(base)) <= max(64, 2.5 * size)
+    for cut in (0, size // 9, size // 3, size):
+        other = np.unique(np.concatenate([base[cut:], rng.integers(0, 1 << 63, cut // 8 + 1, dtype=np.uint64)]))
+        one, two = jj.histogram(base), jj.histogram(other)
+        least = min(len(one), len(two))
+        odd = int(np.bitwise_count(jj._coarser(one, least) ^ jj._coarser(two, least)).sum())
+        assert odd <= len(np.setxor1d(base, other))
+        assert jj.may_link(one.tobytes(), two.tobytes(), (len(base), len(other))) or not jj.similar(base, other)
+
+
+def test_histograms_tell_unlike_sets_apart():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64) << np.uint64(1)) for _ in range(40)]
+    hists = [jj.histogram(s).tobytes() for s in sets]
+    assert not [1 for i in range(40) for j in range(i) if jj.may_link(hists[i], hists[j], (len(sets[i]), len(sets[j])))]
+
+
+def test_steps_are_released(spark):
+    """What a step has stored on the way goes; only what the result reads stays."""
+    rng = random.Random(3)
+    docs = [d for f in range(3) for d in family(rng, 100 * f, 8, 40, 3)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    with collecting() as left:
+        assert ours(df) == brute(docs)
+    labels = {path.rpartition("/")[2].split("-")[0] for path in left}
+    release(spark, left)
+    assert not labels & {"links", "possible", "wanted", "sets", "apart", "families"}
