@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from kempt.llm import bpe, decontaminate, jaccard_join, language, line_dedup
 from kempt.llm.frames import documents
 from kempt.llm.queries import remainder, tokenizer_path
-from kempt.operators.staging import new_path
+from kempt.operators.staging import collecting, release, settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,9 +58,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """Of each stage only the result stays, until the next one is written."""
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with collecting() as made:
+            docs = settled(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, before)
+        before = made
     return docs

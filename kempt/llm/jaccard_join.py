@@ -393,5 +393,5 @@ def groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def one_per_group(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns as they are, without those that link to a row with a smaller key, however far."""
     gone = free("gone")
-    later = groups(docs, key).where("component_id < doc_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(_small(staged(later, "later")), F.col(f"`{key}`") == F.col(gone), "left_anti")
+    later = lambda: groups(docs, key).where("component_id < doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(_small(settled(docs.sparkSession, later, "later")), F.col(f"`{key}`") == F.col(gone), "left_anti")

@@ -1,6 +1,7 @@
 """The pipeline's stages one by one against brute force, each on what its predecessor kept."""
 
 import hashlib
+import os
 import subprocess
 import sys
 
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from kempt.llm import decontaminate, frames
+from kempt.operators.staging import collecting, release, staging_root
 
 
 def texts(df):
@@ -60,6 +62,14 @@ def test_stages(spark, folder, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect())) == sorted(map(tuple, five.collect()))
 
 
+def test_only_the_last_result_stays(spark, folder):
+    with collecting() as earlier:
+        assert corpus_pipeline.run(spark, folder).count()
+    stays = {p.rpartition("/")[2] for p in earlier} & set(os.listdir(staging_root(spark)))
+    assert {t.rpartition("-")[0] for t in stays} == {"pipeline-bpe"}
+    release(spark, earlier)
+
+
 def test_registered_with_the_operators():
     import __spark_entry__ as entry
 
